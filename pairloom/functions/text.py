@@ -1,9 +1,14 @@
-"""Text columns: strip, normalise, hash, ids, timestamps, exact one-decimal text."""
+"""Text columns: strip, normalise, hash, ids, timestamps, exact one-decimal text.
+
+Arguments are column names or SQL text.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from pairloom.functions.rows import quoted
+
 # --- fixed values: results depend on these exact texts ----------------------
 # Every character that Python's str.strip() and re's \s treat as whitespace.
 WHITESPACE = (
@@ -21,80 +26,81 @@ UNIT = "\x1f"
 # -----------------------------------------------------------------------------
 
 
-def text(c: Column | str) -> Column:
-    """Column with NULL read as the empty string."""
-    return F.coalesce(_col(c), F.lit(""))
+def strip(c: str) -> Column:
+    """Remove leading and trailing Unicode whitespace."""
+    return F.expr(strip_sql(c))
 
 
-def strip(c: Column | str) -> Column:
-    """Remove leading and trailing Unicode whitespace."""
-    return F.btrim(_col(c), F.lit(WHITESPACE))
+def strip_sql(c: str) -> str:
+    return f"btrim({c}, {quoted(WHITESPACE)})"
+
+
+def text(c: str) -> Column:
+    """Column with NULL read as the empty string."""
+    return F.expr(f"coalesce({c}, '')")
 
 
-def normalized(c: Column | str) -> Column:
+def normalized(c: str) -> Column:
     """Lower-cased text with every whitespace run as one space and none at the ends."""
-    return F.btrim(F.regexp_replace(F.lower(text(c)), WHITESPACE_RUN, " "))
+    return F.expr(normalized_sql(c))
+
 
+def normalized_sql(c: str) -> str:
+    return f"btrim(regexp_replace(lower(coalesce({c}, '')), {quoted(WHITESPACE_RUN)}, ' '))"
 
-def pair_hash(instruction: Column | str, output: Column | str) -> Column:
+
+def pair_hash(instruction: str, output: str) -> Column:
     """sha1 (hex) of the normalised pair; equal for copies differing in case or spacing."""
-    return F.sha1(F.concat(normalized(instruction), F.lit(UNIT), normalized(output)))
+    return F.expr(f"sha1(concat({normalized_sql(instruction)}, {quoted(UNIT)}, {normalized_sql(output)}))")
 
 
-def pair_id(instruction: Column | str, output: Column | str) -> Column:
+def pair_id(instruction: str, output: str) -> Column:
     """Name-based (version 5) UUID of a pair."""
-    name = F.concat(F.lit(PAIR_NAME_PREFIX), text(instruction), F.lit("::"), text(output))
-    return uuid5(name)
+    return uuid5(f"concat({quoted(PAIR_NAME_PREFIX)}, coalesce({instruction}, ''), '::', coalesce({output}, ''))")
 
 
-def uuid5(name: Column) -> Column:
-    h = F.sha1(F.concat(F.unhex(F.lit(URL_NAMESPACE)), F.encode(name, "UTF-8")))
-    variant = F.translate(F.substr(h, F.lit(17), F.lit(1)), "0123456789abcdef", "89ab89ab89ab89ab")
-    return F.concat(
-        F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-5"), F.substring(h, 14, 3),
-        F.lit("-"), variant, F.substring(h, 18, 3), F.lit("-"), F.substring(h, 21, 12),
-    )
+def uuid5(name: str) -> Column:
+    """The version 5 UUID of a name in the URL namespace; ``name`` is SQL text."""
+    h = f"sha1(concat(unhex('{URL_NAMESPACE}'), encode({name}, 'UTF-8')))"
+    variant = f"translate(substr({h}, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab')"
+    return F.expr(
+        f"concat(substr({h}, 1, 8), '-', substr({h}, 9, 4), '-5', substr({h}, 14, 3), '-', "
+        f"{variant}, substr({h}, 18, 3), '-', substr({h}, 21, 12))")
 
 
-def canonical_id(c: Column | str) -> Column:
+def canonical_id(c: str) -> Column:
     """UUID text in any accepted spelling becomes lower-case 8-4-4-4-12; other ids stay as they are."""
-    c = _col(c).cast("string")
-    bare = F.regexp_replace(c, "urn:|uuid:", "")
-    digits = F.lower(F.regexp_replace(F.btrim(bare, F.lit("{}")), "-", ""))
-    dashed = F.regexp_replace(digits, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
-    return F.when(digits.rlike("^[0-9a-f]{32}$"), dashed).otherwise(c)
+    digits = f"lower(replace(btrim(regexp_replace({c}, 'urn:|uuid:', ''), '{{}}'), '-', ''))"
+    dashed = f"regexp_replace({digits}, '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '$1-$2-$3-$4-$5')"
+    return F.expr(f"CASE WHEN {digits} RLIKE '^[0-9a-f]{{32}}$' THEN {dashed} ELSE {c} END")
 
 
-def iso_timestamp(c: Column | str) -> Column:
+def iso_timestamp(c: str) -> Column:
     """ISO-8601 text to TIMESTAMP; text without an offset is UTC; unreadable text is NULL."""
-    c = _col(c)
-    has_zone = c.rlike(r"(Z|[+-]\d{2}:?\d{2})$") & c.contains(":")
-    is_date = c.rlike(r"^\d{4}-\d{2}-\d{2}$")
-    zoned = F.when(is_date, F.concat(c, F.lit("T00:00:00Z"))).when(~has_zone, F.concat(c, F.lit("Z")))
-    return F.try_to_timestamp(F.coalesce(zoned, c))
+    return F.expr(iso_timestamp_sql(c))
+
 
+def iso_timestamp_sql(c: str) -> str:
+    date_only, zone = quoted(r"^\d{4}-\d{2}-\d{2}$"), quoted(r":.*(Z|[+-]\d{2}:?\d{2})$")
+    return (f"try_to_timestamp(CASE WHEN {c} RLIKE {date_only} THEN concat({c}, 'T00:00:00Z') "
+            f"WHEN {c} RLIKE {zone} THEN {c} ELSE concat({c}, 'Z') END)")
 
-def one_decimal(x: Column | str) -> Column:
+
+def one_decimal(x: str) -> Column:
     """``'%.1f'`` of a non-negative double, rounding the exact binary value, ties to even.
 
     Twenty times x is 16x + 4x: both products are exact, and the rounding error of their
     sum is recovered exactly, so comparing with the odd number at the midpoint is exact too.
     """
-    x = _col(x)
-    a, b = x * 16.0, x * 4.0
-    s = a + b
-    err = (a - (s - (s - a))) + (b - (s - a))
-    low = F.floor(s / 2.0)
-    side = (s - (low * 2 + 1).cast("double")) + err
-    up = (side > 0) | ((side == 0) & (low % 2 == 1))
-    tenths = low + F.when(up, 1).otherwise(0)
-    return F.concat(F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"))
-
-
-def first_chars(c: Column | str, n: int) -> Column:
-    """The first n code points."""
-    return F.substring(_col(c), 1, n)
+    a, b = f"({x} * 16D)", f"({x} * 4D)"
+    s = f"({a} + {b})"
+    err = f"(({a} - ({s} - ({s} - {a}))) + ({b} - ({s} - {a})))"
+    low = f"floor({s} / 2D)"
+    side = f"(({s} - CAST({low} * 2 + 1 AS DOUBLE)) + {err})"
+    tenths = f"({low} + CASE WHEN {side} > 0 OR ({side} = 0 AND {low} % 2 = 1) THEN 1 ELSE 0 END)"
+    return F.expr(f"concat(CAST(floor({tenths} / 10) AS STRING), '.', CAST({tenths} % 10 AS STRING))")
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def first_chars(c: str, n: int) -> Column:
+    """The first n code points."""
+    return F.substring(F.col(c), 1, n)

@@ -6,9 +6,10 @@ import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from pairloom.functions.text import pair_hash, text
+from pairloom.functions.rows import quoted
+from pairloom.functions.text import pair_hash
 from pairloom.operators.ordering import HOT_ROWS, join_groups
 
 # --- fixed values: patterns of personal data, tried in this order, and the flagged words ---
@@ -18,6 +19,7 @@ PII_PATTERNS = {
     "api_key": r"\b(?:sk-[A-Za-z0-9]{16,}|ghp_[A-Za-z0-9]{16,}|AKIA[0-9A-Z]{16})\b",
 }
 FLAGGED_WORDS = ["badword1", "badword2"]
+WORD = r"\p{L}+"
 ALL_CHECKS = ["schema", "length", "dedup", "pii", "lang", "profanity"]
 DEFAULT_CHECKS = ["schema", "length", "dedup", "pii"]
 # ---------------------------------------------------------------------------------------------
@@ -44,81 +46,78 @@ class Options:
     flagged_words: list[str] | None = None
 
 
-def issue(when: Column, check: str, severity: str, message: str | Column, field_name: str | None = None) -> Column:
-    """An issue where the condition holds, else NULL."""
-    message = F.lit(message) if isinstance(message, str) else message
-    return F.when(when, F.struct(
-        F.lit(check).alias("check"), F.lit(severity).alias("severity"),
-        message.alias("message"), F.lit(field_name).cast("string").alias("field"),
-    ))
+INSTRUCTION, OUTPUT = "coalesce(instruction, '')", "coalesce(output, '')"
 
 
-def schema_issues(o: Options) -> list[Column]:
-    return [issue(text(f) == "", "schema", "error", f"{f} is empty", f) for f in ("instruction", "output")]
+def issue(when: str, check: str, severity: str, message: str, field_name: str | None = None) -> str:
+    """SQL text of an issue where the condition holds, else NULL; ``message`` is SQL text too."""
+    return (f"CASE WHEN {when} THEN struct({quoted(check)} AS check, {quoted(severity)} AS severity, "
+            f"{message} AS message, {quoted(field_name)} AS field) END")
 
 
-def length_issues(o: Options) -> list[Column]:
-    short, long = F.length(text("instruction")) < o.min_instruction_len, F.length(text("output")) > o.max_output_len
+def schema_issues(o: Options) -> list[str]:
+    return [issue(f"{sql} = ''", "schema", "error", quoted(f"{name} is empty"), name)
+            for name, sql in (("instruction", INSTRUCTION), ("output", OUTPUT))]
+
+
+def length_issues(o: Options) -> list[str]:
+    short, long = (f"instruction shorter than {o.min_instruction_len} chars", f"output longer than {o.max_output_len} chars")
     return [
-        issue(short, "length", "warning", f"instruction shorter than {o.min_instruction_len} chars", "instruction"),
-        issue(long, "length", "warning", f"output longer than {o.max_output_len} chars", "output"),
+        issue(f"length({INSTRUCTION}) < {o.min_instruction_len}", "length", "warning", quoted(short), "instruction"),
+        issue(f"length({OUTPUT}) > {o.max_output_len}", "length", "warning", quoted(long), "output"),
     ]
 
 
-def pii_kind(blob: Column) -> Column:
-    """The first kind of personal data found, or NULL. Cheap substring tests come first."""
-    has = {k: blob.rlike("(?U)" + p) for k, p in PII_PATTERNS.items()}
-    key_mark = blob.contains("sk-") | blob.contains("ghp_") | blob.contains("AKIA")
-    return (F.when(blob.contains("@") & has["email"], "email")
-            .when(has["phone"], "phone")
-            .when(key_mark & has["api_key"], "api_key"))
+def pii_kind(blob: str) -> str:
+    """SQL text of the first kind of personal data found, or NULL. Cheap substring tests come first."""
+    has = {k: f"{blob} RLIKE {quoted('(?U)' + p)}" for k, p in PII_PATTERNS.items()}
+    key_mark = f"(contains({blob}, 'sk-') OR contains({blob}, 'ghp_') OR contains({blob}, 'AKIA'))"
+    return (f"CASE WHEN contains({blob}, '@') AND {has['email']} THEN 'email' WHEN {has['phone']} THEN 'phone' "
+            f"WHEN {key_mark} AND {has['api_key']} THEN 'api_key' END")
 
 
-def pii_issues(o: Options) -> list[Column]:
+def pii_issues(o: Options) -> list[str]:
     if o.pii_policy == "off":
         return []
     severity = "error" if o.pii_policy == "strict" else "warning"
-    kind = pii_kind(F.concat(text("instruction"), F.lit("\n"), text("output")))
-    return [issue(kind.isNotNull(), "pii", severity, F.concat(F.lit("potential "), kind, F.lit(" detected")))]
+    kind = pii_kind(f"concat({INSTRUCTION}, '\\n', {OUTPUT})")
+    return [issue(f"{kind} IS NOT NULL", "pii", severity, f"concat('potential ', {kind}, ' detected')")]
 
 
-def detect_language(c: Column, words: dict[str, list[str]] = FUNCTION_WORDS) -> Column:
-    """The language with the most distinct function words in the text; NULL when none occurs.
+def detect_language(c: str, words: dict[str, list[str]] = FUNCTION_WORDS) -> str:
+    """SQL text of the language with the most distinct function words; NULL when none occurs.
     Languages with equal hits are taken in the order of their codes."""
-    tokens = F.regexp_extract_all(F.lower(c), F.lit(r"(\p{L}+)"), F.lit(1))
-    scored = [
-        F.struct(F.size(F.array_intersect(tokens, F.array(*[F.lit(w) for w in ws]))).alias("hits"),
-                 F.lit(-i).alias("rank"), F.lit(code).alias("code"))
-        for i, (code, ws) in enumerate(sorted(words.items()))
-    ]
-    best = F.greatest(*scored) if len(scored) > 1 else scored[0]
-    return F.when(best["hits"] > 0, best["code"])
+    tokens = f"regexp_extract_all(lower({c}), {quoted('(' + WORD + ')')}, 1)"
+    scored = []
+    for i, (code, ws) in enumerate(sorted(words.items())):
+        known = f"array({', '.join(quoted(w) for w in ws)})"
+        scored.append(f"struct(size(array_intersect({tokens}, {known})) AS hits, {-i} AS place, {quoted(code)} AS code)")
+    best = f"greatest({', '.join(scored)})" if len(scored) > 1 else scored[0]
+    return f"CASE WHEN {best}.hits > 0 THEN {best}.code END"
 
 
-def lang_issues(o: Options) -> list[Column]:
+def lang_issues(o: Options) -> list[str]:
     if not o.lang:
         return []
-    found = F.col(o.lang_column) if o.lang_column else detect_language(text("instruction"), o.function_words)
-    return [issue((text("instruction") != "") & found.isNotNull() & (found != o.lang),
-                  "lang", "warning", f"language != {o.lang}")]
+    found = f"`{o.lang_column}`" if o.lang_column else f"({detect_language(INSTRUCTION, o.function_words)})"
+    return [issue(f"{INSTRUCTION} <> '' AND {found} <> {quoted(o.lang)}", "lang", "warning", quoted(f"language != {o.lang}"))]
 
 
-def has_flagged_word(blob: Column, words: list[str]) -> Column:
-    """Whether a run of letters a-z in the lower-cased text is one of the words.
+def has_flagged_word(blob: str, words: list[str]) -> str:
+    """SQL text: whether a run of letters a-z in the lower-cased text is one of the words.
     Words with other characters can never be such a run."""
     letters = sorted({w for w in words if re.fullmatch("[a-z]+", w)})
     if not letters:
-        return F.lit(False)
-    return F.lower(blob).rlike(f"(?<![a-z])(?:{'|'.join(letters)})(?![a-z])")
+        return "false"
+    return f"lower({blob}) RLIKE '(?<![a-z])(?:{'|'.join(letters)})(?![a-z])'"
 
 
-def profanity_issues(o: Options) -> list[Column]:
-    blob = F.concat(text("instruction"), F.lit(" "), text("output"))
-    hit = has_flagged_word(blob, o.flagged_words or FLAGGED_WORDS)
-    return [issue(hit, "profanity", "warning", "flagged term detected")]
+def profanity_issues(o: Options) -> list[str]:
+    hit = has_flagged_word(f"concat({INSTRUCTION}, ' ', {OUTPUT})", o.flagged_words or FLAGGED_WORDS)
+    return [issue(hit, "profanity", "warning", quoted("flagged term detected"))]
 
 
-ROW_CHECKS: dict[str, Callable[[Options], list[Column]]] = {
+ROW_CHECKS: dict[str, Callable[[Options], list[str]]] = {
     "schema": schema_issues, "length": length_issues, "pii": pii_issues,
     "lang": lang_issues, "profanity": profanity_issues,
 }
@@ -134,8 +133,8 @@ def check_facts(pairs: DataFrame, checks: list[str] | None = None, options: Opti
     options = options or Options()
     names = ALL_CHECKS if checks is None else checks
     issues = [c for n in names if n in ROW_CHECKS for c in ROW_CHECKS[n](options)]
-    empty = F.array().cast("array<struct<check:string,severity:string,message:string,field:string>>")
-    found = F.array(*issues) if issues else empty   # NULL where a check found nothing
+    kind = "array<struct<check:string,severity:string,message:string,field:string>>"
+    found = F.expr(f"CAST(array({', '.join(issues)}) AS {kind})")   # NULL where a check found nothing
     return pairs.select(
         order, "id", found.alias("found"),
         F.unhex(pair_hash("instruction", "output")).alias("hash"),

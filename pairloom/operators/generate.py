@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.functions import variants as V
-from pairloom.functions.text import strip, text, uuid5
+from pairloom.functions.rows import quoted, with_values
+from pairloom.functions.text import strip, strip_sql, uuid5
 
 # --- fixed values: the request texts per template ---------------------------------------
 TEMPLATES = {
@@ -40,6 +41,7 @@ TEMPLATES = {
 }
 DEFAULT_TEMPLATE = "INSTRUCTION"
 GENERATION_FAILED = "[Generation failed]"
+FENCED = r"(?s)```(?:json)?(.*?)(?:```|\z)"
 # ------------------------------------------------------------------------------------------
 
 
@@ -74,41 +76,40 @@ def parse_generated(responses: DataFrame, cycle_id: int | None = None, strip_fen
     becomes the output, with the seed as instruction. A missing response, JSON that is not
     an object and a field that is not text give the marker of a failed generation.
     """
-    response = strip(F.col("response"))
+    response = strip_sql("response")
     if strip_fences:
-        inner = F.regexp_extract(response, r"(?s)```(?:json)?(.*?)(?:```|\z)", 1)
-        response = F.when(response.contains("```"), strip(inner)).otherwise(response)
-    names = ["instruction", "output", "context", "category", "difficulty"]
-    parsed = responses.withColumn("_v", V.strict_json(response))
-    fields = parsed.select("*", V.kind(F.col("_v")).alias("_kind"),
-                           *[V.member(F.col("_v"), n).alias(f"_{n}") for n in names])
-    bad_field = F.lit(False)
-    for n in names:
-        allowed = ["STRING"] if n in ("instruction", "output") else ["STRING", "VOID"]
-        bad_field = bad_field | F.coalesce(~V.kind(F.col(f"_{n}")).isin(allowed), F.lit(False))
-    failed = F.col("response").isNull() | (F.col("_v").isNotNull() & ((F.col("_kind") != "OBJECT") | bad_field))
-    marked = fields.withColumn("_state", F.when(failed, "failed").when(F.col("_v").isNull(), "raw").otherwise("pair"))
-    state = F.col("_state")
-    value = lambda n: F.when(state == "pair", V.as_text(F.col(f"_{n}")))
-    return marked.select(
+        inner = f"regexp_extract({response}, {quoted(FENCED)}, 1)"
+        response = f"CASE WHEN contains({response}, '```') THEN {strip_sql(inner)} ELSE {response} END"
+    required, optional = ["instruction", "output"], ["context", "category", "difficulty"]
+    names = [*required, *optional]
+    steps = with_values(responses, {"_v": V.strict_json(response)})
+    steps = with_values(steps, {"_kind": V.kind("_v")} | {f"_{n}": V.member("_v", n) for n in names})
+    steps = with_values(steps, {f"_k_{n}": f"coalesce({V.kind(f'_{n}')}, 'absent')" for n in names})
+    not_text = " OR ".join([f"_k_{n} NOT IN ('absent', 'STRING')" for n in required]
+                           + [f"_k_{n} NOT IN ('absent', 'STRING', 'VOID')" for n in optional])
+    state = f"""CASE WHEN response IS NULL THEN 'failed' WHEN _v IS NULL THEN 'raw'
+        WHEN _kind <> 'OBJECT' OR {not_text} THEN 'failed' ELSE 'pair' END"""
+    steps = with_values(steps, {"_state": state})
+    value = lambda n: f"CASE WHEN _state = 'pair' THEN try_variant_get(_{n}, '$', 'string') END"
+    cycle = "CAST(NULL AS INT)" if cycle_id is None else str(int(cycle_id))
+    return steps.select(
         order,
-        generated_id(F.lit(cycle_id), F.col(order), F.col("seed")).alias("id"),
-        F.when(state == "pair", text(value("instruction"))).otherwise(F.col("seed")).alias("instruction"),
-        F.lit(None).cast("string").alias("input"),
-        F.when(state == "pair", text(value("output"))).when(state == "raw", F.col("response"))
-        .otherwise(GENERATION_FAILED).alias("output"),
-        *[value(n).alias(n) for n in ("context", "category", "difficulty")],
-        F.create_map().cast("map<string,string>").alias("metadata"),
+        generated_id(cycle, order).alias("id"),
+        F.expr(f"CASE WHEN _state = 'pair' THEN coalesce({value('instruction')}, '') ELSE seed END AS instruction"),
+        F.expr("CAST(NULL AS STRING) AS input"),
+        F.expr(f"""CASE _state WHEN 'pair' THEN coalesce({value('output')}, '') WHEN 'raw' THEN response
+            ELSE {quoted(GENERATION_FAILED)} END AS output"""),
+        *[F.expr(f"{value(n)} AS {n}") for n in optional],
+        F.expr("CAST(map() AS MAP<STRING, STRING>) AS metadata"),
         F.col("seed").alias("source_seed"),
-        F.lit(cycle_id).cast("int").alias("cycle_id"),
-        F.lit(None).cast("timestamp").alias("created_at"),
+        F.expr(f"{cycle} AS cycle_id"),
+        F.expr("CAST(NULL AS TIMESTAMP) AS created_at"),
     )
 
 
-def generated_id(cycle_id: Column, order: Column, seed: Column) -> Column:
+def generated_id(cycle: str, order: str, seed: str = "seed") -> Column:
     """Repeatable id of a generated pair: one per cycle and seed position."""
-    parts = F.concat_ws("::", F.lit("generated"), cycle_id.cast("string"), order.cast("string"), seed)
-    return uuid5(parts)
+    return uuid5(f"concat_ws('::', 'generated', CAST({cycle} AS STRING), CAST({order} AS STRING), {seed})")
 
 
 def generated_pairs(seeds: DataFrame, responses: DataFrame, cycle_id: int | None = None,

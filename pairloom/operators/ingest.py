@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from pairloom.functions import variants as V
-from pairloom.functions.text import UNIT, iso_timestamp, canonical_id, pair_id, strip, text
+from pairloom.functions.rows import quoted, with_values
+from pairloom.functions.text import UNIT, canonical_id, iso_timestamp, iso_timestamp_sql, pair_id, strip_sql, text
 from pairloom.operators.ordering import first_rows, first_wins
 
 # --- fixed values: field names accepted for each pair field, in order of preference ---
@@ -26,8 +27,8 @@ def mapping_from_text(expr: str | None) -> dict[str, str]:
     return {k.strip(): v.strip() for k, v in pairs}
 
 
-def resolve_fields(raw: DataFrame, mapping: dict[str, str] | None = None) -> dict[str, Column]:
-    """For each pair field, the column that holds it.
+def resolve_fields(raw: DataFrame, mapping: dict[str, str] | None = None) -> dict[str, str]:
+    """For each pair field, the SQL text of the column that holds it.
 
     A table with a VARIANT column ``row`` is resolved row by row (rows may have different
     keys); any other table once, by its column names.
@@ -35,56 +36,47 @@ def resolve_fields(raw: DataFrame, mapping: dict[str, str] | None = None) -> dic
     mapping = mapping or {}
     wanted = {f: ([mapping[f]] if mapping.get(f) else []) + names for f, names in FIELD_NAMES.items()}
     if is_variant(raw):
-        return {f: V.first_present(F.col("row"), names) for f, names in wanted.items()}
-    present = set(raw.columns)
-    found = {f: next((n for n in names if n in present), None) for f, names in wanted.items()}
-    return {f: F.col(f"`{n}`") if n else F.lit(None).cast("string") for f, n in found.items()}
+        return {f: V.first_present("row", names) for f, names in wanted.items()}
+    found = {f: next((n for n in names if n in raw.columns), None) for f, names in wanted.items()}
+    return {f: _plain_text(raw, n) if n else quoted(None) for f, n in found.items()}
 
 
 def is_variant(raw: DataFrame) -> bool:
     return "row" in raw.columns and isinstance(raw.schema["row"].dataType, T.VariantType)
 
 
+def _plain_text(raw: DataFrame, name: str) -> str:
+    """A typed column as text; zero and false count as missing text."""
+    kind = raw.schema[name].dataType
+    if isinstance(kind, T.BooleanType):
+        return f"CASE WHEN `{name}` THEN 'True' END"
+    if isinstance(kind, T.NumericType):
+        return f"CASE WHEN `{name}` <> 0 THEN CAST(`{name}` AS STRING) END"
+    return f"CAST(`{name}` AS STRING)"
+
+
 def normalize_rows(raw: DataFrame, mapping: dict[str, str] | None = None, tag: str | None = None,
                    created_at: str | None = None, order: str = "seq") -> DataFrame:
     """Raw rows to pairs. Instruction and output are stripped text, falsy values empty;
     the optional fields keep their text as it is."""
     fields = resolve_fields(raw, mapping)
+    main, optional = ["instruction", "output"], ["input", "category", "difficulty"]
     if is_variant(raw):
-        staged = raw.select(order, *[c.alias(f) for f, c in fields.items()])
-        main = lambda f: F.when(V.truthy(F.col(f)), strip(V.as_text(F.col(f)))).otherwise("")
-        optional = lambda f: V.as_text(F.col(f))
+        rows = with_values(raw.select(order, "row"), {f"_{f}": sql for f, sql in fields.items()})
+        stripped = {f: f"CASE WHEN {V.truthy(f'_{f}')} THEN {strip_sql(V.as_text(f'_{f}'))} ELSE '' END" for f in main}
+        rows = with_values(rows, stripped | {f: V.as_text(f"_{f}") for f in optional})
     else:
-        staged = raw.select(order, *[_plain_text(raw, c).alias(f) for f, c in fields.items()])
-        main = lambda f: strip(text(f))
-        optional = F.col
-    tags = [F.lit("source"), F.lit("user")] + ([F.lit("tag"), F.lit(tag)] if tag else [])
-    clean = staged.select(
-        order, *[main(f).alias(f) for f in ("instruction", "output")],
-        *[optional(f).alias(f) for f in ("input", "category", "difficulty")],
-    )
-    return clean.select(
-        order,
-        pair_id("instruction", "output").alias("id"),
-        "instruction", "input", "output",
-        F.lit(None).cast("string").alias("context"),
-        "category", "difficulty",
-        F.create_map(*tags).alias("metadata"),
-        F.lit(None).cast("string").alias("source_seed"),
-        F.lit(None).cast("int").alias("cycle_id"),
+        stripped = [f"{strip_sql('coalesce(' + fields[f] + ', ' + quoted('') + ')')} AS {f}" for f in main]
+        rows = raw.selectExpr(order, *stripped, *[f"{fields[f]} AS {f}" for f in optional])
+    tags = "'source', 'user'" + (f", 'tag', {quoted(tag)}" if tag else "")
+    return rows.select(
+        order, pair_id("instruction", "output").alias("id"), "instruction", "input", "output",
+        F.expr("CAST(NULL AS STRING) AS context"), "category", "difficulty", F.expr(f"map({tags}) AS metadata"),
+        F.expr("CAST(NULL AS STRING) AS source_seed"), F.expr("CAST(NULL AS INT) AS cycle_id"),
         F.lit(created_at).cast("timestamp").alias("created_at"),
     )
 
 
-def _plain_text(raw: DataFrame, c: Column) -> Column:
-    kind = raw.select(c).schema[0].dataType
-    if isinstance(kind, (T.BooleanType, T.NumericType)):
-        # Zero and false count as missing text.
-        return F.when(c.cast("double") != 0, F.initcap(c.cast("string")) if isinstance(kind, T.BooleanType)
-                      else c.cast("string"))
-    return c.cast("string")
-
-
 def drop_empty(pairs: DataFrame) -> DataFrame:
     """Rows with neither instruction nor output are dropped; one of the two is enough to stay."""
     return pairs.filter((F.col("instruction") != "") | (F.col("output") != ""))
@@ -137,32 +129,29 @@ def tolerant_pairs(records: DataFrame, column: str = "row") -> DataFrame:
     Valid: an object whose text fields are text (the optional ones may be null), whose
     metadata is an object, cycle_id a whole number or null, created_at a readable timestamp.
     """
-    v = F.col(column)
-    required = ["instruction", "output"]
-    optional = ["input", "context", "category", "difficulty", "source_seed"]
     keep = [c for c in records.columns if c != column]
-    kinds = {f: V.kind(V.member(v, f)) for f in ["id", *required, *optional, "metadata", "cycle_id", "created_at"]}
-    texts = {f: F.try_variant_get(v, f"$.{f}", "string") for f in [*required, *optional]}
-    created = iso_timestamp(F.try_variant_get(v, "$.created_at", "string"))
-    cycle = F.try_variant_get(v, "$.cycle_id", "double")
-    valid = V.kind(v) == "OBJECT"
-    valid &= kinds["id"].isNull() | (kinds["id"] == "STRING")
-    for f in required:
-        valid &= kinds[f].isNull() | (kinds[f] == "STRING")
-    for f in optional:
-        valid &= kinds[f].isNull() | kinds[f].isin("STRING", "VOID")
-    valid &= kinds["metadata"].isNull() | (kinds["metadata"] == "OBJECT")
-    valid &= F.coalesce(kinds["cycle_id"], F.lit("VOID")).isin("VOID") | (cycle == F.floor(cycle))
-    valid &= kinds["created_at"].isNull() | ((kinds["created_at"] == "STRING") & created.isNotNull())
-    whole = records.filter(F.coalesce(valid, F.lit(False)))
+    texts = ["instruction", "output", "input", "context", "category", "difficulty", "source_seed"]
+    names = ["id", *texts, "metadata", "cycle_id", "created_at"]
+    fields = with_values(records, {"_kind": V.kind(column)} | {f"_{n}": V.member(column, n) for n in names})
+    kinds = with_values(fields, {f"_k_{n}": f"coalesce({V.kind(f'_{n}')}, 'absent')" for n in names})
+    got = lambda n, t: f"try_variant_get(_{n}, '$', '{t}')"
+    read = with_values(kinds, {f"_t_{n}": got(n, "string") for n in ["id", *texts]} | {
+        "_cycle": got("cycle_id", "double"), "_created": iso_timestamp_sql(got("created_at", "string")),
+        "_metadata_map": got("metadata", "map<string,string>")})
+    allowed = {n: ["absent", "STRING"] for n in ("id", "instruction", "output", "created_at")} \
+        | {n: ["absent", "STRING", "VOID"] for n in texts[2:]} \
+        | {"metadata": ["absent", "OBJECT"], "cycle_id": ["absent", "VOID", "NUMBER"]}
+    valid = F.col("_kind") == "OBJECT"
+    for n, kinds_of in allowed.items():
+        valid = valid & F.col(f"_k_{n}").isin(kinds_of)
+    valid = valid & ((F.col("_k_cycle_id") != "NUMBER") | (F.col("_cycle") == F.floor("_cycle")))
+    valid = valid & ((F.col("_k_created_at") == "absent") | F.col("_created").isNotNull())
+    whole = read.filter(valid)
+    empty = F.create_map().cast("map<string,string>")
     return whole.select(
-        *keep,
-        canonical_id(F.try_variant_get(v, "$.id", "string")).alias("id"),
-        *[(text(c) if f in required else c).alias(f) for f, c in texts.items()],
-        F.coalesce(F.try_variant_get(v, "$.metadata", "map<string,string>"),
-                   F.create_map().cast("map<string,string>")).alias("metadata"),
-        cycle.cast("int").alias("cycle_id"),
-        created.alias("created_at"),
+        *keep, canonical_id("_t_id").alias("id"), *[text(f"_t_{n}").alias(n) for n in texts[:2]],
+        *[F.col(f"_t_{n}").alias(n) for n in texts[2:]], F.coalesce("_metadata_map", empty).alias("metadata"),
+        F.col("_cycle").cast("int").alias("cycle_id"), F.col("_created").alias("created_at"),
     )
 
 

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pairloom.functions.text import UNIT, first_chars, text
+from pairloom.functions.rows import quoted
+from pairloom.functions.text import UNIT
 from pairloom.functions.verdict import FAILED, parse_responses, tier
 from pairloom.operators.ordering import cut_values, first_rows, last_wins, shuffle_key
 
@@ -65,8 +66,9 @@ def render_prompt(rubric: Rubric) -> Column:
     the pair's own texts are never read as placeholders."""
     before, rest = rubric.prompt.split("{instruction}", 1)
     between, after = rest.split("{output}", 1)
-    quoted = first_chars(text("output"), QUOTED_OUTPUT_CHARS)
-    return F.concat(F.lit(before), text("instruction"), F.lit(between), quoted, F.lit(after))
+    parts = [quoted(before), "coalesce(instruction, '')", quoted(between),
+             f"substring(coalesce(output, ''), 1, {QUOTED_OUTPUT_CHARS})", quoted(after)]
+    return F.expr(f"concat({', '.join(parts)})")
 
 
 def judge_requests(pairs: DataFrame, rubric: Rubric = BUILTIN, order: str = "seq") -> DataFrame:
@@ -197,7 +199,7 @@ def flag_passed(pairs: DataFrame, judgments: DataFrame, order: str = "seq") -> D
 
 
 def with_tier(judgments: DataFrame) -> DataFrame:
-    return judgments.withColumn("quality_tier", tier(F.col("scores.overall")))
+    return judgments.withColumn("quality_tier", tier())
 
 
 def fill_scores(judgments: DataFrame) -> DataFrame:
@@ -216,16 +218,13 @@ def rule_scorer(requests: DataFrame) -> DataFrame:
     Works in tenths of a point: coherence is the request's length in units of 20 characters,
     accuracy the remainder of its length by 101, helpfulness the mean of both, all at most 10.
     """
-    n = F.length("prompt")
-    coherence = F.least(F.floor(n / 20), F.lit(100))
-    accuracy = n % 101
-    helpfulness = F.floor((coherence + accuracy) / 2)
-    tenths = lambda c: F.concat(F.floor(c / 10).cast("string"), F.lit("."), (c % 10).cast("string"))
-    response = F.concat(
-        F.lit('{"coherence": '), tenths(coherence), F.lit(', "accuracy": '), tenths(accuracy),
-        F.lit(', "helpfulness": '), tenths(helpfulness), F.lit(', "reasoning": "rule"}'),
-    )
-    return requests.withColumn("response", response)
+    n = "length(prompt)"
+    c, a = f"least({n} div 20, 100)", f"{n} % 101"
+    h = f"(({c} + {a}) div 2)"
+    tenths = lambda x: f"concat(CAST(({x}) div 10 AS STRING), '.', CAST(({x}) % 10 AS STRING))"
+    response = (f"""concat('{{"coherence": ', {tenths(c)}, ', "accuracy": ', {tenths(a)}, """
+                f"""', "helpfulness": ', {tenths(h)}, ', "reasoning": "rule"}}')""")
+    return requests.withColumn("response", F.expr(response))
 
 
 def python_scorer(answer: Callable[[list[str], float | None], list[str | None]], tasks: int | None = None) -> Scorer:

@@ -83,7 +83,7 @@ def auto_label(judgments: DataFrame, reject_below: float = REJECT_BELOW, approve
     approved = F.col("passed") & F.lit(approve_if_passed)
     status = F.when(approved, "approved").when(overall < reject_below, "rejected").otherwise("needs_edit")
     return judgments.select(
-        order, "pair_id", status.alias("status"), F.concat(F.lit("overall="), one_decimal(overall)).alias("tag"),
+        order, "pair_id", status.alias("status"), F.concat(F.lit("overall="), one_decimal("scores.overall")).alias("tag"),
         F.lit(None).cast("string").alias("note"), F.lit("auto-from-judge").alias("labeler"),
         F.lit(labeled_at).cast("timestamp").alias("labeled_at"),
     )
@@ -99,14 +99,14 @@ def resume_labels(new: DataFrame, current: DataFrame) -> DataFrame:
 def review_queue(pairs: DataFrame, judgments: DataFrame | None = None, labels: DataFrame | None = None,
                  resume: bool = True, order: str = "seq") -> DataFrame:
     """What a reviewer sees, in ``order``: the pairs without a label, texts cut for display."""
-    waiting = pairs.select(order, "id", "instruction", first_chars(F.col("output"), REVIEW_OUTPUT_CHARS).alias("output"))
+    waiting = pairs.select(order, "id", "instruction", first_chars("output", REVIEW_OUTPUT_CHARS).alias("output"))
     if resume and labels is not None:
         waiting = waiting.join(labels.select(F.col("pair_id").alias("id")), "id", "left_anti")
     if judgments is None:
         extra = {"overall": F.lit(None).cast("string"), "passed": F.lit(None).cast("boolean"), "reasoning": F.lit(None).cast("string")}
         return waiting.withColumns(extra)
     seen = judgments.select(
-        F.col("pair_id").alias("id"), one_decimal(F.col("scores.overall")).alias("overall"), "passed",
-        first_chars(F.col("judgment_reasoning"), REVIEW_REASONING_CHARS).alias("reasoning"),
+        F.col("pair_id").alias("id"), one_decimal("scores.overall").alias("overall"), "passed",
+        first_chars("judgment_reasoning", REVIEW_REASONING_CHARS).alias("reasoning"),
     )
     return waiting.join(seen, "id", "left")

@@ -54,13 +54,13 @@ def read_jsonl(spark: SparkSession, path: str, lenient: bool = False) -> DataFra
     """One JSON value per line; blank lines are skipped. A malformed line is an error,
     or a row with a NULL ``row`` when lenient (see ``bad_lines``)."""
     lines = spark.read.text(path).select(file_order().alias("seq"), strip("value").alias("line"))
-    return lines.filter("line != ''").select("seq", V.strict_json(F.col("line"), lenient).alias("row"))
+    return lines.filter("line != ''").select("seq", F.expr(V.strict_json("line", lenient)).alias("row"))
 
 
 def bad_lines(spark: SparkSession, path: str) -> DataFrame:
     """The malformed lines of a JSONL source."""
     lines = spark.read.text(path).select(file_order().alias("seq"), strip("value").alias("line"))
-    return lines.filter("line != ''").filter(V.strict_json(F.col("line")).isNull())
+    return lines.filter("line != ''").filter(F.expr(V.strict_json("line")).isNull())
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
@@ -75,7 +75,7 @@ def read_json(spark: SparkSession, path: str) -> DataFrame:
             .option("singleVariantColumn", "row").json(path)
         return rows.select(file_order().alias("seq"), "row")
     whole = spark.read.option("wholetext", True).text(path).select(
-        F.col("_metadata.file_path").alias("file"), V.strict_json(F.col("value"), lenient=False).alias("doc"))
+        F.col("_metadata.file_path").alias("file"), F.expr(V.strict_json("value", lenient=False)).alias("doc"))
     data = F.try_variant_get("doc", "$.data", "array<variant>")
     problem = F.raise_error(F.lit("Unsupported JSON shape: expected a list of rows")).cast("array<variant>")
     listed = whole.select("file", F.posexplode(F.coalesce(data, problem)).alias("row_no", "row"))

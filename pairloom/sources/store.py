@@ -33,7 +33,7 @@ def pair_records(pairs: DataFrame) -> DataFrame:
 
 def judgment_records(judgments: DataFrame) -> DataFrame:
     """Judgments as JSON, with the derived quality tier (ignored when read back)."""
-    graded = judgments.withColumn("quality_tier", tier(F.col("scores.overall")))
+    graded = judgments.withColumn("quality_tier", tier())
     return graded.select(to_json_record([*JUDGMENT.fieldNames(), "quality_tier"]).alias("value"))
 
 

@@ -27,7 +27,7 @@ def appended_lines(spark: SparkSession, folder: str, per_trigger: int | None = N
         reader = reader.option("maxFilesPerTrigger", per_trigger)
     lines = reader.text(folder).select(
         F.col("_metadata.file_modification_time").alias("arrived"), strip("value").alias("line"))
-    return lines.filter("line != ''").select("arrived", V.strict_json(F.col("line")).alias("row")).filter("row IS NOT NULL")
+    return lines.filter("line != ''").select("arrived", F.expr(V.strict_json("line")).alias("row")).filter("row IS NOT NULL")
 
 
 def append_to(rows: DataFrame, operator: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> StreamingQuery:

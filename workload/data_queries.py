@@ -235,7 +235,7 @@ def _detected() -> str:
 SELECT level, CASE WHEN top = 0 THEN NULL WHEN de = top THEN 'de' WHEN en = top THEN 'en' WHEN es = top THEN 'es' ELSE 'fr' END AS detected,
   count(*) AS n FROM best GROUP BY ALL""")
 def language_detection(spark, sf):
-    found = I.raw_docs(spark, sf).select("level", checks.detect_language(F.col("completion")).alias("detected"))
+    found = I.raw_docs(spark, sf).select("level", F.expr(checks.detect_language("completion")).alias("detected"))
     return found.groupBy("level", "detected").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -334,9 +334,9 @@ def scalar_functions(spark, sf):
     t, n = F.col("text"), F.length("text").cast("bigint")
     return I.table(spark, sf, "documents").select(
         F.col("doc_id").alias("seq"), normalized("text").alias("norm"),
-        strip_text(F.concat(F.lit("  "), t, F.lit("\n"))).alias("stripped"), P.piece(t, 0, 200).alias("head"), P.piece(t, -5).alias("tail"),
+        strip_text("concat('  ', text, '\\n')").alias("stripped"), P.piece(t, 0, 200).alias("head"), P.piece(t, -5).alias("tail"),
         P.contains(t, "the").alias("has_the"), P.modulo(n, F.lit(7)).alias("rem"), P.truth(n, T.LongType()).alias("nonzero"),
         P.floor_divide(-n, F.lit(7)).alias("down"), P.modulo(-n, F.lit(7)).alias("up_rem"),
-        one_decimal(F.col("doc_id") % 201 / F.lit(20.0)).alias("shown"),
+        one_decimal("(doc_id % 201 / 20D)").alias("shown"),
         F.when(P.is_in(F.col("lang"), ["en", "fr"]), "west").otherwise("other").alias("choice"),
         P.not_equal(F.lit(None).cast("string"), t).alias("differs"))

@@ -6,11 +6,12 @@ scores and response texts follow from the document number by a formula that SQL
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairloom.functions.verdict import THRESHOLDS, meets
 from pairloom.operators.judge import BUILTIN, cache_key
 
+LOWER = "abcdefghijklmnopqrstuvwxyz"
 COPY_OFFSET = 10_000_000
 BACKEND, MODEL = "rule", "rule-1"
 
@@ -34,7 +35,8 @@ def raw_dirty(spark: SparkSession, sf: str) -> DataFrame:
     broken = rows.withColumns({
         "prompt": prompt, "completion": F.when(where("src11", "es"), "").otherwise(F.col("completion"))})
     wide = lambda c: F.replace(F.col(c), F.lit(" "), F.lit("   "))
-    upper = lambda c: F.when(F.col("level") == "en", F.upper(wide(c))).otherwise(wide(c))
+    # Basic letters only: case mapping of others differs between engines.
+    upper = lambda c: F.when(F.col("level") == "en", F.translate(wide(c), LOWER, LOWER.upper())).otherwise(wide(c))
     again = broken.filter(F.col("topic").isin("src5", "src10")).withColumns({
         "seq": F.col("seq") + COPY_OFFSET, "prompt": upper("prompt"), "completion": upper("completion")})
     return broken.unionByName(again)
@@ -71,33 +73,29 @@ def turn_pairs(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("conversation").alias("topic"), F.lit(None).cast("string").alias("level")))
 
 
-def tenths(doc: Column) -> dict[str, Column]:
-    """Scores of a document in tenths of a point."""
-    return {"coherence": doc * 7 % 101, "accuracy": doc * 13 % 101, "helpfulness": doc * 29 % 101}
+# Scores of a document in tenths of a point.
+TENTHS = {"coherence": "{d} * 7 % 101", "accuracy": "{d} * 13 % 101", "helpfulness": "{d} * 29 % 101"}
 
 
-def _judged(docs: DataFrame, doc: Column, tag: str) -> DataFrame:
-    points = {n: t / F.lit(1e1) for n, t in tenths(doc).items()}
-    points["overall"] = (points["coherence"] + points["accuracy"] + points["helpfulness"]) / 3
-    return docs.select(
-        F.col("doc_id").alias("seq"), F.col("doc_id").cast("string").alias("pair_id"),
-        F.struct(*[c.alias(n) for n, c in points.items()]).alias("scores"),
-        meets(THRESHOLDS, points).alias("passed"), F.lit(MODEL).alias("judge_model"),
-        F.concat(F.lit("formula "), F.col("doc_id").cast("string")).alias("judgment_reasoning"),
-        F.lit(None).cast("timestamp").alias("judged_at"),
-        F.struct(F.lit("default").alias("name"), F.lit(1).alias("version")).alias("rubric"), F.lit(tag).alias("tag"))
+def _judged(docs: DataFrame, doc: str, tag: str) -> DataFrame:
+    points = docs.selectExpr("doc_id", *[f"({t.format(d=doc)}) / 1e1D AS {n}" for n, t in TENTHS.items()])
+    scored = points.selectExpr("*", "(coherence + accuracy + helpfulness) / 3 AS overall")
+    return scored.selectExpr(
+        "doc_id AS seq", "CAST(doc_id AS STRING) AS pair_id", "struct(coherence, accuracy, helpfulness, overall) AS scores",
+        f"{meets(THRESHOLDS)} AS passed", f"'{MODEL}' AS judge_model", "concat('formula ', CAST(doc_id AS STRING)) AS judgment_reasoning",
+        "CAST(NULL AS TIMESTAMP) AS judged_at", "struct('default' AS name, 1 AS version) AS rubric", f"'{tag}' AS tag")
 
 
 def judge_a(spark: SparkSession, sf: str) -> DataFrame:
     """A run over all documents."""
-    return _judged(table(spark, sf, "documents").select("doc_id"), F.col("doc_id"), "a")
+    return _judged(table(spark, sf, "documents").select("doc_id"), "doc_id", "a")
 
 
 def judge_b(spark: SparkSession, sf: str) -> DataFrame:
     """A run over the labelled documents only."""
     docs = table(spark, sf, "documents").select("doc_id")
     labelled = table(spark, sf, "labels").select("doc_id").distinct()
-    return _judged(docs.join(labelled, "doc_id", "left_semi"), F.col("doc_id") + 37, "b")
+    return _judged(docs.join(labelled, "doc_id", "left_semi"), "(doc_id + 37)", "b")
 
 
 def judge_log(spark: SparkSession, sf: str) -> DataFrame:
@@ -108,33 +106,31 @@ def judge_log(spark: SparkSession, sf: str) -> DataFrame:
 
 def responses(spark: SparkSession, sf: str) -> DataFrame:
     """Judge responses in twelve shapes, from clean JSON to text that cannot be read."""
-    docs = table(spark, sf, "documents").select("doc_id")
-    t = tenths(F.col("doc_id"))
-    t["overall"] = F.floor((t["coherence"] + t["accuracy"] + t["helpfulness"]) / 3)
-    num = {n: F.concat(F.floor(c / 10).cast("string"), F.lit("."), (c % 10).cast("string")) for n, c in t.items()}
-    item = lambda n, v: F.concat(F.lit(f'"{n}": '), v)
-    obj = lambda *parts: F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
-    scores = [item(n, num[n]) for n in ("coherence", "accuracy", "helpfulness")]
-    overall, passed = item("overall", num["overall"]), item("passed", F.lit("true"))
-    reason = item("reasoning", F.lit('"formula"'))
-    plain = obj(*scores, overall, passed, reason)
-    quoted = [item(n, F.concat(F.lit('"'), num[n], F.lit('"'))) for n in ("coherence", "accuracy", "helpfulness", "overall")]
+    docs = table(spark, sf, "documents").selectExpr("doc_id", *[f"{t.format(d='doc_id')} AS {n}" for n, t in TENTHS.items()])
+    names = [*TENTHS, "overall"]
+    whole = docs.selectExpr("*", "(coherence + accuracy + helpfulness) div 3 AS overall")
+    texts = whole.selectExpr("doc_id", *[f"concat(CAST({n} div 10 AS STRING), '.', CAST({n} % 10 AS STRING)) AS {n}" for n in names])
+    item = lambda n, v=None: f"""'"{n}": ', {v or n}"""
+    obj = lambda *parts: "concat('{', " + ", ', ', ".join(parts) + ", '}')"
+    three = [item(n) for n in TENTHS]
+    passed, reason = item("passed", "'true'"), item("reasoning", """'"formula"'""")
+    plain = obj(*three, item("overall"), passed, reason)
     shapes = [
         plain,
-        F.concat(F.lit("Here it is:\n```json\n"), plain, F.lit("\n```\nDone.")),
-        F.concat(F.lit("```\n"), plain, F.lit("\n```")),
-        F.concat(F.lit("My verdict: "), plain, F.lit(" as asked.")),
-        obj(*scores, passed),
-        obj(*scores, overall, reason),
-        obj(*quoted, reason),
-        obj(*scores, overall, item("passed", F.lit('"false"'))),
-        obj(item("detail", F.lit('{"a": 1}')), *scores),
-        F.concat(F.lit("Looks fine, score "), num["overall"]),
-        obj(scores[0], item("accuracy", F.lit("null")), scores[2], overall),
-        obj(item("coherence", F.lit("11")), scores[1], scores[2], overall),
+        f"concat('Here it is:\\n```json\\n', {plain}, '\\n```\\nDone.')",
+        f"concat('```\\n', {plain}, '\\n```')",
+        f"concat('My verdict: ', {plain}, ' as asked.')",
+        obj(*three, passed),
+        obj(*three, item("overall"), reason),
+        obj(*[item(n, f"""concat('"', {n}, '"')""") for n in names], reason),
+        obj(*three, item("overall"), item("passed", """'"false"'""")),
+        obj(item("detail", """'{"a": 1}'"""), *three),
+        "concat('Looks fine, score ', overall)",
+        obj(three[0], item("accuracy", "'null'"), three[2], item("overall")),
+        obj(item("coherence", "'11'"), three[1], three[2], item("overall")),
     ]
-    text = F.element_at(F.array(*shapes), (F.col("doc_id") % 12 + 1).cast("int"))
-    return docs.select(F.col("doc_id").alias("seq"), F.col("doc_id").cast("string").alias("pair_id"), text.alias("response"))
+    cases = " ".join(f"WHEN {i} THEN {sql}" for i, sql in enumerate(shapes))
+    return texts.selectExpr("doc_id AS seq", "CAST(doc_id AS STRING) AS pair_id", f"CASE doc_id % 12 {cases} END AS response")
 
 
 def label_docs(spark: SparkSession, sf: str) -> DataFrame:
@@ -188,5 +184,5 @@ def predictions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Predictions for the benchmark: right but for case in three of four items."""
     items = table(spark, sf, "benchmark")
     wrong = F.concat(F.col("text"), F.lit(" x"))
-    made = items.select("item_id", F.when(F.col("item_id") % 4 != 0, F.concat(F.lit(" "), F.upper("text"))).otherwise(wrong).alias("prediction"))
+    made = items.select("item_id", F.when(F.col("item_id") % 4 != 0, F.concat(F.lit(" "), F.translate("text", LOWER, LOWER.upper()))).otherwise(wrong).alias("prediction"))
     return made, items.select("item_id", F.col("text").alias("reference"))

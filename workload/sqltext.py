@@ -51,8 +51,8 @@ DIRTY = f"""{DOCS}, broken AS (
   FROM docs), dirty AS (
   SELECT * FROM broken UNION ALL
   SELECT seq + 10000000,
-    CASE WHEN level = 'en' THEN upper(replace(prompt, ' ', '   ')) ELSE replace(prompt, ' ', '   ') END,
-    CASE WHEN level = 'en' THEN upper(replace(completion, ' ', '   ')) ELSE replace(completion, ' ', '   ') END, topic, level
+    CASE WHEN level = 'en' THEN translate(replace(prompt, ' ', '   '), 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') ELSE replace(prompt, ' ', '   ') END,
+    CASE WHEN level = 'en' THEN translate(replace(completion, ' ', '   '), 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') ELSE replace(completion, ' ', '   ') END, topic, level
   FROM broken WHERE topic IN ('src5', 'src10'))"""
 
 
@@ -122,9 +122,9 @@ def _num(c: str) -> str:
 
 
 def _responses() -> str:
-    items = {n: f"""'"{n}": ' || {n[0]}t""" for n in NAMES}
+    items = {n: f"""'"{n}": ' || {n[0]}_text""" for n in NAMES}
     three = " || ', ' || ".join(items[n] for n in NAMES[:3])
-    q = " || ', ' || ".join(f"""'"{n}": "' || {n[0]}t || '"'""" for n in NAMES)
+    q = " || ', ' || ".join(f"""'"{n}": "' || {n[0]}_text || '"'""" for n in NAMES)
     plain = f"""'{{' || {three} || ', ' || {items['overall']} || ', "passed": true, "reasoning": "formula"}}'"""
     nl = "chr(10)"
     shapes = [
@@ -137,13 +137,13 @@ def _responses() -> str:
         f"""'{{' || {q} || ', "reasoning": "formula"}}'""",
         f"""'{{' || {three} || ', ' || {items['overall']} || ', "passed": "false"}}'""",
         f"""'{{"detail": {{"a": 1}}, ' || {three} || '}}'""",
-        "'Looks fine, score ' || ot",
+        "'Looks fine, score ' || o_text",
         f"""'{{' || {items['coherence']} || ', "accuracy": null, ' || {items['helpfulness']} || ', ' || {items['overall']} || '}}'""",
         f"""'{{"coherence": 11, ' || {items['accuracy']} || ', ' || {items['helpfulness']} || ', ' || {items['overall']} || '}}'""",
     ]
     cases = " ".join(f"WHEN {i} THEN {s}" for i, s in enumerate(shapes))
     return f"""tn AS (SELECT doc_id, doc_id * 7 % 101 AS c, doc_id * 13 % 101 AS a, doc_id * 29 % 101 AS h FROM documents), tt AS (
-  SELECT doc_id, {_num('c')} AS ct, {_num('a')} AS at, {_num('h')} AS ht, {_num('(c + a + h) // 3')} AS ot FROM tn), resp AS (
+  SELECT doc_id, {_num('c')} AS c_text, {_num('a')} AS a_text, {_num('h')} AS h_text, {_num('(c + a + h) // 3')} AS o_text FROM tn), resp AS (
   SELECT doc_id AS seq, CAST(doc_id AS VARCHAR) AS pair_id, CASE doc_id % 12 {cases} END AS response FROM tt)"""
 
 
