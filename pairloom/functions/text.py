@@ -16,8 +16,8 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-# Same characters as a regex run.
-WHITESPACE_RUN = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+# Runs of the same characters, but for the single space.
+UNEVEN_SPACE = r"(?U)[\s\x1c-\x1f&&[^ ]][\s\x1c-\x1f]*| [\s\x1c-\x1f]+"
 # The URL namespace of RFC 4122, and the prefix of a pair's name in it.
 URL_NAMESPACE = "6ba7b8119dad11d180b400c04fd430c8"
 PAIR_NAME_PREFIX = "sdf::"
@@ -46,7 +46,8 @@ def normalized(c: str) -> Column:
 
 
 def normalized_sql(c: str) -> str:
-    return f"btrim(regexp_replace(lower(coalesce({c}, '')), {quoted(WHITESPACE_RUN)}, ' '))"
+    """Only runs that are not a single space already are replaced: most spaces cost no match."""
+    return f"btrim(regexp_replace(lower(coalesce({c}, '')), {quoted(UNEVEN_SPACE)}, ' '))"
 
 
 def pair_hash(instruction: str, output: str) -> Column:

@@ -18,6 +18,7 @@ PII_PATTERNS = {
     "phone": r"\b(?:\+?\d{1,3}[\s-]?)?(?:\(?\d{3}\)?[\s-]?)?\d{3}[\s-]?\d{4}\b",
     "api_key": r"\b(?:sk-[A-Za-z0-9]{16,}|ghp_[A-Za-z0-9]{16,}|AKIA[0-9A-Z]{16})\b",
 }
+PHONE_DIGITS = r"(?U)\d{3}[\s-]?\d{4}"
 FLAGGED_WORDS = ["badword1", "badword2"]
 WORD = r"\p{L}+"
 ALL_CHECKS = ["schema", "length", "dedup", "pii", "lang", "profanity"]
@@ -69,10 +70,15 @@ def length_issues(o: Options) -> list[str]:
 
 
 def pii_kind(blob: str) -> str:
-    """SQL text of the first kind of personal data found, or NULL. Cheap substring tests come first."""
+    """SQL text of the first kind of personal data found, or NULL.
+
+    A cheap test that every match passes comes before each pattern: the sign @, the last
+    seven digits of a phone number, the first letters of a key.
+    """
     has = {k: f"{blob} RLIKE {quoted('(?U)' + p)}" for k, p in PII_PATTERNS.items()}
     key_mark = f"(contains({blob}, 'sk-') OR contains({blob}, 'ghp_') OR contains({blob}, 'AKIA'))"
-    return (f"CASE WHEN contains({blob}, '@') AND {has['email']} THEN 'email' WHEN {has['phone']} THEN 'phone' "
+    digits = f"{blob} RLIKE {quoted(PHONE_DIGITS)}"
+    return (f"CASE WHEN contains({blob}, '@') AND {has['email']} THEN 'email' WHEN {digits} AND {has['phone']} THEN 'phone' "
             f"WHEN {key_mark} AND {has['api_key']} THEN 'api_key' END")
 
 
@@ -154,7 +160,7 @@ def copies(facts: DataFrame, order: str = "seq", hot_rows: int = HOT_ROWS) -> Da
 
 def issues(facts: DataFrame, order: str = "seq", hot_rows: int = HOT_ROWS) -> DataFrame:
     """The issue table: order, pair_id, check, severity, message, field."""
-    per_row = facts.select(order, F.col("id").alias("pair_id"), F.explode("found").alias("i")) \
+    per_row = facts.select(order, F.col("id").alias("pair_id"), F.explode_outer("found").alias("i")) \
         .filter(F.col("i").isNotNull()).select(order, "pair_id", "i.*")
     dup = copies(facts.filter("dedup"), order, hot_rows).select(
         order, F.col("id").alias("pair_id"), F.lit("dedup").alias("check"), F.lit("warning").alias("severity"),
@@ -168,7 +174,7 @@ def issue_counts(facts: DataFrame) -> DataFrame:
 
     Copies are counted as rows minus first rows per hash, so no join is needed.
     """
-    per_row = facts.select(F.explode("found").alias("i")).filter(F.col("i").isNotNull()).groupBy(
+    per_row = facts.select(F.explode_outer("found").alias("i")).filter(F.col("i").isNotNull()).groupBy(
         F.col("i.check").alias("check"), F.col("i.severity").alias("severity")
     ).agg(F.count(F.lit(1)).alias("n"))
     dup = facts.filter("dedup").groupBy("hash").agg(F.count(F.lit(1)).alias("m")).agg(

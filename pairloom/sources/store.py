@@ -147,7 +147,8 @@ class DatasetStore:
         path = self.path(kind, **parts)
         out = df.drop(*parts)
         out.write.mode(mode).parquet(path)
-        return self.get(kind, **parts)
+        values = [F.lit(v).alias(k) for k, v in parts.items()]
+        return self.spark.read.schema(out.schema).parquet(path).select("*", *values)
 
     def get(self, kind: str, **parts) -> DataFrame:
         """One partition, with its partition values as columns."""

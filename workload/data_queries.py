@@ -187,7 +187,8 @@ def split_export_files(spark, sf):
 # ----- checks -----
 
 def _issue_rows(pairs: DataFrame, names: list[str], options: checks.Options | None = None) -> DataFrame:
-    return checks.validate(pairs, names, options).select("seq", "pair_id", "check", "severity", "message", "field")
+    once = stage if "dedup" in names else None
+    return checks.validate(pairs, names, options, stage=once).select("seq", "pair_id", "check", "severity", "message", "field")
 
 
 _DIRTY_PAIRS = f"{DIRTY}, {pairs_of('dirty')}"

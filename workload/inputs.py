@@ -20,9 +20,16 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A table in fewer files than there are cores is dealt out by its unique key, so that work on
+    long texts uses all cores. A table of many files is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+
+
 def raw_docs(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as raw rows: the first line is the prompt, the whole text the completion."""
-    return table(spark, sf, "documents").select(
+    return spread(table(spark, sf, "documents"), "doc_id").select(
         F.col("doc_id").alias("seq"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("prompt"),
         F.col("text").alias("completion"), F.col("source").alias("topic"), F.col("lang").alias("level"))
 

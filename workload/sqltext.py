@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pairloom.functions.text import PAIR_NAME_PREFIX, URL_NAMESPACE, WHITESPACE, WHITESPACE_RUN
+from pairloom.functions.text import PAIR_NAME_PREFIX, URL_NAMESPACE, WHITESPACE
 from pairloom.operators.checks import PII_PATTERNS
 
+WHITESPACE_RUN = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 NAMES = ("coherence", "accuracy", "helpfulness", "overall")
 
 
