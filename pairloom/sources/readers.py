@@ -64,22 +64,17 @@ def bad_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON document: a list of rows, or an object whose ``data`` is that list.
+    """JSON documents: each file a list of rows, or an object whose ``data`` is that list.
 
-    The text before the first brace tells the two apart. A list is read element by element;
-    an object has to be read whole, so large data should come as a list or as JSONL.
+    A document has to be parsed as a whole, so a file is one task and one value; large data
+    should come as JSONL, which is split.
     """
-    head = spark.read.option("lineSep", "{").text(path).select(strip("value").alias("v")).first()
-    if head is not None and head.v.startswith("["):
-        rows = spark.read.option("multiLine", True).option("mode", "FAILFAST") \
-            .option("singleVariantColumn", "row").json(path)
-        return rows.select(file_order().alias("seq"), "row")
-    whole = spark.read.option("wholetext", True).text(path).select(
+    whole = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("file"), F.expr(V.strict_json("value", lenient=False)).alias("doc"))
-    data = F.try_variant_get("doc", "$.data", "array<variant>")
-    problem = F.raise_error(F.lit("Unsupported JSON shape: expected a list of rows")).cast("array<variant>")
-    listed = whole.select("file", F.posexplode(F.coalesce(data, problem)).alias("row_no", "row"))
-    return listed.select(F.struct("file", F.lit(0).cast("bigint").alias("block"), F.col("row_no").cast("bigint").alias("row")).alias("seq"), "row")
+    listed = whole.selectExpr("file", """posexplode(coalesce(
+        try_variant_get(doc, '$', 'array<variant>'), try_variant_get(doc, '$.data', 'array<variant>'),
+        CAST(raise_error('Unsupported JSON shape: expected a list of rows') AS ARRAY<VARIANT>))) AS (place, row)""")
+    return listed.selectExpr("struct(file, 0L AS block, CAST(place AS BIGINT) AS row) AS seq", "row")
 
 
 def read_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
