@@ -227,7 +227,7 @@ def clean(pairs: DataFrame, facts: DataFrame, drop_severities: tuple[str, ...] =
           drop_copies: bool = True, order: str = "seq") -> DataFrame:
     """The pairs that stay; the wide rows move once, by the unique order column."""
     kept = clean_order(facts, drop_severities, drop_copies, order)
-    return pairs.join(kept.hint("shuffle_hash"), order, "left_semi")
+    return pairs.join(kept, order, "left_semi")
 
 
 def quality_gate(facts: DataFrame, fail_on: str = "never") -> DataFrame:

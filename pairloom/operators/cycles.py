@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from pairloom.functions.stats import ratio
 from pairloom.operators.evaluate import judgment_metrics
@@ -14,11 +14,19 @@ HIGH_FROM, MEDIUM_FROM = 70, 40
 
 
 def failure_seeds(pairs: DataFrame, judgments: DataFrame, n: int = FAILURE_SEEDS, order: str = "seq") -> DataFrame:
-    """The instructions of the first n failed judgments whose pair has one: (seq, seed)."""
-    failed = judgments.filter(~F.col("passed")).select("pair_id", F.col(order).alias("_at"))
-    first = pairs.groupBy(F.col("id").alias("pair_id")).agg(F.min_by("instruction", order).alias("seed"))
-    found = failed.join(first, "pair_id").filter("seed != ''")
-    return found.orderBy("_at").limit(n).select(F.col("_at").alias("seq"), "seed")
+    """The instructions of the first n failed judgments whose pair has one: (seq, seed).
+
+    Only ids and places are joined. No more than n judgments of one pair can be among the
+    first n, so the others go before the shuffle; the texts are read for the n rows found.
+    """
+    in_pair = Window.partitionBy("pair_id").orderBy("_at")
+    failed = judgments.filter(~F.col("passed")).select("pair_id", F.col(order).alias("_at")) \
+        .withColumn("_nth", F.row_number().over(in_pair)).filter(F.col("_nth") <= n).drop("_nth")
+    first = pairs.groupBy(F.col("id").alias("pair_id")).agg(
+        F.min(order).alias("_pair"), F.min_by(F.col("instruction") != "", order).alias("_said"))
+    found = failed.join(first.filter("_said"), "pair_id").orderBy("_at").limit(n)
+    texts = pairs.select(F.col(order).alias("_pair"), F.col("instruction").alias("seed"))
+    return texts.join(F.broadcast(found), "_pair").select(F.col("_at").alias("seq"), "seed")   # n rows
 
 
 def next_seeds(base: DataFrame, failures: DataFrame | None) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.functions.predicates import predicate
-from pairloom.operators.judge import flag_passed
+from pairloom.functions.rows import quoted
 from pairloom.operators.labels import context
 from pairloom.operators.ordering import cut_values, shuffle_key
 
@@ -48,10 +48,10 @@ def _assign(pairs: DataFrame, names: list[str], sizes: list[Callable[[Column], C
     keys = pairs.select(key.alias("key"))
     upto = [lambda n, i=i: _sum([s(n) for s in sizes[: i + 1]]) for i in range(len(sizes))]
     cuts = cut_values(stage(keys) if stage else keys, upto).scalar()
-    split = F.lit(names[-1])
-    for i in reversed(range(len(sizes))):
-        split = F.when(key <= cuts[i], names[i]).otherwise(split)
-    return pairs.withColumn("split", split)
+    branches = " ".join(f"WHEN _key <= _cuts[{i}] THEN {quoted(names[i])}" for i in range(len(sizes)))
+    # The key and the cuts are columns of their own, so that each is computed once.
+    marked = pairs.select("*", key.alias("_key"), cuts.alias("_cuts"))
+    return marked.select(*pairs.columns, F.expr(f"CASE {branches} ELSE {quoted(names[-1])} END AS split"))
 
 
 def _sum(columns: list[Column]) -> Column:
@@ -95,6 +95,7 @@ def export(pairs: DataFrame, where: Column | str | None = None, judgments: DataF
 
 def training_set(pairs: DataFrame, judgments: DataFrame, cycle_id: int | None = None, order: str = "seq") -> DataFrame:
     """The passing pairs, marked as the train split of their cycle."""
-    passing = flag_passed(pairs, judgments, order).filter("passed").drop("passed")
+    last = judgments.groupBy("pair_id").agg(F.max_by("passed", order).alias("passed"))
+    passing = pairs.join(last.filter("passed").select(F.col("pair_id").alias("id")), "id", "left_semi")
     marked = passing.withColumn("split", F.lit("train"))
     return marked if cycle_id is None else marked.withColumn("cycle_id", F.lit(cycle_id))

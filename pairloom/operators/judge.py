@@ -109,13 +109,13 @@ def judge(pairs: DataFrame, scorer: Scorer, rubric: Rubric = BUILTIN, limits: di
           tag: str | None = None, model: str = "", judged_at: str | None = None, order: str = "seq") -> DataFrame:
     """Ask the scorer about every pair and parse what it answers; no answer is a failure row.
 
-    A scorer adds the column ``response`` to the requests. One that returns only
-    (pair_id, response) is joined back.
+    A scorer adds the column ``response`` to the requests and returns every one of them,
+    with NULL where it has no answer.
     """
-    requests = judge_requests(pairs, rubric, order)
-    answers = scorer(requests)
-    if order not in answers.columns:
-        answers = requests.select(order, "pair_id").join(answers.select("pair_id", "response"), "pair_id", "left")
+    answers = scorer(judge_requests(pairs, rubric, order))
+    missing = {order, "pair_id", "response"} - set(answers.columns)
+    if missing:
+        raise ValueError(f"the scorer lost the columns {sorted(missing)}")
     return verdicts(answers.select(order, "pair_id", "response"), rubric, limits, tag, model, judged_at)
 
 

@@ -17,18 +17,22 @@ def first_wins(rows: DataFrame, key: Column | str, order: str = "seq") -> DataFr
     """The first row of each key.
 
     Only (key, order) is aggregated, so a hot key shrinks to one row per map task. The
-    wide rows then move once, by the unique order column, which cannot be skewed; hashing
-    the narrow side spares sorting the wide one.
+    wide rows then move once, by the unique order column, which cannot be skewed. The
+    adaptive planner hashes the narrow side where every part of it is small enough
+    (``session.SETTINGS``), which spares sorting the wide one; else the join sorts and spills.
     """
     key = F.col(key) if isinstance(key, str) else key
     firsts = rows.groupBy(key.alias("_key")).agg(F.min(order).alias(order)).select(order)
-    return rows.join(firsts.hint("shuffle_hash"), order, "left_semi")
+    return rows.join(firsts, order, "left_semi")
 
 
 def last_wins(rows: DataFrame, key: str, order: str = "seq") -> DataFrame:
-    """The last row of each key, for narrow rows: one shuffle, combined before it."""
-    latest = rows.groupBy(key).agg(F.max_by(F.struct(*rows.columns), order).alias("_row"))
-    return latest.select("_row.*")
+    """The last row of each key, for narrow rows: one shuffle, combined before it.
+
+    Each column is picked on its own, so columns that nobody reads are not even scanned.
+    """
+    last = {c: F.max_by(c, order) for c in rows.columns if c not in (key, order)} | {order: F.max(order)}
+    return rows.groupBy(key).agg(*[a.alias(c) for c, a in last.items()]).select(*rows.columns)
 
 
 def first_rows(rows: DataFrame, n: int, order: str = "seq") -> DataFrame:

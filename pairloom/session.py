@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
+    # A shuffled join hashes a side whose every partition turned out to be at most this large.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     # Repeated keys in a JSON object: the last one wins.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
