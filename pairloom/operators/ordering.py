@@ -36,7 +36,10 @@ def last_wins(rows: DataFrame, key: str, order: str = "seq") -> DataFrame:
 
 
 def first_rows(rows: DataFrame, n: int, order: str = "seq") -> DataFrame:
-    """The first n rows. Only the order column is ranked; whole rows are filtered in place."""
+    """The first n rows. Only the order column is ranked; whole rows are filtered in place.
+
+    The n smallest order values meet in one task, so n is a preview or trial size, not a share of the data.
+    """
     if n <= 0:
         return rows.filter(F.lit(False))
     head = rows.select(order).orderBy(order).limit(n)

@@ -28,7 +28,6 @@ def local_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
@@ -38,19 +37,19 @@ def local_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for intermediate tables, as named by ``spark.checkpoint.dir``.
+    """The folder for intermediate tables: ``spark.checkpoint.dir``, else the context's checkpoint folder.
 
     Only a local-mode session may fall back to a folder of its own: on a cluster a
     machine-local folder is invisible to the other machines and lost with its machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    return context.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -5,14 +5,13 @@ from __future__ import annotations
 import os
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from pairloom.functions.text import canonical_id, iso_timestamp, text
 from pairloom.functions.verdict import tier
 from pairloom.operators.ingest import canonical_pairs, tolerant_pairs
 from pairloom.operators.judge import fill_scores
-from pairloom.operators.labels import invalid_labels
-from pairloom.schemas import JUDGMENT, LABEL, PAIR
+from pairloom.schemas import JUDGMENT, LABEL, PAIR, STATUSES
 from pairloom.sources.readers import file_order, read_jsonl
 
 # The columns of a CSV export and the timestamp text of stored records.
@@ -120,12 +119,19 @@ def write_pairs(pairs: DataFrame, path: str, fmt: str = "jsonl") -> None:
 
 
 def append_labels(labels: DataFrame, path: str) -> int:
-    """Append to the label log; an unknown status is an error and nothing is written."""
-    bad = invalid_labels(labels).select("status").first()
-    if bad is not None:
-        raise ValueError(f"Invalid status: {bad.status}")
-    labels.write.mode("append").parquet(path)
-    return labels.count()
+    """Append to the label log and return how many. An unknown status is an error: the write
+    fails as a whole and leaves nothing behind. Rows are checked and counted as they are written."""
+    seen = Observation()
+    known = F.when(F.col("status").isin(STATUSES), F.col("status"))
+    problem = F.raise_error(F.concat(F.lit("Invalid status: "), text("status"))).cast("string")
+    checked = labels.withColumn("status", F.coalesce(known, problem)).observe(seen, F.count(F.lit(1)).alias("n"))
+    try:
+        checked.write.mode("append").parquet(path)
+    except Exception as e:
+        if "Invalid status: " in str(e):
+            raise ValueError(str(e)[str(e).index("Invalid status: "):].splitlines()[0]) from None
+        raise
+    return seen.get["n"]
 
 
 class DatasetStore:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.verdict import thresholds
 from pairloom.operators import compare, evaluate, generate, judge, labels
+from pairloom.session import new_folder
+from pairloom.sources.store import append_labels
 from pairloom.operators.export import check_ratios, export, filter_pairs, parse_split, ratio_split, split_sizes, train_test_split
 
 GOOD = {"coherence": 8.0, "accuracy": 8, "helpfulness": 8, "overall": 8.0, "passed": True, "reasoning": "fine"}
@@ -176,6 +178,14 @@ def test_latest_and_resume(labels_of):
     assert sorted(r.pair_id for r in labels.resume_labels(new, latest).collect()) == ["y", "z"]
 
 
+def test_appending_labels(spark, labels_of):
+    path = new_folder(spark, "log")
+    assert append_labels(labels_of([("x", "approved"), ("y", "skipped")]), path) == 2
+    with pytest.raises(ValueError, match="Invalid status: great"):
+        append_labels(labels_of([("z", "approved"), ("z", "great")]), path)
+    assert spark.read.parquet(path).count() == 2
+
+
 def test_review_queue(pairs_of, judgments_of, labels_of):
     pairs = pairs_of([("a", "1", "x" * 700), ("b", "2", "y")])
     row = labels.review_queue(pairs, judgments_of([("a", True, 7.25, "t", "r" * 200)]), labels_of([("b", "approved")])).collect()

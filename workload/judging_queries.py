@@ -8,7 +8,8 @@ from pairloom.functions import predicates as P
 from pairloom.functions.verdict import thresholds
 from pairloom.operators import checks, compare, evaluate, export, ingest, judge, labels, profile
 from pairloom.schemas import CRITERIA
-from pairloom.session import stage
+from pairloom.session import new_folder, stage
+from pairloom.sources.store import DatasetStore, append_labels, judgment_records, load_judgments
 from workload import inputs as I
 from workload.registry import query, r6, scores6
 from workload.sqltext import (CONTEXT, COUNTS, DIRTY, DOCS, LABEL_LOG, LABELS, LAST, LOG, NAMES, RESPONSES, RUN_A, RUN_B,
@@ -222,6 +223,39 @@ def review_queue(spark, sf):
     return queue.select("seq", "instruction", "output", "overall", "passed", "reasoning")
 
 
+# ----- stored runs and labels -----
+
+@query("A9 A12", f"""WITH {LOG} SELECT tag, count(*) AS n, count(*) FILTER (passed) AS passed, round(avg(overall), 6) AS avg_overall FROM jlog GROUP BY tag""")
+def judgment_sets(spark, sf):
+    """Two runs written to the store, read back together with their tags."""
+    kept = DatasetStore(spark, new_folder(spark, "store"))
+    for tag, run in (("a", I.judge_a(spark, sf)), ("b", I.judge_b(spark, sf))):
+        kept.put(run, "judgments", dataset="docs", tag=tag)
+    runs = kept.get("judgments", dataset="docs")
+    return runs.groupBy("tag").agg(F.count(F.lit(1)).alias("n"), F.count_if("passed").alias("passed"), r6(F.avg("scores.overall"), "avg_overall"))
+
+
+@query("A8 A16 B10 B11", f"WITH {RUN_A} SELECT pair_id, {_S6}, passed, reasoning, 'default' AS rubric FROM ja")
+def stored_judgments(spark, sf):
+    """A run as JSON records, read back."""
+    path = new_folder(spark, "records")
+    judgment_records(I.judge_a(spark, sf)).write.text(path)
+    back = load_judgments(spark, path)
+    return _flat(back, F.col("judgment_reasoning").alias("reasoning"), F.col("rubric.name").alias("rubric"))
+
+
+@query("A10 F4", f"""WITH {LAST}, {LABELS}, auto AS ({_AUTO}), logged AS (
+  SELECT pair_id, status, tag, 0 AS step FROM lab UNION ALL SELECT pair_id, status, tag, 1 FROM auto WHERE status <> 'needs_edit')
+SELECT pair_id, status, tag FROM logged QUALIFY row_number() OVER (PARTITION BY pair_id ORDER BY step DESC) = 1""")
+def appended_labels(spark, sf):
+    """Labels, then decided automatic labels, appended to one log; the later ones win."""
+    path = new_folder(spark, "labels")
+    append_labels(I.label_docs(spark, sf), path)
+    auto = labels.auto_label(judge.latest_judgments(I.judge_log(spark, sf))).filter("status <> 'needs_edit'")
+    append_labels(auto.withColumn("seq", F.col("seq") + 10 * I.COPY_OFFSET), path)
+    return labels.latest_labels(spark.read.parquet(path)).select("pair_id", "status", "tag")
+
+
 # ----- comparison -----
 
 _BOTH = f"""{LOG}, both_runs AS (SELECT a.pair_id, a.passed AS ap, b.passed AS bp, a.overall AS ao, b.overall AS bo
