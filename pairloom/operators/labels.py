@@ -32,34 +32,46 @@ def latest_labels(log: DataFrame, order: str = "seq") -> DataFrame:
     return last_wins(readable, "pair_id", order)
 
 
+# What a context and a review show of a judgment.
+JUDGED = {"scores": "struct<coherence:double,accuracy:double,helpfulness:double,overall:double>", "passed": "boolean", "judge_model": "string"}
+REVIEWED = {"scores": JUDGED["scores"], "passed": "boolean", "judgment_reasoning": "string"}
+
+
+def _opinions(judgments: DataFrame | None, labels: DataFrame | None, fields: dict[str, str]) -> DataFrame | None:
+    """Judgments and labels side by side: id, _judgment, _label. Both have one row per pair_id."""
+    sides = []
+    if judgments is not None:
+        sides.append(judgments.selectExpr("pair_id AS id", f"struct({', '.join(fields)}) AS _judgment"))
+    if labels is not None:
+        sides.append(labels.selectExpr("pair_id AS id", "struct(status, tag, note) AS _label"))
+    if len(sides) == 2:
+        return sides[0].join(sides[1], "id", "full_outer")
+    return sides[0] if sides else None
+
+
+def _with_opinions(pairs: DataFrame, judgments: DataFrame | None, labels: DataFrame | None, fields: dict[str, str]) -> DataFrame:
+    """Pairs with ``_judgment`` and ``_label``, NULL where there is none.
+
+    The narrow sides meet first, so the pairs take part in a single join, which the adaptive
+    planner can split when many rows share an id.
+    """
+    opinions = _opinions(judgments, labels, fields)
+    out = pairs if opinions is None else pairs.join(opinions, "id", "left")
+    judged = ",".join(f"{n}:{t}" for n, t in fields.items())
+    absent = {"_judgment": f"struct<{judged}>", "_label": "struct<status:string,tag:string,note:string>"}
+    return out.withColumns({c: F.lit(None).cast(t) for c, t in absent.items() if c not in out.columns})
+
+
 def context(pairs: DataFrame, judgments: DataFrame | None = None, labels: DataFrame | None = None) -> DataFrame:
     """Pairs with their judgment and label, for predicates.
 
     ``judgments`` and ``labels`` have one row per pair_id. Missing judgments read as zero
-    scores, not passed and no model; missing labels as NULL fields. All joins share the
-    key ``id``, so the pairs are shuffled once.
+    scores, not passed and no model; missing labels as NULL fields.
     """
-    out = pairs
-    if judgments is not None:
-        j = judgments.select(F.col("pair_id").alias("id"), F.col("scores").alias("_scores"),
-                             F.col("passed").alias("_passed"), F.col("judge_model").alias("_model"))
-        out = out.join(j, "id", "left")
-    else:
-        out = out.withColumns({"_scores": F.lit(None).cast("struct<coherence:double,accuracy:double,helpfulness:double,overall:double>"),
-                               "_passed": F.lit(False), "_model": F.lit(None).cast("string")})
-    if labels is not None:
-        lab = labels.select(F.col("pair_id").alias("id"), F.struct("status", "tag", "note").alias("_label"))
-        out = out.join(lab, "id", "left")
-    else:
-        out = out.withColumn("_label", F.lit(None).cast("struct<status:string,tag:string,note:string>"))
-    label = F.col("_label")
-    return out.select(
-        *pairs.columns,
-        F.struct(*[F.coalesce(F.col(f"_scores.{n}"), F.lit(0.0)).alias(n) for n in CRITERIA]).alias("scores"),
-        F.coalesce("_passed", F.lit(False)).alias("passed"),
-        F.col("_model").alias("judge_model"),
-        F.struct(*[label[n].alias(n) for n in ("status", "tag", "note")]).alias("label"),
-    )
+    scores = ", ".join(f"coalesce(_judgment.scores.{n}, 0D) AS {n}" for n in CRITERIA)
+    return _with_opinions(pairs, judgments, labels, JUDGED).selectExpr(
+        *[f"`{c}`" for c in pairs.columns], f"struct({scores}) AS scores", "coalesce(_judgment.passed, false) AS passed",
+        "_judgment.judge_model AS judge_model", "struct(_label.status AS status, _label.tag AS tag, _label.note AS note) AS label")
 
 
 def bulk_label(pairs: DataFrame, where: Column | str, status: str, judgments: DataFrame | None = None,
@@ -99,14 +111,8 @@ def resume_labels(new: DataFrame, current: DataFrame) -> DataFrame:
 def review_queue(pairs: DataFrame, judgments: DataFrame | None = None, labels: DataFrame | None = None,
                  resume: bool = True, order: str = "seq") -> DataFrame:
     """What a reviewer sees, in ``order``: the pairs without a label, texts cut for display."""
-    waiting = pairs.select(order, "id", "instruction", first_chars("output", REVIEW_OUTPUT_CHARS).alias("output"))
-    if resume and labels is not None:
-        waiting = waiting.join(labels.select(F.col("pair_id").alias("id")), "id", "left_anti")
-    if judgments is None:
-        extra = {"overall": F.lit(None).cast("string"), "passed": F.lit(None).cast("boolean"), "reasoning": F.lit(None).cast("string")}
-        return waiting.withColumns(extra)
-    seen = judgments.select(
-        F.col("pair_id").alias("id"), one_decimal("scores.overall").alias("overall"), "passed",
-        first_chars("judgment_reasoning", REVIEW_REASONING_CHARS).alias("reasoning"),
-    )
-    return waiting.join(seen, "id", "left")
+    shown = pairs.select(order, "id", "instruction", first_chars("output", REVIEW_OUTPUT_CHARS).alias("output"))
+    waiting = _with_opinions(shown, judgments, labels if resume else None, REVIEWED).filter("_label IS NULL")
+    return waiting.select(
+        order, "id", "instruction", "output", one_decimal("_judgment.scores.overall").alias("overall"),
+        F.col("_judgment.passed").alias("passed"), first_chars("_judgment.judgment_reasoning", REVIEW_REASONING_CHARS).alias("reasoning"))
