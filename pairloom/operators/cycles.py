@@ -40,20 +40,16 @@ def next_seeds(base: DataFrame, failures: DataFrame | None) -> DataFrame:
     return base.select("seq", "seed").unionByName(after)
 
 
-def flag_cycle_pairs(pairs: DataFrame, judgments: DataFrame, order: str = "seq") -> DataFrame:
-    """(cycle_id, passed) per pair, by the last judgment of the pair in its cycle."""
-    last = judgments.groupBy("cycle_id", F.col("pair_id").alias("id")).agg(F.max_by("passed", order).alias("passed"))
-    return pairs.select("cycle_id", "id").join(last, ["cycle_id", "id"], "left") \
-        .select("cycle_id", F.coalesce("passed", F.lit(False)).alias("passed"))
-
-
 def cycle_metrics(pairs: DataFrame, judgments: DataFrame, order: str = "seq") -> DataFrame:
     """One row per cycle: generated, passed, failed, pass_rate, avg_quality and the mean of each score.
 
-    Pairs and judgments are aggregated on their own before they meet, so neither multiplies the other.
+    A pair has passed when its last judgment in the cycle has. Pairs are counted per id before they
+    meet the judgments, so an id with many rows is one row, and neither side multiplies the other.
     """
-    n, ok = F.count(F.lit(1)), F.count_if("passed")
-    made = flag_cycle_pairs(pairs, judgments, order).groupBy("cycle_id").agg(
+    last = judgments.groupBy("cycle_id", F.col("pair_id").alias("id")).agg(F.max_by("passed", order).alias("ok"))
+    ids = pairs.groupBy("cycle_id", "id").agg(F.count(F.lit(1)).alias("n"))
+    n, ok = F.sum("n"), F.sum(F.when(F.col("ok"), F.col("n")).otherwise(0))
+    made = ids.join(last, ["cycle_id", "id"], "left").groupBy("cycle_id").agg(
         n.alias("generated"), ok.alias("passed"), (n - ok).alias("failed"), ratio(ok, n).alias("pass_rate"))
     judged = judgment_metrics(judgments, ["cycle_id"]).drop("total", "passed", "failed", "pass_rate")
     both = made.join(judged, "cycle_id", "full_outer")

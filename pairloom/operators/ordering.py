@@ -5,6 +5,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # A key with more rows than this is split over several tasks in ``join_groups``.
@@ -70,7 +72,7 @@ def shuffle_key(seed: int | str, id_col: str = "id", order: str = "seq") -> Colu
     return F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string"), F.col(order).cast("string")), 256)
 
 
-def cut_values(keys: DataFrame, cuts: list, total: Column | None = None) -> DataFrame:
+def cut_values(keys: DataFrame, cuts: list[Callable[[Column], Column]]) -> DataFrame:
     """One row with the map ``cuts``: i -> the key at the i-th cut rank (1-based).
 
     ``keys`` has one column ``key`` of evenly spread hex text; each cut is a function from

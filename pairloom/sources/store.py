@@ -134,6 +134,9 @@ def append_labels(labels: DataFrame, path: str) -> int:
     return seen.get["n"]
 
 
+TEXT_PARTS = ("dataset", "tag", "run")
+
+
 class DatasetStore:
     """Parquet artefacts under one shared folder:
 
@@ -157,8 +160,14 @@ class DatasetStore:
         return self.spark.read.schema(out.schema).parquet(path).select("*", *values)
 
     def get(self, kind: str, **parts) -> DataFrame:
-        """One partition, with its partition values as columns."""
-        return self.spark.read.option("basePath", self.path(kind)).parquet(self.path(kind, **parts))
+        """One partition, with its partition values as columns. Names stay text even if they look like numbers or dates."""
+        read = lambda reader: reader.option("basePath", self.path(kind)).parquet(self.path(kind, **parts))
+        df = read(self.spark.read)
+        named = {f.name: f.dataType for f in df.schema if f.name in TEXT_PARTS}
+        if all(isinstance(t, T.StringType) for t in named.values()):
+            return df
+        fields = [T.StructField(f.name, T.StringType()) if f.name in named else f for f in df.schema]
+        return read(self.spark.read.schema(T.StructType(fields)))
 
     def find(self, kind: str, **parts) -> DataFrame | None:
         """Like ``get``, None when it was never written."""

@@ -183,6 +183,21 @@ def test_row_checks_read_each_text_once(spark):
     assert text.count("FileScan") == 1 and "Exchange" not in text
 
 
+def test_number_like_names_stay_text(spark):
+    store = DatasetStore(spark, new_folder(spark, "names"))
+    store.put(spark.range(3).selectExpr("id AS seq"), "judgments", dataset="007", tag="2024-01-01")
+    assert {(r.dataset, r.tag) for r in store.get("judgments").collect()} == {("007", "2024-01-01")}
+    assert store.get("judgments", dataset="007").count() == 3 and store.find("labels", dataset="007") is None
+
+
+def test_hot_ids_count_fully(spark):
+    pairs = spark.range(300).selectExpr("id AS seq", "1 AS cycle_id", "CASE WHEN id < 100 THEN 'h' ELSE CAST(id AS STRING) END AS id")
+    js = spark.createDataFrame([(0, 1, "h", False), (1, 1, "h", True), (2, 1, "200", True)], "seq bigint, cycle_id int, pair_id string, passed boolean") \
+        .selectExpr("*", "struct(1D AS coherence, 1D AS accuracy, 1D AS helpfulness, 1D AS overall) AS scores")
+    m = cycles.cycle_metrics(pairs, js).first()
+    assert (m.generated, m.passed, m.failed) == (300, 101, 199)
+
+
 def test_tag_filter_prunes_partitions(spark):
     store = DatasetStore(spark, new_folder(spark, "prune"))
     for tag in ("a", "b"):
