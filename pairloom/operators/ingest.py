@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from pairloom.functions import variants as V
@@ -88,10 +90,16 @@ def drop_exact_copies(pairs: DataFrame, order: str = "seq") -> DataFrame:
 
 
 def ingest(raw: DataFrame, mapping: dict[str, str] | None = None, tag: str | None = None,
-           limit: int | None = None, created_at: str | None = None, order: str = "seq") -> DataFrame:
-    """Raw rows to the stored dataset. The limit counts raw rows, before anything is dropped."""
+           limit: int | None = None, created_at: str | None = None, order: str = "seq",
+           stage: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Raw rows to the stored dataset. The limit counts raw rows, before anything is dropped.
+
+    Finding the first copies reads the rows twice. With ``stage`` they are parsed once, and the
+    first reading takes only ids and places from the staged table; worth it for text sources.
+    """
     rows = raw if limit is None else first_rows(raw, limit, order)
-    return drop_exact_copies(drop_empty(normalize_rows(rows, mapping, tag, created_at, order)), order)
+    pairs = drop_empty(normalize_rows(rows, mapping, tag, created_at, order))
+    return drop_exact_copies(stage(pairs) if stage else pairs, order)
 
 
 def fingerprint(pairs: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pairloom.functions.rows import quoted
 from pairloom.functions.text import UNIT
@@ -227,7 +228,10 @@ def rule_scorer(requests: DataFrame) -> DataFrame:
     return requests.withColumn("response", F.expr(response))
 
 
-def python_scorer(answer: Callable[[list[str], float | None], list[str | None]], tasks: int | None = None) -> Scorer:
+Answer = Callable[[list[str], float | None], list[str | None]]
+
+
+def python_scorer(answer: Answer, tasks: int | None = None) -> Scorer:
     """A scorer from a Python function: a batch of prompts in, as many response texts (or None) out.
 
     Runs in every task over Arrow batches; the number of requests in flight is the number
@@ -235,31 +239,29 @@ def python_scorer(answer: Callable[[list[str], float | None], list[str | None]],
     """
 
     def score(requests: DataFrame) -> DataFrame:
-        order = [c for c in requests.columns if c not in ("pair_id", "prompt", "temperature")]
-        spread = requests.repartition(tasks) if tasks else requests
-        kept = ", ".join(f"`{c}` {requests.schema[c].dataType.simpleString()}" for c in order)
-        schema = f"{kept + ', ' if kept else ''}pair_id string, response string"
+        keep = [c for c in requests.columns if c not in ("prompt", "temperature")]
+        schema = T.StructType([*(requests.schema[c] for c in keep), T.StructField("response", T.StringType())])
 
-        def run(batches: Iterator) -> Iterator:
-            for pdf in batches:
-                temperature = None if pdf.empty else pdf["temperature"].iloc[0]
-                out = pdf[[*order, "pair_id"]].copy()
-                out["response"] = _answers(answer, list(pdf["prompt"]), temperature)
-                yield out
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    temperature = batch.column("temperature")[0].as_py()
+                    texts = _answers(answer, batch.column("prompt").to_pylist(), temperature)
+                    columns = [*(batch.column(c) for c in keep), pa.array(texts, pa.string())]
+                    yield pa.RecordBatch.from_arrays(columns, names=[*keep, "response"])
 
-        return spread.mapInPandas(run, schema)
+        spread = requests.repartition(tasks) if tasks else requests
+        return spread.mapInArrow(run, schema)
 
     return score
 
 
-def _answers(answer, prompts: list[str], temperature) -> list[str | None]:
+def _answers(answer: Answer, prompts: list[str], temperature: float | None) -> list[str | None]:
+    """The answers to a batch; when the batch fails, those of its prompts one by one."""
     try:
-        return list(answer(prompts, temperature))
+        texts = list(answer(prompts, temperature))
     except Exception:
-        one_by_one = []
-        for p in prompts:
-            try:
-                one_by_one.extend(answer([p], temperature))
-            except Exception:
-                one_by_one.append(None)
-        return one_by_one
+        texts = []
+    if len(texts) == len(prompts):
+        return texts
+    return [None] if len(prompts) == 1 else [_answers(answer, [p], temperature)[0] for p in prompts]

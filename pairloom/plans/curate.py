@@ -14,6 +14,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from pairloom.operators import checks, compare, evaluate, export, ingest, judge, labels, profile
+from pairloom.session import stage
 from pairloom.sources.readers import read_rows, source_kind
 from pairloom.sources.store import DatasetStore, write_pairs
 
@@ -57,7 +58,8 @@ def step_ingest(job: Job, spec: dict) -> DataFrame:
         kind = source_kind(source, spec.get("format", "auto"))
     if spec.get("dry_run"):
         return ingest.preview(raw)
-    pairs = ingest.ingest(raw, spec.get("map"), spec.get("tag"), spec.get("limit"), job.now)
+    once = stage if kind != "table" else None   # parse text sources once
+    pairs = ingest.ingest(raw, spec.get("map"), spec.get("tag"), spec.get("limit"), job.now, stage=once)
     stored = job.store.put(pairs, "pairs", dataset=job.dataset)
     meta = ingest.dataset_meta(stored, job.dataset, kind, spec.get("tag"), spec.get("map"), job.now)
     return evaluate.list_datasets(job.store.put(meta, "meta", dataset=job.dataset))

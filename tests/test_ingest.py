@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pairloom.operators import ingest
 from pairloom.operators.ordering import first_rows, first_wins, join_groups, last_wins
-from pairloom.session import new_folder
+from pairloom.session import new_folder, stage
 from pairloom.sources import readers, store
 
 
@@ -50,6 +50,7 @@ def test_three_formats_give_the_same_pairs(spark, tmp_path):
     want = [(r["prompt"], r["completion"], str(uuid.uuid5(uuid.NAMESPACE_URL, f"sdf::{r['prompt']}::{r['completion']}"))) for r in rows]
     for path in (jsonl, listed, nested, csv):
         assert got(ingest.ingest(readers.read_rows(spark, path)), "instruction", "output", "id") == want
+        assert got(ingest.ingest(readers.read_rows(spark, path), stage=stage), "instruction", "output", "id") == want
 
 
 def test_csv_keeps_empty_cells_and_spaces(spark, tmp_path):

@@ -97,9 +97,13 @@ def test_scorer_hook_survives_errors(pairs_of):
             raise RuntimeError("no")
         return [json.dumps(GOOD) for _ in prompts]
 
-    pairs = pairs_of([(1, "fine", "x"), (2, "boom", "x"), (3, "ok", "y")])
+    pairs = pairs_of([(1, "fine", "x"), (2, "boom", "x"), (3, "ok", "y")]).withColumn("seq", F.struct(F.lit("f").alias("file"), "seq"))
     rows = {r.pair_id: (r.passed, r.judgment_reasoning) for r in judge.judge(pairs, judge.python_scorer(answer, tasks=2)).collect()}
     assert rows == {"1": (True, "fine"), "2": (False, "Judgment failed: no response"), "3": (True, "fine")}
+    short = judge.judge(pairs, judge.python_scorer(lambda prompts, temperature: [], tasks=1))
+    assert {r.judgment_reasoning for r in short.collect()} == {"Judgment failed: no response"}
+    with pytest.raises(ValueError, match="lost"):
+        judge.judge(pairs, lambda requests: requests.select("pair_id"))
 
 
 def test_cache(spark, pairs_of):
