@@ -9,7 +9,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import SparkSession
 
 U64 = np.uint64
 SLICE_BYTES = 4 << 20
@@ -24,11 +23,6 @@ _BYTES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint
 _powers = {}
 
 
-def bounded_batches(spark: SparkSession, megabytes: int = 16) -> None:
-    """Let no Arrow batch to Python hold much more than so many bytes, whatever the texts' lengths."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
-
-
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """B**i and B**-i modulo 2**64 for i < n."""
     if len(_powers.get("up", ())) < n:

@@ -14,7 +14,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from pairloom.llm import vocab
-from pairloom.llm.blocks import bounded_batches, column_bytes, slices
+from pairloom.llm.blocks import column_bytes, slices
+from pairloom.llm.ship import prepare
 
 ORC_OPTIONS = {
     "compression": "zstd", "orc.stripe.size": str(32 << 20), "orc.row.index.stride": "1000",
@@ -31,7 +32,7 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2,
     Rows with equal ids are documents of their own, ordered by a hash of the text; a null id comes
     first; a null or empty text has the end id alone; an empty table gives an empty file; other columns are ignored.
     """
-    bounded_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
     ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")

@@ -15,7 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from pairloom.llm import vocab
-from pairloom.llm.blocks import bounded_batches, column_bytes, slices
+from pairloom.llm.blocks import column_bytes, slices
+from pairloom.llm.ship import prepare
 
 
 def piece_lengths(tokens: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
@@ -42,7 +43,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, longest: int = 2048,
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("longest must be a power of two")
-    bounded_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([
         T.StructField("id", rows.schema["id"].dataType), T.StructField("start", T.LongType()),

@@ -10,7 +10,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import orctokens, packing, tokencount
+from pairloom.llm import archives, decontaminate, orctokens, packing, substrings, tokencount
 from pairloom.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,31 @@ def op5_orc_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_merged_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document."""
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op3_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through ARC files of both versions into WARC files and back."""
+    arc, warc = new_folder(spark, "arc"), new_folder(spark, "warc")
+    archives.write_arc(table(spark, sf_dir, "pages"), arc)
+    archives.convert(spark, arc, warc)
+    return archives.read_warc(spark, warc).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hit words and occurring items of every document."""
+    found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words kept of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = substrings.remove_repeats(docs)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))

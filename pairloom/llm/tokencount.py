@@ -14,9 +14,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from pairloom.llm.blocks import bounded_batches, column_bytes, slices, sums
+from pairloom.llm.blocks import column_bytes, slices, sums
 from pairloom.llm.piececache import PieceCache
 from pairloom.llm.vocab import blank_led
+from pairloom.llm.ship import prepare
 
 NEVER = np.iinfo(np.int32).max
 BLANK = 0x2581
@@ -175,7 +176,7 @@ def count_tokens(docs: DataFrame, model: str, limit: int = 4096, id_col: str = "
     Null and empty texts have 0 bytes and 0 tokens; equal and null ids stay rows of their own; an
     empty table gives no row; other columns are ignored. One pass without a shuffle.
     """
-    bounded_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([
         T.StructField("id", rows.schema["id"].dataType), T.StructField("n_bytes", T.LongType()),
