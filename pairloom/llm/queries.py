@@ -10,7 +10,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import archives, decontaminate, orctokens, packing, substrings, tokencount
+from pairloom.llm import archives, decontaminate, langid, orctokens, packing, quality, substrings, tokencount
 from pairloom.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,31 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     cut = substrings.remove_repeats(docs)
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def held_out():
+    """Rows whose labels nothing may learn from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def fit_quality(spark: SparkSession, sf_dir: str) -> quality.Model:
+    """The quality model of the labelled documents that are not held out."""
+    labels = table(spark, sf_dir, "labels").filter(~held_out())
+    return quality.fit(table(spark, sf_dir, "documents"), labels, label_col="quality")
+
+
+@query
+def op1_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, fit_quality(spark, sf_dir))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; beyond the calibrated limit it is marked, not hidden."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.filter(~held_out()), F.col("text"), F.col("lang"))
+    named = langid.identify(docs.select("doc_id", "text"), model, reject=False)
+    return named.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "entropy", "rejected")
