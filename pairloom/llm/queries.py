@@ -10,7 +10,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import archives, decontaminate, langid, orctokens, packing, quality, substrings, tokencount
+from pairloom.llm import archives, decontaminate, jaccard, langid, orctokens, packing, quality, substrings, tokencount
 from pairloom.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.filter(~held_out()), F.col("text"), F.col("lang"))
     named = langid.identify(docs.select("doc_id", "text"), model, reject=False)
     return named.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "entropy", "rejected")
+
+
+@query
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Similarity component of every document: four-word shingles, 0.85."""
+    found = jaccard.similarity_classes(table(spark, sf_dir, "documents"), k=4, percent=85)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")

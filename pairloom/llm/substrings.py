@@ -19,24 +19,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pairloom.llm.blocks import byte_hashes, column_bytes, slices, window_hashes, words
+from pairloom.llm.packed import pack, unpack
 from pairloom.llm.ship import prepare
 
 RESULT = ("kept", "n_words", "n_removed", "removed")
 
 
-def _pack(values: np.ndarray) -> bytes:
-    """Numbers as compressed byte planes, so that bytes that hardly change cost nothing."""
-    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
-    return len(planes).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(planes, asbytes=True)
-
-
-def _unpack(blob: bytes, kind: type) -> np.ndarray:
-    size = int.from_bytes(blob[:8], "little")
-    planes = np.frombuffer(pa.Codec("zstd").decompress(blob[8:], size, asbytes=True), np.uint8)
-    width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(planes.reshape(width, size // width).T).view(kind).ravel()
-
-
 PARTS = (("hashes", np.uint64), ("doc", np.uint32), ("place", np.uint32), ("ids", np.int64), ("keys", np.int32))
 
 
@@ -44,8 +32,8 @@ def _message(bucket: int, hashes: np.ndarray, doc: np.ndarray, place: np.ndarray
     """Windows in the order of their hashes; documents by number among those that occur."""
     used, doc = np.unique(doc, return_inverse=True)
     steps = np.diff(hashes, prepend=np.uint64(0))
-    return {"bucket": bucket, "hashes": _pack(steps), "doc": _pack(doc.astype(np.uint32)), "place": _pack(place.astype(np.uint32)),
-            "ids": _pack(ids[used]), "keys": _pack(keys[used])}
+    return {"bucket": bucket, "hashes": pack(steps), "doc": pack(doc.astype(np.uint32)), "place": pack(place.astype(np.uint32)),
+            "ids": pack(ids[used]), "keys": pack(keys[used])}
 
 
 def _batches(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
@@ -117,7 +105,7 @@ def repeated_windows(docs: DataFrame, id_: Column, key: Column, text: Column, wi
     def counted(table: pa.Table) -> pa.Table:
         whole = []
         for row in table.to_pylist():
-            parts = {name: _unpack(row[name], kind) for name, kind in PARTS}
+            parts = {name: unpack(row[name], kind) for name, kind in PARTS}
             doc = parts["doc"]
             whole.append((np.cumsum(parts["hashes"], dtype=np.uint64), parts["ids"][doc], parts["keys"][doc], parts["place"]))
         hashes, ids, keys, place = (np.concatenate(x) for x in zip(*whole))
