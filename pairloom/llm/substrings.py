@@ -4,7 +4,7 @@
    smallest document id. Occurrences in larger ids of the same batch are already known as repeats. So a
    passage that a third of all documents share leaves a batch once, whatever the number of its copies.
 2. What is kept travels by ranges of the hash, sorted and packed: about nine bytes per window. Each range
-   finds the smallest id of every hash and names the windows of larger ids.
+   finds the smallest id of every hash and sends the windows of larger ids to their documents.
 3. The windows of a document merge into maximal intervals, and their words go.
 
 Hashes have 64 bits; among n windows a false repeat is expected n * n / 2**65 times.
@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from pairloom.llm.blocks import byte_hashes, column_bytes, slices, window_hashes, words
+from pairloom.llm.blocks import byte_hashes, column_bytes, mix, slices, window_hashes, words
 from pairloom.llm.packed import pack, unpack
 from pairloom.llm.ship import prepare
 
@@ -51,8 +51,13 @@ def _by_document(ids: np.ndarray, keys: np.ndarray, place: np.ndarray) -> Iterat
         yield int(ids[a]), int(keys[a]), place[a:b].tobytes()
 
 
+def _home(ids: np.ndarray, buckets: int) -> np.ndarray:
+    """The group in which a document's windows meet."""
+    return (mix(ids.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
 def repeated_windows(docs: DataFrame, id_: Column, key: Column, text: Column, width: int, buckets: int) -> DataFrame:
-    """(id, key, places): first words of the windows that also start in a smaller id, in one or more rows a document."""
+    """(id, key, places): first words of the windows that also start in a smaller id, one row for each document."""
     rows = docs.select(id_.cast("long").alias("id"), key.alias("key"), text.alias("text")).filter("id IS NOT NULL")
     wire = pa.schema([("bucket", pa.int32()), ("hashes", pa.binary()), ("doc", pa.binary()), ("place", pa.binary()),
                       ("ids", pa.binary()), ("keys", pa.binary())])
@@ -87,7 +92,7 @@ def repeated_windows(docs: DataFrame, id_: Column, key: Column, text: Column, wi
             if not sent.all():
                 # Bucket -1 - b passes known repeats through the shuffle.
                 known = ~sent
-                target = (keys[doc[known]].astype(np.int64) % buckets + buckets) % buckets
+                target = _home(ids[doc[known]], buckets)
                 for b in np.unique(target).tolist():
                     at = np.flatnonzero(known)[target == b]
                     out.append(_message(-1 - b, np.zeros(len(at), np.uint64), doc[at], place[at], ids, keys))
@@ -100,15 +105,17 @@ def repeated_windows(docs: DataFrame, id_: Column, key: Column, text: Column, wi
             for low in range(0, len(out), 64):
                 yield _batches(out[low:low + 64], wire)
 
-    found_schema = pa.schema([("id", pa.int64()), ("key", pa.int32()), ("places", pa.binary())])
-
-    def counted(table: pa.Table) -> pa.Table:
+    def opened(table: pa.Table) -> list[np.ndarray]:
         whole = []
         for row in table.to_pylist():
             parts = {name: unpack(row[name], kind) for name, kind in PARTS}
             doc = parts["doc"]
             whole.append((np.cumsum(parts["hashes"], dtype=np.uint64), parts["ids"][doc], parts["keys"][doc], parts["place"]))
-        hashes, ids, keys, place = (np.concatenate(x) for x in zip(*whole))
+        return [np.concatenate(x) for x in zip(*whole)]
+
+    def counted(table: pa.Table) -> pa.Table:
+        """Windows of one range of hashes; those in a larger id go to the home of their document."""
+        hashes, ids, keys, place = opened(table)
         if table.column("bucket")[0].as_py() >= 0:
             order = np.lexsort((ids, hashes))
             hashes, ids, keys, place = hashes[order], ids[order], keys[order], place[order]
@@ -117,11 +124,28 @@ def repeated_windows(docs: DataFrame, id_: Column, key: Column, text: Column, wi
             least = np.repeat(ids[new], np.diff(np.append(np.flatnonzero(new), len(hashes))))
             again = ids > least
             ids, keys, place = ids[again], keys[again], place[again]
+        order = np.lexsort((place, keys, ids, home := _home(ids, buckets)))
+        ids, keys, place, home = ids[order], keys[order], place[order], home[order]
+        new = np.ones(len(ids), bool)
+        new[1:] = (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])
+        doc = np.cumsum(new) - 1
+        edges = np.searchsorted(home, np.arange(buckets + 1))
+        out = []
+        for b in np.flatnonzero(np.diff(edges)).tolist():
+            s = slice(edges[b], edges[b + 1])
+            out.append(_message(b, np.zeros(s.stop - s.start, np.uint64), doc[s], place[s], ids[new], keys[new]))
+        return pa.Table.from_pylist(out, schema=wire)
+
+    found_schema = pa.schema([("id", pa.int64()), ("key", pa.int32()), ("places", pa.binary())])
+
+    def gathered(table: pa.Table) -> pa.Table:
+        _, ids, keys, place = opened(table)
         columns = list(zip(*_by_document(ids, keys, place))) or [[], [], []]
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, found_schema)], schema=found_schema)
 
-    sent = rows.mapInArrow(hashed, "bucket int, hashes binary, doc binary, place binary, ids binary, keys binary")
-    return sent.groupBy("bucket").applyInArrow(counted, "id long, key int, places binary")
+    message = "bucket int, hashes binary, doc binary, place binary, ids binary, keys binary"
+    sent = rows.mapInArrow(hashed, message).groupBy("bucket").applyInArrow(counted, message)
+    return sent.groupBy("bucket").applyInArrow(gathered, "id long, key int, places binary")
 
 
 def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_col: str = "text",
@@ -131,22 +155,22 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
     A word goes if a window of ``width`` words that covers it also starts in a document with a smaller id; windows
     are judged on the input. ``removed`` lists the maximal intervals of such words, ``kept`` is
     the rest, joined by one blank, or the untouched text where nothing went and ``keep_unchanged`` is
-    set. ``buckets`` (default: twice the shuffle partitions) are the hash ranges; a range should fit in a task.
+    set. ``buckets`` (default: the shuffle partitions) are the hash ranges; a range should fit in a task.
 
     Null and empty texts have no words and are kept as empty text; a null id neither loses nor takes words; documents
     with equal ids do not take from each other; an empty table gives no rows. Columns of ``docs`` stay, but those named
     like a result column are replaced.
     """
     spark = docs.sparkSession
-    prepare(spark)
+    prepare(spark, 8)
     docs = docs.drop(*[c for c in RESULT if c not in (id_col, text_col)])
-    text = F.col(text_col).cast("string")
+    text = F.col(text_col)
     key, ident = F.hash(text), F.col(id_col).cast("long")
-    buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     places = repeated_windows(docs, ident, key, text, width, buckets)
-    places = places.groupBy("id", "key").agg(F.collect_list("places").alias("places"))
-    left = docs.select(F.struct(*docs.columns).alias("doc"), ident.alias("id"), key.alias("key"), text.alias("text"))
-    joined = left.join(places, ["id", "key"], "left").select("doc", "text", "places")
+    left = docs.select(F.struct(*docs.columns).alias("doc"), ident.alias("id"), key.alias("key"))
+    joined = left.join(places, ["id", "key"], "left").select("doc", "places")
+    field = docs.columns.index(text_col)
 
     spans = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
     schema = T.StructType([
@@ -158,10 +182,10 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = column_bytes(batch.column(1))
+            data, offsets = column_bytes(batch.column(0).field(field))
             body, edges = data.tobytes(), offsets.tolist()
             kept, total, gone, removed = [], [], [], []
-            for a, b, found in zip(edges, edges[1:], batch.column(2).to_pylist()):
+            for a, b, found in zip(edges, edges[1:], batch.column(1).to_pylist()):
                 raw = body[a:b]
                 some = raw.split()
                 total.append(len(some))
@@ -170,7 +194,7 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
                     gone.append(0)
                     removed.append([])
                     continue
-                at = np.frombuffer(b"".join(found), "<u4").astype(np.int64)
+                at = np.frombuffer(found, "<u4").astype(np.int64)
                 steps = np.zeros(len(some) + 1, np.int64)
                 np.add.at(steps, at, 1)
                 np.add.at(steps, at + width, -1)
