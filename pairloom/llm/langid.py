@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field as made
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +36,10 @@ class Model:
     """Sorted hashes of n-grams and contexts for each order, with a column for each language."""
 
     languages: list[str]
-    grams: list[np.ndarray] = field(default_factory=list)
-    shares: list[np.ndarray] = field(default_factory=list)
-    contexts: list[np.ndarray] = field(default_factory=list)
-    left_over: list[np.ndarray] = field(default_factory=list)
+    grams: list[np.ndarray] = made(default_factory=list)
+    shares: list[np.ndarray] = made(default_factory=list)
+    contexts: list[np.ndarray] = made(default_factory=list)
+    left_over: list[np.ndarray] = made(default_factory=list)
     limits: np.ndarray | None = None
     sharpness: float = 1.0
 
@@ -246,7 +246,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", reject: bool
     results = ("lang_pred", "score", "entropy", "rejected")
     docs = docs.drop(*[c for c in results if c != text_col])
     shared, name = spark.sparkContext.broadcast(model), uuid.uuid4().hex
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col(text_col).cast("string").alias("text"))
+    rows, field = docs.select(F.struct(*docs.columns).alias("doc")), docs.columns.index(text_col)
     schema = T.StructType([
         T.StructField("doc", rows.schema["doc"].dataType), T.StructField("lang_pred", T.StringType()),
         T.StructField("score", T.DoubleType()), T.StructField("entropy", T.DoubleType()), T.StructField("rejected", T.BooleanType()),
@@ -255,7 +255,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", reject: bool
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
         for batch in batches:
-            data, offsets = column_bytes(batch.column(1))
+            data, offsets = column_bytes(batch.column(0).field(field))
             for low, high in slices(offsets):
                 begin = offsets[low]
                 h, letters = entropies(fitted, name, data[begin:offsets[high]], offsets[low:high + 1] - begin)

@@ -109,9 +109,10 @@ def vote(vectors: np.ndarray, model: Model, block: int = 512) -> np.ndarray:
     return out
 
 
-def _features(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+def _features(batches: Iterator[pa.RecordBatch], field: int | None = None) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Slices of batches and the counts of their texts: the first column, or a field of it."""
     for batch in batches:
-        data, offsets = column_bytes(batch.column(column))
+        data, offsets = column_bytes(batch.column(0) if field is None else batch.column(0).field(field))
         for low, high in slices(offsets, SLICE):
             begin = offsets[low]
             yield batch.slice(low, high - low), counts(data[begin:offsets[high]], offsets[low:high + 1] - begin)
@@ -136,7 +137,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = texts.join(F.broadcast(known), "id").select("text", "label")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, found in _features(batches, 0):
+        for batch, found in _features(batches):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r.tobytes() for r in found], pa.binary()), batch.column(1)], names=["counts", "label"])
 
@@ -161,13 +162,13 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "sc
     prepare(spark)
     docs = docs.drop(name) if name != text_col else docs
     shared = spark.sparkContext.broadcast(model)
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col(text_col).cast("string").alias("text"))
+    rows, field = docs.select(F.struct(*docs.columns).alias("doc")), docs.columns.index(text_col)
     schema = T.StructType([T.StructField("doc", rows.schema["doc"].dataType), T.StructField("score", T.DoubleType())])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found_model = shared.value
         share = float(found_model.labels.mean()) if len(found_model.labels) else 0.5
-        for batch, found in _features(batches, 1):
+        for batch, found in _features(batches, field):
             vectors = latent(found, found_model.weights, found_model.space)
             empty = ~vectors.any(axis=1)
             scores = vote(vectors, found_model) if len(found_model.labels) else np.full(len(vectors), share)
