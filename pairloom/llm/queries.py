@@ -10,7 +10,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import archives, decontaminate, jaccard, langid, orctokens, packing, quality, substrings, tokencount
+from pairloom.llm import archives, decontaminate, egojoin, jaccard, langid, orctokens, packing, quality, substrings, tokencount
 from pairloom.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +121,9 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Similarity component of every document: four-word shingles, 0.85."""
     found = jaccard.similarity_classes(table(spark, sf_dir, "documents"), k=4, percent=85)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@query
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector: cosine of 0.95 or more."""
+    return egojoin.near_duplicates(table(spark, sf_dir, "embeddings"))

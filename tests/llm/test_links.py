@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from pairloom.llm import components, jaccard, queries
+from pairloom.llm import components, egojoin, jaccard, queries
 from tests.llm.tables import SMALL, collected, tricky_texts
 
 
@@ -123,3 +123,51 @@ def test_prefix_and_bounds():
         length = jaccard.prefix_length(sizes, percent)
         assert (length == [s - -(-s * percent // 100) + 1 for s in sizes.tolist()]).all() and length.min() == 1
     assert jaccard.may_link(10, 0, 10, 0, 100) and not jaccard.may_link(10, 1, 10, 0, 100) and not jaccard.may_link(8, 0, 10, 0, 85)
+
+
+def vectors_by_hand(rows, least):
+    unit = []
+    for _, v in rows:
+        ok = v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)
+        unit.append(np.array(v, float) / np.linalg.norm(np.array(v, float)) if ok else None)
+    links = [(i, j) for i in range(len(rows)) for j in range(i + 1, len(rows))
+             if unit[i] is not None and unit[j] is not None and float(unit[i] @ unit[j]) >= least]
+    count = [0] * len(rows)
+    for i, j in links:
+        count[i] += 1
+        count[j] += 1
+    roots = least_reachable(len(rows), links)
+    low = {}
+    for (x, _), r in zip(rows, roots):
+        if x is not None:
+            low[r] = min(low.get(r, x), x)
+    out = [(x, n, low.get(r), x is not None and low.get(r) == x) for (x, _), n, r in zip(rows, count, roots)]
+    return sorted(out, key=lambda r: [(x is not None, x) for x in r])
+
+
+@pytest.mark.parametrize("block,fan", [(512, 16), (8, 2)])
+def test_vectors(spark, monkeypatch, block, fan):
+    rng = np.random.default_rng(block)
+    base = rng.standard_normal((25, 12))
+    rows = [(i, (base[i % 25] + rng.standard_normal(12) * rng.choice([0, 0.1, 0.25, 0.5])).tolist()) for i in range(300)]
+    odd = [None, [], [0.0] * 12, [float("nan")] + [1.0] * 11, [float("inf")] + [1.0] * 11, [None] + [1.0] * 11]
+    rows += [(400 + i, v) for i, v in enumerate(odd)] + [(None, rows[0][1]), (None, [5.0] + [0.0] * 11), (7, rows[7][1]), (7, rows[9][1])]
+    rows += [(500 + i, [1e-200] * 12) for i in range(3)] + [(600 + i, rows[3][1]) for i in range(60)]
+    monkeypatch.setattr("pairloom.llm.egojoin.BLOCK", block)
+    monkeypatch.setattr("pairloom.llm.egojoin.PART", min(block, 4))
+    monkeypatch.setattr("pairloom.llm.egojoin.FAN", fan)
+    table = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], "vec_id long, embedding array<double>, n long, root string").repartition(4)
+    want = vectors_by_hand([(i, [x * 1e200 for x in v] if v and v[0] == 1e-200 else v) for i, v in rows], 0.95)
+    assert collected(egojoin.near_duplicates(table, 0.95)) == want
+
+
+def test_op9_on_the_table(spark):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()]
+    assert collected(queries.op9_embedding_near_dedup(spark, SMALL)) == vectors_by_hand(rows, 0.95)
+
+
+def test_no_vectors(spark):
+    none = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert egojoin.near_duplicates(none).count() == 0
+    zero = spark.createDataFrame([(2, [0.0])], "vec_id long, embedding array<float>")
+    assert [tuple(r) for r in egojoin.near_duplicates(zero).collect()] == [(2, 0, 2, True)]
