@@ -9,10 +9,13 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from pairloom.session import stage
+
 # A key with more rows than this is split over several tasks in ``join_groups``.
-# At most (all rows / HOT_ROWS) keys can be that hot, which bounds what is broadcast:
-# 100,000 keys of 20 bytes for 10^11 rows.
+# At most (all rows / HOT_ROWS) keys can be that hot; whether they are broadcast is Spark's choice by size.
 HOT_ROWS = 1_000_000
+# The longest prefix whose order values may meet in one task.
+HEAD_ROWS = 100_000
 
 
 def first_wins(rows: DataFrame, key: Column | str, order: str = "seq") -> DataFrame:
@@ -40,12 +43,25 @@ def last_wins(rows: DataFrame, key: str, order: str = "seq") -> DataFrame:
 def first_rows(rows: DataFrame, n: int, order: str = "seq") -> DataFrame:
     """The first n rows. Only the order column is ranked; whole rows are filtered in place.
 
-    The n smallest order values meet in one task, so n is a preview or trial size, not a share of the data.
+    Up to ``HEAD_ROWS`` values meet in one task. For more, the order values are dealt into sorted
+    ranges; the counts of the ranges tell which of them holds the n-th value, and only that value is picked.
     """
     if n <= 0:
         return rows.filter(F.lit(False))
-    head = rows.select(order).orderBy(order).limit(n)
-    return rows.filter(F.col(order) <= head.agg(F.max(order)).scalar())
+    if n <= HEAD_ROWS:
+        head = rows.select(order).orderBy(order).limit(n)
+        return rows.filter(F.col(order) <= head.agg(F.max(order)).scalar())
+    ranges = stage(rows.select(F.col(order).alias("at")).repartitionByRange("at").sortWithinPartitions("at").select(
+        "at", F.spark_partition_id().alias("part"),
+        F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("nth")))
+    counts = ranges.groupBy("part").agg(F.count(F.lit(1)).alias("size"))   # one row per range
+    upto = counts.select("part", "size", F.sum("size").over(Window.orderBy("part")).alias("upto"))
+    found = upto.filter((F.col("upto") >= n) & (F.col("upto") - F.col("size") < n)).first()
+    if found is None:
+        return rows
+    nth = n - (found["upto"] - found["size"]) - 1
+    cut = ranges.filter((F.col("part") == found["part"]) & (F.col("nth") == nth)).agg(F.max("at"))
+    return rows.filter(F.col(order) <= cut.scalar())
 
 
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, spread: str,
@@ -59,7 +75,7 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, spread:
     salts = F.ceil(F.col(size) / F.lit(hot_rows)).cast("int")
     hot = groups.filter(F.col(size) > hot_rows).select(key, salts.alias("_salts"))
     salted_rows = (
-        rows.join(F.broadcast(hot), key, "left")
+        rows.join(hot, key, "left")
         .withColumn("_salt", F.pmod(F.hash(spread), F.coalesce("_salts", F.lit(1))))
         .drop("_salts")
     )

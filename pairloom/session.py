@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,13 +60,63 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark).rstrip("/"), f"{name}-{uuid.uuid4().hex}")
 
 
+_owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside go when the block ends; write what must stay elsewhere before."""
+    token = _owned.set([])
+    try:
+        yield
+    finally:
+        folders = _owned.get() or []
+        _owned.reset(token)
+        for path in folders:
+            remove_folder(spark, path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    where, files = _file_system(spark, path)
+    files.delete(where, True)
+
+
+def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Write a folder beside ``path`` and move it there when it is complete; a failed write leaves the old one."""
+    path = path.rstrip("/")
+    fresh = os.path.join(os.path.dirname(path), f"_new-{uuid.uuid4().hex}")
+    try:
+        write(fresh)
+    except BaseException:
+        remove_folder(spark, fresh)
+        raise
+    where, files = _file_system(spark, path)
+    files.delete(where, True)
+    if not files.rename(_file_system(spark, fresh)[0], where):
+        raise OSError(f"{fresh} could not be moved to {path}")
+
+
+def configure(spark: SparkSession) -> None:
+    """Set what the operators' results depend on; the plans call it on any session."""
+    for key in ("spark.sql.session.timeZone", "spark.sql.variant.allowDuplicateKeys"):
+        spark.conf.set(key, SETTINGS[key])
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage and lets several consumers share one evaluation; the table outlives
     lost executors. Works like any table write: the result has the same rows and columns.
+    It stays until its folder is removed, or until the end of the ``scratch`` block around it.
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
     df.write.parquet(path)
+    if (owned := _owned.get()) is not None:
+        owned.append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,7 +1,9 @@
 """Raw rows from JSONL, a JSON document, CSV or a Parquet table.
 
 JSON readers give (seq, row) with ``row`` a VARIANT, so each row keeps its own keys; CSV
-and Parquet give their columns plus ``seq``. ``seq`` orders rows by file, block and place.
+and Parquet give their columns plus ``seq``: the file and the number of the row in it. It does
+not depend on how files are split over tasks. Parquet stores row numbers; lines of text and CSV are
+numbered once and written, so that later reads cannot number them anew.
 """
 
 from __future__ import annotations
@@ -9,10 +11,11 @@ from __future__ import annotations
 import os
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from pairloom.functions import variants as V
 from pairloom.functions.text import strip
+from pairloom.session import stage
 
 SUFFIXES = {".jsonl": "jsonl", ".json": "json", ".csv": "csv", ".parquet": "table"}
 
@@ -29,38 +32,54 @@ def source_kind(path: str, fmt: str = "auto") -> str:
     return SUFFIXES[suffix]
 
 
-def read_rows(spark: SparkSession, path: str, fmt: str = "auto", split: str | None = None) -> DataFrame:
-    """Raw rows of any supported format."""
+def read_rows(spark: SparkSession, path: str, fmt: str = "auto", split: str | None = None, multiline: bool = False) -> DataFrame:
+    """Raw rows of any supported format; ``multiline`` is for CSV with quoted line breaks."""
     kind = source_kind(path, fmt)
     try:
         if kind == "table":
             return read_table(spark, path, split)
-        return {"jsonl": read_jsonl, "json": read_json, "csv": read_csv}[kind](spark, path)
+        if kind == "csv":
+            return read_csv(spark, path, multiline)
+        return {"jsonl": read_jsonl, "json": read_json}[kind](spark, path)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(path) from e
         raise
 
 
-def file_order() -> Column:
-    """Place of a row in its files: path, block, row number within the scan's partition."""
-    return F.struct(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
+def place() -> list[Column]:
+    """Where a scan finds a row, for ``numbered``: file, block, and a number that ascends within the block."""
+    return [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_row")]
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """Rows with the columns of ``place`` get ``seq`` = (file, row number in the file) instead.
+
+    A block lies in one task, so its rows are in a row; the rows of the blocks before it in the file are added.
+    """
+    kept = stage(rows, "numbered")
+    blocks = kept.groupBy("_file", "_block").agg(F.min("_row").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("_file").orderBy("_block")) - F.col("n")
+    shifts = blocks.select("_file", "_block", (before - F.col("first")).alias("_shift"))
+    seq = F.struct(F.col("_file").alias("file"), (F.col("_row") + F.col("_shift")).alias("row")).alias("seq")
+    return kept.join(shifts, ["_file", "_block"]).select(seq, *[c for c in rows.columns if c not in ("_file", "_block", "_row")])
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    lines = numbered(spark.read.text(path).select(*place(), "value"))
+    return lines.select("seq", strip("value").alias("line")).filter("line != ''")
 
 
 def read_jsonl(spark: SparkSession, path: str, lenient: bool = False) -> DataFrame:
     """One JSON value per line; blank lines are skipped. A malformed line is an error,
     or a row with a NULL ``row`` when lenient (see ``bad_lines``)."""
-    lines = spark.read.text(path).select(file_order().alias("seq"), strip("value").alias("line"))
-    return lines.filter("line != ''").select("seq", F.expr(V.strict_json("line", lenient)).alias("row"))
+    return _lines(spark, path).select("seq", F.expr(V.strict_json("line", lenient)).alias("row"))
 
 
 def bad_lines(spark: SparkSession, path: str) -> DataFrame:
     """The malformed lines of a JSONL source."""
-    lines = spark.read.text(path).select(file_order().alias("seq"), strip("value").alias("line"))
-    return lines.filter("line != ''").filter(F.expr(V.strict_json("line")).isNull())
+    return _lines(spark, path).filter(F.expr(V.strict_json("line")).isNull())
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
@@ -74,19 +93,24 @@ def read_json(spark: SparkSession, path: str) -> DataFrame:
     listed = whole.selectExpr("file", """posexplode(coalesce(
         try_variant_get(doc, '$', 'array<variant>'), try_variant_get(doc, '$.data', 'array<variant>'),
         CAST(raise_error('Unsupported JSON shape: expected a list of rows') AS ARRAY<VARIANT>))) AS (place, row)""")
-    return listed.selectExpr("struct(file, 0L AS block, CAST(place AS BIGINT) AS row) AS seq", "row")
+    return listed.selectExpr("struct(file, CAST(place AS BIGINT) AS row) AS seq", "row")
 
 
-def read_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """CSV with a header; every column is text and an empty cell is the empty string.
 
-    Quoted line breaks need ``multiline``, which reads each file in one task; without it a
-    file is split.
+    Files are split. Quoted line breaks need ``multiline``, which reads each file in one task; without it
+    a line with an odd number of quotes is an error, so that no row is torn apart unnoticed.
     """
+    if not multiline:
+        quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+        torn = spark.read.text(path).filter(quotes % 2 == 1).limit(1).collect()
+        if torn:
+            raise ValueError(f"a quoted line break, read with multiline: {torn[0].value[:200]}")
     rows = spark.read.csv(path, header=True, multiLine=multiline, quote='"', escape='"',
                           emptyValue="", nullValue="\u0000", enforceSchema=False)
     cells = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns]
-    return rows.select(file_order().alias("seq"), *cells)
+    return numbered(rows.select(*place(), *cells))
 
 
 def read_table(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
@@ -94,4 +118,5 @@ def read_table(spark: SparkSession, path: str, split: str | None = None) -> Data
     rows = spark.read.parquet(path)
     if split is not None and "split" in rows.columns:
         rows = rows.filter(F.col("split") == split).drop("split")
-    return rows if "seq" in rows.columns else rows.withColumn("seq", file_order())
+    seq = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return rows if "seq" in rows.columns else rows.withColumn("seq", seq)

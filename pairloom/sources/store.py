@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
@@ -12,7 +14,8 @@ from pairloom.functions.verdict import tier
 from pairloom.operators.ingest import canonical_pairs, tolerant_pairs
 from pairloom.operators.judge import fill_scores
 from pairloom.schemas import JUDGMENT, LABEL, PAIR, STATUSES
-from pairloom.sources.readers import file_order, read_jsonl
+from pairloom.session import replace_folder
+from pairloom.sources.readers import numbered, place, read_jsonl
 
 # The columns of a CSV export and the timestamp text of stored records.
 CSV_COLUMNS = ["id", "instruction", "input", "output", "category"]
@@ -53,7 +56,7 @@ def load_pairs(spark: SparkSession, path: str, tolerant: bool = False) -> DataFr
     if tolerant:
         return tolerant_pairs(read_jsonl(spark, path, lenient=True))
     records = spark.read.schema(_as_text(PAIR)).option("mode", "FAILFAST").json(path)
-    ordered = records.select(file_order().alias("seq"), *PAIR.fieldNames())
+    ordered = numbered(records.select(*place(), *PAIR.fieldNames()))
     return canonical_pairs(ordered.withColumns({c: text(c) for c in ("instruction", "output")}))
 
 
@@ -65,34 +68,33 @@ def load_pairs_or_empty(spark: SparkSession, path: str) -> DataFrame:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         seq = T.StructField("seq", T.StructType([
-            T.StructField("file", T.StringType()), T.StructField("block", T.LongType()), T.StructField("row", T.LongType())]))
+            T.StructField("file", T.StringType()), T.StructField("row", T.LongType())]))
         return spark.createDataFrame([], T.StructType([seq, *PAIR.fields]))
 
 
 def load_judgments(spark: SparkSession, path: str, dataset: str | None = None) -> DataFrame:
-    """Stored judgments from JSONL files, one run per file.
+    """Stored judgments from JSONL, one run per file or folder; a malformed line is an error.
 
-    Partial scores are filled and ids made canonical. With ``dataset``, the tag is the middle
-    of the file name ``<dataset>.<tag>.jsonl``.
+    Partial scores are filled and ids made canonical. With ``dataset``, only runs named
+    ``<dataset>.<tag>.jsonl`` are read, whether that is a file or the folder a sink wrote, and give the tag.
     """
-    records = spark.read.schema(_as_text(JUDGMENT)).json(path)
-    ordered = records.select(file_order().alias("seq"), F.col("_metadata.file_name").alias("_file"), *JUDGMENT.fieldNames())
-    read = ordered.withColumns({
+    records = spark.read.schema(_as_text(JUDGMENT)).option("mode", "FAILFAST").json(path)
+    ordered = records.select(*place(), *JUDGMENT.fieldNames())
+    if dataset is not None:
+        name = rf"/{re.escape(dataset)}\.([^/]+)\.jsonl(/[^/]*)?$"
+        ordered = ordered.withColumn("tag", F.regexp_extract("_file", name, 1)).filter("tag != ''")
+    read = numbered(ordered).withColumns({
         "pair_id": canonical_id("pair_id"), "judged_at": iso_timestamp("judged_at"),
         "passed": F.coalesce("passed", F.lit(False)),
         "judge_model": text("judge_model"), "judgment_reasoning": text("judgment_reasoning"),
     })
-    if dataset is not None:
-        prefix = f"{dataset}."
-        middle = F.regexp_replace(F.col("_file"), r"\.jsonl$", "").substr(F.lit(len(prefix) + 1), F.length("_file"))
-        read = read.filter(F.col("_file").startswith(prefix)).withColumn("tag", middle)
-    return fill_scores(read.drop("_file"))
+    return fill_scores(read)
 
 
 def load_labels(spark: SparkSession, path: str) -> DataFrame:
     """The label log from JSONL; malformed lines are skipped, ids canonical on both sides of joins."""
     records = spark.read.schema(_as_text(LABEL)).option("mode", "PERMISSIVE").json(path)
-    ordered = records.select(file_order().alias("seq"), *LABEL.fieldNames())
+    ordered = numbered(records.select(*place(), *LABEL.fieldNames()))
     read = ordered.withColumns({"pair_id": canonical_id("pair_id"), "labeled_at": iso_timestamp("labeled_at"),
                                 "labeler": F.coalesce("labeler", F.lit("user"))})
     return read.filter("pair_id IS NOT NULL AND status IS NOT NULL")
@@ -105,17 +107,17 @@ def write_pairs(pairs: DataFrame, path: str, fmt: str = "jsonl") -> None:
     split = ["split"] if "split" in pairs.columns else []
     if fmt in ("jsonl", "json"):
         out = pairs.select(*split, to_json_record(PAIR.fieldNames()).alias("value"))
-        writer = lambda w: w.option("compression", "none").text(path)
+        writer = lambda w, to: w.option("compression", "none").text(to)
     elif fmt == "csv":
         cells = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in CSV_COLUMNS]
         out = pairs.select(*split, *cells)
-        writer = lambda w: w.option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+        writer = lambda w, to: w.option("header", True).option("escape", '"').option("emptyValue", "").csv(to)
     elif fmt == "parquet":
-        out, writer = pairs, lambda w: w.parquet(path)
+        out, writer = pairs, lambda w, to: w.parquet(to)
     else:
         raise ValueError(f"Unsupported format: {fmt}")
-    sink = out.write.mode("overwrite")
-    writer(sink.partitionBy(*split) if split else sink)
+    sink = out.write.partitionBy(*split) if split else out.write
+    replace_folder(pairs.sparkSession, path, lambda to: writer(sink, to))
 
 
 def append_labels(labels: DataFrame, path: str) -> int:
@@ -134,28 +136,33 @@ def append_labels(labels: DataFrame, path: str) -> int:
     return seen.get["n"]
 
 
-TEXT_PARTS = ("dataset", "tag", "run")
+SAFE = " !$&'()+,;@~"   # besides letters, digits and _.-, in a folder's name
+TEXT_PARTS = ("dataset", "tag", "run", "cache_rubric", "cache_backend", "cache_model")
 
 
 class DatasetStore:
     """Parquet artefacts under one shared folder:
 
     pairs/dataset=…, meta/dataset=…, reports/dataset=…, judgments/dataset=…/tag=…, labels/dataset=…,
-    cycle_pairs/cycle_id=…, cycle_judgments/cycle_id=…, training/cycle_id=…. Reading one dataset,
-    tag or cycle prunes the others; writing one replaces that partition only, with Spark's commit.
+    judgment_cache/cache_rubric=…/cache_version=…/cache_backend=…/cache_model=…,
+    cycle_pairs/loop_run=…/cycle_id=…, cycle_judgments/…, training/…. Reading one dataset, tag or cycle
+    prunes the others; writing one replaces that partition only, once the new one is complete.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
     def path(self, kind: str, **parts) -> str:
-        return os.path.join(self.root, kind, *[f"{k}={v}" for k, v in parts.items()])
+        return os.path.join(self.root, kind, *[f"{k}={quote(str(v), safe=SAFE)}" for k, v in parts.items()])
 
     def put(self, df: DataFrame, kind: str, mode: str = "overwrite", **parts) -> DataFrame:
         """Write one partition and read it back."""
         path = self.path(kind, **parts)
         out = df.drop(*parts)
-        out.write.mode(mode).parquet(path)
+        if mode == "overwrite":
+            replace_folder(self.spark, path, out.write.parquet)
+        else:
+            out.write.mode(mode).parquet(path)
         values = [F.lit(v).alias(k) for k, v in parts.items()]
         return self.spark.read.schema(out.schema).parquet(path).select("*", *values)
 
@@ -178,12 +185,25 @@ class DatasetStore:
                 return None
             raise
 
-    def cycles(self, kind: str, upto: int | None = None) -> DataFrame | None:
-        """All cycles of a cycle table, optionally up to one."""
+    def cycles(self, kind: str, upto: int | None = None, loop_run: int | None = None) -> DataFrame | None:
+        """All cycles of a run of the loop (the newest by default), optionally up to one."""
+        loop_run = self.last_run() if loop_run is None else loop_run
         table = self.find(kind)
+        table = table if table is None else table.filter(F.col("loop_run") == loop_run)
         return table if table is None or upto is None else table.filter(F.col("cycle_id") <= upto)
 
-    def last_cycle(self) -> int:
-        """The newest cycle with metrics, 0 when there is none."""
-        metrics = self.find("cycle_metrics")
+    def last_run(self) -> int:
+        """The newest run of the loop, 0 when none has begun."""
+        runs = self.find("loop_runs")
+        return 0 if runs is None else (runs.agg(F.max("loop_run")).first()[0] or 0)
+
+    def begin_run(self) -> int:
+        """The number of a new run, which leaves what older runs stored alone."""
+        number = self.last_run() + 1
+        self.put(self.spark.range(1), "loop_runs", loop_run=number)
+        return number
+
+    def last_cycle(self, loop_run: int | None = None) -> int:
+        """The newest cycle of a run with metrics, 0 when there is none."""
+        metrics = self.cycles("cycle_metrics", loop_run=loop_run)
         return 0 if metrics is None else (metrics.agg(F.max("cycle_id")).first()[0] or 0)

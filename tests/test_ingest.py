@@ -49,8 +49,8 @@ def test_three_formats_give_the_same_pairs(spark, tmp_path):
     csv = put(tmp_path, "d.csv", 'prompt,completion\nhello,world\n"a ""b""\nc","x,y"\n')
     want = [(r["prompt"], r["completion"], str(uuid.uuid5(uuid.NAMESPACE_URL, f"sdf::{r['prompt']}::{r['completion']}"))) for r in rows]
     for path in (jsonl, listed, nested, csv):
-        assert got(ingest.ingest(readers.read_rows(spark, path)), "instruction", "output", "id") == want
-        assert got(ingest.ingest(readers.read_rows(spark, path), stage=stage), "instruction", "output", "id") == want
+        assert got(ingest.ingest(readers.read_rows(spark, path, multiline=True)), "instruction", "output", "id") == want
+        assert got(ingest.ingest(readers.read_rows(spark, path, multiline=True), stage=stage), "instruction", "output", "id") == want
 
 
 def test_csv_keeps_empty_cells_and_spaces(spark, tmp_path):
@@ -159,3 +159,66 @@ def test_judgment_and_label_files(spark, tmp_path):
     labels = put(tmp_path, "labels.jsonl", '{"pair_id":"x","status":"approved"}\nnot json\n{"pair_id":"x","status":"rejected"}\n')
     from pairloom.operators.labels import latest_labels
     assert [(r.pair_id, r.status) for r in latest_labels(store.load_labels(spark, labels)).collect()] == [("x", "rejected")]
+
+
+def test_places_do_not_depend_on_packing(spark, tmp_path):
+    """The same folder split and packed in two ways gives the same rows, also after a second read."""
+    from pairloom.operators import checks
+    from pairloom.operators.export import ratio_split
+
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for i in range(12):
+        lines = [json.dumps({"prompt": f"question {n % 150} of {i % 5}", "completion": f"answer {n % 150}"}) for n in range(200)]
+        (folder / f"{i:02}.jsonl").write_text("\n\n".join(lines) + "\n")
+    raw = str(folder) + "/*.jsonl"
+    seen = []
+    keys = ("spark.sql.files.minPartitionNum", "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for setting in (("2", "128m", "4m"), ("200", "4k", "1")):
+            for k, v in zip(keys, setting):
+                spark.conf.set(k, v)
+            pairs = ingest.ingest(readers.read_rows(spark, raw, "jsonl"))
+            facts = checks.check_facts(pairs)
+            spark.conf.set(keys[0], "7")
+            clean = checks.clean(pairs, facts)
+            split = ratio_split(clean, {"a": 0.3, "b": 0.7})
+            seen.append((got(pairs, "seq", "id"), got(clean, "seq", "id"), got(split, "seq", "split")))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert seen[0] == seen[1] and len(seen[0][0]) == len(seen[0][1]) == 5 * 150
+
+
+def test_torn_csv_lines_are_an_error(spark, tmp_path):
+    with pytest.raises(ValueError, match="multiline"):
+        readers.read_rows(spark, put(tmp_path, "a.csv", 'prompt,completion\n"a\nb",c\n'))
+
+
+def test_long_prefixes_agree_with_short_ones(spark, monkeypatch):
+    from pairloom.operators import ordering
+
+    df = spark.range(1000).selectExpr("struct(id % 10 AS a, id AS b) AS seq").repartition(7)
+    for n in (1, 250, 999, 1000, 5000):
+        want = sorted(tuple(r.seq) for r in first_rows(df, n).collect())
+        monkeypatch.setattr(ordering, "HEAD_ROWS", 0)
+        assert sorted(tuple(r.seq) for r in first_rows(df, n).collect()) == want and len(want) == min(n, 1000)
+        monkeypatch.undo()
+
+
+def test_failed_overwrite_keeps_the_old_table(spark):
+    kept = store.DatasetStore(spark, new_folder(spark, "safe"))
+    kept.put(spark.range(3), "pairs", dataset="d / x")
+    with pytest.raises(Exception, match="no more"):
+        kept.put(spark.range(9).selectExpr("IF(id > 5, raise_error('no more'), id) AS id"), "pairs", dataset="d / x")
+    assert kept.get("pairs", dataset="d / x").count() == 3
+    kept.put(spark.range(0), "pairs", dataset="d / x")
+    assert kept.get("pairs", dataset="d / x").count() == 0
+
+
+def test_cycle_ids_are_read_leniently(spark):
+    values = [1, "3", True, 2.0, 3000000000, None, "x", 1.5, "1.5", [1]]
+    rows = spark.createDataFrame([(i, json.dumps({"id": str(i), "cycle_id": v})) for i, v in enumerate(values)], "seq int, line string")
+    found = ingest.tolerant_pairs(rows.selectExpr("seq", "parse_json(line) AS row"))
+    assert {r.seq: r.cycle_id for r in found.collect()} == {0: 1, 1: 3, 2: 1, 3: 2, 4: None, 5: None}
