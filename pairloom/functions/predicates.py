@@ -11,12 +11,15 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def predicate(context: DataFrame, where: Column | str) -> Column:
-    """The predicate as a Column; anything but a boolean is rejected before the job runs."""
+    """The predicate as a Column; anything but a boolean is rejected before the job runs.
+
+    A filter drops NULL by itself. The bare predicate lets its conjuncts reach the scan.
+    """
     c = F.expr(where) if isinstance(where, str) else where
     kind = context.select(c).schema[0].dataType
     if not isinstance(kind, T.BooleanType):
         raise ValueError(f"predicate is {kind.simpleString()}, not boolean")
-    return F.coalesce(c, F.lit(False))
+    return c
 
 
 def equal(a: Column, b: Column | object) -> Column:
@@ -50,13 +53,22 @@ def divide(a: Column, b: Column) -> Column:
 
 
 def floor_divide(a: Column, b: Column) -> Column:
-    """Division rounded down; NULL for a zero divisor."""
-    return F.floor(divide(a, b))
+    """Division rounded down, exact for integers; NULL for a zero divisor or beyond 64 bits."""
+    whole = F.typeof(a + b).isin("tinyint", "smallint", "int", "bigint")
+    exact = F.try_divide((a.cast("decimal(20,0)") - modulo(a, b).cast("decimal(20,0)")), b.cast("decimal(20,0)"))
+    as_long = F.call_function("round", exact).cast("decimal(20,0)")
+    return F.when(whole, _try_long(as_long)).otherwise(F.floor(divide(a, b)))
+
+
+def _try_long(c: Column) -> Column:
+    low, high = F.lit(-(2**63)).cast("decimal(20,0)"), F.lit(2**63 - 1).cast("decimal(20,0)")
+    return F.when(c.between(low, high), c).cast("bigint")
 
 
 def modulo(a: Column, b: Column) -> Column:
-    """Remainder with the sign of the divisor; NULL for a zero divisor."""
-    return a - b * floor_divide(a, b)
+    """Remainder with the sign of the divisor, exact for integers; NULL for a zero divisor."""
+    rest = F.try_mod(a, b)
+    return F.when((rest != 0) & ((rest < 0) != (b < 0)), rest + b).otherwise(rest)
 
 
 def power(a: Column, b: Column) -> Column:

@@ -115,7 +115,8 @@ def has_flagged_word(blob: str, words: list[str]) -> str:
     letters = sorted({w for w in words if re.fullmatch("[a-z]+", w)})
     if not letters:
         return "false"
-    return f"lower({blob}) RLIKE '(?<![a-z])(?:{'|'.join(letters)})(?![a-z])'"
+    listed = ", ".join(quoted(w) for w in letters)
+    return f"arrays_overlap(regexp_extract_all(lower({blob}), '([a-z]+)', 1), array({listed}))"
 
 
 def profanity_issues(o: Options) -> list[str]:

@@ -20,6 +20,9 @@ FIELD_NAMES = {
     "difficulty": ["difficulty", "level"],
 }
 # ----------------------------------------------------------------------------------------
+MAIN = ("instruction", "output")
+# Text that reads as a whole number.
+WHOLE_TEXT = r"^\s*[+-]?\d+(\.0*)?\s*$"
 
 
 def mapping_from_text(expr: str | None) -> dict[str, str]:
@@ -40,19 +43,19 @@ def resolve_fields(raw: DataFrame, mapping: dict[str, str] | None = None) -> dic
     if is_variant(raw):
         return {f: V.first_present("row", names) for f, names in wanted.items()}
     found = {f: next((n for n in names if n in raw.columns), None) for f, names in wanted.items()}
-    return {f: _plain_text(raw, n) if n else quoted(None) for f, n in found.items()}
+    return {f: _plain_text(raw, n, f in MAIN) if n else quoted(None) for f, n in found.items()}
 
 
 def is_variant(raw: DataFrame) -> bool:
     return "row" in raw.columns and isinstance(raw.schema["row"].dataType, T.VariantType)
 
 
-def _plain_text(raw: DataFrame, name: str) -> str:
-    """A typed column as text; zero and false count as missing text."""
+def _plain_text(raw: DataFrame, name: str, main: bool) -> str:
+    """A typed column as text; for instruction and output zero and false count as missing text."""
     kind = raw.schema[name].dataType
     if isinstance(kind, T.BooleanType):
-        return f"CASE WHEN `{name}` THEN 'True' END"
-    if isinstance(kind, T.NumericType):
+        return f"CASE WHEN `{name}` THEN 'True'" + ("" if main else f" WHEN NOT `{name}` THEN 'False'") + " END"
+    if isinstance(kind, T.NumericType) and main:
         return f"CASE WHEN `{name}` <> 0 THEN CAST(`{name}` AS STRING) END"
     return f"CAST(`{name}` AS STRING)"
 
@@ -135,7 +138,8 @@ def tolerant_pairs(records: DataFrame, column: str = "row") -> DataFrame:
     """VARIANT records to pairs; a record that is not a valid pair is dropped.
 
     Valid: an object whose text fields are text (the optional ones may be null), whose
-    metadata is an object, cycle_id a whole number or null, created_at a readable timestamp.
+    metadata is an object, cycle_id a whole number (also as text or a truth value) or null, created_at a
+    readable timestamp. A cycle_id beyond 32 bits is read as null.
     """
     keep = [c for c in records.columns if c != column]
     texts = ["instruction", "output", "input", "context", "category", "difficulty", "source_seed"]
@@ -144,22 +148,24 @@ def tolerant_pairs(records: DataFrame, column: str = "row") -> DataFrame:
     kinds = with_values(fields, {f"_k_{n}": f"coalesce({V.kind(f'_{n}')}, 'absent')" for n in names})
     got = lambda n, t: f"try_variant_get(_{n}, '$', '{t}')"
     read = with_values(kinds, {f"_t_{n}": got(n, "string") for n in ["id", *texts]} | {
-        "_cycle": got("cycle_id", "double"), "_created": iso_timestamp_sql(got("created_at", "string")),
+        "_cycle": V.float_of("_cycle_id"), "_created": iso_timestamp_sql(got("created_at", "string")),
         "_metadata_map": got("metadata", "map<string,string>")})
     allowed = {n: ["absent", "STRING"] for n in ("id", "instruction", "output", "created_at")} \
         | {n: ["absent", "STRING", "VOID"] for n in texts[2:]} \
-        | {"metadata": ["absent", "OBJECT"], "cycle_id": ["absent", "VOID", "NUMBER"]}
+        | {"metadata": ["absent", "OBJECT"], "cycle_id": ["absent", "VOID", "NUMBER", "STRING", "BOOLEAN"]}
     valid = F.col("_kind") == "OBJECT"
     for n, kinds_of in allowed.items():
         valid = valid & F.col(f"_k_{n}").isin(kinds_of)
-    valid = valid & ((F.col("_k_cycle_id") != "NUMBER") | (F.col("_cycle") == F.floor("_cycle")))
+    whole_number = F.col("_cycle").isNotNull() & ~F.isnan("_cycle") & (F.col("_cycle") == F.rint("_cycle"))
+    spelled = (F.col("_k_cycle_id") != "STRING") | F.expr(f"{got('cycle_id', 'string')} RLIKE {quoted(WHOLE_TEXT)}")
+    valid = valid & (F.col("_k_cycle_id").isin("absent", "VOID") | (whole_number & spelled))
     valid = valid & ((F.col("_k_created_at") == "absent") | F.col("_created").isNotNull())
     whole = read.filter(valid)
     empty = F.create_map().cast("map<string,string>")
     return whole.select(
         *keep, canonical_id("_t_id").alias("id"), *[text(f"_t_{n}").alias(n) for n in texts[:2]],
         *[F.col(f"_t_{n}").alias(n) for n in texts[2:]], F.coalesce("_metadata_map", empty).alias("metadata"),
-        F.col("_cycle").cast("int").alias("cycle_id"), F.col("_created").alias("created_at"),
+        F.expr("try_cast(_cycle AS INT)").alias("cycle_id"), F.col("_created").alias("created_at"),
     )
 
 

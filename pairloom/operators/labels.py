@@ -11,9 +11,6 @@ from pairloom.operators.judge import latest_judgments
 from pairloom.operators.ordering import first_wins, last_wins
 from pairloom.schemas import CRITERIA, STATUSES
 
-# How much of a text a reviewer sees.
-REVIEW_OUTPUT_CHARS, REVIEW_REASONING_CHARS = 600, 120
-
 
 def check_status(status: str) -> str:
     if status not in STATUSES:
@@ -109,10 +106,12 @@ def resume_labels(new: DataFrame, current: DataFrame) -> DataFrame:
 
 
 def review_queue(pairs: DataFrame, judgments: DataFrame | None = None, labels: DataFrame | None = None,
-                 resume: bool = True, order: str = "seq") -> DataFrame:
-    """What a reviewer sees, in ``order``: the pairs without a label, texts cut for display."""
-    shown = pairs.select(order, "id", "instruction", first_chars("output", REVIEW_OUTPUT_CHARS).alias("output"))
+                 resume: bool = True, order: str = "seq", output_chars: int | None = None,
+                 reasoning_chars: int | None = None) -> DataFrame:
+    """What a reviewer sees, in ``order``: the pairs without a label; the widths cut texts for display."""
+    cut = lambda c, n: F.col(c) if n is None else first_chars(c, n)
+    shown = pairs.select(order, "id", "instruction", cut("output", output_chars).alias("output"))
     waiting = _with_opinions(shown, judgments, labels if resume else None, REVIEWED).filter("_label IS NULL")
     return waiting.select(
         order, "id", "instruction", "output", one_decimal("_judgment.scores.overall").alias("overall"),
-        F.col("_judgment.passed").alias("passed"), first_chars("_judgment.judgment_reasoning", REVIEW_REASONING_CHARS).alias("reasoning"))
+        F.col("_judgment.passed").alias("passed"), cut("_judgment.judgment_reasoning", reasoning_chars).alias("reasoning"))

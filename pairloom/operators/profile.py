@@ -45,7 +45,7 @@ def top_categories(pairs: DataFrame, n: int = 20, order: str = "seq") -> DataFra
 
 
 def length_histograms(pairs: DataFrame, bins: int = 20) -> DataFrame:
-    """(field, bin, n, lo, hi): equal bins between the shortest and longest text of each field.
+    """(field, bin, n, lo, hi): equal bins between the shortest and longest text of each field, empty ones too.
 
     One pass counts the rows per length; the bins are made from those few rows. A value on
     an edge belongs to the upper bin, except at the very end; equal lengths give one unit around them.
@@ -59,13 +59,14 @@ def length_histograms(pairs: DataFrame, bins: int = 20) -> DataFrame:
     x = F.col("length").cast("double")
     lo, hi, step = F.col("lo"), F.col("hi"), (F.col("hi") - F.col("lo")) / bins
     edge = lambda i: F.when(i == bins, hi).otherwise(lo + i * step)
+    every = ends.select("field", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).cast("bigint").alias("bin"))
     placed = counts.join(F.broadcast(ends), "field").withColumn(   # two rows
         "guess", F.least(F.floor((x - lo) / (hi - lo) * bins), F.lit(bins - 1)))
     guess = F.col("guess")
     bin_of = guess - F.when(x < edge(guess), 1).otherwise(0) \
         + F.when((x >= edge(guess + 1)) & (guess != bins - 1), 1).otherwise(0)
-    return placed.groupBy("field", bin_of.cast("bigint").alias("bin"), "lo", "hi").agg(F.sum("m").alias("n")) \
-        .select("field", "bin", "n", "lo", "hi")
+    filled = placed.groupBy("field", bin_of.cast("bigint").alias("bin")).agg(F.sum("m").alias("n"))
+    return every.join(filled, ["field", "bin"], "left").select("field", "bin", F.coalesce("n", F.lit(0)).alias("n"), "lo", "hi")
 
 
 def label_distribution(latest: DataFrame) -> DataFrame:
@@ -87,9 +88,8 @@ def agreement_matrix(judgments: DataFrame, tags: tuple[str, str] | None = None,
     if tags:
         a, b = tags
     else:
-        first_two = judgments.select("tag").distinct().orderBy("tag").limit(2)
-        pair = first_two.agg(F.sort_array(F.collect_list("tag")).alias("t")).scalar()
-        a, b = F.get(pair, F.lit(0)), F.get(pair, F.lit(1))
+        found = [r.tag for r in judgments.select("tag").filter("tag IS NOT NULL").distinct().orderBy("tag").limit(2).collect()]
+        a, b = [*found, None, None][:2]   # two names, read once
     both = align_runs(judgments, a, b, order)
     cells = [(True, True), (True, False), (False, True), (False, False)]
     counts = both.agg(*[
