@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from pairloom.functions.stats import ratio
 from pairloom.operators.evaluate import judgment_metrics
@@ -30,10 +30,23 @@ def failure_seeds(pairs: DataFrame, judgments: DataFrame, n: int = FAILURE_SEEDS
 
 
 def next_seeds(base: DataFrame, failures: DataFrame | None) -> DataFrame:
-    """Base seeds, then the failures of the cycle before; equal seeds stay twice."""
+    """Base seeds, then the failures of the cycle before; equal seeds stay twice.
+
+    ``seq`` of the base may be any orderable column; one that is not a whole number becomes (late, at, nth).
+    """
+    base = base.select("seq", "seed")
+    numeric = isinstance(base.schema["seq"].dataType, T.IntegralType)
+    if not numeric:   # any other order: the base seeds in theirs, then the failures
+        base = base.withColumn("seq", F.struct(F.lit(0).alias("late"), F.col("seq").alias("at"), F.lit(0).cast("bigint").alias("nth")))
     if failures is None:
-        return base.select("seq", "seed")
-    # At most FAILURE_SEEDS rows; they follow the last base seed in their own order.
+        return base
+    # A fixed number of rows; they follow the last base seed in their own order.
+    if not numeric:
+        at = F.lit(None).cast(base.schema["seq"].dataType["at"].dataType)
+        after = failures.agg(F.sort_array(F.collect_list(F.struct("seq", "seed"))).alias("f")) \
+            .select(F.posexplode("f").alias("i", "s")) \
+            .select(F.struct(F.lit(1).alias("late"), at.alias("at"), F.col("i").cast("bigint").alias("nth")).alias("seq"), F.col("s.seed").alias("seed"))
+        return base.unionByName(after)
     last = base.agg(F.coalesce(F.max("seq"), F.lit(-1))).scalar()
     listed = failures.agg(F.sort_array(F.collect_list(F.struct("seq", "seed"))).alias("f"))
     after = listed.select(F.posexplode("f").alias("i", "s")).select((last + 1 + F.col("i")).alias("seq"), F.col("s.seed").alias("seed"))

@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pairloom.functions.rows import quoted
 from pairloom.functions.text import UNIT
 from pairloom.functions.verdict import FAILED, parse_responses, tier
 from pairloom.operators.ordering import cut_values, first_rows, last_wins, shuffle_key
+from pairloom.schemas import JUDGMENT
+from pairloom.session import stage
 
 Scorer = Callable[[DataFrame], DataFrame]
 
-# --- fixed values: request texts of the shipped rubrics and the length of the quoted output ---
-QUOTED_OUTPUT_CHARS = 2000
+# --- fixed values: request texts of the shipped rubrics -------------------------------------------
 BUILTIN_PROMPT = (
     "Evaluate this instruction-response pair:\n\n"
     "INSTRUCTION:\n{instruction}\n\n"
@@ -55,6 +55,7 @@ class Rubric:
     prompt: str = BUILTIN_PROMPT
     temperature: float | None = 0.3
     pass_condition: str | None = None   # optional SQL over the four scores; None: thresholds only
+    output_chars: int | None = None     # how much of the output is quoted; None: all of it
 
 
 BUILTIN = Rubric()
@@ -67,8 +68,10 @@ def render_prompt(rubric: Rubric) -> Column:
     the pair's own texts are never read as placeholders."""
     before, rest = rubric.prompt.split("{instruction}", 1)
     between, after = rest.split("{output}", 1)
-    parts = [quoted(before), "coalesce(instruction, '')", quoted(between),
-             f"substring(coalesce(output, ''), 1, {QUOTED_OUTPUT_CHARS})", quoted(after)]
+    output = "coalesce(output, '')"
+    if rubric.output_chars is not None:
+        output = f"substring({output}, 1, {int(rubric.output_chars)})"
+    parts = [quoted(before), "coalesce(instruction, '')", quoted(between), output, quoted(after)]
     return F.expr(f"concat({', '.join(parts)})")
 
 
@@ -110,14 +113,18 @@ def judge(pairs: DataFrame, scorer: Scorer, rubric: Rubric = BUILTIN, limits: di
           tag: str | None = None, model: str = "", judged_at: str | None = None, order: str = "seq") -> DataFrame:
     """Ask the scorer about every pair and parse what it answers; no answer is a failure row.
 
-    A scorer adds the column ``response`` to the requests and returns every one of them,
-    with NULL where it has no answer.
+    A scorer adds the column ``response`` to the requests and returns every one of them, with NULL where it has
+    no answer; a column ``error`` may say why. Every request is asked once only if what it returns is stored.
     """
     answers = scorer(judge_requests(pairs, rubric, order))
     missing = {order, "pair_id", "response"} - set(answers.columns)
     if missing:
         raise ValueError(f"the scorer lost the columns {sorted(missing)}")
-    return verdicts(answers.select(order, "pair_id", "response"), rubric, limits, tag, model, judged_at)
+    if "error" not in answers.columns:
+        return verdicts(answers.select(order, "pair_id", "response"), rubric, limits, tag, model, judged_at)
+    judged = verdicts(answers.select(order, "pair_id", "response", "error"), rubric, limits, tag, model, judged_at)
+    told = F.when(F.col("error").isNotNull(), F.concat(F.lit(f"{FAILED}: "), F.col("error")))
+    return judged.withColumn("judgment_reasoning", F.coalesce(told, "judgment_reasoning")).drop("error")
 
 
 def verdicts(responses: DataFrame, rubric: Rubric = BUILTIN, limits: dict[str, float] | None = None,
@@ -142,6 +149,13 @@ def is_failure(reasoning: str = "judgment_reasoning") -> Column:
     return F.coalesce(F.col(reasoning).startswith(f"{FAILED}:"), F.lit(False))
 
 
+def cache_rows(scored: DataFrame, rubric: Rubric, backend: str, model: str, written: int = 0) -> DataFrame:
+    """Judgments as cache rows: the key, the judgment and the write stamp; failures are left out."""
+    names = [f.name for f in JUDGMENT if f.name != "tag"]
+    return scored.filter(~is_failure()).select(
+        cache_key(rubric, backend, model).alias("key"), *names, F.lit(written).cast("bigint").alias("written"))
+
+
 @dataclass
 class IncrementalRun:
     judgments: DataFrame   # every pair, from the cache or fresh
@@ -152,23 +166,23 @@ class IncrementalRun:
 def judge_incremental(pairs: DataFrame, cache: DataFrame, scorer: Scorer, rubric: Rubric = BUILTIN,
                       backend: str = "", model: str = "", limits: dict[str, float] | None = None,
                       tag: str | None = None, judged_at: str | None = None, enabled: bool = True, order: str = "seq",
-                      stage: Callable[[DataFrame], DataFrame] | None = None) -> IncrementalRun:
+                      stage: Callable[[DataFrame], DataFrame] = stage, written: int = 0) -> IncrementalRun:
     """Judge only what the cache does not hold.
 
-    ``cache`` has a column ``key`` and the judgment columns; the last row of a key counts. Hits keep their judgment and
-    take this run's tag; misses are scored, and all but failures are new cache rows. The
-    scorer runs once if the misses are staged.
+    ``cache`` has the columns of ``cache_rows`` and serves any number of datasets: it knows no row order, only ``key`` and
+    the stamp ``written``, whose largest value counts. Hits keep their judgment and take this run's tag; misses are
+    scored, and all but failures are new cache rows with this run's stamp. Only ids and row places meet
+    the cache; the texts of the misses follow by place. The misses are staged, so the scorer runs once.
     """
-    keyed = pairs.withColumn("key", cache_key(rubric, backend, model, F.col("id")))
-    held = last_wins(cache if enabled else cache.filter(F.lit(False)), "key", order)
+    keyed = pairs.select(order, F.col("id").alias("pair_id"), cache_key(rubric, backend, model, F.col("id")).alias("key"))
+    held = last_wins(cache if enabled else cache.filter(F.lit(False)), "key", "written")
     missing = keyed.join(held.select("key"), "key", "left_anti")
-    scored = judge(missing, scorer, rubric, limits, tag, model, judged_at, order)
-    scored = stage(scored) if stage else scored
-    kept = held.drop("pair_id", order)
-    hits = keyed.select(order, F.col("id").alias("pair_id"), "key").join(kept, "key") \
-        .withColumn("tag", F.lit(tag).cast("string"))
+    asked = pairs.join(missing.select(order), order, "left_semi")
+    scored = stage(judge(asked, scorer, rubric, limits, tag, model, judged_at, order))
+    kept = held.drop("pair_id", "written")
+    hits = keyed.join(kept, "key").withColumn("tag", F.lit(tag).cast("string"))
     judgments = hits.select(*scored.columns).unionByName(scored)
-    fresh = scored.filter(~is_failure()).withColumn("key", cache_key(rubric, backend, model))
+    fresh = cache_rows(scored, rubric, backend, model, written)
     fresh = fresh if enabled else fresh.filter(F.lit(False))
     one = lambda df, name: df.select(F.lit(name).alias("k"))
     events = one(hits, "hits").unionByName(one(scored, "misses")).unionByName(one(fresh, "writes"))
@@ -228,40 +242,51 @@ def rule_scorer(requests: DataFrame) -> DataFrame:
     return requests.withColumn("response", F.expr(response))
 
 
-Answer = Callable[[list[str], float | None], list[str | None]]
+Answer = Callable[[list[str], float | None], Iterable[str | None]]
 
 
 def python_scorer(answer: Answer, tasks: int | None = None) -> Scorer:
     """A scorer from a Python function: a batch of prompts in, as many response texts (or None) out.
 
-    Runs in every task over Arrow batches; the number of requests in flight is the number
-    of tasks. An error of the function makes its batch fail pair by pair, never the job.
+    Runs in every task over Arrow batches; the number of requests in flight is the number of tasks. An error
+    of the function never fails the job; its type and message go into ``error``. If the function yields its answers one
+    by one, those before the error stay and only the prompt at which it occurred fails; if it fails before
+    any answer, the prompts are asked one by one. The function that runs on the workers needs nothing of this package.
     """
 
     def score(requests: DataFrame) -> DataFrame:
         keep = [c for c in requests.columns if c not in ("prompt", "temperature")]
-        schema = T.StructType([*(requests.schema[c] for c in keep), T.StructField("response", T.StringType())])
+        schema = T.StructType([*(requests.schema[c] for c in keep), T.StructField("response", T.StringType()),
+                               T.StructField("error", T.StringType())])
+
+        def ask(prompts: list, temperature: float | None) -> list:
+            done, error = [], None
+            try:
+                for given in answer(prompts, temperature):
+                    done.append((given, None))
+                    if len(done) == len(prompts):
+                        return done
+            except Exception as e:  # any error of the caller's function is a failed answer
+                error = f"{type(e).__name__}: {e}"
+            if len(prompts) == 1:
+                return [(None, error)]
+            if done and error:
+                rest = prompts[len(done) + 1:]
+                return done + [(None, error)] + (ask(rest, temperature) if rest else [])
+            return done + [x for p in prompts[len(done):] for x in ask([p], temperature)]
+
+        def run(batches):
+            import pyarrow as arrow
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if batch.num_rows:
                     temperature = batch.column("temperature")[0].as_py()
-                    texts = _answers(answer, batch.column("prompt").to_pylist(), temperature)
-                    columns = [*(batch.column(c) for c in keep), pa.array(texts, pa.string())]
-                    yield pa.RecordBatch.from_arrays(columns, names=[*keep, "response"])
+                    told = ask(batch.column("prompt").to_pylist(), temperature)
+                    columns = [*(batch.column(c) for c in keep), arrow.array([t for t, _ in told], arrow.string()),
+                               arrow.array([e for _, e in told], arrow.string())]
+                    yield arrow.RecordBatch.from_arrays(columns, names=[*keep, "response", "error"])
 
         spread = requests.repartition(tasks) if tasks else requests
         return spread.mapInArrow(run, schema)
 
     return score
-
-
-def _answers(answer: Answer, prompts: list[str], temperature: float | None) -> list[str | None]:
-    """The answers to a batch; when the batch fails, those of its prompts one by one."""
-    try:
-        texts = list(answer(prompts, temperature))
-    except Exception:
-        texts = []
-    if len(texts) == len(prompts):
-        return texts
-    return [None] if len(prompts) == 1 else [_answers(answer, [p], temperature)[0] for p in prompts]

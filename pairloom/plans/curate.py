@@ -8,13 +8,14 @@ costs only the step that was running.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from pairloom.operators import checks, compare, evaluate, export, ingest, judge, labels, profile
-from pairloom.session import stage
+from pairloom.session import configure, scratch, stage
 from pairloom.sources.readers import read_rows, source_kind
 from pairloom.sources.store import DatasetStore, write_pairs
 
@@ -54,7 +55,7 @@ def step_ingest(job: Job, spec: dict) -> DataFrame:
     if isinstance(source, DataFrame):
         raw, kind = source, "table"
     else:
-        raw = read_rows(job.spark, source, spec.get("format", "auto"), spec.get("split"))
+        raw = read_rows(job.spark, source, spec.get("format", "auto"), spec.get("split"), spec.get("multiline", False))
         kind = source_kind(source, spec.get("format", "auto"))
     if spec.get("dry_run"):
         return ingest.preview(raw)
@@ -89,21 +90,24 @@ def step_judge(job: Job, spec: dict) -> DataFrame:
     rubric = spec.get("rubric", judge.DEFAULT)
     backend = spec.get("backend", "rule")
     pairs = judge.sample_pairs(job.part("pairs"), spec.get("sample"), spec.get("max_pairs")).drop("dataset")
-    cache = None if spec.get("no_cache") else job.store.find("judgment_cache")
     model = spec.get("model", backend)
+    # One cache for all datasets; a partition holds what one rubric, backend and model said.
+    own = {"cache_rubric": rubric.name, "cache_version": rubric.version, "cache_backend": backend, "cache_model": model}
+    cache = None if spec.get("no_cache") else job.store.find("judgment_cache", **own)
     scorer = job.scorers[backend]
     run = tag or backend
     if cache is None:
         scored = judge.judge(pairs, scorer, rubric, spec.get("thresholds"), tag, model, job.now)
         kept = job.store.put(scored, "judgments", dataset=job.dataset, tag=run)
-        fresh = kept.filter(~judge.is_failure()).withColumn("key", judge.cache_key(rubric, backend, model)).drop("dataset")
+        fresh = judge.cache_rows(kept, rubric, backend, model)
     else:
         once = lambda df: job.store.put(df, "scored", dataset=job.dataset, run=run).drop("dataset", "run")
-        merged = judge.judge_incremental(pairs, cache, scorer, rubric, backend, model, spec.get("thresholds"),
-                                         tag, job.now, stage=once)
+        stamp = (cache.agg(F.max("written")).first()[0] or 0) + 1
+        merged = judge.judge_incremental(pairs, cache.drop(*own), scorer, rubric, backend, model, spec.get("thresholds"),
+                                         tag, job.now, stage=once, written=stamp)
         kept, fresh = job.store.put(merged.judgments, "judgments", dataset=job.dataset, tag=run), merged.fresh
     if not spec.get("no_cache"):
-        job.store.put(fresh, "judgment_cache", mode="append")
+        job.store.put(fresh, "judgment_cache", mode="append", **own)
     return judge.run_summary(kept)
 
 
@@ -137,14 +141,18 @@ def step_label(job: Job, spec: dict) -> DataFrame:
 
 def step_export(job: Job, spec: dict) -> DataFrame:
     pairs = job.part("pairs").drop("dataset")
-    assigned = export.export(pairs, spec.get("filter"), job.run_of(spec.get("judgments")), job.latest_labels(),
-                             spec.get("split"), spec.get("seed", 42))
-    if not spec.get("to"):
-        stored = job.store.put(assigned, "exports", dataset=job.dataset)
-        return export.split_sizes(stored)
-    out = assigned if spec.get("split") else assigned.drop("split")
-    write_pairs(out, spec["to"], spec.get("format", "jsonl"))
-    return export.split_sizes(assigned)
+    # The filter and its joins run once, over narrow columns; places and splits then pick the whole rows.
+    chosen = export.filter_pairs(pairs, spec.get("filter"), job.run_of(spec.get("judgments")), job.latest_labels())
+    keys = job.store.put(chosen.select("seq", "id"), "chosen", dataset=job.dataset).drop("dataset")
+    ratios = spec.get("split") or {}
+    ratios = export.parse_split(ratios) if isinstance(ratios, str) else ratios
+    places = job.store.put(export.ratio_split(keys, ratios, spec.get("seed", 42)), "splits", dataset=job.dataset).drop("dataset")
+    assigned = pairs.join(places.select("seq", "split"), "seq")
+    if spec.get("to"):
+        write_pairs(assigned if ratios else assigned.drop("split"), spec["to"], spec.get("format", "jsonl"))
+    else:
+        job.store.put(assigned, "exports", dataset=job.dataset)
+    return export.split_sizes(places)
 
 
 def step_visualize(job: Job, spec: dict) -> DataFrame:
@@ -206,11 +214,13 @@ def run_job(spark: SparkSession, config: dict, root: str, scorers: dict[str, jud
             raise ValueError(f"step #{i} must be a single-key mapping")
         if next(iter(step)) not in STEPS:
             raise ValueError(f"Unknown step: {next(iter(step))}")
+    configure(spark)
     job = Job(spark, DatasetStore(spark, root), config["dataset"], now=now)
     job.scorers.update(scorers or {})
     for i, step in enumerate(config.get("steps") or [], 1):
         (name, spec), = step.items()
-        job.results[f"{i}.{name}"] = STEPS[name](job, spec or {})
+        with scratch(spark) if name != "ingest" or not (spec or {}).get("dry_run") else nullcontext():
+            job.results[f"{i}.{name}"] = STEPS[name](job, spec or {})
     return job
 
 
