@@ -1,7 +1,6 @@
 """Judge responses, verdicts, incremental runs, samples, labels, comparison."""
 
 import json
-import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,56 +14,71 @@ from pairloom.operators.export import check_ratios, export, filter_pairs, parse_
 GOOD = {"coherence": 8.0, "accuracy": 8, "helpfulness": 8, "overall": 8.0, "passed": True, "reasoning": "fine"}
 
 
-def python_rule(text, limits=None):
-    """The parsing rule in plain Python: (coherence, accuracy, helpfulness, overall, passed, reasoning start)."""
-    limits = limits or thresholds()
-    failed = (0.0, 0.0, 0.0, 0.0, False, "Judgment failed:")
-    if text is None:
-        return failed
-    span = text
-    for fence in ("```json", "```"):
-        if fence in text:
-            span = text.split(fence)[1].split("```")[0]
-            break
-    hit = re.search(r"\{[^}]+\}", span)
-    try:
-        data = json.loads((hit.group(0) if hit else span).strip())
-        if not isinstance(data, dict):
-            return failed
-        scores = [float(data.get(k, 5.0)) for k in ("coherence", "accuracy", "helpfulness")]
-        scores.append(float(data.get("overall", sum(scores) / 3)))
-    except ValueError:
-        return (5.0, 5.0, 5.0, 5.0, False, "Parse error")
-    except TypeError:
-        return failed
-    reasoning = data.get("reasoning", "No reasoning provided")
-    if not all(0 <= s <= 10 for s in scores) or not isinstance(reasoning, str):
-        return failed
-    passed = data.get("passed")
-    if passed is None:
-        passed = all(s >= limits[k] for s, k in zip(scores, ("coherence", "accuracy", "helpfulness", "overall")))
-    return (*scores, bool(passed), reasoning)
-
-
+FAILED, UNREAD = (0, 0, 0, 0, False, "Judgment failed:"), (5, 5, 5, 5, False, "Parse error")
+# Response text, then coherence, accuracy, helpfulness, overall, passed and how the reasoning begins.
 RESPONSES = [
-    json.dumps(GOOD), "```json\n" + json.dumps(GOOD) + "\n```", "```\n" + json.dumps(GOOD) + "```", "```json\n" + json.dumps(GOOD),
-    "Sure! " + json.dumps(GOOD) + " bye", "This is not valid JSON", "", "{}", "{ }", "5", "5 trailing", '"text"', "null", "[1, 2]", "1.5",
-    "true", '{"coherence": 9}', '{"coherence": 9, "accuracy": 9, "helpfulness": 9}', '{"coherence": "8", "accuracy": " 7.5 ", "overall": "1e0"}',
-    '{"coherence": "x"}', '{"coherence": null}', '{"coherence": [1]}', '{"accuracy": "x", "coherence": null}', '{"coherence": "x", "accuracy": null}',
-    '{"overall": 11}', '{"overall": -0.5}', '{"overall": "inf"}', '{"overall": "nan"}', '{"overall": "8d"}', '{"overall": "1_0"}', '{"overall": "_1"}',
-    '{"overall": true}', '{"overall": 9, "passed": "false"}', '{"passed": ""}', '{"passed": 0}', '{"passed": 1}', '{"passed": []}', '{"passed": [0]}',
-    '{"passed": null, "overall": 9, "coherence": 9, "accuracy": 9, "helpfulness": 9}', '{"detail": {"a": 1}, "overall": 9}', '{"reasoning": 5}',
-    '{"reasoning": null}', '{"reasoning": "a } b"}', '{"overall": 7, "coherence": 6, "accuracy": 6, "helpfulness": 6}',
-    '{"overall": 6.999, "coherence": 6, "accuracy": 6, "helpfulness": 6}', "```json```", "``` ```json {\"overall\": 3}", '{"a": 1} {"overall": 2}',
-    '{"overall": 1.}', '{"overall": 01}', "{'overall': 1}", '{"overall": 1,}', '{"overall": 8, "overall": 4}', ' {"overall": 3} ', None,
+    (json.dumps(GOOD), (8, 8, 8, 8, True, 'fine')),
+    ('```json\n' + json.dumps(GOOD) + '\n```', (8, 8, 8, 8, True, 'fine')),
+    ('```\n' + json.dumps(GOOD) + '```', (8, 8, 8, 8, True, 'fine')),
+    ('```json\n' + json.dumps(GOOD), (8, 8, 8, 8, True, 'fine')),
+    ('Sure! ' + json.dumps(GOOD) + ' bye', (8, 8, 8, 8, True, 'fine')),
+    ('This is not valid JSON', UNREAD),
+    ('', UNREAD),
+    ('{}', (5, 5, 5, 5, False, 'No reasoning provided')),
+    ('{ }', (5, 5, 5, 5, False, 'No reasoning provided')),
+    ('5', FAILED),
+    ('5 trailing', UNREAD),
+    ('"text"', FAILED),
+    ('null', FAILED),
+    ('[1, 2]', FAILED),
+    ('1.5', FAILED),
+    ('true', FAILED),
+    ('{"coherence": 9}', (9, 5, 5, 6.333333333333333, False, 'No reasoning provided')),
+    ('{"coherence": 9, "accuracy": 9, "helpfulness": 9}', (9, 9, 9, 9, True, 'No reasoning provided')),
+    ('{"coherence": "8", "accuracy": " 7.5 ", "overall": "1e0"}', (8, 7.5, 5, 1, False, 'No reasoning provided')),
+    ('{"coherence": "x"}', UNREAD),
+    ('{"coherence": null}', FAILED),
+    ('{"coherence": [1]}', FAILED),
+    ('{"accuracy": "x", "coherence": null}', FAILED),
+    ('{"coherence": "x", "accuracy": null}', UNREAD),
+    ('{"overall": 11}', FAILED),
+    ('{"overall": -0.5}', FAILED),
+    ('{"overall": "inf"}', FAILED),
+    ('{"overall": "nan"}', FAILED),
+    ('{"overall": "8d"}', UNREAD),
+    ('{"overall": "1_0"}', (5, 5, 5, 10, False, 'No reasoning provided')),
+    ('{"overall": "_1"}', UNREAD),
+    ('{"overall": true}', (5, 5, 5, 1, False, 'No reasoning provided')),
+    ('{"overall": 9, "passed": "false"}', (5, 5, 5, 9, True, 'No reasoning provided')),
+    ('{"passed": ""}', (5, 5, 5, 5, False, 'No reasoning provided')),
+    ('{"passed": 0}', (5, 5, 5, 5, False, 'No reasoning provided')),
+    ('{"passed": 1}', (5, 5, 5, 5, True, 'No reasoning provided')),
+    ('{"passed": []}', (5, 5, 5, 5, False, 'No reasoning provided')),
+    ('{"passed": [0]}', (5, 5, 5, 5, True, 'No reasoning provided')),
+    ('{"passed": null, "overall": 9, "coherence": 9, "accuracy": 9, "helpfulness": 9}', (9, 9, 9, 9, True, 'No reasoning provided')),
+    ('{"detail": {"a": 1}, "overall": 9}', UNREAD),
+    ('{"reasoning": 5}', FAILED),
+    ('{"reasoning": null}', FAILED),
+    ('{"reasoning": "a } b"}', UNREAD),
+    ('{"overall": 7, "coherence": 6, "accuracy": 6, "helpfulness": 6}', (6, 6, 6, 7, True, 'No reasoning provided')),
+    ('{"overall": 6.999, "coherence": 6, "accuracy": 6, "helpfulness": 6}', (6, 6, 6, 6.999, False, 'No reasoning provided')),
+    ('```json```', UNREAD),
+    ('``` ```json {"overall": 3}', (5, 5, 5, 3, False, 'No reasoning provided')),
+    ('{"a": 1} {"overall": 2}', (5, 5, 5, 5, False, 'No reasoning provided')),
+    ('{"overall": 1.}', UNREAD),
+    ('{"overall": 01}', UNREAD),
+    ("{'overall': 1}", UNREAD),
+    ('{"overall": 1,}', UNREAD),
+    ('{"overall": 8, "overall": 4}', (5, 5, 5, 4, False, 'No reasoning provided')),
+    ('\xa0{"overall": 3}\xa0', (5, 5, 5, 3, False, 'No reasoning provided')),
+    (None, FAILED),
 ]
 
 
-def test_responses_like_python(spark):
-    df = spark.createDataFrame([(i, str(i), r) for i, r in enumerate(RESPONSES)], "seq int, pair_id string, response string")
+def test_responses(spark):
+    df = spark.createDataFrame([(i, str(i), r) for i, (r, _) in enumerate(RESPONSES)], "seq int, pair_id string, response string")
     rows = judge.verdicts(df).orderBy("seq").collect()
-    for text, r in zip(RESPONSES, rows):
-        want = python_rule(text)
+    for (text, want), r in zip(RESPONSES, rows):
         assert (*tuple(r.scores), r.passed) == pytest.approx(want[:5]), text
         assert r.judgment_reasoning.startswith(want[5]), (text, r.judgment_reasoning)
 
@@ -88,7 +102,8 @@ def test_thresholds_and_rule(spark):
 def test_prompt_quotes_the_texts(pairs_of):
     pairs = pairs_of([(1, "say {output} 'x'", "é" * 2500)])
     prompt = judge.judge_requests(pairs).first().prompt
-    assert "say {output} 'x'" in prompt and prompt.count("é") == 2000 and prompt.endswith('"brief explanation"}')
+    assert "say {output} 'x'" in prompt and prompt.count("é") == 2500 and prompt.endswith('"brief explanation"}')
+    assert judge.judge_requests(pairs, judge.Rubric(output_chars=2000)).first().prompt.count("é") == 2000
 
 
 def test_scorer_hook_survives_errors(pairs_of):
@@ -99,7 +114,18 @@ def test_scorer_hook_survives_errors(pairs_of):
 
     pairs = pairs_of([(1, "fine", "x"), (2, "boom", "x"), (3, "ok", "y")]).withColumn("seq", F.struct(F.lit("f").alias("file"), "seq"))
     rows = {r.pair_id: (r.passed, r.judgment_reasoning) for r in judge.judge(pairs, judge.python_scorer(answer, tasks=2)).collect()}
-    assert rows == {"1": (True, "fine"), "2": (False, "Judgment failed: no response"), "3": (True, "fine")}
+    assert rows == {"1": (True, "fine"), "2": (False, "Judgment failed: RuntimeError: no"), "3": (True, "fine")}
+    asked = []
+
+    def one_by_one(prompts, temperature):
+        for p in prompts:
+            asked.append(p)
+            if "boom" in p:
+                raise TimeoutError("late")
+            yield json.dumps(GOOD | {"reasoning": f"asked {sum(p == q for q in asked)}"})
+
+    rows = {r.pair_id: (r.passed, r.judgment_reasoning) for r in judge.judge(pairs, judge.python_scorer(one_by_one, tasks=1)).collect()}
+    assert rows == {"1": (True, "asked 1"), "2": (False, "Judgment failed: TimeoutError: late"), "3": (True, "asked 1")}
     short = judge.judge(pairs, judge.python_scorer(lambda prompts, temperature: [], tasks=1))
     assert {r.judgment_reasoning for r in short.collect()} == {"Judgment failed: no response"}
     with pytest.raises(ValueError, match="lost"):
@@ -108,7 +134,7 @@ def test_scorer_hook_survives_errors(pairs_of):
 
 def test_cache(spark, pairs_of):
     pairs = pairs_of([(i, f"text {i}", "out") for i in range(10)])
-    empty = judge.judge(pairs.limit(0), judge.rule_scorer).withColumn("key", F.lit(""))
+    empty = judge.cache_rows(judge.judge(pairs.limit(0), judge.rule_scorer), judge.BUILTIN, "", "")
     first = judge.judge_incremental(pairs, empty, judge.rule_scorer, tag="one")
     assert tuple(first.stats.first()) == (0, 10, 10)
     second = judge.judge_incremental(pairs, first.fresh, judge.rule_scorer, tag="two")
@@ -116,14 +142,17 @@ def test_cache(spark, pairs_of):
     assert second.judgments.filter("tag = 'two'").count() == 10
     off = judge.judge_incremental(pairs, first.fresh, judge.rule_scorer, enabled=False)
     assert tuple(off.stats.first()) == (0, 10, 0)
-    twice = judge.judge_incremental(pairs, first.fresh.unionByName(first.fresh), judge.rule_scorer)
-    assert twice.judgments.count() == 10
+    later = first.fresh.withColumns({"written": F.lit(5).cast("bigint"), "judgment_reasoning": F.lit("later")})
+    twice = judge.judge_incremental(pairs, first.fresh.unionByName(later), judge.rule_scorer)
+    assert twice.judgments.filter("judgment_reasoning = 'later'").count() == twice.judgments.count() == 10
+    other = pairs.withColumn("seq", F.struct(F.lit("file").alias("file"), "seq"))
+    assert tuple(judge.judge_incremental(other, first.fresh, judge.rule_scorer).stats.first()) == (10, 0, 0)
 
 
 def test_failures_are_not_cached(pairs_of):
     pairs = pairs_of([(1, "a", "b"), (2, "c", "d")])
     answers = lambda req: req.withColumn("response", F.when(F.col("pair_id") == "1", "no json"))
-    empty = judge.judge(pairs.limit(0), judge.rule_scorer).withColumn("key", F.lit(""))
+    empty = judge.cache_rows(judge.judge(pairs.limit(0), judge.rule_scorer), judge.BUILTIN, "", "")
     run = judge.judge_incremental(pairs, empty, answers)
     assert tuple(run.stats.first()) == (0, 2, 1)
     assert run.fresh.first().judgment_reasoning == "Parse error"
@@ -192,8 +221,9 @@ def test_appending_labels(spark, labels_of):
 
 def test_review_queue(pairs_of, judgments_of, labels_of):
     pairs = pairs_of([("a", "1", "x" * 700), ("b", "2", "y")])
-    row = labels.review_queue(pairs, judgments_of([("a", True, 7.25, "t", "r" * 200)]), labels_of([("b", "approved")])).collect()
-    assert [(r.id, len(r.output), r.overall, len(r.reasoning)) for r in row] == [("a", 600, "7.2", 120)]
+    judged, done = judgments_of([("a", True, 7.25, "t", "r" * 200)]), labels_of([("b", "approved")])
+    shown = lambda **cut: [(r.id, len(r.output), r.overall, len(r.reasoning)) for r in labels.review_queue(pairs, judged, done, **cut).collect()]
+    assert shown() == [("a", 700, "7.2", 200)] and shown(output_chars=600, reasoning_chars=120) == [("a", 600, "7.2", 120)]
     assert labels.review_queue(pairs, None, labels_of([("b", "approved")]), resume=False).count() == 2
 
 

@@ -11,7 +11,7 @@ from pairloom.session import new_folder, stage
 from pairloom.sources import readers, store
 from workload import inputs as I
 from workload.registry import query
-from workload.sqltext import (COUNTS, DIRTY, DOCS, generated, issues_of, norm, pair_hash as sql_hash, pair_id as sql_pair_id,
+from workload.sqltext import (COUNTS, DIRTY, DOCS, TURNS, generated, issues_of, norm, pair_hash as sql_hash, pair_id as sql_pair_id,
                               pairs_of, pii, strip, uuid5 as sql_uuid5)
 
 ISSUE_COLUMNS = '"seq", pair_id, "check", severity, message, field'
@@ -88,7 +88,7 @@ def checksum(spark, sf):
     return ingest.fingerprint(ingest.ingest(I.raw_docs(spark, sf)))
 
 
-@query("B9 N14", f"""WITH {DOCS}, {_FINGERPRINT}
+@query("B9", f"""WITH {DOCS}, {_FINGERPRINT}
 SELECT 'docs' AS name, 'table' AS source, row_count, 'web' AS tags, 'prompt' AS mapped, checksum FROM sums""")
 def dataset_meta(spark, sf):
     pairs = ingest.ingest(I.raw_docs(spark, sf), {"instruction": "prompt"}, tag="web")
@@ -158,7 +158,7 @@ def csv_source(spark, sf):
     path = new_folder(spark, "csv") + ".csv"
     I.raw_docs(spark, sf).select("prompt", "completion", "topic").write.option("header", True).option("escape", '"') \
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
-    return _topic_report(readers.read_rows(spark, path))
+    return _topic_report(readers.read_rows(spark, path, multiline=True))
 
 
 @query("A4 A12", """SELECT source AS category, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents
@@ -256,7 +256,7 @@ def issue_table(spark, sf):
 _COUNTS = f"WITH {_DIRTY_PAIRS}, {issues_of('pairs')}, {COUNTS}"
 
 
-@query("C8 A11", f"{_COUNTS} SELECT key, n FROM counts UNION ALL SELECT 'total_pairs', count(*) FROM pairs")
+@query("C8", f"{_COUNTS} SELECT key, n FROM counts UNION ALL SELECT 'total_pairs', count(*) FROM pairs")
 def issue_report(spark, sf):
     return checks.report(stage(checks.check_facts(I.dirty_pairs(spark, sf), checks.DEFAULT_CHECKS), "facts"))
 
@@ -299,16 +299,16 @@ def _template_case(expr: str) -> str:
     return f"CASE upper({expr}) {cases} ELSE {quote(generate.TEMPLATES['INSTRUCTION'])} END"
 
 
-@query("D1 K1", f"""SELECT doc_id AS seq, replace({_template_case("CASE lang WHEN 'en' THEN 'qa' WHEN 'fr' THEN 'Reasoning' WHEN 'es' THEN 'CREATIVE' ELSE 'other' END")},
-  '{{seed}}', split_part(text, chr(10), 1)) AS prompt FROM documents""")
+@query("D1", f"""SELECT doc_id AS seq, replace({_template_case("CASE lang WHEN 'en' THEN 'qa' WHEN 'fr' THEN 'Reasoning' WHEN 'es' THEN 'CREATIVE' ELSE 'other' END")},
+  '{{seed}}', text) AS prompt FROM documents""")
 def generation_requests(spark, sf):
     lang = F.col("level")
     name = F.when(lang == "en", "qa").when(lang == "fr", "Reasoning").when(lang == "es", "CREATIVE").otherwise("other")
-    asked = I.raw_docs(spark, sf).select("seq", "level", F.col("prompt").alias("seed"))
+    asked = I.raw_docs(spark, sf).select("seq", "level", F.col("completion").alias("seed"))
     return generate.generation_requests(asked, name).select("seq", "prompt")
 
 
-@query("D2 D3 N13", f"""WITH {DOCS}, seeds AS (SELECT seq, prompt AS seed FROM docs), {generated()}
+@query("D2 D3 N13", f"""WITH {DOCS}, seeds AS (SELECT seq, completion AS seed FROM docs), {generated()}
 SELECT seq, seed AS source_seed, instruction, output, category, 1 AS cycle_id, {sql_uuid5("'generated::1::' || seq || '::' || seed")} AS id FROM gp""")
 def generated_pairs(spark, sf):
     asked = generate.generation_requests(I.seeds(spark, sf))
@@ -318,7 +318,7 @@ def generated_pairs(spark, sf):
 
 @query("D3", """SELECT count(*) AS seeds, count(*) FILTER (doc_id % 7 IN (4, 5)) AS failed FROM documents""")
 def generation_failures(spark, sf):
-    asked = I.raw_docs(spark, sf).select("seq", F.col("prompt").alias("seed"))
+    asked = I.seeds(spark, sf)
     answers = I.generated_texts(asked).filter("response IS NOT NULL")
     pairs = generate.generated_pairs(asked, answers)
     return pairs.agg(F.count(F.lit(1)).alias("seeds"), F.count_if(F.col("output") == generate.GENERATION_FAILED).alias("failed"))
@@ -341,3 +341,87 @@ def scalar_functions(spark, sf):
         one_decimal("(doc_id % 201 / 20D)").alias("shown"),
         F.when(P.is_in(F.col("lang"), ["en", "fr"]), "west").otherwise("other").alias("choice"),
         P.not_equal(F.lit(None).cast("string"), t).alias("differs"))
+
+
+@query("N5", """SELECT doc_id AS seq, (7 * (doc_id + 9007199254740993) + 3) % 7 AS rest, doc_id + 9007199254740993 AS whole,
+  -(doc_id + 9007199254740993) - 1 AS down, 4 AS up_rest FROM documents""")
+def large_integers(spark, sf):
+    """Quotients and remainders of numbers that a double cannot hold."""
+    n = F.col("doc_id") + F.lit(9007199254740993)
+    seven, value = F.lit(7).cast("bigint"), n * 7 + 3
+    return I.table(spark, sf, "documents").select(
+        F.col("doc_id").alias("seq"), P.modulo(value, seven).alias("rest"), P.floor_divide(value, seven).alias("whole"),
+        P.floor_divide(-value, seven).alias("down"), P.modulo(-value, seven).alias("up_rest"))
+
+
+@query("B3", """SELECT doc_id AS seq, CAST(quality AS VARCHAR) AS category, CASE WHEN toxic = 1 THEN 'True' ELSE 'False' END AS difficulty,
+  CASE WHEN quality = 0 THEN '' ELSE '1' END AS instruction FROM labels""")
+def typed_fields(spark, sf):
+    """Numbers and truth values as fields: zero and false are text in the optional ones, missing in the main ones."""
+    rows = I.table(spark, sf, "labels").select(
+        F.col("doc_id").alias("seq"), F.col("quality").alias("prompt"), F.col("quality").alias("label"), (F.col("toxic") == 1).alias("level"))
+    return ingest.normalize_rows(rows).select("seq", "category", "difficulty", "instruction")
+
+
+@query("N14 B10", """SELECT event_id AS seq, CASE event_id % 3 WHEN 0 THEN epoch_us(date_trunc('second', ts)) WHEN 1 THEN epoch_us(date_trunc('second', ts)) - 7200000000
+  ELSE epoch_us(date_trunc('day', ts)) END AS micros FROM events""")
+def timestamp_spellings(spark, sf):
+    """Times with Z, with an offset, and dates alone."""
+    events = I.table(spark, sf, "events")
+    second = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    spelled = F.when(F.col("event_id") % 3 == 0, F.concat(second, F.lit("Z"))).when(
+        F.col("event_id") % 3 == 1, F.concat(second, F.lit("+02:00"))).otherwise(F.date_format("ts", "yyyy-MM-dd"))
+    rows = events.select(F.col("event_id").alias("seq"), F.col("event_id").cast("string").alias("id"), spelled.alias("created_at"))
+    return ingest.canonical_pairs(rows).select("seq", F.unix_micros("created_at").alias("micros"))
+
+
+@query("A2", f"""WITH {TURNS} SELECT {strip('question')} AS instruction, {strip('answer')} AS output, count(*) AS n FROM turns GROUP BY ALL""")
+def json_documents(spark, sf):
+    """One JSON document per conversation, read back."""
+    path = new_folder(spark, "json")
+    turns = I.raw_turns(spark, sf).withColumn("conv", F.floor(F.col("seq") / 1000))
+    listed = turns.groupBy("conv").agg(F.collect_list(F.struct("question", "answer")).alias("data"))
+    listed.repartition("conv").select("conv", F.to_json(F.struct("data")).alias("value")).write.partitionBy("conv").text(path)
+    pairs = ingest.normalize_rows(readers.read_rows(spark, path, "json").select("seq", "row"))
+    return pairs.groupBy("instruction", "output").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("A11 C8", f"{_COUNTS} SELECT key, n FROM counts UNION ALL SELECT 'total_pairs', count(*) FROM pairs")
+def stored_report(spark, sf):
+    """A report written to the store and loaded again."""
+    kept = store.DatasetStore(spark, new_folder(spark, "reports"))
+    facts = stage(checks.check_facts(I.dirty_pairs(spark, sf), checks.DEFAULT_CHECKS), "facts")
+    kept.put(checks.report(facts), "reports", dataset="docs")
+    return kept.get("reports", dataset="docs").select("key", "n")
+
+
+@query("K1 D1", """SELECT r_regionkey AS seq, r_name AS seed FROM region""")
+def listed_seeds(spark, sf):
+    """Seeds given as one line of text: here the names of the five regions."""
+    names = I.table(spark, sf, "region").orderBy("r_regionkey").agg(F.array_join(F.transform(
+        F.sort_array(F.collect_list(F.struct("r_regionkey", "r_name"))), lambda x: x["r_name"]), " , ").alias("line")).first()
+    return generate.seed_list(spark, f"{names.line},")
+
+
+_FILES = f"""WITH {DOCS}, p AS (SELECT {strip('prompt')} AS instruction, {strip('completion')} AS output FROM docs), u AS (
+  SELECT DISTINCT instruction, output FROM p WHERE instruction <> '' OR output <> ''), s AS (
+  SELECT *, {sql_pair_id('instruction', 'output')} AS id FROM u), pairs AS (SELECT row_number() OVER (ORDER BY id) AS seq, * FROM s), {issues_of('pairs')}
+SELECT 'jsonl' AS kind, id, length(output) AS chars FROM pairs WHERE id NOT IN (SELECT pair_id FROM issues WHERE severity = 'error')
+UNION ALL SELECT 'csv', id, length(output) FROM pairs WHERE id NOT IN (SELECT pair_id FROM issues WHERE severity = 'error')"""
+
+
+@query("A1 A3 B7 C9", _FILES)
+def cleaned_files(spark, sf):
+    """JSONL and CSV files through ingest, stored facts and the clean set."""
+    docs = I.raw_docs(spark, sf).select("prompt", "completion", "topic")
+    jsonl, csv = new_folder(spark, "raw") + ".jsonl", new_folder(spark, "raw") + ".csv"
+    docs.select(F.to_json(F.struct(*docs.columns)).alias("value")).write.text(jsonl)
+    docs.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False) \
+        .option("ignoreTrailingWhiteSpace", False).csv(csv)
+    out = None
+    for kind, path in (("jsonl", jsonl), ("csv", csv)):
+        pairs = ingest.ingest(readers.read_rows(spark, path, multiline=True))
+        facts = stage(checks.check_facts(pairs, checks.DEFAULT_CHECKS), "facts")
+        rows = checks.clean(pairs, facts).select(F.lit(kind).alias("kind"), "id", F.length("output").cast("bigint").alias("chars"))
+        out = rows if out is None else out.unionByName(rows)
+    return out

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairloom.functions.verdict import THRESHOLDS, meets
-from pairloom.operators.judge import BUILTIN, cache_key
+from pairloom.operators.judge import BUILTIN, cache_rows
 
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 COPY_OFFSET = 10_000_000
@@ -20,16 +20,9 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """A table in fewer files than there are cores is dealt out by its unique key, so that work on
-    long texts uses all cores. A table of many files is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
-
-
 def raw_docs(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as raw rows: the first line is the prompt, the whole text the completion."""
-    return spread(table(spark, sf, "documents"), "doc_id").select(
+    return table(spark, sf, "documents").select(
         F.col("doc_id").alias("seq"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("prompt"),
         F.col("text").alias("completion"), F.col("source").alias("topic"), F.col("lang").alias("level"))
 
@@ -160,8 +153,8 @@ def label_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def seeds(spark: SparkSession, sf: str) -> DataFrame:
-    """The first line of every document as a seed."""
-    return raw_docs(spark, sf).select("seq", F.col("prompt").alias("seed"))
+    """Every whole document as a seed."""
+    return raw_docs(spark, sf).select("seq", F.col("completion").alias("seed"))
 
 
 def generated_texts(requests: DataFrame) -> DataFrame:
@@ -184,7 +177,7 @@ def cycle_judgments(spark: SparkSession, sf: str) -> DataFrame:
 
 def cache(spark: SparkSession, sf: str) -> DataFrame:
     """Stored judgments of the labelled documents, by cache key."""
-    return judge_b(spark, sf).withColumn("key", cache_key(BUILTIN, BACKEND, MODEL))
+    return cache_rows(judge_b(spark, sf), BUILTIN, BACKEND, MODEL)
 
 
 def predictions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:

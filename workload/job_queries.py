@@ -31,7 +31,7 @@ def failure_seeds(spark, sf):
     return cycles.failure_seeds(I.cycle_pairs(spark, sf).filter("cycle_id = 2"), I.cycle_judgments(spark, sf).filter("cycle_id = 2"))
 
 
-@query("K3", f"""WITH {CYCLES}, {_FAILED_SEEDS}, base AS (SELECT seq, prompt AS seed FROM docs)
+@query("K3", f"""WITH {CYCLES}, {_FAILED_SEEDS}, base AS (SELECT seq, completion AS seed FROM docs)
 SELECT seq, seed FROM base UNION ALL
 SELECT (SELECT max(seq) FROM base) + row_number() OVER (ORDER BY seq), seed FROM fs""")
 def next_cycle_seeds(spark, sf):
@@ -87,12 +87,12 @@ _MAX_CYCLES = 3
 
 def _loop_sql() -> str:
     """The loop unrolled: a cycle after the first takes part while the one before reached the stop limit."""
-    ctes = [DOCS, "seeds1 AS (SELECT seq, prompt AS seed FROM docs)"]
+    ctes = [DOCS, "seeds1 AS (SELECT seq, completion AS seed FROM docs)"]
     for k in range(1, _MAX_CYCLES + 1):
         if k > 1:
             ctes.append(f"""fail{k} AS (SELECT j.seq, p.instruction AS seed FROM run{k - 1} j JOIN pairs{k - 1} p ON p.seq = j.seq
   WHERE NOT j.passed AND p.instruction <> '' ORDER BY j.seq LIMIT 10), seeds{k} AS (
-  SELECT seq, prompt AS seed FROM docs UNION ALL
+  SELECT seq, completion AS seed FROM docs UNION ALL
   SELECT (SELECT max(seq) FROM docs) + row_number() OVER (ORDER BY seq), seed FROM fail{k})""")
         ctes.append(generated(f"seeds{k}", f"pairs{k}"))
         ctes.append(rule_run(f"pairs{k}", f"run{k}", judge.BUILTIN.prompt, (2.5, 1, 2, 2)))

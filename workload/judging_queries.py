@@ -9,6 +9,7 @@ from pairloom.functions.verdict import thresholds
 from pairloom.operators import checks, compare, evaluate, export, ingest, judge, labels, profile
 from pairloom.schemas import CRITERIA
 from pairloom.session import new_folder, stage
+from pairloom.sources.readers import read_jsonl
 from pairloom.sources.store import DatasetStore, append_labels, judgment_records, load_judgments
 from workload import inputs as I
 from workload.registry import query, r6, scores6
@@ -62,7 +63,7 @@ def _prompt_sql(rubric: judge.Rubric, instruction: str = "instruction", output:
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     before, rest = rubric.prompt.split("{instruction}")
     between, after = rest.split("{output}")
-    return f"{quote(before)} || {instruction} || {quote(between)} || substr({output}, 1, 2000) || {quote(after)}"
+    return f"{quote(before)} || {instruction} || {quote(between)} || {output} || {quote(after)}"
 
 
 @query("E3", f"""WITH {DOCS}, {pairs_of('docs')}
@@ -214,8 +215,8 @@ def resumed_labels(spark, sf):
     return labels.resume_labels(new, I.label_docs(spark, sf)).select("pair_id", "status", "tag")
 
 
-@query("F7", f"""WITH {DOCS}, {LAST}, {LABELS} SELECT seq, prompt AS instruction, substr(completion, 1, 600) AS output,
-  printf('%.1f', j.overall) AS overall, j.passed, substr(j.reasoning, 1, 120) AS reasoning
+@query("F7", f"""WITH {DOCS}, {LAST}, {LABELS} SELECT seq, prompt AS instruction, completion AS output,
+  printf('%.1f', j.overall) AS overall, j.passed, j.reasoning AS reasoning
 FROM docs d LEFT JOIN jlast j ON j.pair_id = CAST(d.seq AS VARCHAR) WHERE CAST(d.seq AS VARCHAR) NOT IN (SELECT pair_id FROM lab)"""
        .replace("SELECT seq, prompt", "SELECT d.seq, prompt"))
 def review_queue(spark, sf):
@@ -431,8 +432,9 @@ def top_categories(spark, sf):
 
 
 def _hist(field: str, column: str) -> str:
-    return f"""SELECT '{field}' AS field, CAST(least(floor((x - lo) * 20 / (hi - lo)), 19) AS BIGINT) AS bin, count(*) AS n, min(lo) AS lo, min(hi) AS hi
-  FROM (SELECT CAST(length({column}) AS DOUBLE) AS x FROM docs), (SELECT CAST(min(length({column})) AS DOUBLE) AS lo, CAST(max(length({column})) AS DOUBLE) AS hi FROM docs) GROUP BY 2"""
+    return f"""SELECT '{field}' AS field, b.bin, count(x) AS n, min(lo) AS lo, min(hi) AS hi FROM (SELECT unnest(range(20)) AS bin) b
+  CROSS JOIN (SELECT CAST(min(length({column})) AS DOUBLE) AS lo, CAST(max(length({column})) AS DOUBLE) AS hi FROM docs) e
+  LEFT JOIN (SELECT CAST(length({column}) AS DOUBLE) AS x FROM docs) d ON least(floor((x - lo) * 20 / (hi - lo)), 19) = b.bin GROUP BY b.bin"""
 
 
 @query("J5", f"WITH {DOCS} {_hist('instruction', 'prompt')} UNION ALL {_hist('output', 'completion')}")
@@ -462,3 +464,59 @@ def agreement_matrix(spark, sf):
   (SELECT count(*) FROM jlog) AS judgments, (SELECT count(*) FROM llast) AS labels""")
 def dataset_overview(spark, sf):
     return profile.overview(I.doc_pairs(spark, sf), I.judge_log(spark, sf), labels.latest_labels(I.label_log(spark, sf)))
+
+
+# ----- one cache, failing scorers, stored runs -----
+
+@query("E9 A1", """SELECT run, count(*) AS judged, CASE run WHEN 'second' THEN count(*) ELSE 0 END AS hits,
+  CASE run WHEN 'first' THEN count(*) ELSE 0 END AS misses FROM (
+  SELECT doc_id FROM documents UNION ALL SELECT conv_id FROM nexts WHERE role = 'user' AND next_role = 'assistant'), (VALUES ('first'), ('second')) r(run)
+GROUP BY run""".replace("SELECT run,", "WITH nexts AS (SELECT conv_id, role, lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role FROM conversations) SELECT run,", 1))
+def shared_cache(spark, sf):
+    """Documents and conversations, one with numbers and one with file places as order, judged twice against one store."""
+    store = DatasetStore(spark, new_folder(spark, "cache"))
+    path = new_folder(spark, "turns") + ".jsonl"
+    turns = I.turn_pairs(spark, sf).withColumn("id", F.concat(F.lit("turn-"), "id"))
+    turns.select(F.to_json(F.struct("id", "instruction", "output")).alias("value")).write.text(path)
+    back = read_jsonl(spark, path).select("seq", *[F.try_variant_get("row", f"$.{c}", "string").alias(c) for c in ("id", "instruction", "output")])
+    own = {"cache_rubric": "default", "cache_version": 1, "cache_backend": I.BACKEND, "cache_model": I.MODEL}
+    out = None
+    for turn, name in enumerate(("first", "second")):
+        for pairs in (I.doc_pairs(spark, sf), back):
+            held = store.find("judgment_cache", **own)
+            empty = judge.cache_rows(I.judge_b(spark, sf).limit(0), judge.BUILTIN, I.BACKEND, I.MODEL)
+            run = judge.judge_incremental(pairs, empty if held is None else held.drop(*own), judge.rule_scorer, judge.BUILTIN,
+                                          I.BACKEND, I.MODEL, written=turn)
+            store.put(run.fresh, "judgment_cache", mode="append", **own)
+            rows = stage(run.stats).select(F.lit(name).alias("run"), "hits", "misses")
+            out = rows if out is None else out.unionByName(rows)
+    return out.groupBy("run").agg(F.sum(F.col("hits") + F.col("misses")).alias("judged"), F.sum("hits").alias("hits"), F.sum("misses").alias("misses"))
+
+
+def failing_answers(prompts: list[str], temperature: float | None):
+    """Answers one by one; a request of an odd length times out."""
+    for p in prompts:
+        if len(p) % 2:
+            raise TimeoutError(f"no answer to {len(p)} characters")
+        yield '{"coherence": 8, "accuracy": 8, "helpfulness": 8, "reasoning": "even"}'
+
+
+_ASKED = len(judge.BUILTIN.prompt) - len("{instruction}{output}")
+
+
+@query("E7 E13", f"""WITH {DOCS}, n AS (SELECT CAST(seq AS VARCHAR) AS pair_id, {_ASKED} + length(prompt) + length(completion) AS n FROM docs)
+SELECT pair_id, n % 2 = 0 AS passed, CASE WHEN n % 2 = 0 THEN 8.0 ELSE 0.0 END AS overall,
+  CASE WHEN n % 2 = 0 THEN 'even' ELSE 'Judgment failed: TimeoutError: no answer to ' || n || ' characters' END AS reasoning FROM n""")
+def failing_scorer(spark, sf):
+    made = judge.judge(I.doc_pairs(spark, sf), judge.python_scorer(failing_answers))
+    return made.select("pair_id", "passed", r6("scores.overall", "overall"), F.col("judgment_reasoning").alias("reasoning"))
+
+
+@query("A9 A16", f"""WITH {LOG} SELECT tag, count(*) AS n, count(*) FILTER (passed) AS passed, round(avg(overall), 6) AS avg_overall FROM jlog GROUP BY tag""")
+def exported_runs(spark, sf):
+    """Two runs written as JSON folders named after dataset and tag, beside one of another dataset."""
+    root = new_folder(spark, "runs")
+    for name, run in (("docs.a", I.judge_a(spark, sf)), ("docs.b", I.judge_b(spark, sf)), ("others.a", I.judge_b(spark, sf))):
+        judgment_records(run).write.text(f"{root}/{name}.jsonl")
+    runs = load_judgments(spark, f"{root}/*.jsonl", dataset="docs")
+    return runs.groupBy("tag").agg(F.count(F.lit(1)).alias("n"), F.count_if("passed").alias("passed"), r6(F.avg("scores.overall"), "avg_overall"))

@@ -235,7 +235,7 @@ def rule_run(pairs: str, name: str, prompt: str, limits: tuple = (7, 6, 6, 6)) -
     """Verdicts of the rule scorer for a pairs CTE and a rubric's prompt."""
     o, c, a, h = limits
     fixed = len(prompt) - len("{instruction}{output}")
-    length = f"({fixed} + length(instruction) + least(length(output), 2000))"
+    length = f"({fixed} + length(instruction) + length(output))"
     return f"""{name}_s AS (SELECT seq, id AS pair_id, {rule_response(length)} FROM {pairs}), {name}_o AS (
   SELECT *, (coherence + accuracy + helpfulness) / 3 AS overall FROM {name}_s), {name} AS (
   SELECT *, overall >= {o} AND coherence >= {c} AND accuracy >= {a} AND helpfulness >= {h} AS passed FROM {name}_o)"""
