@@ -59,7 +59,7 @@ def length_histograms(pairs: DataFrame, bins: int = 20) -> DataFrame:
     x = F.col("length").cast("double")
     lo, hi, step = F.col("lo"), F.col("hi"), (F.col("hi") - F.col("lo")) / bins
     edge = lambda i: F.when(i == bins, hi).otherwise(lo + i * step)
-    every = ends.select("field", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).cast("bigint").alias("bin"))
+    every = ends.select("field", "lo", "hi", F.explode(F.expr(f"sequence(0L, {bins - 1}L)")).alias("bin"))
     placed = counts.join(F.broadcast(ends), "field").withColumn(   # two rows
         "guess", F.least(F.floor((x - lo) / (hi - lo) * bins), F.lit(bins - 1)))
     guess = F.col("guess")

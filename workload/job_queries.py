@@ -10,7 +10,7 @@ from pairloom.session import new_folder
 from pairloom.sources.store import DatasetStore
 from workload import inputs as I
 from workload.registry import query, r6
-from workload.sqltext import (COUNTS, CYCLES, DIRTY, DOCS, cut_split, generated, issues_of, pair_id, rule_run, share, strip)
+from workload.sqltext import (COUNTS, CYCLES, DIRTY, DOCS, cut_split, generated, issues_of, pair_hash, pair_id, rule_run, share, strip)
 
 _RATES = ["pass_rate", "avg_quality", "avg_coherence", "avg_accuracy", "avg_helpfulness", "avg_overall"]
 _R6 = ", ".join(f"round({c}, 6) AS {c}" for c in _RATES)
@@ -126,6 +126,8 @@ JOB = {
         {"export": {"filter": "scores.overall >= 3.5 AND label.status = 'approved'", "judgments": "auto", "split": {"train": 0.8, "val": 0.1, "test": 0.1}}},
         {"compare": {"tags": ["a", "b"]}},
         {"calibrate": {"tag": "b"}},
+        {"judge": {"tag": "a2", "thresholds": {"overall": 4.0, "coherence": 2.0, "accuracy": 2.0, "helpfulness": 2.0}}},
+        {"visualize": {}},
     ],
 }
 
@@ -140,6 +142,10 @@ def _job_sql() -> str:
     summary = lambda step, run: f"""SELECT '{step}' AS step, '' AS item, key, value FROM (UNPIVOT (SELECT CAST(count(*) AS DOUBLE) AS judged,
     CAST(count(*) FILTER (passed) AS DOUBLE) AS passed, count(*) FILTER (passed) / count(*) AS pass_share, CAST(0 AS DOUBLE) AS failures,
     avg(overall) AS avg_overall FROM {run}) ON COLUMNS(*) INTO NAME key VALUE value)"""
+    judged = "(SELECT * FROM ra UNION ALL SELECT * FROM rb UNION ALL SELECT * FROM ra)"
+    lengths = lambda c: f"""SELECT '11.visualize' AS step, 'lengths/{c}/' || b.bin AS item, 'y' AS key, CAST(count(x) AS DOUBLE) AS value
+    FROM (SELECT unnest(range(20)) AS bin) b CROSS JOIN (SELECT CAST(min(length({c})) AS DOUBLE) AS lo, CAST(max(length({c})) AS DOUBLE) AS hi FROM pairs) e
+    LEFT JOIN (SELECT CAST(length({c}) AS DOUBLE) AS x FROM pairs) d ON least(floor((x - lo) * 20 / (hi - lo)), 19) = b.bin GROUP BY b.bin"""
     return f"""WITH {DIRTY}, raw AS (SELECT seq, {strip('prompt')} AS i, {strip('completion')} AS o, topic FROM dirty), pairs AS (
   SELECT seq, {pair_id('i', 'o')} AS id, i AS instruction, o AS output, topic AS category FROM raw WHERE i <> '' OR o <> ''
   QUALIFY row_number() OVER (PARTITION BY i, o ORDER BY seq) = 1), {issues_of('pairs')}, {COUNTS},
@@ -170,10 +176,29 @@ def _job_sql() -> str:
   UNION ALL SELECT '6.label', 'approved', 'n', count(*) FROM pairs WHERE category IN ('src1', 'src2')
   UNION ALL SELECT '7.export', split, 'n', count(*) FROM splits GROUP BY split
   UNION ALL SELECT '8.compare', item, key, value FROM (UNPIVOT comparison ON COLUMNS(* EXCLUDE item) INTO NAME key VALUE value)
-  UNION ALL SELECT '9.calibrate', '', key, value FROM (UNPIVOT calib ON COLUMNS(*) INTO NAME key VALUE value))
+  UNION ALL SELECT '9.calibrate', '', key, value FROM (UNPIVOT calib ON COLUMNS(*) INTO NAME key VALUE value)
+  UNION ALL {summary('10.judge', 'ra')}
+  UNION ALL SELECT '11.visualize', 'categories/' || category, 'y', n FROM (
+    SELECT category, count(*) AS n FROM pairs GROUP BY category ORDER BY n DESC, min(seq) LIMIT 20)
+  UNION ALL {lengths('instruction')} UNION ALL {lengths('output')}
+  UNION ALL SELECT '11.visualize', 'validation/' || key, 'y', n FROM counts WHERE key NOT LIKE 'severity:%'
+  UNION ALL SELECT '11.visualize', 'pass_fail/' || o, 'y', count(*) FILTER (passed = (o = 'passed')) FROM {judged}, (VALUES ('passed'), ('failed')) v(o) GROUP BY o
+  UNION ALL SELECT '11.visualize', 'scores/' || b.bin, 'y', count(pair_id) FROM (SELECT unnest(range(10)) AS bin) b
+    LEFT JOIN {judged} ON least(CAST(floor(overall) AS BIGINT), 9) = b.bin GROUP BY b.bin
+  UNION ALL SELECT '11.visualize', 'criteria/' || criterion, 'y', mean FROM (UNPIVOT (SELECT avg(coherence) AS coherence, avg(accuracy) AS accuracy,
+    avg(helpfulness) AS helpfulness, avg(overall) AS overall FROM {judged}) ON COLUMNS(*) INTO NAME criterion VALUE mean)
+  UNION ALL SELECT '11.visualize', 'agreement/' || x || '/' || y, 'y', count(*) FILTER (x = y AND passed = (x = 'true'))
+    FROM ra, (VALUES ('true'), ('false')) v(x), (VALUES ('true'), ('false')) w(y) GROUP BY x, y
+  UNION ALL SELECT '11.visualize', 'labels/' || status, 'y', count(*) FROM final GROUP BY status
+  UNION ALL SELECT '12.clean', '', 'n', count(*) FROM (
+    SELECT seq FROM pairs WHERE id NOT IN (SELECT pair_id FROM issues WHERE severity = 'error')
+    QUALIFY row_number() OVER (PARTITION BY {pair_hash('instruction', 'output')} ORDER BY seq) = 1))
 SELECT step, item, key, round(value, 6) AS value FROM every"""
 
 
 @query("L1 H5", _job_sql())
 def curation_job(spark, sf):
-    return curate.summary(run_documents(spark, sf)).select("step", "item", "key", r6("value"))
+    """Every number of every step, with a second judge run from the cache, all chart data and the size of the clean set."""
+    job = run_documents(spark, sf)
+    job.results["12.clean"] = job.store.get("pairs", dataset="docs.clean").agg(F.count(F.lit(1)).alias("n"))
+    return curate.summary(job).select("step", "item", "key", r6("value"))
