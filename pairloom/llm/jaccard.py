@@ -3,7 +3,8 @@
 1. Equal sets fall into one class by their hash; only classes go on.
 2. Shingles are ordered by how frequent they are, from a sketch of fixed size over all documents, then by
    hash. Two sets that link share a shingle of their prefixes, so classes meet in the index lists of prefix
-   shingles. A list is ordered by size and position; size and position bounds skip what cannot link.
+   shingles. A list is ordered by size and position; size and position bounds skip what cannot link. Two sets
+   that link share many prefix shingles, so a pair with too few common lists is skipped too.
 3. Each list (and each run of like sizes in it) has a pivot. All others are compared with the pivot alone. What is nearly a
    pivot's copy takes its answers from it: it is in its component; a third set that is too far from the
    pivot is too far from it too; and one between is compared by the differences from the pivot, not anew.
@@ -14,11 +15,12 @@ The links found are those that components need; copies and near copies are not e
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pairloom.llm.blocks import U64, byte_hashes, column_bytes, mix, prefix_hash, slices, span_hash, sums, words
 from pairloom.llm.components import components
@@ -125,6 +127,16 @@ def prefix_length(size: np.ndarray, percent: int) -> np.ndarray:
     return size - (size * percent + 99) // 100 + 1
 
 
+def least_hits(size_a: str, size_b: str, percent: int) -> Column:
+    """The smallest number of common prefix shingles of two sets that link.
+
+    Of the common shingles, those up to the earlier end of the two prefixes are in both; behind it, one set has fewer
+    shingles left than it must share.
+    """
+    rest = lambda s: f"(({s} * {percent} + 99) div 100 - 1)"
+    return F.expr(f"ceil(({size_a} + {size_b}) * {percent} / {100 + percent}D - 1e-9) - greatest({rest(size_a)}, {rest(size_b)})")
+
+
 def least_overlap(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     """The smallest intersection of two sets of these sizes that link."""
     return -(-(a + b) * percent // (100 + percent))
@@ -141,9 +153,9 @@ ENTRY = (("tokens", np.uint64), ("doc", np.uint32), ("place", np.uint32), ("sets
 
 
 def index_lists(rows: DataFrame, k: int, percent: int, buckets: int, classes: np.ndarray) -> DataFrame:
-    """Lists of sets that share a prefix shingle: pivot pairs (pivot, other), and whole lists of three or more.
+    """Lists of sets that share a prefix shingle: pairs (pivot, other, sizes, hits) of each range, and the lists.
 
-    Entries travel packed, by ranges of the shingle's hash; sets that occur again in a batch travel once.
+    A list keeps the members that may link with another of its members. Entries travel packed, by ranges of the shingle's hash; sets that occur again in a batch travel once.
     """
     shared = rows.sparkSession.sparkContext.broadcast(classes)
     names = ["bucket", *[n for n, _ in ENTRY]]
@@ -191,7 +203,8 @@ def index_lists(rows: DataFrame, k: int, percent: int, buckets: int, classes: np
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*out))], names=names)
 
-    kinds = [("pivot", pa.int64()), ("other", pa.int64()), ("list", pa.int64()),
+    kinds = [("pivot", pa.int64()), ("other", pa.int64()), ("pivot_size", pa.int32()), ("other_size", pa.int32()),
+             ("hits", pa.int32()), ("list", pa.int64()),
              ("members", pa.list_(pa.struct([("set", pa.int64()), ("size", pa.int32()), ("place", pa.int32()), ("pivot", pa.int64())])))]
 
     def lists(table: pa.Table) -> pa.Table:
@@ -208,35 +221,63 @@ def index_lists(rows: DataFrame, k: int, percent: int, buckets: int, classes: np
         tokens, sets, sizes, places = tokens[new], sets[new], sizes[new], places[new]
         first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
         length = np.diff(np.append(first, len(tokens)))
-        pairs: set[tuple[int, int]] = set()
+        pairs: Counter[tuple[int, int, int, int]] = Counter()
         rows = []
         for a, n in zip(first[length > 1].tolist(), length[length > 1].tolist()):
-            some, size, place = sets[a:a + n], sizes[a:a + n], places[a:a + n]
+            live = _live(sizes[a:a + n], places[a:a + n], percent)
+            some, size, place = sets[a:a + n][live], sizes[a:a + n][live], places[a:a + n][live]
+            if len(some) < 2:
+                continue
             pivots = _pivots(some, size, percent)
             at = np.array([np.flatnonzero(some == p)[0] for p in np.unique(pivots).tolist()])
             own = {int(some[i]): i for i in at.tolist()}
             mine = np.array([own[p] for p in pivots.tolist()])
             near = may_link(size, place, size[mine], place[mine], percent) & (some != pivots)
-            pairs.update(zip(pivots[near].tolist(), some[near].tolist()))
+            pairs.update(zip(pivots[near].tolist(), some[near].tolist(), size[mine][near].tolist(), size[near].tolist()))
             at.sort()
             for i, j in zip(at.tolist(), at[1:].tolist()):  # pivots of neighbouring sizes
                 if may_link(size[i], place[i], size[j], place[j], percent):
-                    pairs.add((int(min(some[i], some[j])), int(max(some[i], some[j]))))
-            if n > 2:
-                rows.append((int(tokens[a:a + 1].view(np.int64)[0]), [
-                    {"set": s, "size": z, "place": q, "pivot": p}
-                    for s, z, q, p in zip(some.tolist(), size.tolist(), place.tolist(), pivots.tolist())]))
+                    i, j = (i, j) if some[i] < some[j] else (j, i)
+                    pairs[int(some[i]), int(some[j]), int(size[i]), int(size[j])] += 1
+            rows.append((int(tokens[a:a + 1].view(np.int64)[0]), [
+                {"set": s, "size": z, "place": q, "pivot": p}
+                for s, z, q, p in zip(some.tolist(), size.tolist(), place.tolist(), pivots.tolist())]))
         left = sorted(pairs)
         nothing = [None] * len(rows)
-        columns = [[p for p, _ in left] + nothing, [o for _, o in left] + nothing, [None] * len(left) + [r[0] for r in rows],
-                   [None] * len(left) + [r[1] for r in rows]]
+        columns = [[k[i] for k in left] + nothing for i in range(4)] + [[pairs[k] for k in left] + nothing]
+        columns += [[None] * len(left) + [r[i] for r in rows] for i in range(2)]
         return pa.table({name: pa.array(c, kind) for (name, kind), c in zip(kinds, columns)})
 
     wire = "bucket int, " + ", ".join(f"{n} binary" for n in names[1:])
-    made = "pivot long, other long, list long, members array<struct<set:long,size:int,place:int,pivot:long>>"
+    made = "pivot long, other long, pivot_size int, other_size int, hits int, list long, members array<struct<set:long,size:int,place:int,pivot:long>>"
     return rows.mapInArrow(entries, wire).groupBy("bucket").applyInArrow(lists, made)
 
 
+def _live(size: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:
+    """Which entries of a list, ordered by size, may link with another one.
+
+    The next entry is tried first, then all in blocks of like sizes; a block whose bounds exclude it is skipped.
+    """
+    live = np.zeros(len(size), bool)
+    near = may_link(size[:-1], place[:-1], size[1:], place[1:], percent)
+    live[:-1] |= near
+    live[1:] |= near
+    for i in np.flatnonzero(~live).tolist():
+        low = int(np.searchsorted(size, -(-size[i] * percent // 100)))
+        high = int(np.searchsorted(size, size[i] * 100 // percent, "right"))
+        for at in range(low, high, 256):
+            block = np.arange(at, min(at + 256, high))
+            most = np.minimum(place[i], place[block].max()) + np.minimum(size[i] - place[i], (size[block] - place[block]).max())
+            if most < least_overlap(size[i], size[block[0]], percent):
+                continue
+            found = may_link(size[i], place[i], size[block], place[block], percent) & (block != i)
+            if found.any():
+                live[i] = True
+                live[block[found]] = True
+                break
+    return live
+
+
 def _pivots(sets: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray:
     """The pivot of each entry of a list that is ordered by size: the least set id of a run of like sizes."""
     out = np.empty_like(sets)
@@ -248,8 +289,14 @@ def _pivots(sets: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray:
     return out
 
 
+def few(narrow: DataFrame, most: int = 500_000) -> DataFrame:
+    """A stored table of a few numbers a row, to be broadcast if it has at most ``most`` rows; else joins shuffle."""
+    return F.broadcast(narrow) if narrow.count() <= most else narrow
+
+
 def stored_sets(rows: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """(set, tokens) of the wanted documents (id, key)."""
+    wanted = few(wanted)
     picked = rows.join(wanted, rows["id"].eqNullSafe(wanted["w_id"]) & (rows["key"] == wanted["w_key"])).select("id", "key", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,11 +366,11 @@ def compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     one chunk take part in that join.
     """
     sizes = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks")).filter("chunks > 1")
-    chunked = pairs.join(sizes, "pivot", "left").select(
-        "pivot", "other", F.pmod(F.xxhash64("other"), F.coalesce("chunks", F.lit(1))).cast("int").alias("chunk"))
-    members = chunked.join(sets.withColumnRenamed("set", "other"), "other").select(
+    chunked = stage(pairs.join(sizes, "pivot", "left").select(
+        "pivot", "other", F.pmod(F.xxhash64("other"), F.coalesce("chunks", F.lit(1))).cast("int").alias("chunk")), "chunked")
+    members = few(chunked).join(sets.withColumnRenamed("set", "other"), "other").select(
         "pivot", "chunk", F.lit(1).alias("role"), F.col("other").alias("set"), "tokens")
-    heads = chunked.select("pivot", "chunk").distinct().join(sets.withColumnRenamed("set", "pivot"), "pivot").select(
+    heads = few(stage(chunked.select("pivot", "chunk").distinct(), "heads")).join(sets.withColumnRenamed("set", "pivot"), "pivot").select(
         "pivot", "chunk", F.lit(0).alias("role"), F.col("pivot").alias("set"), "tokens")
     rows = members.unionByName(heads).repartition("pivot", "chunk").sortWithinPartitions("pivot", "chunk", "role", "set")
 
@@ -366,7 +413,8 @@ def links_of(compared: DataFrame) -> DataFrame:
 
 
 def open_pairs(lists: DataFrame, compared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of lists that are neither in one component nor excluded by what is known of their pivot."""
+    """Distinct pairs (pivot, other) that share enough lists, are in different components, and are not
+    excluded by what is known of their pivot."""
     members = lists.select("list", F.explode("members").alias("m")).select("list", "m.set", "m.size", "m.place", "m.pivot")
     members = members.join(roots.select(F.col("id").alias("set"), "root"), "set", "left").withColumn("root", F.coalesce("root", "set"))
     mixed = members.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("list")
@@ -377,7 +425,7 @@ def open_pairs(lists: DataFrame, compared: DataFrame, roots: DataFrame, percent:
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gap = 1 - percent / 100 + 1e-9
         for batch in batches:
-            found: set[tuple[int, int]] = set()
+            found: Counter[tuple[int, int, int, int]] = Counter()
             for rows_ in batch.column(1).to_pylist():
                 rows_.sort(key=lambda r: (r["size"], r["place"], r["set"]))
                 col = {n: np.array([r[n] for r in rows_]) for n in ("set", "size", "place", "pivot", "root")}
@@ -395,13 +443,22 @@ def open_pairs(lists: DataFrame, compared: DataFrame, roots: DataFrame, percent:
                     tested = (near[j] | near[i]) & ((chunk[j] == chunk[i]) | is_pivot[j] | is_pivot[i])
                     keep &= ~(same & (apart | tested))
                     for x in np.flatnonzero(keep).tolist():
-                        a, b = int(col["set"][i]), int(col["set"][i + 1 + x])
-                        found.add((min(a, b), max(a, b)))
+                        a, b = (i, i + 1 + x) if col["set"][i] < col["set"][i + 1 + x] else (i + 1 + x, i)
+                        found[int(col["set"][a]), int(col["set"][b]), int(col["size"][a]), int(col["size"][b])] += 1
             left = sorted(found)
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in left], pa.int64()), pa.array([b for _, b in left], pa.int64())],
-                                             names=["pivot", "other"])
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array([k[n] for k in left], kind) for n, kind in enumerate(kinds)], pa.array([found[k] for k in left], pa.int32())],
+                names=["pivot", "other", "pivot_size", "other_size", "hits"])
+
+    made = rows.mapInArrow(pairs, "pivot long, other long, pivot_size int, other_size int, hits int")
+    return strong(made, percent)
+
 
-    return rows.mapInArrow(pairs, "pivot long, other long").distinct()
+def strong(pairs: DataFrame, percent: int) -> DataFrame:
+    """Pairs (pivot, other) with as many hits as two sets that link must have."""
+    total = pairs.groupBy("pivot", "other", "pivot_size", "other_size").agg(F.sum("hits").alias("hits"))
+    return total.filter(F.col("hits") >= least_hits("pivot_size", "other_size", percent)).select("pivot", "other").distinct()
 
 
 def similarity_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
@@ -425,11 +482,11 @@ def similarity_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     read = stage(read_sets(rows, k), "sets-read")
     known = read.filter("chunk IS NULL")
     lists = stage(index_lists(rows, k, percent, buckets, frequency_classes(read)), "lists")
-    pairs = stage(lists.filter("list IS NULL").select("pivot", "other").distinct(), "pairs")
-    in_lists = pairs.select(F.col("pivot").alias("set")).union(pairs.select("other")).union(
-        lists.filter("list IS NOT NULL").select(F.explode("members.set"))).distinct()
+    # A pivot that several lists do not agree on may have lost hits here; then the pair is left open, and the lists decide.
+    pairs = stage(strong(lists.filter("list IS NULL"), percent), "pairs")
+    in_lists = lists.filter("list IS NOT NULL").select(F.explode("members.set").alias("set")).distinct()
     first = known.filter("n > 0").groupBy(F.col("set_id").alias("set")).agg(F.min(F.struct("id", "key")).alias("doc"))
-    wanted = first.join(in_lists, "set", "left_semi").select(F.col("doc.id").alias("w_id"), F.col("doc.key").alias("w_key"))
+    wanted = stage(first.join(in_lists, "set", "left_semi").select(F.col("doc.id").alias("w_id"), F.col("doc.key").alias("w_key")), "wanted")
     sets = stage(stored_sets(rows, wanted, k), "sets")
     compared = stage(compare(pairs, sets, percent), "compared")
     links = links_of(compared)

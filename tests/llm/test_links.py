@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pairloom.llm import components, egojoin, jaccard, queries
 from tests.llm.tables import SMALL, collected, tricky_texts
@@ -171,3 +172,21 @@ def test_no_vectors(spark):
     assert egojoin.near_duplicates(none).count() == 0
     zero = spark.createDataFrame([(2, [0.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in egojoin.near_duplicates(zero).collect()] == [(2, 0, 2, True)]
+
+
+def test_least_hits_is_a_bound(spark):
+    """Sets that link share at least so many shingles of their prefixes, in any order of the shingles."""
+    rng = random.Random(3)
+    rows = []
+    for percent in (60, 80, 85):
+        for _ in range(300):
+            base = rng.sample(range(10_000), rng.randint(1, 120))
+            a = {x for x in base if rng.random() > 0.1} or {1}
+            b = {x for x in base if rng.random() > 0.1} | set(rng.sample(range(10_000, 20_000), rng.randint(0, 6)))
+            if 100 * len(a & b) >= percent * len(a | b):
+                front = [sorted(s)[:int(jaccard.prefix_length(np.array(len(s)), percent))] for s in (a, b)]
+                rows.append((percent, len(a), len(b), len(set(front[0]) & set(front[1]))))
+    table = spark.createDataFrame(rows, "percent int, a int, b int, hits int")
+    for percent in (60, 80, 85):
+        some = table.filter(F.col("percent") == percent).withColumn("least", jaccard.least_hits("a", "b", percent))
+        assert some.count() > 50 and some.filter("hits < least").count() == 0 and some.filter("least > 1").count() > 0
