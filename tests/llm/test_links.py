@@ -181,8 +181,9 @@ def test_least_hits_is_a_bound(spark):
     for percent in (60, 80, 85):
         for _ in range(300):
             base = rng.sample(range(10_000), rng.randint(1, 120))
-            a = {x for x in base if rng.random() > 0.1} or {1}
-            b = {x for x in base if rng.random() > 0.1} | set(rng.sample(range(10_000, 20_000), rng.randint(0, 6)))
+            lost = rng.choice([0, 0.02, 0.05, 0.1])
+            a = {x for x in base if rng.random() > lost} or {1}
+            b = {x for x in base if rng.random() > lost} | set(rng.sample(range(10_000, 20_000), rng.randint(0, 6)))
             if 100 * len(a & b) >= percent * len(a | b):
                 front = [sorted(s)[:int(jaccard.prefix_length(np.array(len(s)), percent))] for s in (a, b)]
                 rows.append((percent, len(a), len(b), len(set(front[0]) & set(front[1]))))
