@@ -12,7 +12,7 @@ from pairloom.functions.rows import quoted
 from pairloom.functions.text import pair_hash
 from pairloom.operators.ordering import HOT_ROWS, join_groups
 
-# --- fixed values: patterns of personal data, tried in this order, and the flagged words ---
+# --- fixed values: patterns of personal data, tried in this order, flagged words, message texts ---
 PII_PATTERNS = {
     "email": r"\b[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}\b",
     "phone": r"\b(?:\+?\d{1,3}[\s-]?)?(?:\(?\d{3}\)?[\s-]?)?\d{3}[\s-]?\d{4}\b",
@@ -23,6 +23,12 @@ FLAGGED_WORDS = ["badword1", "badword2"]
 WORD = r"\p{L}+"
 ALL_CHECKS = ["schema", "length", "dedup", "pii", "lang", "profanity"]
 DEFAULT_CHECKS = ["schema", "length", "dedup", "pii"]
+EMPTY = "{field} is empty"
+SHORT = "instruction shorter than {n} chars"
+LONG = "output longer than {n} chars"
+PERSONAL = ("potential ", " detected")
+OTHER_LANGUAGE = "language != {lang}"
+FLAGGED = "flagged term detected"
 # ---------------------------------------------------------------------------------------------
 
 # Frequent function words per language for the built-in detector; pass your own for others.
@@ -57,12 +63,12 @@ def issue(when: str, check: str, severity: str, message: str, field_name: str |
 
 
 def schema_issues(o: Options) -> list[str]:
-    return [issue(f"{sql} = ''", "schema", "error", quoted(f"{name} is empty"), name)
+    return [issue(f"{sql} = ''", "schema", "error", quoted(EMPTY.format(field=name)), name)
             for name, sql in (("instruction", INSTRUCTION), ("output", OUTPUT))]
 
 
 def length_issues(o: Options) -> list[str]:
-    short, long = (f"instruction shorter than {o.min_instruction_len} chars", f"output longer than {o.max_output_len} chars")
+    short, long = SHORT.format(n=o.min_instruction_len), LONG.format(n=o.max_output_len)
     return [
         issue(f"length({INSTRUCTION}) < {o.min_instruction_len}", "length", "warning", quoted(short), "instruction"),
         issue(f"length({OUTPUT}) > {o.max_output_len}", "length", "warning", quoted(long), "output"),
@@ -87,7 +93,7 @@ def pii_issues(o: Options) -> list[str]:
         return []
     severity = "error" if o.pii_policy == "strict" else "warning"
     kind = pii_kind(f"concat({INSTRUCTION}, '\\n', {OUTPUT})")
-    return [issue(f"{kind} IS NOT NULL", "pii", severity, f"concat('potential ', {kind}, ' detected')")]
+    return [issue(f"{kind} IS NOT NULL", "pii", severity, f"concat({quoted(PERSONAL[0])}, {kind}, {quoted(PERSONAL[1])})")]
 
 
 def detect_language(c: str, words: dict[str, list[str]] = FUNCTION_WORDS) -> str:
@@ -106,7 +112,7 @@ def lang_issues(o: Options) -> list[str]:
     if not o.lang:
         return []
     found = f"`{o.lang_column}`" if o.lang_column else f"({detect_language(INSTRUCTION, o.function_words)})"
-    return [issue(f"{INSTRUCTION} <> '' AND {found} <> {quoted(o.lang)}", "lang", "warning", quoted(f"language != {o.lang}"))]
+    return [issue(f"{INSTRUCTION} <> '' AND {found} <> {quoted(o.lang)}", "lang", "warning", quoted(OTHER_LANGUAGE.format(lang=o.lang)))]
 
 
 def has_flagged_word(blob: str, words: list[str]) -> str:
@@ -121,7 +127,7 @@ def has_flagged_word(blob: str, words: list[str]) -> str:
 
 def profanity_issues(o: Options) -> list[str]:
     hit = has_flagged_word(f"concat({INSTRUCTION}, ' ', {OUTPUT})", o.flagged_words or FLAGGED_WORDS)
-    return [issue(hit, "profanity", "warning", quoted("flagged term detected"))]
+    return [issue(hit, "profanity", "warning", quoted(FLAGGED))]
 
 
 ROW_CHECKS: dict[str, Callable[[Options], list[str]]] = {

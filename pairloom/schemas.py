@@ -50,18 +50,6 @@ LABEL = T.StructType([
     T.StructField("labeled_at", T.TimestampType()),
 ])
 
-ISSUE = T.StructType([
-    T.StructField("check", T.StringType()),
-    T.StructField("severity", T.StringType()),
-    T.StructField("message", T.StringType()),
-    T.StructField("field", T.StringType()),
-])
-
-RESPONSE = T.StructType([
-    T.StructField("pair_id", T.StringType()),
-    T.StructField("response", T.StringType()),
-])
-
 # Score criteria in report order.
 CRITERIA = ["coherence", "accuracy", "helpfulness", "overall"]
 # Label statuses in report order.

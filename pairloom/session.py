@@ -55,17 +55,12 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared one."""
-    return os.path.join(shared_folder(spark).rstrip("/"), f"{name}-{uuid.uuid4().hex}")
-
-
 _owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Tables staged inside go when the block ends; write what must stay elsewhere before."""
+    """Tables staged and folders made inside go when the block ends; write what must stay elsewhere before."""
     token = _owned.set([])
     try:
         yield
@@ -76,6 +71,14 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             remove_folder(spark, path)
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared one."""
+    path = os.path.join(shared_folder(spark).rstrip("/"), f"{name}-{uuid.uuid4().hex}")
+    if (owned := _owned.get()) is not None:
+        owned.append(path)
+    return path
+
+
 def _file_system(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -117,6 +120,4 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = new_folder(spark, name)
     df.write.parquet(path)
-    if (owned := _owned.get()) is not None:
-        owned.append(path)
     return spark.read.schema(df.schema).parquet(path)

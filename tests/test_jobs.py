@@ -241,3 +241,17 @@ def test_sql_twin(spark, duck, name):
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["step", "item", "key", "value"] and df.count() > 20
+
+
+def test_staged_tables_go_with_their_owner(spark):
+    import os
+
+    from pairloom.session import scratch, stage
+
+    kept = stage(spark.range(3))
+    with scratch(spark):
+        gone = stage(spark.range(3))
+        assert gone.count() == 3
+    where = lambda df: df.inputFiles()[0].removeprefix("file://")
+    files = [where(kept), where(gone)]
+    assert [os.path.exists(f) for f in files] == [True, False]
