@@ -55,17 +55,17 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-_owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+_owned: ContextVar[tuple[list[str], ...]] = ContextVar("owned", default=())   # folders of the open blocks
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables staged and folders made inside go when the block ends; write what must stay elsewhere before."""
-    token = _owned.set([])
+    folders: list[str] = []
+    token = _owned.set((*_owned.get(), folders))
     try:
         yield
     finally:
-        folders = _owned.get() or []
         _owned.reset(token)
         for path in folders:
             remove_folder(spark, path)
@@ -74,8 +74,8 @@ def scratch(spark: SparkSession) -> Iterator[None]:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared one."""
     path = os.path.join(shared_folder(spark).rstrip("/"), f"{name}-{uuid.uuid4().hex}")
-    if (owned := _owned.get()) is not None:
-        owned.append(path)
+    if _owned.get():
+        _owned.get()[-1].append(path)
     return path
 
 
@@ -121,3 +121,12 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def hand_over(df: DataFrame, name: str = "result") -> DataFrame:
+    """Stage ``df`` so that it outlives the innermost ``scratch`` block; the block around that one owns it."""
+    token = _owned.set(_owned.get()[:-1])
+    try:
+        return stage(df, name)
+    finally:
+        _owned.reset(token)
