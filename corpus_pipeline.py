@@ -38,7 +38,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark window occurs."""
-    rows = docs.select(F.struct(*docs.columns).alias("doc"))
+    rows = docs.select(F.struct("*").alias("doc"))
     found = decontaminate.find_contamination(
         rows.select("doc", F.col("doc.text").alias("text")), table(spark, sf_dir, "benchmark"), id_col="doc")
     return found.filter(F.size("hits") == 0).select("doc.*")

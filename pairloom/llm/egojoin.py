@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pairloom.llm.components import components
 from pairloom.llm.ship import prepare
-from pairloom.session import stage
+from pairloom.session import hand_over, scratch, stage
 
 #: Leading axes that order the vectors and bound distances.
 AXES = 8
@@ -239,6 +239,12 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_
     prepare(spark)
     if not 0 < least <= 1:
         raise ValueError("the least cosine must be above 0 and at most 1")
+    with scratch(spark):
+        return hand_over(_near_duplicates(vectors, least, id_col, embedding_col), "near-duplicates")
+
+
+def _near_duplicates(vectors: DataFrame, least: float, id_col: str, embedding_col: str) -> DataFrame:
+    """``near_duplicates`` over tables that the caller's scratch block owns."""
     epsilon = float(np.sqrt(max(2 - 2 * least, 1e-12))) * (1 + 1e-9) + 1e-9
     classes = stage(vector_classes(vectors, F.col(embedding_col)).withColumn("id", F.col("one")), "vectors")
     sample = classes.select(F.size("v").alias("width")).first()

@@ -26,7 +26,7 @@ from pairloom.llm.blocks import U64, byte_hashes, column_bytes, mix, prefix_hash
 from pairloom.llm.components import components
 from pairloom.llm.packed import pack, unpack
 from pairloom.llm.ship import prepare
-from pairloom.session import stage
+from pairloom.session import hand_over, scratch, stage
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
@@ -478,7 +478,13 @@ def similarity_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     prepare(spark)
     buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.col(text_col).cast("string")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
+    with scratch(spark):
+        return hand_over(_classes(docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("key"), text.alias("text")),
+                                  k, percent, buckets), "similarity")
+
+
+def _classes(rows: DataFrame, k: int, percent: int, buckets: int) -> DataFrame:
+    """``similarity_classes`` of (id, key, text), over tables that the caller's scratch block owns."""
     read = stage(read_sets(rows, k), "sets-read")
     known = read.filter("chunk IS NULL")
     lists = stage(index_lists(rows, k, percent, buckets, frequency_classes(read)), "lists")
@@ -512,10 +518,9 @@ def one_of_each(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_
     Rows with equal ids count as one document, of which one row stays. Rows with a null id stay if no row of their
     component has an id.
     """
-    keyed = docs.withColumn("_key", F.xxhash64(F.col(text_col).cast("string")))
-    first = found.filter("id = component_id").groupBy(F.col("id").alias(id_col)).agg(F.min("key").alias("_key"))
-    named = keyed.join(first.withColumn(id_col, F.col(id_col).cast(docs.schema[id_col].dataType)), [id_col, "_key"], "left_semi")
-    named = named.dropDuplicates([id_col, "_key"])
-    nameless = found.filter("id IS NULL AND component_id IS NULL").select(F.col("key").alias("_key")).distinct()
-    others = keyed.filter(F.col(id_col).isNull()).join(nameless, "_key", "left_semi")
-    return named.unionByName(others).drop("_key")
+    keyed = docs.select(F.struct("*").alias("doc"), F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("key"))
+    first = found.filter("id = component_id").groupBy("id").agg(F.min("key").alias("key"))
+    named = keyed.join(first, ["id", "key"], "left_semi").dropDuplicates(["id", "key"])
+    nameless = found.filter("id IS NULL AND component_id IS NULL").select("key").distinct()
+    others = keyed.filter("id IS NULL").join(nameless, "key", "left_semi")
+    return named.select("doc.*").unionByName(others.select("doc.*"))

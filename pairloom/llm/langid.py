@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pairloom.llm.blocks import byte_hashes, column_bytes, mix, slices, sums, words
 from pairloom.llm.piececache import PieceCache
 from pairloom.llm.ship import prepare
-from pairloom.session import stage
+from pairloom.session import scratch, stage
 
 ORDER = 5
 #: Distinct characters that the uniform distribution below the single characters shares out.
@@ -171,16 +171,20 @@ def entropies(model: Model, name: str, data: np.ndarray, offsets: np.ndarray) ->
     return np.stack([-c / size for c in columns[:-2]], axis=1), columns[-1] > 0
 
 
-def fit(docs: DataFrame, text: Column, lang: Column, docs_per_language: int = 2000) -> Model:
+def fit(docs: DataFrame, text: Column, lang: Column, docs_per_language: int = 2000, most_languages: int = 200) -> Model:
     """Fit on about ``docs_per_language`` whole texts of each language, chosen by a hash of the text.
 
+    The ``most_languages`` languages with the most texts are learned, which bounds the model.
+
     A fifth of the sample is held back from the counts and calibrates score and rejection.
     Rows with a null language or text are left out. Raises ValueError if no labelled text has a word.
     """
     spark = docs.sparkSession
     prepare(spark)
     rows = docs.select(lang.cast("string").alias("lang"), text.cast("string").alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    counted = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages)
+    sizes = {r.lang: r["count"] for r in counted.collect()}
+    rows = rows.filter(F.col("lang").isin(list(sizes)))
     languages = sorted(sizes)
     if not languages:
         raise ValueError("no labelled text")
@@ -192,8 +196,8 @@ def fit(docs: DataFrame, text: Column, lang: Column, docs_per_language: int = 20
         .mapInArrow(_counted, "lang string, n int, gram long, context long, tail long, middle long, times long")
         .groupBy("lang", "n", "gram", "context", "tail", "middle").agg(F.sum("times").alias("times"))
     )
-    grams = stage(grams, "grams")
-    shares, left = (x.toArrow() for x in kneser_ney(grams))
+    with scratch(spark):
+        shares, left = (x.toArrow() for x in kneser_ney(stage(grams, "grams")))
     if not shares.num_rows:
         raise ValueError("no labelled text has a word")
     model = Model(languages)
@@ -246,7 +250,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", reject: bool
     results = ("lang_pred", "score", "entropy", "rejected")
     docs = docs.drop(*[c for c in results if c != text_col])
     shared, name = spark.sparkContext.broadcast(model), uuid.uuid4().hex
-    rows, field = docs.select(F.struct(*docs.columns).alias("doc")), docs.columns.index(text_col)
+    rows, field = docs.select(F.struct("*").alias("doc")), docs.columns.index(text_col)
     schema = T.StructType([
         T.StructField("doc", rows.schema["doc"].dataType), T.StructField("lang_pred", T.StringType()),
         T.StructField("score", T.DoubleType()), T.StructField("entropy", T.DoubleType()), T.StructField("rejected", T.BooleanType()),

@@ -162,7 +162,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "sc
     prepare(spark)
     docs = docs.drop(name) if name != text_col else docs
     shared = spark.sparkContext.broadcast(model)
-    rows, field = docs.select(F.struct(*docs.columns).alias("doc")), docs.columns.index(text_col)
+    rows, field = docs.select(F.struct("*").alias("doc")), docs.columns.index(text_col)
     schema = T.StructType([T.StructField("doc", rows.schema["doc"].dataType), T.StructField("score", T.DoubleType())])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -168,7 +168,7 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
     key, ident = F.hash(text), F.col(id_col).cast("long")
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     places = repeated_windows(docs, ident, key, text, width, buckets)
-    left = docs.select(F.struct(*docs.columns).alias("doc"), ident.alias("id"), key.alias("key"))
+    left = docs.select(F.struct("*").alias("doc"), ident.alias("id"), key.alias("key"))
     joined = left.join(places, ["id", "key"], "left").select("doc", "places")
     field = docs.columns.index(text_col)
 

@@ -29,9 +29,9 @@ def tricky_texts() -> list[tuple[int | None, str | None]]:
 
 
 def tricky_documents(spark):
-    rows = [(i, t, "en", None, 3, t, 0, 1.5, "x") for i, t in tricky_texts()]
+    rows = [(i, t, "en", None, 3, t, 0, 1.5, "x", 1) for i, t in tricky_texts()]
     return spark.createDataFrame(
-        rows, "doc_id long, text string, lang string, source string, n_chars long, kept string, n_words int, score double, id string"
+        rows, "doc_id long, text string, lang string, source string, n_chars long, kept string, n_words int, score double, id string, key int"
     ).repartition(5)
 
 
