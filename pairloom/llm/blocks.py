@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 #: ``[\x20\x09-\x0D]``, the only bytes between words.
 ASCII_SPACE = np.zeros(256, bool)
@@ -26,7 +26,7 @@ _powers = {}
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """B**i and B**-i modulo 2**64 for i < n."""
     if len(_powers.get("up", ())) < n:
-        size = max(n, SLICE_BYTES + 1)
+        size = max(n, SLICE_BYTES // 2 + 1)
         for name, base in (("up", _BASE), ("down", _INVERSE)):
             steps = np.full(size, base)
             steps[0] = 1

@@ -30,6 +30,8 @@ from pairloom.session import hand_over, scratch, stage
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
+#: Bytes of text that are hashed at a time.
+SLICE = 1 << 20
 SKETCH_BITS = 22
 SKETCH_CHUNK = 1 << 16
 #: Members that are compared with one copy of a pivot in one group of rows.
@@ -72,7 +74,7 @@ def set_ids(shingles: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def _sliced(batch: pa.RecordBatch, column: int, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     data, offsets = column_bytes(batch.column(column))
-    for low, high in slices(offsets):
+    for low, high in slices(offsets, SLICE):
         begin = offsets[low]
         yield low, high, *shingle_sets(data[begin:offsets[high]], offsets[low:high + 1] - begin, k)
 
@@ -475,7 +477,7 @@ def similarity_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     empty table gives no rows; other columns are ignored. Sets are told apart by 64-bit hashes.
     """
     spark = docs.sparkSession
-    prepare(spark)
+    prepare(spark, 8)
     buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.col(text_col).cast("string")
     with scratch(spark):

@@ -68,7 +68,7 @@ def repeated_windows(docs: DataFrame, id_: Column, key: Column, text: Column, wi
             keys = np.asarray(batch.column(1)).astype(np.int32)
             data, offsets = column_bytes(batch.column(2))
             parts, counts = [], []
-            for low, high in slices(offsets):
+            for low, high in slices(offsets, 1 << 20):
                 begin = offsets[low]
                 some, edges = data[begin:offsets[high]], offsets[low:high + 1] - begin
                 starts, ends, n = words(some, edges)
