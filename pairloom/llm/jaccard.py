@@ -5,9 +5,9 @@
    hash. Two sets that link share a shingle of their prefixes, so classes meet in the index lists of prefix
    shingles. A list is ordered by size and position; size and position bounds skip what cannot link. Two sets
    that link share many prefix shingles, so a pair with too few common lists is skipped too.
-3. Each list (and each run of like sizes in it) has a pivot. All others are compared with the pivot alone. What is nearly a
-   pivot's copy takes its answers from it: it is in its component; a third set that is too far from the
-   pivot is too far from it too; and one between is compared by the differences from the pivot, not anew.
+3. Each list (and each run of like sizes in it) has a pivot, with which the others are compared. Sets near to a pivot
+   take their answers from it: they are kept as differences from the pivot, and their overlaps with each other follow
+   from the differences, not from the sets. A set that is too far from the pivot is too far from what links to it.
 4. Pairs of a list that this leaves open, between different components, are compared whole.
 
 The links found are those that components need; copies and near copies are not expanded into all pairs.
@@ -36,6 +36,9 @@ SKETCH_BITS = 22
 SKETCH_CHUNK = 1 << 16
 #: Members that are compared with one copy of a pivot in one group of rows.
 CHUNK = 2048
+#: A set is compared with a pivot from this share of the hits that a link needs: sets that are near to the pivot, but do not
+#: link, take their answers from it too.
+STAR_SHARE = 0.5
 #: Shingles are stored by their highest bits: a pair of sets of n and m shingles gains one by chance n * m / 2**48 times.
 KEPT_BITS = 48
 
@@ -313,16 +316,25 @@ def stored_sets(rows: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return picked.mapInArrow(sets, "set long, tokens binary")
 
 
+def reach_of(percent: int) -> float:
+    return 2 * (1 - percent / 100) + 1e-9
+
+
 def _tokens(blob: bytes) -> np.ndarray:
     return np.cumsum(unpack(blob, np.uint64), dtype=np.uint64)
 
 
 class _Family:
-    """A pivot's members as differences from it, and the answers that follow from them."""
+    """A pivot's members as differences from it, and the answers that follow from them.
+
+    ``reach`` is twice the distance of a link: beyond it, a set is too far from all that links to the pivot.
+    """
 
-    def __init__(self, pivot: np.ndarray, percent: int):
-        self.pivot, self.percent = pivot, percent
+    def __init__(self, name: int, pivot: np.ndarray, percent: int):
+        self.name, self.pivot, self.percent = name, pivot, percent
+        self.reach = reach_of(percent)
         self.rows: list[list] = []
+        self.members: list[int] = []
         self.lost: list[np.ndarray] = []
         self.gained: list[np.ndarray] = []
 
@@ -331,33 +343,52 @@ class _Family:
         common = self.pivot[at] == tokens
         overlap = int(common.sum())
         union = len(tokens) + len(self.pivot) - overlap
-        near = 100 * overlap >= self.percent * union
         distance = 1 - overlap / union
-        self.rows.append([member, distance, near, None])
-        reach = 2 * (1 - self.percent / 100) + 1e-9
-        self.lost.append(np.delete(np.arange(len(self.pivot)), at[common]) if distance <= reach else np.zeros(0, np.int64))
-        self.gained.append(tokens[~common] if distance <= reach else np.zeros(0, np.uint64))
+        if distance <= self.reach:
+            self.members.append(len(self.rows))
+            self.lost.append(np.delete(np.arange(len(self.pivot)), at[common]))
+            self.gained.append(tokens[~common])
+        self.rows.append([member, distance, 100 * overlap >= self.percent * union, None])
+
+    def _linked(self) -> np.ndarray:
+        """Which members within reach link, the pivot as the first: |a & b| = |p| - |lost by a or b| + |gained by both|."""
+        lost = [np.zeros(0, np.int64), *self.lost]
+        gained = [np.zeros(0, np.uint64), *self.gained]
+        n, width = len(lost), len(self.pivot)
+        lost_size, gained_size = (np.array([len(x) for x in side], np.int64) for side in (lost, gained))
+        overlap = width - (lost_size[:, None] + lost_size[None, :]).astype(np.float64)
+        for side, sizes in ((lost, lost_size), (gained, gained_size)):
+            tokens, column, times = np.unique(np.concatenate(side), return_inverse=True, return_counts=True)
+            owner = np.repeat(np.arange(n), sizes)
+            shared = np.flatnonzero(times > 1)  # what one member alone lost or gained is common to none
+            for low in range(0, len(shared), 2048):
+                place = np.full(len(tokens), -1)
+                some = shared[low:low + 2048]
+                place[some] = np.arange(len(some))
+                inside = place[column] >= 0
+                has = np.zeros((n, len(some)), np.float32)
+                has[owner[inside], place[column[inside]]] = 1
+                overlap += has @ has.T
+        size = width - lost_size + gained_size
+        linked = 100 * overlap >= self.percent * (size[:, None] + size[None, :] - overlap)
+        np.fill_diagonal(linked, True)
+        return linked
 
     def answers(self) -> list[list]:
-        """Rows (member, distance, near, link): ``link`` is a near member that a member between links with."""
-        near = [i for i, r in enumerate(self.rows) if r[2]]
-        reach = 2 * (1 - self.percent / 100) + 1e-9
-        between = [i for i, r in enumerate(self.rows) if not r[2] and r[1] <= reach]
-        if near and between:
-            lost_size = np.array([len(self.lost[i]) for i in near])
-            gained_size = np.array([len(self.gained[i]) for i in near])
-            lost, gained = np.concatenate([self.lost[i] for i in near]), np.concatenate([self.gained[i] for i in near])
-            size = len(self.pivot) - lost_size + gained_size
-            for i in between:
-                out = np.zeros(len(self.pivot), np.int64)
-                out[self.lost[i]] = 1
-                # |m & e| = |p| - |lost by m or e| + |gained by both|
-                either = len(self.lost[i]) + lost_size - sums(out[lost], lost_size)
-                overlap = len(self.pivot) - either + sums(np.isin(gained, self.gained[i]).astype(np.int64), gained_size)
-                own = len(self.pivot) - len(self.lost[i]) + len(self.gained[i])
-                links = np.flatnonzero(100 * overlap >= self.percent * (own + size - overlap))
-                if len(links):
-                    self.rows[i][3] = self.rows[near[links[0]]][0]
+        """Rows (member, distance, near, link): ``link`` is the least set of the member's component within reach."""
+        if self.members:
+            names = np.array([self.name, *(self.rows[i][0] for i in self.members)], np.int64)
+            label, linked = names, self._linked()
+            while True:
+                least = np.where(linked, label[None, :], np.iinfo(np.int64).max).min(axis=1)
+                if (least == label).all():
+                    break
+                label = least
+            for i, own, found in zip(self.members, names[1:].tolist(), label[1:].tolist()):
+                self.rows[i][3] = found if found != own else None
+            # The pivot itself, so that its component is named too.
+            if label[0] != self.name:
+                self.rows.append([self.name, 0.0, True, int(label[0])])
         return self.rows
 
 
@@ -396,7 +427,7 @@ def compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     continue
                 last = member
                 if role == 0:
-                    family, last = _Family(_tokens(blob), percent), None
+                    family, last = _Family(pivot, _tokens(blob), percent), None
                 else:
                     family.add(member, _tokens(blob))
             if len(out) > 10_000:
@@ -410,8 +441,19 @@ def compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def links_of(compared: DataFrame) -> DataFrame:
-    direct = compared.filter("near").select(F.col("pivot").alias("a"), F.col("other").alias("b"))
-    return direct.unionByName(compared.filter("link IS NOT NULL").select(F.col("other").alias("a"), F.col("link").alias("b")))
+    """Links that connect what links within each family."""
+    return compared.filter("link IS NOT NULL").select(F.col("other").alias("a"), F.col("link").alias("b"))
+
+
+def homes(compared: DataFrame, percent: int) -> DataFrame:
+    """(set, home): the family of the least pivot in whose reach a set is. All sets of a home are compared with each other.
+
+    The pivot is in every chunk of its family (chunk -1).
+    """
+    own = compared.select(F.col("pivot").alias("set"), F.struct("pivot", F.lit(-1).alias("chunk")).alias("home"))
+    inside = compared.filter((F.col("distance") <= reach_of(percent)) & (F.col("pivot") != F.col("other"))).select(
+        F.col("other").alias("set"), F.struct("pivot", "chunk").alias("home"))
+    return own.unionByName(inside).groupBy("set").agg(F.min("home").alias("home"))
 
 
 def open_pairs(lists: DataFrame, compared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
@@ -420,9 +462,10 @@ def open_pairs(lists: DataFrame, compared: DataFrame, roots: DataFrame, percent:
     members = lists.select("list", F.explode("members").alias("m")).select("list", "m.set", "m.size", "m.place", "m.pivot")
     members = members.join(roots.select(F.col("id").alias("set"), "root"), "set", "left").withColumn("root", F.coalesce("root", "set"))
     mixed = members.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("list")
-    known = compared.select("pivot", F.col("other").alias("set"), "chunk", "distance", "near")
-    members = members.join(mixed, "list", "left_semi").join(known, ["pivot", "set"], "left")
-    rows = members.groupBy("list").agg(F.collect_list(F.struct("set", "size", "place", "pivot", "root", "chunk", "distance", "near")).alias("m"))
+    known = compared.filter("pivot != other").select("pivot", F.col("other").alias("set"), "distance")
+    members = members.join(mixed, "list", "left_semi").join(known, ["pivot", "set"], "left").join(homes(compared, percent), "set", "left")
+    rows = members.groupBy("list").agg(F.collect_list(F.struct(
+        "set", "size", "place", "pivot", "root", "distance", F.col("home.pivot").alias("family"), F.col("home.chunk").alias("chunk"))).alias("m"))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gap = 1 - percent / 100 + 1e-9
@@ -431,19 +474,19 @@ def open_pairs(lists: DataFrame, compared: DataFrame, roots: DataFrame, percent:
             for rows_ in batch.column(1).to_pylist():
                 rows_.sort(key=lambda r: (r["size"], r["place"], r["set"]))
                 col = {n: np.array([r[n] for r in rows_]) for n in ("set", "size", "place", "pivot", "root")}
-                chunk = np.array([-1 if r["chunk"] is None else r["chunk"] for r in rows_])
+                homed = np.array([r["family"] is not None for r in rows_])
+                family = np.array([r["family"] or 0 for r in rows_])
+                chunk = np.array([-2 if r["chunk"] is None else r["chunk"] for r in rows_])
                 is_pivot = col["set"] == col["pivot"]
                 distance = np.where(is_pivot, 0.0, np.array([np.nan if r["distance"] is None else r["distance"] for r in rows_], float))
-                near = is_pivot | np.array([bool(r["near"]) for r in rows_])
                 ends = np.searchsorted(col["size"], col["size"] * 100 // percent, "right")
                 for i in range(len(rows_) - 1):
                     j = slice(i + 1, int(ends[i]))
                     keep = (col["root"][j] != col["root"][i]) & may_link(
                         col["size"][i], col["place"][i], col["size"][j], col["place"][j], percent)
-                    same = (col["pivot"][j] == col["pivot"][i]) & ~np.isnan(distance[j]) & ~np.isnan(distance[i])
-                    apart = np.abs(distance[j] - distance[i]) > gap
-                    tested = (near[j] | near[i]) & ((chunk[j] == chunk[i]) | is_pivot[j] | is_pivot[i])
-                    keep &= ~(same & (apart | tested))
+                    with np.errstate(invalid="ignore"):  # an unknown distance excludes nothing
+                        keep &= ~((col["pivot"][j] == col["pivot"][i]) & (np.abs(distance[j] - distance[i]) > gap))
+                    keep &= ~(homed[j] & homed[i] & (family[j] == family[i]) & ((chunk[j] == chunk[i]) | (chunk[j] == -1) | (chunk[i] == -1)))
                     for x in np.flatnonzero(keep).tolist():
                         a, b = (i, i + 1 + x) if col["set"][i] < col["set"][i + 1 + x] else (i + 1 + x, i)
                         found[int(col["set"][a]), int(col["set"][b]), int(col["size"][a]), int(col["size"][b])] += 1
@@ -457,10 +500,10 @@ def open_pairs(lists: DataFrame, compared: DataFrame, roots: DataFrame, percent:
     return strong(made, percent)
 
 
-def strong(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (pivot, other) with as many hits as two sets that link must have."""
+def strong(pairs: DataFrame, percent: int, share: float = 1.0) -> DataFrame:
+    """Pairs (pivot, other) with as many hits as two sets that link must have, or a share of that number."""
     total = pairs.groupBy("pivot", "other", "pivot_size", "other_size").agg(F.sum("hits").alias("hits"))
-    return total.filter(F.col("hits") >= least_hits("pivot_size", "other_size", percent)).select("pivot", "other").distinct()
+    return total.filter(F.col("hits") >= F.lit(share) * least_hits("pivot_size", "other_size", percent)).select("pivot", "other").distinct()
 
 
 def similarity_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
@@ -491,7 +534,7 @@ def _classes(rows: DataFrame, k: int, percent: int, buckets: int) -> DataFrame:
     known = read.filter("chunk IS NULL")
     lists = stage(index_lists(rows, k, percent, buckets, frequency_classes(read)), "lists")
     # A pivot that several lists do not agree on may have lost hits here; then the pair is left open, and the lists decide.
-    pairs = stage(strong(lists.filter("list IS NULL"), percent), "pairs")
+    pairs = stage(strong(lists.filter("list IS NULL"), percent, STAR_SHARE), "pairs")
     in_lists = lists.filter("list IS NOT NULL").select(F.explode("members.set").alias("set")).distinct()
     first = known.filter("n > 0").groupBy(F.col("set_id").alias("set")).agg(F.min(F.struct("id", "key")).alias("doc"))
     wanted = stage(first.join(in_lists, "set", "left_semi").select(F.col("doc.id").alias("w_id"), F.col("doc.key").alias("w_key")), "wanted")
