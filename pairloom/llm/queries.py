@@ -10,11 +10,14 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import archives, decontaminate, egojoin, jaccard, langid, orctokens, packing, quality, substrings, tokencount
+from pairloom.llm import archives, decontaminate, egojoin, jaccard, langid, oracles, orctokens, packing, quality, substrings, tokencount
 from pairloom.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_arc_to_warc": oracles.OP3, "op6_substring_dedup": oracles.OP6, "op7_benchmark_decontamination": oracles.OP7,
+    "op8_ngram_jaccard_join": oracles.OP8, "op9_embedding_near_dedup": oracles.OP9,
+}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
