@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pairloom.llm.components import components
-from pairloom.llm.ship import prepare
+from pairloom.llm.ship import prepare, tidy
 from pairloom.session import hand_over, scratch, stage
 
 #: Leading axes that order the vectors and bound distances.
@@ -63,7 +63,7 @@ def principal_axes(classes: DataFrame, width: int) -> np.ndarray:
         values = np.concatenate([total.ravel(), mean, [n]])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values)], names=["at", "value"])
 
-    sums = classes.select("v").mapInArrow(products, "at long, value double").groupBy("at").agg(F.sum("value").alias("value"))
+    sums = classes.select("v").mapInArrow(tidy(products), "at long, value double").groupBy("at").agg(F.sum("value").alias("value"))
     values = np.zeros(width * width + width + 1)
     for row in sums.collect():
         values[row["at"]] = row["value"]
@@ -87,7 +87,7 @@ def ordered_blocks(classes: DataFrame, axes: np.ndarray, epsilon: float) -> Data
                 [*batch.columns, pa.ListArray.from_arrays(pa.array(np.arange(len(cells) + 1, dtype=np.int32) * lead), pa.array(cells.ravel()))],
                 names=["id", "n", "v", "cells"])
 
-    rows = classes.select(F.col("id"), "n", "v").mapInArrow(placed, "id long, n long, v array<double>, cells array<int>")
+    rows = classes.select(F.col("id"), "n", "v").mapInArrow(tidy(placed), "id long, n long, v array<double>, cells array<int>")
     rows = rows.repartitionByRange("cells", "id").sortWithinPartitions("cells", "id")
     schema = T.StructType([
         T.StructField("block", T.LongType()), T.StructField("low", T.ArrayType(T.DoubleType())),
@@ -116,7 +116,7 @@ def ordered_blocks(classes: DataFrame, axes: np.ndarray, epsilon: float) -> Data
         if len(ids):
             yield block(done, ids, sizes, unit)
 
-    return rows.mapInArrow(blocks, schema)
+    return rows.mapInArrow(tidy(blocks), schema)
 
 
 def _apart(low_a: str, high_a: str, low_b: str, high_b: str) -> Column:
@@ -223,7 +223,7 @@ def linked_pairs(blocks: DataFrame, pairs: DataFrame, axes: np.ndarray, least: f
                     pa.array(np.concatenate([x[m] for x, m in zip(label, some)])),
                 ], names=["id", "links", "root"])
 
-    return rows.mapInArrow(linked, "id long, links long, root long")
+    return rows.mapInArrow(tidy(linked), "id long, links long, root long")
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_id", embedding_col: str = "embedding") -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pairloom.llm.blocks import U64, byte_hashes, column_bytes, mix, prefix_hash, slices, span_hash, sums, words
 from pairloom.llm.components import components
 from pairloom.llm.packed import pack, unpack
-from pairloom.llm.ship import prepare
+from pairloom.llm.ship import prepare, tidy
 from pairloom.session import hand_over, scratch, stage
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -35,7 +35,7 @@ SLICE = 1 << 20
 SKETCH_BITS = 22
 SKETCH_CHUNK = 1 << 16
 #: Members that are compared with one copy of a pivot in one group of rows.
-CHUNK = 2048
+CHUNK = 1024
 #: A set is compared with a pivot from this share of the hits that a link needs: sets that are near to the pivot, but do not
 #: link, take their answers from it too.
 STAR_SHARE = 0.5
@@ -107,7 +107,7 @@ def read_sets(rows: DataFrame, k: int) -> DataFrame:
             *[nothing] * 5, pa.array([i for i, _ in parts], pa.int32()), pa.array([pack(p) for _, p in parts], pa.binary()),
         ], names=schema.names)
 
-    return rows.mapInArrow(read, schema)
+    return rows.mapInArrow(tidy(read), schema)
 
 
 def frequency_classes(read: DataFrame) -> np.ndarray:
@@ -255,7 +255,7 @@ def index_lists(rows: DataFrame, k: int, percent: int, buckets: int, classes: np
 
     wire = "bucket int, " + ", ".join(f"{n} binary" for n in names[1:])
     made = "pivot long, other long, pivot_size int, other_size int, hits int, list long, members array<struct<set:long,size:int,place:int,pivot:long>>"
-    return rows.mapInArrow(entries, wire).groupBy("bucket").applyInArrow(lists, made)
+    return rows.mapInArrow(tidy(entries), wire).groupBy("bucket").applyInArrow(lists, made)
 
 
 def _live(size: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:
@@ -313,7 +313,7 @@ def stored_sets(rows: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 blobs = [pack(np.diff(short[a:b], prepend=U64(0))) for a, b in zip(edges, edges[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(blobs, pa.binary())], names=["set", "tokens"])
 
-    return picked.mapInArrow(sets, "set long, tokens binary")
+    return picked.mapInArrow(tidy(sets), "set long, tokens binary")
 
 
 def reach_of(percent: int) -> float:
@@ -437,7 +437,7 @@ def compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             out += [(group[0], r[0], group[1], r[1], r[2], r[3]) for r in family.answers()]
         yield flush()
 
-    return rows.mapInArrow(compared, "pivot long, other long, chunk int, distance double, near boolean, link long")
+    return rows.mapInArrow(tidy(compared), "pivot long, other long, chunk int, distance double, near boolean, link long")
 
 
 def links_of(compared: DataFrame) -> DataFrame:
@@ -471,7 +471,7 @@ def open_pairs(lists: DataFrame, compared: DataFrame, roots: DataFrame, percent:
         gap = 1 - percent / 100 + 1e-9
         for batch in batches:
             found: Counter[tuple[int, int, int, int]] = Counter()
-            for rows_ in batch.column(1).to_pylist():
+            for rows_ in (x for low in range(0, batch.num_rows, 256) for x in batch.slice(low, 256).column(1).to_pylist()):
                 rows_.sort(key=lambda r: (r["size"], r["place"], r["set"]))
                 col = {n: np.array([r[n] for r in rows_]) for n in ("set", "size", "place", "pivot", "root")}
                 homed = np.array([r["family"] is not None for r in rows_])
@@ -496,7 +496,7 @@ def open_pairs(lists: DataFrame, compared: DataFrame, roots: DataFrame, percent:
                 [*[pa.array([k[n] for k in left], kind) for n, kind in enumerate(kinds)], pa.array([found[k] for k in left], pa.int32())],
                 names=["pivot", "other", "pivot_size", "other_size", "hits"])
 
-    made = rows.mapInArrow(pairs, "pivot long, other long, pivot_size int, other_size int, hits int")
+    made = rows.mapInArrow(tidy(pairs), "pivot long, other long, pivot_size int, other_size int, hits int")
     return strong(made, percent)
 
 

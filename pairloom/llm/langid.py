@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pairloom.llm.blocks import byte_hashes, column_bytes, mix, slices, sums, words
 from pairloom.llm.piececache import PieceCache
-from pairloom.llm.ship import prepare
+from pairloom.llm.ship import prepare, tidy
 from pairloom.session import scratch, stage
 
 ORDER = 5
@@ -193,7 +193,7 @@ def fit(docs: DataFrame, text: Column, lang: Column, docs_per_language: int = 20
     sample = rows.filter(unit(23) < share).withColumn("held", unit(29) < 0.2)
     grams = (
         sample.filter("NOT held").select("lang", "text")
-        .mapInArrow(_counted, "lang string, n int, gram long, context long, tail long, middle long, times long")
+        .mapInArrow(tidy(_counted), "lang string, n int, gram long, context long, tail long, middle long, times long")
         .groupBy("lang", "n", "gram", "context", "tail", "middle").agg(F.sum("times").alias("times"))
     )
     with scratch(spark):
@@ -215,7 +215,7 @@ def fit(docs: DataFrame, text: Column, lang: Column, docs_per_language: int = 20
             found, letters = entropies(shared.value, name, *column_bytes(batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.tolist()), pa.array(letters)], names=["lang", "h", "letters"])
 
-    held = sample.filter("held").select("lang", "text").mapInArrow(measured, "lang string, h array<double>, letters boolean")
+    held = sample.filter("held").select("lang", "text").mapInArrow(tidy(measured), "lang string, h array<double>, letters boolean")
     held = held.filter("letters").toArrow()
     model.limits = np.full(len(languages), np.inf)
     if held.num_rows:
@@ -274,4 +274,4 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", reject: bool
                     pa.array(least, mask=~letters), pa.array(off),
                 ], names=schema.names)
 
-    return rows.mapInArrow(named, schema).select("doc.*", *results)
+    return rows.mapInArrow(tidy(named), schema).select("doc.*", *results)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from pairloom.llm.blocks import byte_hashes, column_bytes, mix, slices, sums, words
-from pairloom.llm.ship import prepare
+from pairloom.llm.ship import prepare, tidy
 
 #: Columns of the count matrix: single bytes, hashed pairs, hashed triples, bins of word statistics.
 SINGLES, PAIRS, TRIPLES, BINS = 256, 768, 1024, 16
@@ -141,7 +141,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r.tobytes() for r in found], pa.binary()), batch.column(1)], names=["counts", "label"])
 
-    sample = rows.mapInArrow(counted, "counts binary, label int").toArrow()
+    sample = rows.mapInArrow(tidy(counted), "counts binary, label int").toArrow()
     labels = sample.column("label").to_numpy().astype(np.float64)
     if not len(labels):
         return Model(np.ones(FEATURES, np.float32), np.zeros((FEATURES, dimensions), np.float32),
@@ -175,4 +175,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "sc
             scores[empty] = share
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.clip(scores, 0, 1))], names=schema.names)
 
-    return rows.mapInArrow(scored, schema).select("doc.*", F.col("score").alias(name))
+    return rows.mapInArrow(tidy(scored), schema).select("doc.*", F.col("score").alias(name))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 import pairloom
@@ -29,3 +33,24 @@ def prepare(spark: SparkSession, megabytes: int = 16) -> None:
                     out.write(path, os.path.join("pairloom", os.path.relpath(path, top)))
     context.addPyFile(archive)
     _shipped.add(context.applicationId)
+
+
+def _release() -> None:
+    """Give freed memory back to the system: workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(work: Callable) -> Callable:
+    """A function for ``mapInArrow`` that leaves no freed memory behind when its task ends."""
+
+    @functools.wraps(work)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            _release()
+
+    return run

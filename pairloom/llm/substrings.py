@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pairloom.llm.blocks import byte_hashes, column_bytes, mix, slices, window_hashes, words
 from pairloom.llm.packed import pack, unpack
-from pairloom.llm.ship import prepare
+from pairloom.llm.ship import prepare, tidy
 
 RESULT = ("kept", "n_words", "n_removed", "removed")
 
@@ -144,7 +144,7 @@ def repeated_windows(docs: DataFrame, id_: Column, key: Column, text: Column, wi
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, found_schema)], schema=found_schema)
 
     message = "bucket int, hashes binary, doc binary, place binary, ids binary, keys binary"
-    sent = rows.mapInArrow(hashed, message).groupBy("bucket").applyInArrow(counted, message)
+    sent = rows.mapInArrow(tidy(hashed), message).groupBy("bucket").applyInArrow(counted, message)
     return sent.groupBy("bucket").applyInArrow(gathered, "id long, key int, places binary")
 
 
@@ -208,5 +208,5 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
                 pa.array(removed, spans),
             ], names=schema.names)
 
-    made = joined.mapInArrow(cut, schema)
+    made = joined.mapInArrow(tidy(cut), schema)
     return made.select("doc.*", *[c for c in RESULT])
