@@ -12,25 +12,41 @@ import pyarrow as pa
 
 U64 = np.uint64
 SLICE_BYTES = 2 << 20
+HASHED_BYTES = 1 << 18
 
 #: ``[\x20\x09-\x0D]``, the only bytes between words.
 ASCII_SPACE = np.zeros(256, bool)
 ASCII_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
-_BASE = U64(0x9E3779B97F4A7C15 | 1)
-_INVERSE = U64(pow(int(_BASE), -1, 1 << 64))
-_BYTES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
-_powers = {}
+#: Polynomials are taken modulo this prime, 2**61 - 1. Modulo 2**64 the doubling sequence (a, ab, abba, ...) and its
+#: complement have equal polynomials whatever the base.
+PRIME = (1 << 61) - 1
+_P, _M31, _M30 = U64(PRIME), U64((1 << 31) - 1), U64((1 << 30) - 1)
+_BASE = 0x1E3779B97F4A7C15 % PRIME
+_powers: dict[str, np.ndarray] = {}
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & _P) + (x >> U64(61))
+    return np.where(x >= _P, x - _P, x)
+
+
+def times(a: np.ndarray, b: np.ndarray | np.uint64) -> np.ndarray:
+    """a * b modulo the prime, both below it; the halves of 31 bits keep every product within 64."""
+    high_a, low_a, high_b, low_b = a >> U64(31), a & _M31, b >> U64(31), b & _M31
+    middle = high_a * low_b + low_a * high_b
+    return _reduced(high_a * high_b * U64(2) + (middle >> U64(30)) + ((middle & _M30) << U64(31)) + low_a * low_b)
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """B**i and B**-i modulo 2**64 for i < n."""
+    """B**i and B**-i modulo the prime for i < n."""
     if len(_powers.get("up", ())) < n:
         size = max(n, SLICE_BYTES // 2 + 1)
-        for name, base in (("up", _BASE), ("down", _INVERSE)):
-            steps = np.full(size, base)
-            steps[0] = 1
-            _powers[name] = np.multiply.accumulate(steps)
+        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, PRIME))):
+            steps = np.ones(1, np.uint64)
+            while len(steps) < size:
+                steps = np.concatenate([steps, times(steps, U64(pow(base, len(steps), PRIME)))])
+            _powers[name] = steps[:size]
     return _powers["up"][:n], _powers["down"][:n]
 
 
@@ -84,22 +100,41 @@ def words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = ASCII_SPACE
 
 
 def prefix_hash(values: np.ndarray) -> np.ndarray:
-    """Running polynomial of 64-bit values, for ``span_hash``."""
+    """Running polynomial of 64-bit values, for ``span_hash``: the sums of its low 31 and its high 30 bits."""
     up, _ = powers(len(values) + 1)
-    out = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[:-1], out=out[1:])
+    terms = times(_reduced(values), up[:-1])
+    out = np.zeros((2, len(values) + 1), np.uint64)
+    np.cumsum(terms & _M31, out=out[0, 1:])
+    np.cumsum(terms >> U64(31), out=out[1, 1:])
     return out
 
 
 def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Rabin-Karp: the polynomial of each span, wherever it lies, with its length mixed in."""
-    _, down = powers(len(prefix))
-    return mix((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(np.uint64) * U64(0xD1342543DE82EF95))
+    _, down = powers(prefix.shape[1])
+    low, high = prefix[:, ends] - prefix[:, starts]
+    value = _reduced(_reduced(low) + (high >> U64(30)) + ((high & _M30) << U64(31)))
+    return mix(times(value, down[starts]) + (ends - starts).astype(np.uint64) * U64(0xD1342543DE82EF95))
 
 
 def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span."""
-    return span_hash(prefix_hash(_BYTES[data]), starts, ends)
+    """A 64-bit hash of the bytes of each span; spans are in order and do not overlap.
+
+    Each byte is mixed with its place in the span, so no arrangement of few letters cancels out.
+    """
+    size = ends - starts
+    upto = np.cumsum(size)
+    out = np.zeros(len(size), np.uint64)
+    for low, high in slices(np.concatenate([[0], upto]), HASHED_BYTES):  # bounds the memory, not the spans
+        some = size[low:high]
+        first = np.cumsum(some) - some
+        inside = np.arange(int(some.sum()))
+        place = (inside - np.repeat(first, some)).astype(np.uint64)
+        at = inside + np.repeat(starts[low:high] - first, some)
+        running = np.zeros(len(at) + 1, np.uint64)
+        np.cumsum(mix((place << U64(8)) + data[at] + U64(0x9E3779B97F4A7C15)), out=running[1:])
+        out[low:high] = running[first + some] - running[first]
+    return mix(out + size.astype(np.uint64) * U64(0xD1342543DE82EF95))
 
 
 def window_hashes(hashes: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

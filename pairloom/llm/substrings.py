@@ -7,7 +7,7 @@
    finds the smallest id of every hash and sends the windows of larger ids to their documents.
 3. The windows of a document merge into maximal intervals, and their words go.
 
-Hashes have 64 bits; among n windows a false repeat is expected n * n / 2**65 times.
+Hashes are polynomials modulo 2**61 - 1; among n windows a false repeat is expected about n * n / 2**62 times.
 """
 
 from __future__ import annotations

@@ -19,6 +19,8 @@ def tricky_texts() -> list[tuple[int | None, str | None]]:
         (14, base.upper()), (15, "\x0b".join(base.split())), (16, "word " * 400), (17, "word " * 90), (18, "🙂 " * 60 + "\x00 end"),
         (19, line(20_000)), (20, "A" * 5000), (20, "A" * 5000), (21, "I'll <|endoftext|> ▁▁ x\x1cy z  　w"), (22, "!!! ??? 123 456"),
     ]
+    for turn in (0, 1):  # the doubling sequence and its complement: equal polynomials modulo 2**64
+        texts.append((23 + turn, " ".join(["".join("ab"[(n.bit_count() + turn) % 2] for n in range(1024))] * 60)))
     for i in range(40):
         source = base.split()
         for _ in range(i // 4):

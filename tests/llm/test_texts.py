@@ -11,7 +11,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from pairloom.llm import decontaminate, orctokens, packing, queries, substrings, tokencount
+from pairloom.llm import blocks, decontaminate, orctokens, packing, piececache, queries, substrings, tokencount
 from tests.llm.tables import SMALL, collected, tricky_texts, words
 
 WORD_BPE, BYTE_BPE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
@@ -170,6 +170,29 @@ def test_empty_tables(spark, tricky, tmp_path):
     assert orctokens.read_token_ids(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_cache_tells_pieces_of_one_hash_apart(monkeypatch):
+    monkeypatch.setattr(piececache, "byte_hashes", lambda data, starts, ends: np.minimum(ends - starts, 2).astype(np.uint64))
+    cache = piececache.PieceCache(lambda pieces: (np.array([int(p) for p in pieces], np.uint32), np.arange(len(pieces)),
+                                                  np.ones(len(pieces), np.int64)), limit=8)
+    for numbers in ([7, 7, 12, 345, 12], [6, 98765, 7, 11], []):
+        data = np.frombuffer("".join(map(str, numbers)).encode(), np.uint8)
+        size = np.array([len(str(n)) for n in numbers], np.int64)
+        begin, _ = cache.find(data, np.cumsum(size) - size, np.cumsum(size))
+        assert cache.pool[begin].tolist() == numbers
+
+
+def test_window_hashes_are_polynomials_modulo_the_prime():
+    values = np.random.default_rng(5).integers(0, 1 << 63, 500, dtype=np.uint64) * np.uint64(2)
+    values[300:400] = values[100:200]
+    hashes, first = blocks.window_hashes(values, np.array([250, 250]), 20)
+    where = dict(zip(first.tolist(), hashes.tolist()))
+    want = {i: tuple(values[i:i + 20].tolist()) for i in where}
+    assert len(where) == 2 * 231 and len(set(where.values())) == len(set(want.values()))
+    assert all(where[i] == where[i + 200] for i in range(100, 181))
+    a, b = blocks.times(values % np.uint64(blocks.PRIME), values[0] % np.uint64(blocks.PRIME)), values.tolist()
+    assert a.tolist() == [x * b[0] % blocks.PRIME for x in b]
+
+
 def test_packing_digest(spark):
     rows = queries.op4_power_of_two_packing(spark, SMALL).filter("doc_id = 3 AND start = 0").collect()
     text = spark.read.parquet(f"{SMALL}/documents.parquet").filter("doc_id = 3").first().text
