@@ -87,18 +87,30 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
 def words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = ASCII_SPACE,
           ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte starts and ends of the maximal runs of other bytes, and how many each text has."""
-    body = ~space[data]
+    return spans(~space[data], offsets)
+
+
+def spans(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs of marked bytes within a text, and how many each text has."""
     if not body.any():
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets) - 1, np.int64)
     cuts = offsets[1:-1]
-    cuts = cuts[(cuts > 0) & (cuts < len(data))]
-    before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
+    cuts = cuts[(cuts > 0) & (cuts < len(body))]
+    before, after = np.zeros(len(body), bool), np.zeros(len(body), bool)
     before[1:], after[:-1] = body[:-1], body[1:]
     before[cuts], after[cuts - 1] = False, False
     starts, ends = np.flatnonzero(body & ~before), np.flatnonzero(body & ~after) + 1
     return starts, ends, np.diff(np.searchsorted(starts, offsets))
 
 
+def strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The spans as Arrow strings."""
+    size = ends - starts
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    body = data[ragged_ranges(starts, size)]
+    return pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(body))
+
+
 def prefix_hash(values: np.ndarray) -> np.ndarray:
     """Running polynomial of 64-bit values, for ``span_hash``: the sums of its low 31 and its high 30 bits."""
     up, _ = powers(len(values) + 1)

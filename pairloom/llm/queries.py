@@ -10,13 +10,16 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import archives, decontaminate, egojoin, jaccard, langid, oracles, orctokens, packing, quality, substrings, tokencount
+from pairloom.llm import (archives, decontaminate, egojoin, jaccard, langid, mixing, oracles, orctokens, packing, quality, runs, spelling,
+                          substrings, tokencount)
+from pairloom.llm.ship import prepare
 from pairloom.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
     "op3_arc_to_warc": oracles.OP3, "op6_substring_dedup": oracles.OP6, "op7_benchmark_decontamination": oracles.OP7,
     "op8_ngram_jaccard_join": oracles.OP8, "op9_embedding_near_dedup": oracles.OP9,
+    "op11_sainte_lague_mix": oracles.OP11,
 }
 
 
@@ -130,3 +133,57 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every vector: cosine of 0.95 or more."""
     return egojoin.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    found = mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), repeats=3)
+    return found.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and root of every word of six characters and five occurrences."""
+    words = spelling.count_runs(table(spark, sf_dir, "documents"), least_length=6, slip_every=199)
+    return spelling.spelling_variants(words.filter("n >= 5"), ratio=5)
+
+
+def with_loops(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): a tenth of the texts, chosen by id, go round a few of their own words from some place on."""
+    prepare(docs.sparkSession, 8)
+
+    def looped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for ident, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                h = zlib.crc32(str(ident).encode()) if ident is not None else 1
+                own = text.encode().split() if text is not None and h % 10 == 0 else []
+                if own:
+                    g, n = h // 10, len(own)
+                    start = g % n
+                    period = 1 + (n - start) // (3 + g % 8)
+                    loop = own[start:start + period]
+                    own[start:] = [loop[i % period] for i in range(n - start)]
+                    text = b" ".join(own).decode()
+                out.append(text)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["doc_id", "text"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(looped, f"doc_id {kind}, text string")
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, some of which were made to repeat themselves."""
+    found = runs.collapse_runs(with_loops(table(spark, sf_dir, "documents")))
+    ranked = lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    first = F.array_min(F.transform("runs", ranked))
+    length, period = -first["less"], first["period"]
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), first["start"].alias("start"), length.alias("length"), period.alias("period"),
+        F.call_function("div", 1000 * length, period).alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform("runs", line)).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
