@@ -156,6 +156,8 @@ def mix(docs: DataFrame, weights: DataFrame | Sequence[float] = (5, 2, 1), repea
 
         block_key = lambda i: _key(F.lit(str(seed)), F.lit("block"), F.col("at"), F.col("shard"), i)
         plan = parts.join(quotas, ["at", "shard"], "left").withColumn("quota", F.coalesce("quota", F.lit(0)))
+        # Few bytes, but a hash for each block: dealt out by number, since by size they would be one task.
+        plan = plan.repartition(min(10_000, -(-parts.count() // 4) or 1), "at", "shard")
         plan = plan.withColumns({"times": F.expr("quota div blocks"), "rest": (F.col("quota") % F.col("blocks")).cast("int")})
         keys = F.array_sort(F.transform(F.expr("sequence(0L, blocks - 1)"), block_key))
         plan = plan.withColumn("last_key", F.when(F.col("rest") > 0, F.element_at(keys, F.greatest("rest", F.lit(1)))))
