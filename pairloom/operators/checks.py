@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.functions.rows import quoted
 from pairloom.functions.text import pair_hash
@@ -26,7 +26,7 @@ DEFAULT_CHECKS = ["schema", "length", "dedup", "pii"]
 EMPTY = "{field} is empty"
 SHORT = "instruction shorter than {n} chars"
 LONG = "output longer than {n} chars"
-PERSONAL = ("potential ", " detected")
+PERSONAL = "potential {kind} detected"
 OTHER_LANGUAGE = "language != {lang}"
 FLAGGED = "flagged term detected"
 # ---------------------------------------------------------------------------------------------
@@ -48,7 +48,8 @@ class Options:
     max_output_len: int = 8000
     pii_policy: str = "warn"            # warn, strict or off
     lang: str | None = None             # wanted language; None leaves the check off
-    lang_column: str | None = None      # column with the language; None detects it
+    lang_column: str | Column | None = None   # the language by a detector of the caller's; None counts function words
+    lang_table: DataFrame | None = None       # the same as rows (id, lang)
     function_words: dict[str, list[str]] = field(default_factory=lambda: FUNCTION_WORDS)
     flagged_words: list[str] | None = None
 
@@ -93,19 +94,22 @@ def pii_issues(o: Options) -> list[str]:
         return []
     severity = "error" if o.pii_policy == "strict" else "warning"
     kind = pii_kind(f"concat({INSTRUCTION}, '\\n', {OUTPUT})")
-    return [issue(f"{kind} IS NOT NULL", "pii", severity, f"concat({quoted(PERSONAL[0])}, {kind}, {quoted(PERSONAL[1])})")]
+    before, after = PERSONAL.split("{kind}")
+    return [issue(f"{kind} IS NOT NULL", "pii", severity, f"concat({quoted(before)}, {kind}, {quoted(after)})")]
 
 
 def detect_language(c: str, words: dict[str, list[str]] = FUNCTION_WORDS) -> str:
     """SQL text of the language with the most distinct function words; NULL when none occurs.
-    Languages with equal hits are taken in the order of their codes."""
+    Languages with equal hits are taken in the order of their codes. The text is cut into words once: one-element
+    transforms give names to what is used several times."""
     tokens = f"regexp_extract_all(lower({c}), {quoted('(' + WORD + ')')}, 1)"
     scored = []
     for i, (code, ws) in enumerate(sorted(words.items())):
         known = f"array({', '.join(quoted(w) for w in ws)})"
-        scored.append(f"struct(size(array_intersect({tokens}, {known})) AS hits, {-i} AS place, {quoted(code)} AS code)")
+        scored.append(f"struct(size(array_intersect(_words, {known})) AS hits, {-i} AS place, {quoted(code)} AS code)")
     best = f"greatest({', '.join(scored)})" if len(scored) > 1 else scored[0]
-    return f"CASE WHEN {best}.hits > 0 THEN {best}.code END"
+    ranked = f"transform(array({tokens}), _words -> {best})"
+    return f"transform({ranked}, _best -> CASE WHEN _best.hits > 0 THEN _best.code END)[0]"
 
 
 def lang_issues(o: Options) -> list[str]:
@@ -136,23 +140,58 @@ ROW_CHECKS: dict[str, Callable[[Options], list[str]]] = {
 }
 
 
-def check_facts(pairs: DataFrame, checks: list[str] | None = None, options: Options | None = None,
-                order: str = "seq") -> DataFrame:
+Check = Callable[[str | None, str | None], Iterable[tuple[str, str, str | None]]]
+
+
+def custom_issues(pairs: DataFrame, name: str, check: Check, order: str = "seq") -> DataFrame:
+    """(order, pair_id, check, severity, message, field): what a check written in Python finds, by a lateral join with a table function.
+
+    The function gets instruction and output of a pair and yields any number of (severity, message, field). If it raises, that is an issue of
+    severity error, and what it has yielded before stays. It runs on Arrow batches and needs nothing of this package.
+    """
+    class Found:
+        def eval(self, instruction, output):  # noqa: A003
+            try:
+                for severity, message, place in check(instruction, output):
+                    yield severity, message, place
+            except Exception as e:  # any error of the caller's function is an issue
+                yield "error", f"{name} failed: {type(e).__name__}: {e}", None
+
+    found = F.udtf(Found, returnType="severity string, message string, field string", useArrow=True)
+    rows = pairs.select(order, F.col("id").alias("pair_id"), "instruction", "output")
+    called = found(F.col("instruction").outer(), F.col("output").outer())
+    return rows.lateralJoin(called).select(order, "pair_id", F.lit(name).alias("check"), "severity", "message", "field")
+
+
+def check_facts(pairs: DataFrame, checks: list[str] | None = None, options: Options | None = None, order: str = "seq",
+                custom: dict[str, Check] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """The only scan of the texts: order, id, the row's issues and the hash of its normalised text.
 
     Everything below works on these narrow rows. Stage them (``session.stage``) when more
-    than one result is wanted from a large dataset.
+    than one result is wanted from a large dataset. The issues of ``custom`` checks, by name, join the others of
+    their row; ``keep`` names columns of the pairs to stay.
     """
     options = options or Options()
+    if isinstance(options.lang_column, Column):
+        pairs, options = pairs.withColumn("_language", options.lang_column), replace(options, lang_column="_language")
+    elif options.lang_table is not None:
+        named = options.lang_table.select(F.col("id"), F.col("lang").alias("_language"))
+        pairs, options = pairs.join(named, "id", "left"), replace(options, lang_column="_language")
     names = ALL_CHECKS if checks is None else checks
     issues = [c for n in names if n in ROW_CHECKS for c in ROW_CHECKS[n](options)]
     kind = "array<struct<check:string,severity:string,message:string,field:string>>"
     found = F.expr(f"CAST(array({', '.join(issues)}) AS {kind})")   # NULL where a check found nothing
-    return pairs.select(
+    facts = pairs.select(
         order, "id", found.alias("found"),
         F.unhex(pair_hash("instruction", "output")).alias("hash"),
-        F.lit("dedup" in names).alias("dedup"),
+        F.lit("dedup" in names).alias("dedup"), *keep,
     )
+    for name, check in (custom or {}).items():
+        told = custom_issues(pairs, name, check, order).groupBy(order).agg(
+            F.collect_list(F.struct("check", "severity", "message", "field")).alias("_told"))
+        more = F.concat("found", F.coalesce("_told", F.expr(f"CAST(array() AS {kind})")))
+        facts = facts.join(told, order, "left").withColumn("found", more).drop("_told")
+    return facts
 
 
 def copies(facts: DataFrame, order: str = "seq", hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -193,6 +232,18 @@ def issue_counts(facts: DataFrame) -> DataFrame:
     return each.select(keys, "n").groupBy("key").agg(F.sum("n").alias("n"))
 
 
+def issue_cube(facts: DataFrame, *dimensions: str) -> DataFrame:
+    """(check, severity, the dimensions, level, n): issues of the rows by every subset of these columns, in one pass.
+
+    The issues are counted by all columns first; one expansion of these counts, not of the rows, makes all subtotals.
+    ``level`` is the grouping id: a bit for each column that is summed over, the last one lowest. Copies are no issue of a row.
+    """
+    found = facts.select(F.explode("found").alias("i"), *dimensions).filter("i IS NOT NULL")
+    columns = ["check", "severity", *dimensions]
+    counts = found.select("i.check", "i.severity", *dimensions).groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    return counts.cube(*columns).agg(F.grouping_id().alias("level"), F.sum("n").alias("n"))
+
+
 def report(facts: DataFrame) -> DataFrame:
     """Issue counts plus the row ``total_pairs``."""
     total = facts.agg(F.lit("total_pairs").alias("key"), F.count(F.lit(1)).alias("n"))
@@ -200,9 +251,10 @@ def report(facts: DataFrame) -> DataFrame:
 
 
 def validate(pairs: DataFrame, checks: list[str] | None = None, options: Options | None = None,
-             order: str = "seq", stage: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+             order: str = "seq", stage: Callable[[DataFrame], DataFrame] | None = None,
+             custom: dict[str, Check] | None = None) -> DataFrame:
     """The issue table of a dataset. Unknown check names are ignored."""
-    facts = check_facts(pairs, checks, options, order)
+    facts = check_facts(pairs, checks, options, order, custom)
     return issues(stage(facts) if stage else facts, order)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -113,6 +113,48 @@ def fingerprint(pairs: DataFrame) -> DataFrame:
     return pairs.agg(F.count(F.lit(1)).alias("row_count"), total.cast("string").alias("checksum"))
 
 
+# Values of the sequence checksum: a prime below 2**61 and a base.
+SEQUENCE_PRIME, SEQUENCE_BASE = (1 << 61) - 1, 1_000_003
+
+
+def sequence_fingerprint(pairs: DataFrame, order: str = "seq") -> DataFrame:
+    """(row_count, checksum, power) of the rows in their order: equal for any partitioning, different when two rows change places.
+
+    The checksum is a polynomial of the rows' digests modulo a prime. Two stretches of rows are combined from
+    (checksum, power) alone, power being the base to the number of rows: that is how sorted ranges, each folded in its own task,
+    become one number, and how ``combine_fingerprints`` appends datasets.
+    """
+    digest = F.sha2(F.concat(F.coalesce("instruction", F.lit("")), F.lit(UNIT), F.coalesce("output", F.lit(""))), 256)
+    keyed = pairs.select(F.col(order).alias("at"), F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias("bits"))
+    prime, base = SEQUENCE_PRIME, SEQUENCE_BASE
+
+    def folded(batches: Iterator) -> Iterator:
+        import pyarrow as arrow
+
+        part, n, total, power = None, 0, 0, 1
+        for batch in batches:
+            for place, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                part, n = place, n + 1
+                total, power = (total * base + value) % prime, power * base % prime
+        if n:
+            yield arrow.RecordBatch.from_arrays([arrow.array([v], arrow.int64()) for v in (part, n, total, power)],
+                                                names=["place", "row_count", "checksum", "power"])
+
+    ranges = keyed.repartitionByRange("at").sortWithinPartitions("at").select(F.spark_partition_id().cast("long").alias("part"), "bits")
+    return combine_fingerprints(ranges.mapInArrow(folded, "place long, row_count long, checksum long, power long"))
+
+
+def combine_fingerprints(parts: DataFrame) -> DataFrame:
+    """One (row_count, checksum, power) from those of consecutive stretches, in the order of ``place``; a few rows."""
+    times = lambda a, b: f"CAST((CAST({a} AS DECIMAL(19, 0)) * CAST({b} AS DECIMAL(19, 0))) % {SEQUENCE_PRIME} AS BIGINT)"
+    listed = F.sort_array(F.collect_list(F.struct("place", "row_count", "checksum", "power"))).alias("parts")
+    start = "named_struct('n', 0L, 'checksum', 0L, 'power', 1L)"
+    step = (f"named_struct('n', s.n + p.row_count, 'checksum', ({times('s.checksum', 'p.power')} + p.checksum) % {SEQUENCE_PRIME}, "
+            f"'power', {times('s.power', 'p.power')})")
+    whole = parts.agg(listed).select(F.expr(f"aggregate(parts, {start}, (s, p) -> {step})").alias("whole"))
+    return whole.select(F.col("whole.n").alias("row_count"), F.col("whole.checksum").alias("checksum"), F.col("whole.power").alias("power"))
+
+
 def dataset_meta(pairs: DataFrame, name: str, source: str, tag: str | None = None,
                  mapping: dict[str, str] | None = None, created_at: str | None = None) -> DataFrame:
     """The one-row description stored beside a dataset."""

@@ -172,14 +172,17 @@ def judge_incremental(pairs: DataFrame, cache: DataFrame, scorer: Scorer, rubric
     ``cache`` has the columns of ``cache_rows`` and serves any number of datasets: it knows no row order, only ``key`` and
     the stamp ``written``, whose largest value counts. Hits keep their judgment and take this run's tag; misses are
     scored, and all but failures are new cache rows with this run's stamp. Only ids and row places meet
-    the cache; the texts of the misses follow by place. The misses are staged, so the scorer runs once.
+    the cache; the texts of the misses follow by place. Of the cache, keys and stamps are aggregated; whole judgments are
+    taken for the hits alone. The misses are staged, so the scorer runs once.
     """
     keyed = pairs.select(order, F.col("id").alias("pair_id"), cache_key(rubric, backend, model, F.col("id")).alias("key"))
-    held = last_wins(cache if enabled else cache.filter(F.lit(False)), "key", "written")
-    missing = keyed.join(held.select("key"), "key", "left_anti")
+    cache = cache if enabled else cache.filter(F.lit(False))
+    stamps = cache.groupBy("key").agg(F.max("written").alias("written"))
+    missing = keyed.join(stamps, "key", "left_anti")
     asked = pairs.join(missing.select(order), order, "left_semi")
     scored = stage(judge(asked, scorer, rubric, limits, tag, model, judged_at, order))
-    kept = held.drop("pair_id", "written")
+    wanted = stamps.join(keyed.select("key"), "key", "left_semi")
+    kept = cache.join(wanted, ["key", "written"], "left_semi").dropDuplicates(["key"]).drop("pair_id", "written")
     hits = keyed.join(kept, "key").withColumn("tag", F.lit(tag).cast("string"))
     judgments = hits.select(*scored.columns).unionByName(scored)
     fresh = cache_rows(scored, rubric, backend, model, written)
@@ -260,20 +263,25 @@ def python_scorer(answer: Answer, tasks: int | None = None) -> Scorer:
                                T.StructField("error", T.StringType())])
 
         def ask(prompts: list, temperature: float | None) -> list:
-            done, error = [], None
-            try:
-                for given in answer(prompts, temperature):
-                    done.append((given, None))
-                    if len(done) == len(prompts):
-                        return done
-            except Exception as e:  # any error of the caller's function is a failed answer
-                error = f"{type(e).__name__}: {e}"
-            if len(prompts) == 1:
-                return [(None, error)]
-            if done and error:
-                rest = prompts[len(done) + 1:]
-                return done + [(None, error)] + (ask(rest, temperature) if rest else [])
-            return done + [x for p in prompts[len(done):] for x in ask([p], temperature)]
+            done: list = []
+            alone = False   # the rest is asked one by one
+            while len(done) < len(prompts):
+                some = prompts[len(done):len(done) + 1] if alone else prompts[len(done):]
+                before, error = len(done), None
+                try:
+                    for given in answer(some, temperature):
+                        done.append((given, None))
+                        if len(done) - before == len(some):
+                            break
+                except Exception as e:  # any error of the caller's function is a failed answer
+                    error = f"{type(e).__name__}: {e}"
+                if len(done) - before == len(some):
+                    continue
+                if len(some) == 1 or (error and len(done) > before):
+                    done.append((None, error))
+                else:
+                    alone = True
+            return done
 
         def run(batches):
             import pyarrow as arrow

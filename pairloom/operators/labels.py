@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pairloom.functions.predicates import predicate
 from pairloom.functions.text import first_chars, one_decimal
@@ -98,6 +98,23 @@ def auto_label(judgments: DataFrame, reject_below: float = REJECT_BELOW, approve
     )
 
 
+def label_sessions(log: DataFrame, gap: str = "30 minutes") -> DataFrame:
+    """One row per stretch of work of a labeler: labels without a break of more than ``gap`` between them.
+
+    (labeler, started, ended, n, one count per status, minutes, per_hour, pause_minutes); ``per_hour`` is null for a session of no length,
+    ``pause_minutes``, the time since the labeler's session before, for the first one. Lines without a time are left out.
+    """
+    counts = [F.count_if(F.col("status") == s).alias(s) for s in STATUSES]
+    sessions = log.filter("labeled_at IS NOT NULL").groupBy("labeler", F.session_window("labeled_at", gap)).agg(
+        F.min("labeled_at").alias("started"), F.max("labeled_at").alias("ended"), F.count(F.lit(1)).alias("n"), *counts)
+    minutes = lambda a, b: (F.unix_micros(b) - F.unix_micros(a)) / 6e7
+    before = F.lag("ended").over(Window.partitionBy("labeler").orderBy("started"))
+    length = minutes(F.col("started"), F.col("ended"))
+    return sessions.select(
+        "labeler", "started", "ended", "n", *STATUSES, length.alias("minutes"), F.try_divide(60 * F.col("n"), length).alias("per_hour"),
+        minutes(before, F.col("started")).alias("pause_minutes"))
+
+
 def resume_labels(new: DataFrame, current: DataFrame) -> DataFrame:
     """New labels without those whose status and tag are the pair's latest already."""
     cur = current.select("pair_id", F.struct("status", "tag").alias("_cur"))

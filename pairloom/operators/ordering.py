@@ -84,8 +84,14 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, spread:
 
 
 def shuffle_key(seed: int | str, id_col: str = "id", order: str = "seq") -> Column:
-    """Position of a row in the seeded shuffle, as hex text; spread evenly whatever the ids are."""
-    return F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string"), F.col(order).cast("string")), 256)
+    """Position of a row in the seeded shuffle, as hex text; spread evenly whatever the ids are.
+
+    The first 16 digits depend on seed and id only, so the same pairs fall alike wherever they are stored; the
+    rest spreads rows that share an id, by their place.
+    """
+    own = F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string"))
+    return F.concat(F.substring(F.sha2(own, 256), 1, 16),
+                    F.substring(F.sha2(F.concat_ws(":", own, F.col(order).cast("string")), 256), 1, 48))
 
 
 def cut_values(keys: DataFrame, cuts: list[Callable[[Column], Column]]) -> DataFrame:
@@ -93,8 +99,8 @@ def cut_values(keys: DataFrame, cuts: list[Callable[[Column], Column]]) -> DataF
 
     ``keys`` has one column ``key`` of evenly spread hex text; each cut is a function from
     the row count (a Column) to a rank. The rows are counted per 4-digit prefix (at most
-    65,536 small rows, summed in order); only the prefixes that hold a cut are ranked row
-    by row, each about 1/65,536 of the data. A cut of rank 0 has no entry.
+    65,536 small rows, summed in order); only the prefixes that hold a cut are counted again, by 20 digits, which
+    tell the rows of one id apart, and only the rows that agree in these are ranked one by one. A cut of rank 0 has no entry.
     """
     prefix = F.substring("key", 1, 4)
     counts = keys.groupBy(prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
@@ -115,6 +121,12 @@ def cut_values(keys: DataFrame, cuts: list[Callable[[Column], Column]]) -> DataF
     ).select("prefix", "c.cut", (F.col("c.rank") - F.col("before")).alias("nth"))
     # At most one row per cut.
     near = keys.select("key", prefix.alias("prefix")).join(F.broadcast(wanted), "prefix")
+    fine = F.substring("key", 1, 20)
+    inside = Window.partitionBy("cut").orderBy("fine")
+    groups = near.groupBy("cut", "nth", fine.alias("fine")).agg(F.count(F.lit(1)).alias("n")).withColumn("upto", F.sum("n").over(inside))
+    held = groups.filter((F.col("nth") <= F.col("upto")) & (F.col("nth") > F.col("upto") - F.col("n"))).select(
+        "cut", "fine", (F.col("nth") - F.col("upto") + F.col("n")).alias("nth"))
+    near = near.select("cut", "key", fine.alias("fine")).join(F.broadcast(held), ["cut", "fine"])   # at most one row per cut
     ranked = near.withColumn("rn", F.row_number().over(Window.partitionBy("cut").orderBy("key")))
     found = ranked.filter(F.col("rn") == F.col("nth")).select("cut", "key")
     entries = F.collect_list(F.struct("cut", "key"))

@@ -107,3 +107,30 @@ def overview(pairs: DataFrame, judgments: DataFrame, latest: DataFrame) -> DataF
         .unionByName(part(judgments, "judgments", n)).unionByName(part(latest, "labels", n))
     names = ("pairs", "judgment_sets", "judgments", "labels")
     return parts.agg(*[F.max(F.when(F.col("k") == k, F.col("n"))).alias(k) for k in names])
+
+
+# ----- approximate statistics that can be stored and merged -----
+
+def sketches(rows: DataFrame, by: list[str], value: str, item: str, k: int = 400) -> DataFrame:
+    """(by, n, quantiles, items): for each group the number of values, a KLL sketch of them and a HyperLogLog sketch of ``item``.
+
+    A few KB a group, whatever its size; null values are not counted. The rank error of a quantile is about 2.3 / k**0.9 (under 1.1 % for
+    400, with 99 % confidence), that of a count of distinct items about 1.6 %.
+    """
+    return rows.filter(F.col(value).isNotNull()).groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double(F.col(value).cast("double"), k).alias("quantiles"),
+        F.hll_sketch_agg(item).alias("items"))
+
+
+def merge_sketches(stored: DataFrame, by: list[str]) -> DataFrame:
+    """Sketches of coarser groups from stored ones, without a look at the rows."""
+    return stored.groupBy(*by).agg(
+        F.sum("n").alias("n"), F.kll_merge_agg_double("quantiles").alias("quantiles"), F.hll_union_agg("items").alias("items"))
+
+
+def read_sketches(merged: DataFrame, shares: list[float]) -> DataFrame:
+    """(the group's columns, n, distinct, share, value): the estimated quantiles, one row each."""
+    keep = [c for c in merged.columns if c not in ("n", "quantiles", "items")]
+    listed = F.array(*[F.struct(F.lit(s).alias("share"), F.kll_sketch_get_quantile_double("quantiles", F.lit(s)).alias("value")) for s in shares])
+    return merged.select(*keep, "n", F.hll_sketch_estimate("items").alias("distinct"), F.explode(listed).alias("q")).select(
+        *keep, "n", "distinct", "q.share", "q.value")

@@ -55,7 +55,7 @@ def step_ingest(job: Job, spec: dict) -> DataFrame:
     if isinstance(source, DataFrame):
         raw, kind = source, "table"
     else:
-        raw = read_rows(job.spark, source, spec.get("format", "auto"), spec.get("split"), spec.get("multiline", False))
+        raw = read_rows(job.spark, source, spec.get("format", "auto"), spec.get("split"))
         kind = source_kind(source, spec.get("format", "auto"))
     if spec.get("dry_run"):
         return ingest.preview(raw)
@@ -131,7 +131,8 @@ def step_label(job: Job, spec: dict) -> DataFrame:
         new = labels.resume_labels(new, current)
     # Later label steps come after earlier ones: the step's number leads the order.
     log = job.find("labels")
-    step = 0 if log is None else log.agg(F.max("seq.step")).first()[0] + 1
+    last = None if log is None else log.agg(F.max("seq.step")).first()[0]
+    step = 0 if last is None else last + 1   # the log may exist and be empty
     ordered = new.withColumn("seq", F.struct(F.lit(step).alias("step"), F.col("seq").cast("string").alias("at"), F.col("pair_id").alias("pair")))
     ordered = ordered.select("seq", *[c for c in ordered.columns if c != "seq"])
     job.store.put(ordered, "labels", mode="append", dataset=job.dataset)

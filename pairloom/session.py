@@ -90,8 +90,13 @@ def remove_folder(spark: SparkSession, path: str) -> None:
 
 
 def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
-    """Write a folder beside ``path`` and move it there when it is complete; a failed write leaves the old one."""
+    """Write a folder beside ``path`` and move it there when it is complete; a failed write leaves the old one.
+
+    The old folder is set aside, not deleted, until the new one is in its place; ``recover_folder`` puts it back
+    where a run ended between the two moves.
+    """
     path = path.rstrip("/")
+    recover_folder(spark, path)
     fresh = os.path.join(os.path.dirname(path), f"_new-{uuid.uuid4().hex}")
     try:
         write(fresh)
@@ -99,9 +104,38 @@ def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None])
         remove_folder(spark, fresh)
         raise
     where, files = _file_system(spark, path)
-    files.delete(where, True)
+    aside, _ = _file_system(spark, _aside(path))
+    if files.exists(where) and not files.rename(where, aside):
+        raise OSError(f"{path} could not be set aside")
     if not files.rename(_file_system(spark, fresh)[0], where):
+        recover_folder(spark, path)
         raise OSError(f"{fresh} could not be moved to {path}")
+    files.delete(aside, True)
+
+
+def _aside(path: str) -> str:
+    return os.path.join(os.path.dirname(path), f"_old-{os.path.basename(path)}")
+
+
+def recover_folder(spark: SparkSession, path: str) -> None:
+    """Finish a replacement that was cut off: the folder set aside comes back, or goes if the new one is in its place."""
+    path = path.rstrip("/")
+    aside, files = _file_system(spark, _aside(path))
+    if files.exists(aside):
+        where, _ = _file_system(spark, path)
+        if files.exists(where):
+            files.delete(aside, True)
+        elif not files.rename(aside, where):
+            raise OSError(f"{path} could not be put back")
+
+
+def recover_folders(spark: SparkSession, root: str, depth: int = 5) -> None:
+    """``recover_folder`` for everything set aside below ``root``, down to ``depth`` levels; for the start of a run."""
+    for level in range(1, depth + 1):
+        pattern, files = _file_system(spark, os.path.join(root, *["*"] * (level - 1), "_old-*"))
+        for found in files.globStatus(pattern) or []:
+            aside = found.getPath().toString()
+            recover_folder(spark, os.path.join(os.path.dirname(aside), os.path.basename(aside).removeprefix("_old-")))
 
 
 def configure(spark: SparkSession) -> None:

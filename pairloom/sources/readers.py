@@ -11,12 +11,15 @@ from __future__ import annotations
 import os
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from pairloom.functions import variants as V
 from pairloom.functions.text import strip
 from pairloom.session import stage
+from pairloom.sources.blocks import csv_records, json_elements, place, with_blocks
 
+#: JSON documents of more bytes are read by many tasks.
+WHOLE_BYTES = 64 << 20
 SUFFIXES = {".jsonl": "jsonl", ".json": "json", ".csv": "csv", ".parquet": "table"}
 
 
@@ -32,38 +35,31 @@ def source_kind(path: str, fmt: str = "auto") -> str:
     return SUFFIXES[suffix]
 
 
-def read_rows(spark: SparkSession, path: str, fmt: str = "auto", split: str | None = None, multiline: bool = False) -> DataFrame:
-    """Raw rows of any supported format; ``multiline`` is for CSV with quoted line breaks."""
+def read_rows(spark: SparkSession, path: str, fmt: str = "auto", split: str | None = None) -> DataFrame:
+    """Raw rows of any supported format."""
     kind = source_kind(path, fmt)
     try:
         if kind == "table":
             return read_table(spark, path, split)
-        if kind == "csv":
-            return read_csv(spark, path, multiline)
-        return {"jsonl": read_jsonl, "json": read_json}[kind](spark, path)
+        return {"jsonl": read_jsonl, "json": read_json, "csv": read_csv}[kind](spark, path)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(path) from e
         raise
 
 
-def place() -> list[Column]:
-    """Where a scan finds a row, for ``numbered``: file, block, and a number that ascends within the block."""
-    return [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
-            F.monotonically_increasing_id().alias("_row")]
-
-
 def numbered(rows: DataFrame) -> DataFrame:
     """Rows with the columns of ``place`` get ``seq`` = (file, row number in the file) instead.
 
-    A block lies in one task, so its rows are in a row; the rows of the blocks before it in the file are added.
+    A block lies in one task, so its rows are in a row; the rows of the blocks before it in the file are added. The rows are
+    written and read once; the numbers of the blocks come to them, they do not move.
     """
     kept = stage(rows, "numbered")
     blocks = kept.groupBy("_file", "_block").agg(F.min("_row").alias("first"), F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.partitionBy("_file").orderBy("_block")) - F.col("n")
     shifts = blocks.select("_file", "_block", (before - F.col("first")).alias("_shift"))
     seq = F.struct(F.col("_file").alias("file"), (F.col("_row") + F.col("_shift")).alias("row")).alias("seq")
-    return kept.join(shifts, ["_file", "_block"]).select(seq, *[c for c in rows.columns if c not in ("_file", "_block", "_row")])
+    return with_blocks(kept, shifts).select(seq, *[c for c in rows.columns if c not in ("_file", "_block", "_row")])
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
@@ -82,35 +78,50 @@ def bad_lines(spark: SparkSession, path: str) -> DataFrame:
     return _lines(spark, path).filter(F.expr(V.strict_json("line")).isNull())
 
 
-def read_json(spark: SparkSession, path: str) -> DataFrame:
+def read_json(spark: SparkSession, path: str, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
     """JSON documents: each file a list of rows, or an object whose ``data`` is that list.
 
-    A document has to be parsed as a whole, so a file is one task and one value; large data
-    should come as JSONL, which is split.
+    A file of up to ``whole_bytes`` is parsed as one value. Larger ones are cut into their elements by many
+    tasks (``sources.blocks``), and each element is parsed on its own. Malformed text is an error either way.
     """
-    whole = spark.read.text(path, wholetext=True).select(
+    small = F.col("_metadata.file_size") <= whole_bytes
+    whole = spark.read.text(path, wholetext=True).filter(small).select(
         F.col("_metadata.file_path").alias("file"), F.expr(V.strict_json("value", lenient=False)).alias("doc"))
     listed = whole.selectExpr("file", """posexplode(coalesce(
         try_variant_get(doc, '$', 'array<variant>'), try_variant_get(doc, '$.data', 'array<variant>'),
         CAST(raise_error('Unsupported JSON shape: expected a list of rows') AS ARRAY<VARIANT>))) AS (place, row)""")
-    return listed.selectExpr("struct(file, CAST(place AS BIGINT) AS row) AS seq", "row")
+    rows = listed.selectExpr("struct(file, CAST(place AS BIGINT) AS row) AS seq", "row")
+    if spark.read.format("binaryFile").load(path).filter(F.col("length") > whole_bytes).select("path").isEmpty():
+        return rows
+    parts = json_elements(spark, path, whole_bytes).withColumn("text", strip("text"))
+    large = parts.select(F.struct("file", F.col("place").alias("row")).alias("seq"), F.expr(V.strict_json("text", lenient=False)).alias("row"))
+    return rows.unionByName(large)
 
 
-def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header; every column is text and an empty cell is the empty string.
 
-    Files are split. Quoted line breaks need ``multiline``, which reads each file in one task; without it
-    a line with an odd number of quotes is an error, so that no row is torn apart unnoticed.
+    Cells may hold line breaks. Files are split in any case: where every line is a row, by Spark's own reader; where a
+    line may end within quotes, by a scan that knows how each block starts (``sources.blocks``). All files have the same header.
     """
-    if not multiline:
-        quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-        torn = spark.read.text(path).filter(quotes % 2 == 1).limit(1).collect()
-        if torn:
-            raise ValueError(f"a quoted line break, read with multiline: {torn[0].value[:200]}")
-    rows = spark.read.csv(path, header=True, multiLine=multiline, quote='"', escape='"',
-                          emptyValue="", nullValue="\u0000", enforceSchema=False)
-    cells = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns]
-    return numbered(rows.select(*place(), *cells))
+    options = {"quote": '"', "escape": '"', "emptyValue": "", "nullValue": "\u0000", "enforceSchema": "false"}
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    # An odd number of quotes, or a quote inside what may be an unquoted cell.
+    unsure = (quotes % 2 == 1) | F.col("value").rlike('(^|,)[^",][^,"]*"')
+    if spark.read.text(path).filter(unsure).isEmpty():
+        rows = spark.read.csv(path, header=True, **options)
+        cells = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns]
+        return numbered(rows.select(*place(), *cells))
+    columns = spark.read.csv(path, header=True, multiLine=True, **options).columns
+    schema = ", ".join(f"c{i} string" for i in range(len(columns)))
+    records = csv_records(spark, path).withColumn("cells", F.from_csv("text", schema, options | {"multiLine": "true"}))
+    heads = records.filter("row = 0").select("file", F.array(*[F.col(f"cells.c{i}") for i in range(len(columns))]).alias("head"))
+    other = heads.agg(F.min("head").alias("low"), F.max("head").alias("high")).filter("low <> high").collect()
+    if other:
+        raise ValueError(f"CSV files with different headers: {other[0]['low']} and {other[0]['high']}")
+    seq = F.struct("file", (F.col("row") - 1).alias("row")).alias("seq")
+    cells = [F.coalesce(F.col(f"cells.c{i}"), F.lit("")).alias(c) for i, c in enumerate(columns)]
+    return records.filter("row > 0").select(seq, *cells)
 
 
 def read_table(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:

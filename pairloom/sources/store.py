@@ -14,8 +14,9 @@ from pairloom.functions.verdict import tier
 from pairloom.operators.ingest import canonical_pairs, tolerant_pairs
 from pairloom.operators.judge import fill_scores
 from pairloom.schemas import JUDGMENT, LABEL, PAIR, STATUSES
-from pairloom.session import replace_folder
-from pairloom.sources.readers import numbered, place, read_jsonl
+from pairloom.session import recover_folders, replace_folder
+from pairloom.sources.blocks import place
+from pairloom.sources.readers import numbered, read_jsonl
 
 # The columns of a CSV export and the timestamp text of stored records.
 CSV_COLUMNS = ["id", "instruction", "input", "output", "category"]
@@ -151,6 +152,7 @@ class DatasetStore:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        recover_folders(spark, self.root)
 
     def path(self, kind: str, **parts) -> str:
         return os.path.join(self.root, kind, *[f"{k}={quote(str(v), safe=SAFE)}" for k, v in parts.items()])

@@ -158,7 +158,7 @@ def csv_source(spark, sf):
     path = new_folder(spark, "csv") + ".csv"
     I.raw_docs(spark, sf).select("prompt", "completion", "topic").write.option("header", True).option("escape", '"') \
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
-    return _topic_report(readers.read_rows(spark, path, multiline=True))
+    return _topic_report(readers.read_rows(spark, path))
 
 
 @query("A4 A12", """SELECT source AS category, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents
@@ -420,7 +420,7 @@ def cleaned_files(spark, sf):
         .option("ignoreTrailingWhiteSpace", False).csv(csv)
     out = None
     for kind, path in (("jsonl", jsonl), ("csv", csv)):
-        pairs = ingest.ingest(readers.read_rows(spark, path, multiline=True))
+        pairs = ingest.ingest(readers.read_rows(spark, path))
         facts = stage(checks.check_facts(pairs, checks.DEFAULT_CHECKS), "facts")
         rows = checks.clean(pairs, facts).select(F.lit(kind).alias("kind"), "id", F.length("output").cast("bigint").alias("chars"))
         out = rows if out is None else out.unionByName(rows)

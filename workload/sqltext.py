@@ -38,7 +38,8 @@ def pii(blob: str) -> str:
 
 
 def sha256_rank(seed: int, id_: str = "id", seq: str = "seq") -> str:
-    return f"sha256('{seed}:' || {id_} || ':' || CAST({seq} AS VARCHAR))"
+    return (f"substr(sha256('{seed}:' || {id_}), 1, 16) || "
+            f"substr(sha256('{seed}:' || {id_} || ':' || CAST({seq} AS VARCHAR)), 1, 48)")
 
 
 DOCS = """docs AS (
