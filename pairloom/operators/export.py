@@ -22,7 +22,7 @@ def parse_split(spec: str | None) -> dict[str, float]:
 
 def check_ratios(ratios: dict[str, float]) -> dict[str, float]:
     if ratios and abs(sum(ratios.values()) - 1.0) > 0.01:
-        raise ValueError("Split ratios must sum to 1.0")
+        raise ValueError("the shares of a split must add up to 1")
     return ratios
 
 

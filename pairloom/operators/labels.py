@@ -14,7 +14,7 @@ from pairloom.schemas import CRITERIA, STATUSES
 
 def check_status(status: str) -> str:
     if status not in STATUSES:
-        raise ValueError(f"Invalid status: {status}")
+        raise ValueError(f"not a label status: {status}")
     return status
 
 

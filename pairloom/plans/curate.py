@@ -212,9 +212,9 @@ def run_job(spark: SparkSession, config: dict, root: str, scorers: dict[str, jud
         raise ValueError("a job needs a 'dataset'")
     for i, step in enumerate(config.get("steps") or [], 1):
         if not isinstance(step, dict) or len(step) != 1:
-            raise ValueError(f"step #{i} must be a single-key mapping")
+            raise ValueError(f"step {i}: one name with its settings is wanted")
         if next(iter(step)) not in STEPS:
-            raise ValueError(f"Unknown step: {next(iter(step))}")
+            raise ValueError(f"there is no step {next(iter(step))}")
     configure(spark)
     job = Job(spark, DatasetStore(spark, root), config["dataset"], now=now)
     job.scorers.update(scorers or {})

@@ -283,7 +283,7 @@ def json_elements(spark: SparkSession, path: str, least_size: int = 0) -> DataFr
                                           F.lit(1).alias("depth"), F.lit("]").alias("close")))
     missing = closed.join(lists, "file", "left_anti").limit(1).collect()
     if missing:
-        raise ValueError(f"Unsupported JSON shape: expected a list of rows in {missing[0]['file']}")
+        raise ValueError(f"a JSON document must be a list of rows or hold one under data: {missing[0]['file']}")
     # What ends the outermost value, and the list, must match what began them.
     ended = rows.filter("level = 1 AND delimiter IN (']', '}')").join(lists, "file").filter(F.col("delimiter") != F.col("close"))
     wrong = ended.select("file").unionByName(

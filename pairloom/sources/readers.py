@@ -27,11 +27,11 @@ def source_kind(path: str, fmt: str = "auto") -> str:
     """The format: as given, else by the suffix."""
     if fmt != "auto":
         if fmt not in SUFFIXES.values():
-            raise ValueError(f"Unsupported format: {fmt}")
+            raise ValueError(f"no such format: {fmt}")
         return fmt
     suffix = os.path.splitext(path.rstrip("/"))[1].lower()
     if suffix not in SUFFIXES:
-        raise ValueError(f"Cannot autodetect format for {os.path.basename(path)}")
+        raise ValueError(f"the suffix tells no format: {os.path.basename(path)}")
     return SUFFIXES[suffix]
 
 
@@ -89,7 +89,7 @@ def read_json(spark: SparkSession, path: str, whole_bytes: int = WHOLE_BYTES) ->
         F.col("_metadata.file_path").alias("file"), F.expr(V.strict_json("value", lenient=False)).alias("doc"))
     listed = whole.selectExpr("file", """posexplode(coalesce(
         try_variant_get(doc, '$', 'array<variant>'), try_variant_get(doc, '$.data', 'array<variant>'),
-        CAST(raise_error('Unsupported JSON shape: expected a list of rows') AS ARRAY<VARIANT>))) AS (place, row)""")
+        CAST(raise_error('a JSON document must be a list of rows or hold one under data') AS ARRAY<VARIANT>))) AS (place, row)""")
     rows = listed.selectExpr("struct(file, CAST(place AS BIGINT) AS row) AS seq", "row")
     if spark.read.format("binaryFile").load(path).filter(F.col("length") > whole_bytes).select("path").isEmpty():
         return rows

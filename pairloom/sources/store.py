@@ -116,7 +116,7 @@ def write_pairs(pairs: DataFrame, path: str, fmt: str = "jsonl") -> None:
     elif fmt == "parquet":
         out, writer = pairs, lambda w, to: w.parquet(to)
     else:
-        raise ValueError(f"Unsupported format: {fmt}")
+        raise ValueError(f"no such format: {fmt}")
     sink = out.write.partitionBy(*split) if split else out.write
     replace_folder(pairs.sparkSession, path, lambda to: writer(sink, to))
 
@@ -126,13 +126,13 @@ def append_labels(labels: DataFrame, path: str) -> int:
     fails as a whole and leaves nothing behind. Rows are checked and counted as they are written."""
     seen = Observation()
     known = F.when(F.col("status").isin(STATUSES), F.col("status"))
-    problem = F.raise_error(F.concat(F.lit("Invalid status: "), text("status"))).cast("string")
+    problem = F.raise_error(F.concat(F.lit("not a label status: "), text("status"))).cast("string")
     checked = labels.withColumn("status", F.coalesce(known, problem)).observe(seen, F.count(F.lit(1)).alias("n"))
     try:
         checked.write.mode("append").parquet(path)
     except Exception as e:
-        if "Invalid status: " in str(e):
-            raise ValueError(str(e)[str(e).index("Invalid status: "):].splitlines()[0]) from None
+        if "not a label status: " in str(e):
+            raise ValueError(str(e)[str(e).index("not a label status: "):].splitlines()[0]) from None
         raise
     return seen.get["n"]
 
