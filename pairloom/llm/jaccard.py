@@ -8,7 +8,9 @@
 3. Each list (and each run of like sizes in it) has a pivot, with which the others are compared. Sets near to a pivot
    take their answers from it: they are kept as differences from the pivot, and their overlaps with each other follow
    from the differences, not from the sets. A set that is too far from the pivot is too far from what links to it.
-4. Pairs of a list that this leaves open, between different components, are compared whole.
+   The sets near to one pivot are its family; a large family is dealt into chunks, and every two chunks are compared as two blocks of
+   differences, as far as their sets are not connected through the pivot already.
+4. Pairs of a list that this leaves open, between different families and components, are compared whole.
 
 The links found are those that components need; copies and near copies are not expanded into all pairs.
 """
@@ -20,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pairloom.llm.blocks import U64, byte_hashes, column_bytes, mix, prefix_hash, slices, span_hash, sums, words
@@ -34,8 +37,11 @@ LOWER[0x41:0x5B] += 32
 SLICE = 1 << 20
 SKETCH_BITS = 22
 SKETCH_CHUNK = 1 << 16
-#: Members that are compared with one copy of a pivot in one group of rows.
+#: Members that are compared with one copy of a pivot in one group of rows, and the shingles that they have together.
 CHUNK = 1024
+CHUNK_SHINGLES = 1 << 21
+#: Parts of the sketch that are summed in one group.
+SUMMED = 128
 #: A set is compared with a pivot from this share of the hits that a link needs: sets that are near to the pivot, but do not
 #: link, take their answers from it too.
 STAR_SHARE = 0.5
@@ -63,16 +69,13 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndar
     return hashes[new], sums(new.astype(np.int64), number)
 
 
-def set_ids(shingles: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent 64-bit hashes of each set; 0 for empty ones."""
+def set_ids(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each set; 0 for empty ones."""
     first = np.cumsum(counts) - counts
-    out = []
-    for salt in (U64(0), U64(0xA0761D6478BD642F)):
-        running = np.zeros(len(shingles) + 1, np.uint64)
-        np.cumsum(mix(shingles ^ salt), out=running[1:])
-        total = running[first + counts] - running[first]
-        out.append(np.where(counts > 0, mix(total + counts.astype(np.uint64)), U64(0)))
-    return out[0], out[1]
+    running = np.zeros(len(shingles) + 1, np.uint64)
+    np.cumsum(mix(shingles), out=running[1:])
+    total = running[first + counts] - running[first]
+    return np.where(counts > 0, mix(total + counts.astype(np.uint64)), U64(0))
 
 
 def _sliced(batch: pa.RecordBatch, column: int, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -83,10 +86,10 @@ def _sliced(batch: pa.RecordBatch, column: int, k: int) -> Iterator[tuple[int, i
 
 
 def read_sets(rows: DataFrame, k: int) -> DataFrame:
-    """One pass over (id, key, text): a row (id, key, n, set_id, check) per document, and the parts of the sketch."""
+    """One pass over (id, key, text): a row (id, key, n, set_id) per document, and the parts of the sketch, numbered by task."""
     schema = T.StructType([
         T.StructField("id", T.LongType()), T.StructField("key", T.LongType()), T.StructField("n", T.LongType()),
-        T.StructField("set_id", T.LongType()), T.StructField("check", T.LongType()),
+        T.StructField("set_id", T.LongType()), T.StructField("task", T.IntegerType()),
         T.StructField("chunk", T.IntegerType()), T.StructField("times", T.BinaryType()),
     ])
 
@@ -96,15 +99,15 @@ def read_sets(rows: DataFrame, k: int) -> DataFrame:
             for low, high, shingles, counts in _sliced(batch, 2, k):
                 np.add.at(sketch, (shingles >> U64(64 - SKETCH_BITS)).astype(np.int64), np.uint32(1))
                 size = high - low
-                one, two = set_ids(shingles, counts)
+                names = set_ids(shingles, counts)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(low, size), batch.column(1).slice(low, size), pa.array(counts),
-                    pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary()),
+                    pa.array(names.view(np.int64)), pa.nulls(size, pa.int32()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary()),
                 ], names=schema.names)
-        parts = [(i, p) for i, p in enumerate(sketch.reshape(-1, SKETCH_CHUNK)) if p.any()]
+        parts = [(i, p.astype(np.uint64)) for i, p in enumerate(sketch.reshape(-1, SKETCH_CHUNK)) if p.any()]
         nothing = pa.nulls(len(parts), pa.int64())
         yield pa.RecordBatch.from_arrays([
-            *[nothing] * 5, pa.array([i for i, _ in parts], pa.int32()), pa.array([pack(p) for _, p in parts], pa.binary()),
+            *[nothing] * 4, pa.array([TaskContext.get().partitionId()] * len(parts), pa.int32()), pa.array([i for i, _ in parts], pa.int32()), pa.array([pack(p) for _, p in parts], pa.binary()),
         ], names=schema.names)
 
     return rows.mapInArrow(tidy(read), schema)
@@ -113,16 +116,23 @@ def read_sets(rows: DataFrame, k: int) -> DataFrame:
 def frequency_classes(read: DataFrame) -> np.ndarray:
     """For each cell of the sketch: 0 for what is rare, else the power of two by which it is frequent.
 
-    Rare is what collisions alone explain, and 20 more. The result has a fixed size.
+    Rare is what collisions alone explain, and 20 more. The result has a fixed size. The parts of the tasks are summed in a tree, ``SUMMED`` at a time.
     """
     def total(table: pa.Table) -> pa.Table:
-        whole = sum(unpack(x, np.uint32).astype(np.uint64) for x in table.column("times").to_pylist())
-        return pa.table({"chunk": table.column("chunk")[:1], "times": pa.array([whole.tobytes()], pa.binary())})
-
-    parts = read.filter("chunk IS NOT NULL").select("chunk", "times").groupBy("chunk").applyInArrow(total, "chunk int, times binary")
+        whole = sum(unpack(x, np.uint64) for x in table.column("times").to_pylist())
+        return pa.table({"chunk": table.column("chunk")[:1], "task": table.column("task")[:1], "times": pa.array([pack(whole)], pa.binary())})
+
+    parts = read.filter("chunk IS NOT NULL").select("chunk", "task", "times")
+    tasks = parts.agg(F.max("task")).first()[0]
+    while tasks is not None:
+        tasks //= SUMMED
+        parts = parts.withColumn("task", F.expr(f"task div {SUMMED}").cast("int")).groupBy("chunk", "task").applyInArrow(
+            total, "chunk int, task int, times binary")
+        if not tasks:
+            break
     cells = np.zeros(1 << SKETCH_BITS, np.float64)
     for row in parts.toArrow().to_pylist():
-        cells[row["chunk"] * SKETCH_CHUNK:(row["chunk"] + 1) * SKETCH_CHUNK] = np.frombuffer(row["times"], np.uint64)
+        cells[row["chunk"] * SKETCH_CHUNK:(row["chunk"] + 1) * SKETCH_CHUNK] = unpack(row["times"], np.uint64)
     limit = cells.mean() + 6 * np.sqrt(cells.mean()) + 20
     return np.where(cells > limit, 1 + np.floor(np.log2(np.maximum(cells, 1) / limit)), 0).astype(np.uint8)
 
@@ -172,7 +182,7 @@ def index_lists(rows: DataFrame, k: int, percent: int, buckets: int, classes: np
             base = 0
             seen: set[int] = set()
             for _, _, shingles, counts in _sliced(batch, 2, k):
-                ids = set_ids(shingles, counts)[0].view(np.int64)
+                ids = set_ids(shingles, counts).view(np.int64)
                 new = np.zeros(len(ids), bool)
                 for i, x in enumerate(ids.tolist()):
                     if counts[i] and x not in seen:
@@ -307,7 +317,7 @@ def stored_sets(rows: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, shingles, counts in _sliced(batch, 2, k):
-                ids = set_ids(shingles, counts)[0].view(np.int64)
+                ids = set_ids(shingles, counts).view(np.int64)
                 edges = np.concatenate([[0], np.cumsum(counts)]).tolist()
                 short = shingles >> U64(64 - KEPT_BITS)
                 blobs = [pack(np.diff(short[a:b], prepend=U64(0))) for a, b in zip(edges, edges[1:])]
@@ -324,6 +334,59 @@ def _tokens(blob: bytes) -> np.ndarray:
     return np.cumsum(unpack(blob, np.uint64), dtype=np.uint64)
 
 
+#: A chunk of a family: names, whether connected with the pivot, numbers and values of what was lost and gained.
+BLOCK = (("names", np.int64), ("free", np.uint8), ("lost_size", np.int64), ("gained_size", np.int64), ("lost", np.int64), ("gained", np.uint64))
+
+Side = tuple[np.ndarray, np.ndarray]
+
+
+def linked_by_differences(width: int, lost_a: Side, gained_a: Side, lost_b: Side, gained_b: Side, percent: int) -> np.ndarray:
+    """Which sets of two blocks link: |a & b| = |p| - |lost by a| - |lost by b| + |lost by both| + |gained by both|.
+
+    A side holds the values of all sets in a row, and how many each has.
+    """
+    overlap = width - (lost_a[1][:, None] + lost_b[1][None, :]).astype(np.float64)
+    for (flat_a, size_a), (flat_b, size_b) in ((lost_a, lost_b), (gained_a, gained_b)):
+        common = np.intersect1d(flat_a, flat_b)
+        owner_a, owner_b = (np.repeat(np.arange(len(s)), s) for s in (size_a, size_b))
+        for low in range(0, len(common), 2048):
+            some = common[low:low + 2048]
+            has = []
+            for flat, owner, n in ((flat_a, owner_a, len(size_a)), (flat_b, owner_b, len(size_b))):
+                at = np.minimum(np.searchsorted(some, flat), len(some) - 1)
+                inside = some[at] == flat
+                held = np.zeros((n, len(some)), np.float32)
+                held[owner[inside], at[inside]] = 1
+                has.append(held)
+            overlap += has[0] @ has[1].T
+    total = (width - lost_a[1] + gained_a[1])[:, None] + (width - lost_b[1] + gained_b[1])[None, :]
+    return 100 * overlap >= percent * (total - overlap)
+
+
+def cross_links(pivot: int, a: dict, b: dict, percent: int) -> list[tuple[int, int]]:
+    """Links that connect what links between two chunks of a family: one at most for each member, and for the pivot.
+
+    Members that are connected with the pivot bear its name from the start.
+    """
+    read = [{n: unpack(x[n], kind) for n, kind in BLOCK} for x in (a, b)]
+    sides = [((x["lost"], x["lost_size"]), (x["gained"], x["gained_size"])) for x in read]
+    linked = linked_by_differences(a["width"], *sides[0], *sides[1], percent)
+    names = [x["names"] for x in read]
+    free = [x["free"].astype(bool) for x in read]
+    label = [np.where(f, n, pivot) for n, f in zip(names, free)]
+    most, home = np.iinfo(np.int64).max, pivot
+    while True:
+        before = [x.copy() for x in label]
+        label[0] = np.minimum(label[0], np.where(linked, label[1][None, :], most).min(axis=1, initial=most))
+        label[1] = np.minimum(label[1], np.where(linked, label[0][:, None], most).min(axis=0, initial=most))
+        home = min(home, *(int(x[~f].min(initial=most)) for x, f in zip(label, free)))
+        label = [np.where((x == pivot) | ~f, home, x) for x, f in zip(label, free)]
+        if all((x == y).all() for x, y in zip(before, label)):
+            break
+    links = [(int(n), int(x)) for i in (0, 1) for n, x in zip(names[i][free[i]], label[i][free[i]]) if n != x]
+    return links + ([(pivot, home)] if home != pivot else [])
+
+
 class _Family:
     """A pivot's members as differences from it, and the answers that follow from them.
 
@@ -334,6 +397,7 @@ class _Family:
         self.name, self.pivot, self.percent = name, pivot, percent
         self.reach = reach_of(percent)
         self.rows: list[list] = []
+        self.free = np.zeros(0, bool)   # members that nothing connects with the pivot so far
         self.members: list[int] = []
         self.lost: list[np.ndarray] = []
         self.gained: list[np.ndarray] = []
@@ -350,27 +414,19 @@ class _Family:
             self.gained.append(tokens[~common])
         self.rows.append([member, distance, 100 * overlap >= self.percent * union, None])
 
+    def block(self) -> dict[str, bytes | int]:
+        """The members within reach, for a comparison with those of another chunk."""
+        sizes = [np.array([len(x) for x in side], np.int64) for side in (self.lost, self.gained)]
+        flat = [np.concatenate([np.zeros(0, np.int64), *self.lost]), np.concatenate([np.zeros(0, np.uint64), *self.gained])]
+        names = np.array([self.rows[i][0] for i in self.members], np.int64)
+        arrays = (names, self.free.astype(np.uint8), sizes[0], sizes[1], flat[0], flat[1])
+        return {"width": len(self.pivot), **{n: pack(a) for (n, _), a in zip(BLOCK, arrays)}}
+
     def _linked(self) -> np.ndarray:
-        """Which members within reach link, the pivot as the first: |a & b| = |p| - |lost by a or b| + |gained by both|."""
-        lost = [np.zeros(0, np.int64), *self.lost]
-        gained = [np.zeros(0, np.uint64), *self.gained]
-        n, width = len(lost), len(self.pivot)
-        lost_size, gained_size = (np.array([len(x) for x in side], np.int64) for side in (lost, gained))
-        overlap = width - (lost_size[:, None] + lost_size[None, :]).astype(np.float64)
-        for side, sizes in ((lost, lost_size), (gained, gained_size)):
-            tokens, column, times = np.unique(np.concatenate(side), return_inverse=True, return_counts=True)
-            owner = np.repeat(np.arange(n), sizes)
-            shared = np.flatnonzero(times > 1)  # what one member alone lost or gained is common to none
-            for low in range(0, len(shared), 2048):
-                place = np.full(len(tokens), -1)
-                some = shared[low:low + 2048]
-                place[some] = np.arange(len(some))
-                inside = place[column] >= 0
-                has = np.zeros((n, len(some)), np.float32)
-                has[owner[inside], place[column[inside]]] = 1
-                overlap += has @ has.T
-        size = width - lost_size + gained_size
-        linked = 100 * overlap >= self.percent * (size[:, None] + size[None, :] - overlap)
+        """Which members within reach link, the pivot as the first."""
+        lost, gained = [np.zeros(0, np.int64), *self.lost], [np.zeros(0, np.uint64), *self.gained]
+        sides = [(np.concatenate(x), np.array([len(y) for y in x], np.int64)) for x in (lost, gained)]
+        linked = linked_by_differences(len(self.pivot), *sides, *sides, self.percent)
         np.fill_diagonal(linked, True)
         return linked
 
@@ -384,6 +440,7 @@ class _Family:
                 if (least == label).all():
                     break
                 label = least
+            self.free = label[1:] != label[0]
             for i, own, found in zip(self.members, names[1:].tolist(), label[1:].tolist()):
                 self.rows[i][3] = found if found != own else None
             # The pivot itself, so that its component is named too.
@@ -393,36 +450,43 @@ class _Family:
 
 
 def compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(pivot, other, chunk, distance, near, link) for distinct pairs (pivot, other), in groups of a pivot.
+    """(pivot, other, chunk, distance, near, link, chunks, block) for distinct pairs (pivot, other), in groups of a pivot.
 
     A pivot with many others is split over chunks; pivots are counted first, and only those with more than
-    one chunk take part in that join.
+    one chunk take part in that join. Each chunk of such a pivot adds a row with nothing but its block, for ``cross``.
     """
-    sizes = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks")).filter("chunks > 1")
-    chunked = stage(pairs.join(sizes, "pivot", "left").select(
-        "pivot", "other", F.pmod(F.xxhash64("other"), F.coalesce("chunks", F.lit(1))).cast("int").alias("chunk")), "chunked")
+    share = F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK), F.ceil(F.sum("other_size") / CHUNK_SHINGLES))
+    sizes = pairs.groupBy("pivot").agg(share.cast("int").alias("chunks")).filter("chunks > 1")
+    chunked = stage(pairs.join(sizes, "pivot", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1))).select(
+        "pivot", "other", "chunks", F.pmod(F.xxhash64("other"), "chunks").cast("int").alias("chunk")), "chunked")
     members = few(chunked).join(sets.withColumnRenamed("set", "other"), "other").select(
-        "pivot", "chunk", F.lit(1).alias("role"), F.col("other").alias("set"), "tokens")
-    heads = few(stage(chunked.select("pivot", "chunk").distinct(), "heads")).join(sets.withColumnRenamed("set", "pivot"), "pivot").select(
-        "pivot", "chunk", F.lit(0).alias("role"), F.col("pivot").alias("set"), "tokens")
+        "pivot", "chunk", F.lit(1).alias("role"), F.col("other").alias("set"), "tokens", "chunks")
+    heads = few(stage(chunked.select("pivot", "chunk", "chunks").distinct(), "heads")).join(sets.withColumnRenamed("set", "pivot"), "pivot").select(
+        "pivot", "chunk", F.lit(0).alias("role"), F.col("pivot").alias("set"), "tokens", "chunks")
     rows = members.unionByName(heads).repartition("pivot", "chunk").sortWithinPartitions("pivot", "chunk", "role", "set")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, family, last = None, None, None
         out: list[tuple] = []
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.bool_(), pa.int64(), pa.int32(),
+                 pa.struct([("width", pa.int64()), *[(n, pa.binary()) for n, _ in BLOCK]]))
 
         def flush() -> pa.RecordBatch:
-            columns = list(zip(*out)) or [[]] * 6
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.bool_(), pa.int64())
+            columns = list(zip(*out)) or [[]] * len(kinds)
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                              names=["pivot", "other", "chunk", "distance", "near", "link"])
+                                              names=["pivot", "other", "chunk", "distance", "near", "link", "chunks", "block"])
+
+        def close() -> None:
+            if family is not None:
+                out.extend((group[0], r[0], group[1], r[1], r[2], r[3], None, None) for r in family.answers())
+                if group[2] > 1 and family.members:
+                    out.append((group[0], None, group[1], None, None, None, group[2], family.block()))
 
         for batch in batches:
-            for pivot, chunk, role, member, blob in zip(*[c.to_pylist() for c in batch.columns]):
-                if (pivot, chunk) != group:
-                    if family is not None:
-                        out += [(group[0], r[0], group[1], r[1], r[2], r[3]) for r in family.answers()]
-                    group, family, last = (pivot, chunk), None, None
+            for pivot, chunk, role, member, blob, chunks in zip(*[c.to_pylist() for c in batch.columns]):
+                if (pivot, chunk, chunks) != group:
+                    close()
+                    group, family, last = (pivot, chunk, chunks), None, None
                 if member == last:  # a document that the table holds twice
                     continue
                 last = member
@@ -430,14 +494,41 @@ def compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     family, last = _Family(pivot, _tokens(blob), percent), None
                 else:
                     family.add(member, _tokens(blob))
-            if len(out) > 10_000:
-                yield flush()
-                out = []
-        if family is not None:
-            out += [(group[0], r[0], group[1], r[1], r[2], r[3]) for r in family.answers()]
+                if len(out) > 10_000:
+                    yield flush()
+                    out.clear()
+        close()
         yield flush()
 
-    return rows.mapInArrow(tidy(compared), "pivot long, other long, chunk int, distance double, near boolean, link long")
+    block = ", ".join(f"{n}: binary" for n, _ in BLOCK)
+    return rows.mapInArrow(tidy(compared), "pivot long, other long, chunk int, distance double, near boolean, link long, "
+                                           f"chunks int, block struct<width: long, {block}>")
+
+
+def cross(compared: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the chunks of each family: one row for every two chunks, none for a pair of sets.
+
+    A family whose members are all connected with the pivot needs no comparison, and two chunks of such members neither.
+    """
+    blocks = compared.filter("block IS NOT NULL").select("pivot", "chunk", "chunks", "block")
+    other = F.explode(F.expr("filter(sequence(0, chunks - 1), c -> c <> chunk)")).alias("other")
+    rows = blocks.select("pivot", "chunk", "block", other).select(
+        "pivot", F.least("chunk", "other").alias("one"), F.greatest("chunk", "other").alias("two"), "chunk", "block")
+    rows = rows.repartition("pivot", "one", "two").sortWithinPartitions("pivot", "one", "two", "chunk")
+
+    def crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            links = []
+            for i in range(batch.num_rows):  # one block at a time in Python
+                pivot, one, two, _, block = (c[i].as_py() for c in batch.columns)
+                if held is not None and held[0] == (pivot, one, two):
+                    if any(unpack(x["free"], np.uint8).any() for x in (held[1], block)):
+                        links += cross_links(pivot, held[1], block, percent)
+                held = ((pivot, one, two), block)
+            yield pa.RecordBatch.from_arrays([pa.array([x[n] for x in links], pa.int64()) for n in (0, 1)], names=["a", "b"])
+
+    return rows.mapInArrow(tidy(crossed), "a long, b long")
 
 
 def links_of(compared: DataFrame) -> DataFrame:
@@ -446,13 +537,10 @@ def links_of(compared: DataFrame) -> DataFrame:
 
 
 def homes(compared: DataFrame, percent: int) -> DataFrame:
-    """(set, home): the family of the least pivot in whose reach a set is. All sets of a home are compared with each other.
-
-    The pivot is in every chunk of its family (chunk -1).
-    """
-    own = compared.select(F.col("pivot").alias("set"), F.struct("pivot", F.lit(-1).alias("chunk")).alias("home"))
+    """(set, home): the least pivot in whose reach a set is. All sets of a home are compared with each other."""
+    own = compared.select(F.col("pivot").alias("set"), F.col("pivot").alias("home"))
     inside = compared.filter((F.col("distance") <= reach_of(percent)) & (F.col("pivot") != F.col("other"))).select(
-        F.col("other").alias("set"), F.struct("pivot", "chunk").alias("home"))
+        F.col("other").alias("set"), F.col("pivot").alias("home"))
     return own.unionByName(inside).groupBy("set").agg(F.min("home").alias("home"))
 
 
@@ -462,10 +550,10 @@ def open_pairs(lists: DataFrame, compared: DataFrame, roots: DataFrame, percent:
     members = lists.select("list", F.explode("members").alias("m")).select("list", "m.set", "m.size", "m.place", "m.pivot")
     members = members.join(roots.select(F.col("id").alias("set"), "root"), "set", "left").withColumn("root", F.coalesce("root", "set"))
     mixed = members.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("list")
-    known = compared.filter("pivot != other").select("pivot", F.col("other").alias("set"), "distance")
+    known = compared.filter("pivot <> other").select("pivot", F.col("other").alias("set"), "distance")
     members = members.join(mixed, "list", "left_semi").join(known, ["pivot", "set"], "left").join(homes(compared, percent), "set", "left")
     rows = members.groupBy("list").agg(F.collect_list(F.struct(
-        "set", "size", "place", "pivot", "root", "distance", F.col("home.pivot").alias("family"), F.col("home.chunk").alias("chunk"))).alias("m"))
+        "set", "size", "place", "pivot", "root", "distance", F.col("home").alias("family"))).alias("m"))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gap = 1 - percent / 100 + 1e-9
@@ -476,7 +564,6 @@ def open_pairs(lists: DataFrame, compared: DataFrame, roots: DataFrame, percent:
                 col = {n: np.array([r[n] for r in rows_]) for n in ("set", "size", "place", "pivot", "root")}
                 homed = np.array([r["family"] is not None for r in rows_])
                 family = np.array([r["family"] or 0 for r in rows_])
-                chunk = np.array([-2 if r["chunk"] is None else r["chunk"] for r in rows_])
                 is_pivot = col["set"] == col["pivot"]
                 distance = np.where(is_pivot, 0.0, np.array([np.nan if r["distance"] is None else r["distance"] for r in rows_], float))
                 ends = np.searchsorted(col["size"], col["size"] * 100 // percent, "right")
@@ -486,7 +573,7 @@ def open_pairs(lists: DataFrame, compared: DataFrame, roots: DataFrame, percent:
                         col["size"][i], col["place"][i], col["size"][j], col["place"][j], percent)
                     with np.errstate(invalid="ignore"):  # an unknown distance excludes nothing
                         keep &= ~((col["pivot"][j] == col["pivot"][i]) & (np.abs(distance[j] - distance[i]) > gap))
-                    keep &= ~(homed[j] & homed[i] & (family[j] == family[i]) & ((chunk[j] == chunk[i]) | (chunk[j] == -1) | (chunk[i] == -1)))
+                    keep &= ~(homed[j] & homed[i] & (family[j] == family[i]))
                     for x in np.flatnonzero(keep).tolist():
                         a, b = (i, i + 1 + x) if col["set"][i] < col["set"][i + 1 + x] else (i + 1 + x, i)
                         found[int(col["set"][a]), int(col["set"][b]), int(col["size"][a]), int(col["size"][b])] += 1
@@ -501,9 +588,9 @@ def open_pairs(lists: DataFrame, compared: DataFrame, roots: DataFrame, percent:
 
 
 def strong(pairs: DataFrame, percent: int, share: float = 1.0) -> DataFrame:
-    """Pairs (pivot, other) with as many hits as two sets that link must have, or a share of that number."""
+    """Pairs (pivot, other, other_size) with as many hits as two sets that link must have, or a share of that number."""
     total = pairs.groupBy("pivot", "other", "pivot_size", "other_size").agg(F.sum("hits").alias("hits"))
-    return total.filter(F.col("hits") >= F.lit(share) * least_hits("pivot_size", "other_size", percent)).select("pivot", "other").distinct()
+    return total.filter(F.col("hits") >= F.lit(share) * least_hits("pivot_size", "other_size", percent)).select("pivot", "other", "other_size").distinct()
 
 
 def similarity_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
@@ -540,7 +627,7 @@ def _classes(rows: DataFrame, k: int, percent: int, buckets: int) -> DataFrame:
     wanted = stage(first.join(in_lists, "set", "left_semi").select(F.col("doc.id").alias("w_id"), F.col("doc.key").alias("w_key")), "wanted")
     sets = stage(stored_sets(rows, wanted, k), "sets")
     compared = stage(compare(pairs, sets, percent), "compared")
-    links = links_of(compared)
+    links = stage(links_of(compared).unionByName(cross(compared, percent)), "family-links")
     roots = stage(components(links), "roots")
     rest = stage(open_pairs(lists.filter("list IS NOT NULL"), compared, roots, percent), "open")
     if not rest.isEmpty():

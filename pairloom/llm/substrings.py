@@ -22,6 +22,8 @@ from pairloom.llm.blocks import byte_hashes, column_bytes, mix, slices, window_h
 from pairloom.llm.packed import pack, unpack
 from pairloom.llm.ship import prepare, tidy
 
+#: Bytes of text whose windows meet in one range of hashes, about; nine bytes a word travel, some fifty are held while a range is sorted.
+RANGE_BYTES = 8 << 20
 RESULT = ("kept", "n_words", "n_removed", "removed")
 
 
@@ -67,38 +69,48 @@ def repeated_windows(docs: DataFrame, id_: Column, key: Column, text: Column, wi
             ids = np.asarray(batch.column(0)).astype(np.int64)
             keys = np.asarray(batch.column(1)).astype(np.int32)
             data, offsets = column_bytes(batch.column(2))
-            parts, counts = [], []
-            for low, high in slices(offsets, 1 << 20):
+            parts = []
+            for low, high in slices(offsets, 1 << 20):  # 16 bytes a window stay of each slice
                 begin = offsets[low]
                 some, edges = data[begin:offsets[high]], offsets[low:high + 1] - begin
-                starts, ends, n = words(some, edges)
-                parts.append(byte_hashes(some, starts, ends))
-                counts.append(n)
+                starts, ends, counts = words(some, edges)
+                windows, first = window_hashes(byte_hashes(some, starts, ends), counts, width)
+                number = np.maximum(counts - width + 1, 0)
+                place = first - np.repeat(np.cumsum(counts) - counts, number)
+                parts.append((windows, np.repeat(np.arange(low, high, dtype=np.uint32), number), place.astype(np.uint32)))
             if not parts:
                 continue
-            hashes, counts = np.concatenate(parts), np.concatenate(counts)
-            windows, first = window_hashes(hashes, counts, width)
+            windows, doc, place = (np.concatenate(x) for x in zip(*parts))
+            del parts
             if not len(windows):
                 continue
-            doc = np.repeat(np.arange(len(counts)), np.maximum(counts - width + 1, 0))
-            place = first - (np.cumsum(counts) - counts)[doc]
-            order = np.lexsort((ids[doc], windows))
+            rank = np.empty(len(ids), np.uint32)  # ids that are equal stay equal
+            rank[:] = np.unique(ids, return_inverse=True)[1]
+            order = np.lexsort((rank[doc], windows))
             windows, doc, place = windows[order], doc[order], place[order]
+            del order
             new = np.ones(len(windows), bool)
             new[1:] = windows[1:] != windows[:-1]
-            least = np.repeat(ids[doc[new]], np.diff(np.append(np.flatnonzero(new), len(windows))))
-            sent = ids[doc] == least
+            least = np.repeat(rank[doc[new]], np.diff(np.append(np.flatnonzero(new), len(windows))))
+            sent = rank[doc] == least
+            del least, new
             out = []
             if not sent.all():
                 # Bucket -1 - b passes known repeats through the shuffle.
                 known = ~sent
-                target = _home(ids[doc[known]], buckets)
-                for b in np.unique(target).tolist():
-                    at = np.flatnonzero(known)[target == b]
-                    out.append(_message(-1 - b, np.zeros(len(at), np.uint64), doc[at], place[at], ids, keys))
+                at = np.flatnonzero(known)
+                target = _home(ids[doc[at]], buckets)
+                order = np.argsort(target, kind="stable")
+                at, target = at[order], target[order]
+                edges = np.searchsorted(target, np.arange(buckets + 1))
+                for b in np.flatnonzero(np.diff(edges)).tolist():
+                    at_b = at[edges[b]:edges[b + 1]]
+                    at_b.sort()
+                    out.append(_message(-1 - b, np.zeros(len(at_b), np.uint64), doc[at_b], place[at_b], ids, keys))
             windows, doc, place = windows[sent], doc[sent], place[sent]
-            bucket = ((windows >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-            edges = np.searchsorted(bucket, np.arange(buckets + 1))
+            # Windows are sorted: the ranges of hashes that begin at b * 2**64 / buckets.
+            bounds = np.array([(b << 64) // buckets for b in range(buckets)], np.uint64)
+            edges = np.append(np.searchsorted(windows, bounds), len(windows))
             for b in np.flatnonzero(np.diff(edges)).tolist():
                 s = slice(edges[b], edges[b + 1])
                 out.append(_message(b, windows[s], doc[s], place[s], ids, keys))
@@ -155,7 +167,7 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
     A word goes if a window of ``width`` words that covers it also starts in a document with a smaller id; windows
     are judged on the input. ``removed`` lists the maximal intervals of such words, ``kept`` is
     the rest, joined by one blank, or the untouched text where nothing went and ``keep_unchanged`` is
-    set. ``buckets`` (default: the shuffle partitions) are the hash ranges; a range should fit in a task.
+    set. ``buckets`` are the hash ranges, one group of rows each (default: one per ``RANGE_BYTES`` of text, at least the shuffle partitions).
 
     Null and empty texts have no words and are kept as empty text; a null id neither loses nor takes words; documents
     with equal ids do not take from each other; an empty table gives no rows. Columns of ``docs`` stay, but those named
@@ -166,7 +178,9 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
     docs = docs.drop(*[c for c in RESULT if c not in (id_col, text_col)])
     text = F.col(text_col)
     key, ident = F.hash(text), F.col(id_col).cast("long")
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if buckets is None:
+        size = docs.agg(F.sum(F.octet_length(text.cast("string")))).first()[0] or 0
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
     places = repeated_windows(docs, ident, key, text, width, buckets)
     left = docs.select(F.struct("*").alias("doc"), ident.alias("id"), key.alias("key"))
     joined = left.join(places, ["id", "key"], "left").select("doc", "places")

@@ -191,3 +191,39 @@ def test_least_hits_is_a_bound(spark):
     for percent in (60, 80, 85):
         some = table.filter(F.col("percent") == percent).withColumn("least", jaccard.least_hits("a", "b", percent))
         assert some.count() > 50 and some.filter("hits < least").count() == 0 and some.filter("least > 1").count() > 0
+
+
+def test_two_chunks_of_a_family():
+    """What two chunks link through the differences connects what the sets themselves link."""
+    rng = random.Random(3)
+    for trial in range(60):
+        base = np.unique(np.array([rng.randrange(1 << 60) for _ in range(40)], np.uint64))
+
+        def variant():
+            kept = [x for x in base.tolist() if rng.random() > rng.choice([0.02, 0.1, 0.15])]
+            return np.unique(np.array(kept + [rng.randrange(8) for _ in range(rng.choice([0, 2, 5]))], np.uint64))
+
+        members = {n: variant() for n in rng.sample(range(2, 1000), 12)}
+        pivot = 1 if trial % 2 else 500_000
+        links, families, inside = [], [], [pivot]
+        for part in (list(members)[:7], list(members)[7:]):
+            family = jaccard._Family(pivot, base, 85)
+            for name in sorted(part):
+                family.add(name, members[name])
+            inside += [family.rows[i][0] for i in family.members]
+            links += [(r[0], r[3]) for r in family.answers() if r[3] is not None]
+            families.append(family)
+        if all(f.members for f in families):
+            links += jaccard.cross_links(pivot, families[0].block(), families[1].block(), 85)
+        sets = {n: set((base if n == pivot else members[n]).tolist()) for n in inside}
+        true = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+
+        def groups(edges):
+            label = {n: n for n in sets}
+            for _ in sets:
+                for a, b in edges:
+                    if a in label and b in label:
+                        label[a] = label[b] = min(label[a], label[b])
+            return label
+
+        assert groups(links) == groups(true)
