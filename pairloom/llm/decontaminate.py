@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from pairloom.llm.blocks import column_bytes, words
-from pairloom.llm.ship import prepare
+from pairloom.llm.ship import prepare, tidy
 from pairloom.session import stage
 
 #: Bytes of words are kept, A-Z in lower case; all others part words: [\x00-\x2F\x3A-\x60\x7B-\x7F].
@@ -100,7 +100,7 @@ def _scan_block(rows: DataFrame, items: list[tuple[str | None, str]], width: int
                 pa.array(owners, pa.list_(pa.string())),
             ], names=[f.name for f in schema])
 
-    return rows.mapInArrow(scan, schema)
+    return rows.mapInArrow(tidy(scan), schema)
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, width: int = 10, block_bytes: int = 1 << 20,

@@ -38,7 +38,7 @@ SLICE = 1 << 20
 SKETCH_BITS = 22
 SKETCH_CHUNK = 1 << 16
 #: Members that are compared with one copy of a pivot in one group of rows, and the shingles that they have together.
-CHUNK = 1024
+CHUNK = 256
 CHUNK_SHINGLES = 1 << 21
 #: Parts of the sketch that are summed in one group.
 SUMMED = 128
@@ -152,6 +152,18 @@ def least_hits(size_a: str, size_b: str, percent: int) -> Column:
     return F.expr(f"ceil(({size_a} + {size_b}) * {percent} / {100 + percent}D - 1e-9) - greatest({rest(size_a)}, {rest(size_b)})")
 
 
+def enough_marks(size_a: int, marks_a: np.ndarray, size_b: np.ndarray, marks_b: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the sets b can have as many prefix shingles in common with a as a link needs.
+
+    A bit that only one of two bitmaps has stands for at least one prefix shingle that the other set lacks.
+    """
+    only_a = np.bitwise_count(marks_a[None, :] & ~marks_b).sum(axis=1)
+    only_b = np.bitwise_count(marks_b & ~marks_a[None, :]).sum(axis=1)
+    most = np.minimum(prefix_length(np.int64(size_a), percent) - only_a, prefix_length(size_b, percent) - only_b)
+    rest = np.maximum((size_a * percent + 99) // 100, (size_b * percent + 99) // 100) - 1
+    return most >= least_overlap(np.int64(size_a), size_b, percent) - rest
+
+
 def least_overlap(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     """The smallest intersection of two sets of these sizes that link."""
     return -(-(a + b) * percent // (100 + percent))
@@ -190,13 +202,9 @@ def index_lists(rows: DataFrame, k: int, percent: int, buckets: int, classes: np
                         new[i] = True
                 shingles = shingles[np.repeat(new, counts)]
                 ids, size = ids[new], counts[new]
-                rank = level[(shingles >> U64(64 - SKETCH_BITS)).astype(np.int64)]
-                doc = np.repeat(np.arange(len(size)), size)
-                # Hashes of a text are sorted already, so a stable sort by (text, class) gives the order.
-                order = np.argsort(doc * 64 + rank, kind="stable")
-                place = np.arange(len(doc)) - np.repeat(np.cumsum(size) - size, size)
+                doc, place, tokens = in_order(shingles, size, level)
                 front = place < np.repeat(prefix_length(size, percent), size)
-                kept["tokens"].append(shingles[order][front])
+                kept["tokens"].append(tokens[front])
                 kept["doc"].append(doc[front] + base)
                 kept["place"].append(place[front])
                 kept["sets"].append(ids)
@@ -309,8 +317,32 @@ def few(narrow: DataFrame, most: int = 500_000) -> DataFrame:
     return F.broadcast(narrow) if narrow.count() <= most else narrow
 
 
-def stored_sets(rows: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(set, tokens) of the wanted documents (id, key)."""
+#: 64-bit words of the bitmap of a prefix.
+MARKS = 8
+
+
+def prefix_marks(shingles: np.ndarray, counts: np.ndarray, percent: int, level: np.ndarray) -> np.ndarray:
+    """A bitmap of the prefix of each set, one row each: every prefix shingle sets a bit by its hash."""
+    doc, place, tokens = in_order(shingles, counts, level)
+    front = place < np.repeat(prefix_length(counts, percent), counts)
+    bit = (mix(tokens[front]) >> U64(32)).astype(np.int64) % (64 * MARKS)
+    marks = np.zeros((len(counts), MARKS), np.uint64)
+    np.bitwise_or.at(marks, (doc[front], bit // 64), U64(1) << (bit % 64).astype(np.uint64))
+    return marks
+
+
+def in_order(shingles: np.ndarray, counts: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(set, place, shingle) of all shingles, those of a set by class and hash."""
+    rank = level[(shingles >> U64(64 - SKETCH_BITS)).astype(np.int64)]
+    doc = np.repeat(np.arange(len(counts)), counts)
+    # Hashes of a text are sorted already, so a stable sort by (text, class) gives the order.
+    order = np.argsort(doc * 64 + rank, kind="stable")
+    return doc, np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts), shingles[order]
+
+
+def stored_sets(rows: DataFrame, wanted: DataFrame, k: int, percent: int, classes: np.ndarray) -> DataFrame:
+    """(set, tokens, marks) of the wanted documents (id, key): the shingles, and the bitmap of the prefix."""
+    shared = rows.sparkSession.sparkContext.broadcast(classes)
     wanted = few(wanted)
     picked = rows.join(wanted, rows["id"].eqNullSafe(wanted["w_id"]) & (rows["key"] == wanted["w_key"])).select("id", "key", "text")
 
@@ -321,9 +353,11 @@ def stored_sets(rows: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 edges = np.concatenate([[0], np.cumsum(counts)]).tolist()
                 short = shingles >> U64(64 - KEPT_BITS)
                 blobs = [pack(np.diff(short[a:b], prepend=U64(0))) for a, b in zip(edges, edges[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(blobs, pa.binary())], names=["set", "tokens"])
+                marks = [m.tobytes() for m in prefix_marks(shingles, counts, percent, shared.value)]
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(blobs, pa.binary()), pa.array(marks, pa.binary())],
+                                                 names=["set", "tokens", "marks"])
 
-    return picked.mapInArrow(tidy(sets), "set long, tokens binary")
+    return picked.mapInArrow(tidy(sets), "set long, tokens binary, marks binary")
 
 
 def reach_of(percent: int) -> float:
@@ -544,16 +578,21 @@ def homes(compared: DataFrame, percent: int) -> DataFrame:
     return own.unionByName(inside).groupBy("set").agg(F.min("home").alias("home"))
 
 
-def open_pairs(lists: DataFrame, compared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (pivot, other) that share enough lists, are in different components, and are not
-    excluded by what is known of their pivot."""
+def open_pairs(lists: DataFrame, compared: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (pivot, other) that share enough lists, are in different components and families, and are not
+    excluded by what is known of their pivot.
+
+    The bitmaps of the prefixes tell beforehand that two sets cannot share enough lists, so a list that many unlike sets
+    are in gives few pairs.
+    """
     members = lists.select("list", F.explode("members").alias("m")).select("list", "m.set", "m.size", "m.place", "m.pivot")
     members = members.join(roots.select(F.col("id").alias("set"), "root"), "set", "left").withColumn("root", F.coalesce("root", "set"))
     mixed = members.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("list")
     known = compared.filter("pivot <> other").select("pivot", F.col("other").alias("set"), "distance")
     members = members.join(mixed, "list", "left_semi").join(known, ["pivot", "set"], "left").join(homes(compared, percent), "set", "left")
+    members = members.join(sets.select("set", "marks").dropDuplicates(["set"]), "set")
     rows = members.groupBy("list").agg(F.collect_list(F.struct(
-        "set", "size", "place", "pivot", "root", "distance", F.col("home").alias("family"))).alias("m"))
+        "set", "size", "place", "pivot", "root", "distance", F.col("home").alias("family"), "marks")).alias("m"))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gap = 1 - percent / 100 + 1e-9
@@ -567,6 +606,7 @@ def open_pairs(lists: DataFrame, compared: DataFrame, roots: DataFrame, percent:
                 is_pivot = col["set"] == col["pivot"]
                 distance = np.where(is_pivot, 0.0, np.array([np.nan if r["distance"] is None else r["distance"] for r in rows_], float))
                 ends = np.searchsorted(col["size"], col["size"] * 100 // percent, "right")
+                marks = np.frombuffer(b"".join([r["marks"] for r in rows_]), np.uint64).reshape(len(rows_), MARKS)
                 for i in range(len(rows_) - 1):
                     j = slice(i + 1, int(ends[i]))
                     keep = (col["root"][j] != col["root"][i]) & may_link(
@@ -574,7 +614,9 @@ def open_pairs(lists: DataFrame, compared: DataFrame, roots: DataFrame, percent:
                     with np.errstate(invalid="ignore"):  # an unknown distance excludes nothing
                         keep &= ~((col["pivot"][j] == col["pivot"][i]) & (np.abs(distance[j] - distance[i]) > gap))
                     keep &= ~(homed[j] & homed[i] & (family[j] == family[i]))
-                    for x in np.flatnonzero(keep).tolist():
+                    near = np.flatnonzero(keep)
+                    near = near[enough_marks(col["size"][i], marks[i], col["size"][j][near], marks[j][near], percent)]
+                    for x in near.tolist():
                         a, b = (i, i + 1 + x) if col["set"][i] < col["set"][i + 1 + x] else (i + 1 + x, i)
                         found[int(col["set"][a]), int(col["set"][b]), int(col["size"][a]), int(col["size"][b])] += 1
             left = sorted(found)
@@ -619,17 +661,18 @@ def _classes(rows: DataFrame, k: int, percent: int, buckets: int) -> DataFrame:
     """``similarity_classes`` of (id, key, text), over tables that the caller's scratch block owns."""
     read = stage(read_sets(rows, k), "sets-read")
     known = read.filter("chunk IS NULL")
-    lists = stage(index_lists(rows, k, percent, buckets, frequency_classes(read)), "lists")
+    classes = frequency_classes(read)
+    lists = stage(index_lists(rows, k, percent, buckets, classes), "lists")
     # A pivot that several lists do not agree on may have lost hits here; then the pair is left open, and the lists decide.
     pairs = stage(strong(lists.filter("list IS NULL"), percent, STAR_SHARE), "pairs")
     in_lists = lists.filter("list IS NOT NULL").select(F.explode("members.set").alias("set")).distinct()
     first = known.filter("n > 0").groupBy(F.col("set_id").alias("set")).agg(F.min(F.struct("id", "key")).alias("doc"))
     wanted = stage(first.join(in_lists, "set", "left_semi").select(F.col("doc.id").alias("w_id"), F.col("doc.key").alias("w_key")), "wanted")
-    sets = stage(stored_sets(rows, wanted, k), "sets")
+    sets = stage(stored_sets(rows, wanted, k, percent, classes), "sets")
     compared = stage(compare(pairs, sets, percent), "compared")
     links = stage(links_of(compared).unionByName(cross(compared, percent)), "family-links")
     roots = stage(components(links), "roots")
-    rest = stage(open_pairs(lists.filter("list IS NOT NULL"), compared, roots, percent), "open")
+    rest = stage(open_pairs(lists.filter("list IS NOT NULL"), compared, roots, sets, percent), "open")
     if not rest.isEmpty():
         roots = stage(components(links.unionByName(links_of(compare(rest, sets, percent)))), "roots")
     return with_components(known, roots, "set_id").select("id", "key", F.col("n").alias("n_shingles"), "component_id")

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pairloom.llm.blocks import byte_hashes, column_bytes, mix, slices, sums, words
 from pairloom.llm.piececache import PieceCache
-from pairloom.llm.ship import prepare, tidy
+from pairloom.llm.ship import cleared, prepare, tidy
 from pairloom.session import scratch, stage
 
 ORDER = 5
@@ -28,7 +28,7 @@ ORDER = 5
 ALPHABET = 1 << 17
 _SALT = [np.uint64(0x9FB21C651E98DF25 * (n + 1) % (1 << 64)) for n in range(ORDER + 1)]
 
-_caches: dict[str, PieceCache] = {}
+_caches: dict[str, PieceCache] = cleared({})
 
 
 @dataclass
@@ -161,7 +161,7 @@ def entropies(model: Model, name: str, data: np.ndarray, offsets: np.ndarray) ->
             width = np.full(len(rows), rows.shape[1], np.int64)
             return rows.view(np.uint32).ravel(), np.cumsum(width) - width, width
 
-        _caches[name] = PieceCache(encode, 1_000_000)
+        _caches[name] = PieceCache(encode, 300_000)
     cache = _caches[name]
     starts, ends, number = words(data, offsets)
     begin, _ = cache.find(data, starts, ends)
@@ -171,26 +171,26 @@ def entropies(model: Model, name: str, data: np.ndarray, offsets: np.ndarray) ->
     return np.stack([-c / size for c in columns[:-2]], axis=1), columns[-1] > 0
 
 
-def fit(docs: DataFrame, text: Column, lang: Column, docs_per_language: int = 2000, most_languages: int = 200) -> Model:
+def fit(docs: DataFrame, text: Column, lang: Column, docs_per_language: int = 2000, most_docs: int = 40_000) -> Model:
     """Fit on about ``docs_per_language`` whole texts of each language, chosen by a hash of the text.
 
-    The ``most_languages`` languages with the most texts are learned, which bounds the model.
+    All languages are learned. ``most_docs`` bounds the texts of all languages together: with many of them each has fewer (but
+    two, on average, if it has as many). Equal texts of a language count once.
 
     A fifth of the sample is held back from the counts and calibrates score and rejection.
-    Rows with a null language or text are left out. Raises ValueError if no labelled text has a word.
+    Rows with a null language or text are left out. If no labelled text has a word, the model knows no language.
     """
     spark = docs.sparkSession
     prepare(spark)
     rows = docs.select(lang.cast("string").alias("lang"), text.cast("string").alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
-    counted = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages)
-    sizes = {r.lang: r["count"] for r in counted.collect()}
-    rows = rows.filter(F.col("lang").isin(list(sizes)))
-    languages = sorted(sizes)
+    sizes = stage(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("size")), "languages")
+    languages = sorted(r.lang for r in sizes.select("lang").collect())
     if not languages:
-        raise ValueError("no labelled text")
-    share = F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, docs_per_language / sizes[k]))])[F.col("lang")]
+        return Model([])
+    each = max(2, min(docs_per_language, most_docs // len(languages)))
     unit = lambda salt: F.pmod(F.xxhash64(F.lit(salt), "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = rows.filter(unit(23) < share).withColumn("held", unit(29) < 0.2)
+    drawn = rows.join(F.broadcast(sizes), "lang").filter(unit(23) < each / F.col("size")).drop("size")   # one row per language
+    sample = drawn.withColumn("hash", F.xxhash64("text")).dropDuplicates(["lang", "hash"]).drop("hash").withColumn("held", unit(29) < 0.2)
     grams = (
         sample.filter("NOT held").select("lang", "text")
         .mapInArrow(tidy(_counted), "lang string, n int, gram long, context long, tail long, middle long, times long")
@@ -199,7 +199,7 @@ def fit(docs: DataFrame, text: Column, lang: Column, docs_per_language: int = 20
     with scratch(spark):
         shares, left = (x.toArrow() for x in kneser_ney(stage(grams, "grams")))
     if not shares.num_rows:
-        raise ValueError("no labelled text has a word")
+        return Model([])
     model = Model(languages)
     for n in range(1, ORDER + 1):
         for rows_, key, value, default, keys, tables in (
@@ -241,7 +241,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", reject: bool
 
     ``entropy`` is the cross-entropy per character, in nats, of the best language and ``score`` its calibrated
     probability among the languages. ``rejected`` marks texts whose entropy is beyond what held-back texts of that
-    language have; with ``reject`` their language is ``und``. Null, empty and letterless texts are ``und``
+    language have; with ``reject`` their language is ``und``. A model without languages finds all texts ``und``. Null, empty and letterless texts are ``und``
     with score 0 and no entropy. Columns of ``docs`` stay, those named like a result are replaced; repeated rows
     stay; an empty table gives no rows. Broadcast is the model, whose size the sample bounds.
     """
@@ -259,6 +259,12 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", reject: bool
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
         for batch in batches:
+            if not fitted.languages:
+                n = batch.num_rows
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0), pa.array(["und"] * n, pa.string()), pa.array(np.zeros(n)), pa.nulls(n, pa.float64()),
+                    pa.array(np.ones(n, bool))], names=schema.names)
+                continue
             data, offsets = column_bytes(batch.column(0).field(field))
             for low, high in slices(offsets):
                 begin = offsets[low]

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from pairloom.llm import vocab
 from pairloom.llm.blocks import column_bytes, slices
-from pairloom.llm.ship import prepare
+from pairloom.llm.ship import prepare, tidy
 
 ORC_OPTIONS = {
     "compression": "zstd", "orc.stripe.size": str(32 << 20), "orc.row.index.stride": "1000",
@@ -56,7 +56,7 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2,
                 ], names=[f.name for f in schema])
                 before += int(upto[-1])
 
-    ordered.mapInArrow(encode, schema).write.options(**ORC_OPTIONS).orc(path)
+    ordered.mapInArrow(tidy(encode), schema).write.options(**ORC_OPTIONS).orc(path)
 
 
 def read_token_ids(spark: SparkSession, path: str) -> DataFrame:

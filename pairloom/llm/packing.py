@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from pairloom.llm import vocab
 from pairloom.llm.blocks import column_bytes, slices
-from pairloom.llm.ship import prepare
+from pairloom.llm.ship import prepare, tidy
 
 
 def piece_lengths(tokens: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
@@ -68,7 +68,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, longest: int = 2048,
                     pa.array(lengths), body, pa.array(tokens[which]),
                 ], names=["id", "start", "length", "ids", "doc_tokens"])
 
-    made = rows.mapInArrow(split, schema)
+    made = rows.mapInArrow(tidy(split), schema)
     return made.select(
         F.col("id").alias(id_col), "start", "length", "ids", "doc_tokens",
         F.log2("length").cast("int").alias("bucket"),

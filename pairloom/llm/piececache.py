@@ -28,7 +28,7 @@ class PieceCache:
     that were kept under its hash.
     """
 
-    def __init__(self, encode: Encode, limit: int = 2_000_000):
+    def __init__(self, encode: Encode, limit: int = 500_000):
         self.encode, self.limit = encode, limit
         self.clear()
 

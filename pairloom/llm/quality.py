@@ -21,6 +21,7 @@ from pairloom.llm.ship import prepare, tidy
 SINGLES, PAIRS, TRIPLES, BINS = 256, 768, 1024, 16
 STATISTICS = 5
 FEATURES = SINGLES + PAIRS + TRIPLES + STATISTICS * BINS
+ROWS = 1024
 SLICE = 2 << 20
 
 
@@ -113,9 +114,11 @@ def _features(batches: Iterator[pa.RecordBatch], field: int | None = None) -> It
     """Slices of batches and the counts of their texts: the first column, or a field of it."""
     for batch in batches:
         data, offsets = column_bytes(batch.column(0) if field is None else batch.column(0).field(field))
-        for low, high in slices(offsets, SLICE):
-            begin = offsets[low]
-            yield batch.slice(low, high - low), counts(data[begin:offsets[high]], offsets[low:high + 1] - begin)
+        for first, last in slices(offsets, SLICE):
+            for low in range(first, last, ROWS):  # the counts of a text take the same space, however short it is
+                high = min(low + ROWS, last)
+                begin = offsets[low]
+                yield batch.slice(low, high - low), counts(data[begin:offsets[high]], offsets[low:high + 1] - begin)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label",
@@ -163,6 +166,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "sc
     docs = docs.drop(name) if name != text_col else docs
     shared = spark.sparkContext.broadcast(model)
     rows, field = docs.select(F.struct("*").alias("doc")), docs.columns.index(text_col)
+    kept = [F.col("doc").getField(c).alias(c) for c in docs.columns if c != name]
     schema = T.StructType([T.StructField("doc", rows.schema["doc"].dataType), T.StructField("score", T.DoubleType())])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,4 +179,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "sc
             scores[empty] = share
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.clip(scores, 0, 1))], names=schema.names)
 
-    return rows.mapInArrow(tidy(scored), schema).select("doc.*", F.col("score").alias(name))
+    return rows.mapInArrow(tidy(scored), schema).select(*kept, F.col("score").alias(name))

@@ -43,11 +43,26 @@ def _release() -> None:
         trim(0)
 
 
+_kept: list[dict] = []
+_last: list[str] = []
+
+
+def cleared(cache: dict) -> dict:
+    """A cache of a module that lasts from task to task, and goes when the worker turns to another function."""
+    _kept.append(cache)
+    return cache
+
+
 def tidy(work: Callable) -> Callable:
-    """A function for ``mapInArrow`` that leaves no freed memory behind when its task ends."""
+    """A function for ``mapInArrow`` that leaves no freed memory behind when its task ends, nor caches of other functions when it begins."""
+    name = f"{work.__module__}.{work.__qualname__}"
 
     @functools.wraps(work)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if _last != [name]:
+            _last[:] = [name]
+            for cache in _kept:
+                cache.clear()
         try:
             yield from work(batches)
         finally:

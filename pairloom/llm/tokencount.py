@@ -17,14 +17,14 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pairloom.llm.blocks import column_bytes, slices, sums
 from pairloom.llm.piececache import PieceCache
 from pairloom.llm.vocab import blank_led
-from pairloom.llm.ship import prepare
+from pairloom.llm.ship import cleared, prepare, tidy
 
 NEVER = np.iinfo(np.int32).max
 BLANK = 0x2581
 _SPACE = np.zeros(256, bool)
 _SPACE[0x20] = True
 
-_counters: dict[str, tuple["MergeCounter", PieceCache]] = {}
+_counters: dict[str, tuple["MergeCounter", PieceCache]] = cleared({})
 
 
 class MergeCounter:
@@ -193,5 +193,5 @@ def count_tokens(docs: DataFrame, model: str, limit: int = 4096, id_col: str = "
                     batch.column(0).slice(low, high - low), pa.array(np.diff(offsets[low:high + 1])), pa.array(tokens),
                 ], names=["id", "n_bytes", "n_tokens"])
 
-    made = rows.mapInArrow(count, schema)
+    made = rows.mapInArrow(tidy(count), schema)
     return made.select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

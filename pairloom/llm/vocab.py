@@ -12,10 +12,11 @@ import numpy as np
 
 from pairloom.llm.blocks import ASCII_SPACE, words
 from pairloom.llm.piececache import PieceCache
+from pairloom.llm.ship import cleared
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-_caches: dict[tuple, PieceCache] = {}
+_caches: dict[tuple, PieceCache] = cleared({})
 
 #: Blanks at which a byte-level tokenizer is cut, and first bytes of the other blanks of Unicode.
 PLAIN_BLANK = np.zeros(256, bool)

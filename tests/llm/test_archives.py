@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import zlib
 
 import pytest
 
@@ -61,3 +62,60 @@ def test_no_pages(spark, tmp_path):
     archives.write_arc(pages, str(tmp_path / "a"))
     archives.convert(spark, str(tmp_path / "a"), str(tmp_path / "w"))
     assert archives.read_warc(spark, str(tmp_path / "w")).count() == 0
+
+
+GIF = b"GIF89a\x01\x00\x01\x00\x80\x00\x00\xff\xfe\x00" * 20
+
+
+def archive(version, records):
+    """A legacy file of (url, type, document); every record a gzip member."""
+    out = [archives.arc_opening(version, f"old-{version}.arc", "20010203040506")]
+    for url, kind, document in records:
+        middle = kind if version == 1 else f"{kind} 200 - - 0 old.arc"
+        out.append(f"{url} 10.0.0.1 20010203040506 {middle} {len(document)}\n".encode("latin-1") + document + b"\n")
+    return b"".join(map(gzip.compress, out))
+
+
+def test_legacy_archives(spark, tmp_path):
+    page = b"<p>" + b"same " * 40
+    records = [
+        ("http://a/x.gif", "image/gif", b"HTTP/1.0 200 OK\r\nContent-Type: image/gif\r\n\r\n" + GIF),
+        ("dns:a", "text/dns", b"20010203040506\na. 1 IN A 10.0.0.1\n"),
+        ("http://\xe9/", "text/html", b"HTTP/1.1 200 Tr\xe8s bien\r\nX-Page-Id: 7\r\n\r\n" + page),
+        ("http://b/", "text/html", b"HTTP/1.0 200 OK\nX-Page-Id: 9\n\n" + page),
+        ("http://c/", "text/html", b"HTTP/1.0 204 No\r\nX-Page-Id: none\r\n\r\n"), ("http://d/", "text/html", b"HTTP/1.0 500"),
+    ]
+    (tmp_path / "arc").mkdir()
+    for version in (1, 2):
+        (tmp_path / "arc" / f"{version}.arc.gz").write_bytes(archive(version, records))
+    (tmp_path / "arc" / "3.arc").write_bytes(gzip.decompress(archive(1, records[:2])).replace(b"old-1.arc", b"new-3.arc"))
+    archives.convert(spark, str(tmp_path / "arc"), str(tmp_path / "warc"))
+    found = archives.read_warc(spark, str(tmp_path / "warc"), payloads=True).collect()
+    kinds = sorted(map(str, ((r.target_uri, r.record_type, r.payload_bytes, r.page_id, r.refers_to) for r in found if r.target_uri != "http://a/x.gif")))
+    assert kinds == sorted(map(str, [("dns:a", "resource", 34, None, None)] * 3 + [("http://b/", "revisit", len(page), 9, 7)] * 2
+                           + [("http://c/", "response", 0, None, None)] * 2 + [("http://d/", "response", 0, None, None)] * 2
+                           + [("http://\xe9/", "response", len(page), 7, None)] * 2))
+    assert [bytes(r.payload) for r in found if r.target_uri == "http://a/x.gif"] == [GIF] * 3
+    assert {r.payload_digest for r in found if r.target_uri == "http://b/"} == {hashlib.sha256(page).hexdigest()}
+    by_id = {r.record_id: r for r in found}
+    assert len(by_id) == len(found) == 14
+    members = 0
+    for path in (tmp_path / "warc").glob("part-*"):
+        raw = path.read_bytes()
+        records_ = list(archives.warc_records(raw))
+        assert records_[0][0]["WARC-Type"] == "warcinfo"
+        for fields, _ in records_:
+            if fields["WARC-Type"] == "revisit":
+                target = by_id[fields["WARC-Refers-To"]]
+                assert (target.target_uri, target.date) == (fields["WARC-Refers-To-Target-URI"], fields["WARC-Refers-To-Date"])
+        while raw:  # every record is a member of its own
+            part = zlib.decompressobj(31)
+            assert part.decompress(raw).startswith(b"WARC/1.1\r\n")
+            raw, members = part.unused_data, members + 1
+    assert members == len(found) + 3
+
+
+def test_large_records_end_with_a_zero():
+    for size in (0, 10, (16 << 20) + 5):
+        made = archives.gzip_members(b"x" * size) + b"\0"
+        assert gzip.decompress(made) == b"x" * size + b"\r\n\r\n"

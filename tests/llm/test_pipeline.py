@@ -1,5 +1,8 @@
 """The pipeline and the two classifiers, held against brute force or held-out labels."""
 
+import random
+from collections import Counter
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -87,8 +90,69 @@ def test_awkward_texts_have_a_language(spark, tricky):
     assert {r.lang_pred for r in made if any(map(str.isalpha, r.text or ""))} <= {"de", "en"}
     strict = langid.identify(spark.createDataFrame([("the mat sat on the cat",), ("日本語",)], "text string"), model).collect()
     assert [r.lang_pred for r in strict] == ["en", "und"]
-    with pytest.raises(ValueError):
-        langid.fit(rows.limit(0), F.col("text"), F.col("lang"))
+    for nothing in (rows.limit(0), rows.withColumn("text", F.lit(" "))):
+        unread = langid.identify(tricky, langid.fit(nothing, F.col("text"), F.col("lang"))).collect()
+        assert {(r.lang_pred, r.score, r.entropy) for r in unread} == {("und", 0.0, None)} and len(unread) == len(made)
+
+
+def test_many_small_languages(spark):
+    rng = random.Random(9)
+    words_of = {f"l{n:03}": ["".join(rng.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(12)] for n in range(250)}
+    rows = [(lang, " ".join(rng.choice(some) for _ in range(30))) for lang, some in words_of.items() for _ in range(6)] + [("l000", "same text")] * 50
+    model = langid.fit(spark.createDataFrame(rows, "lang string, text string"), F.col("text"), F.col("lang"), most_docs=1500)
+    assert len(model.languages) == 250
+    asked = spark.createDataFrame([(lang, " ".join(some)) for lang, some in words_of.items()], "lang string, text string")
+    found = langid.identify(asked, model, reject=False).collect()
+    assert sum(r.lang == r.lang_pred for r in found) >= 240
+
+
+def kneser_ney_by_hand(words_, tests):
+    """Log probability of each word's characters, by counting in plain Python."""
+    seen = [Counter() for _ in range(6)]
+    for w in words_:
+        padded = "    " + w.lower() + " "
+        for at in range(4, len(padded)):
+            for n in range(1, 6):
+                seen[n][padded[at - n + 1:at + 1]] += 1
+    counts = {5: dict(seen[5])} | {n: Counter(g[1:] for g in seen[n + 1]) for n in range(1, 5)}
+    discount = {}
+    for n, found in counts.items():
+        ones, twos = (sum(v == k for v in found.values()) for k in (1, 2))
+        discount[n] = min(0.95, max(0.1, ones / (ones + 2 * twos))) if ones else 0.5
+    out = []
+    for w in tests:
+        padded, total = "    " + w.lower() + " ", 0.0
+        for at in range(4, len(padded)):
+            p = 1 / langid.ALPHABET
+            for n in range(1, 6):
+                context = padded[at - n + 1:at]
+                under = {g: v for g, v in counts[n].items() if g[:-1] == context}
+                if under:
+                    mass = sum(under.values())
+                    own = under.get(context + padded[at], 0)
+                    p = max(own - discount[n], 0) / mass + discount[n] * len(under) / mass * p
+            total += np.log(p)
+        out.append(total)
+    return out
+
+
+def test_word_scores_by_hand(spark):
+    text = "the cat sat on the mat The hat äh that thé"
+    grams = spark.createDataFrame([("x", text), ("y", "der die das")], "lang string, text string").mapInArrow(
+        langid._counted, "lang string, n int, gram long, context long, tail long, middle long, times long")
+    grams = grams.groupBy("lang", "n", "gram", "context", "tail", "middle").agg(F.sum("times").alias("times"))
+    shares, left = (x.toArrow() for x in langid.kneser_ney(grams))
+    model = langid.Model(["x", "y"])
+    for n in range(1, langid.ORDER + 1):
+        for rows, key, value, default, keys, tables in ((shares, "gram", "share", 0.0, model.grams, model.shares),
+                                                        (left, "context", "left", 1.0, model.contexts, model.left_over)):
+            hashes, table = langid._arrays(rows, key, value, n, model.languages, default)
+            keys.append(hashes)
+            tables.append(table)
+    tests = ["the", "cats", "ÄH", "zzz", "t"]
+    scores = langid.word_scores(model, [w.encode() for w in tests])
+    assert scores[:, 0] == pytest.approx(kneser_ney_by_hand(text.split(), tests), rel=1e-4)
+    assert scores[:, 1] == pytest.approx(kneser_ney_by_hand(["der", "die", "das"], tests), rel=1e-4)
 
 
 def test_pipeline_against_brute_force(spark):
