@@ -18,8 +18,11 @@ ORACLE_SQL = None
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the nearest labelled documents do not vote down. Null and empty texts score the overall share."""
-    scored = quality.score(docs, fit_quality(spark, sf_dir), name="_quality")
-    return scored.filter(F.col("_quality") >= LEAST_QUALITY).drop("_quality")
+    name = "_quality"
+    while name in docs.columns:
+        name += "_"
+    scored = quality.score(docs, fit_quality(spark, sf_dir), name=name)
+    return scored.filter(F.col(name) >= LEAST_QUALITY).drop(name)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
