@@ -579,11 +579,12 @@ def homes(compared: DataFrame, percent: int) -> DataFrame:
 
 
 def open_pairs(lists: DataFrame, compared: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (pivot, other) that share enough lists, are in different components and families, and are not
+    """Distinct pairs (pivot, other) that may link, are in different components and families, and are not
     excluded by what is known of their pivot.
 
-    The bitmaps of the prefixes tell beforehand that two sets cannot share enough lists, so a list that many unlike sets
-    are in gives few pairs.
+    The bitmaps of the prefixes tell that two sets cannot share enough lists, so a list that many unlike sets
+    are in gives few pairs. Of the lists that two sets share only those give the pair which may be the first of them, in the order of both:
+    what they have in common then lies behind their places.
     """
     members = lists.select("list", F.explode("members").alias("m")).select("list", "m.set", "m.size", "m.place", "m.pivot")
     members = members.join(roots.select(F.col("id").alias("set"), "root"), "set", "left").withColumn("root", F.coalesce("root", "set"))
@@ -597,7 +598,7 @@ def open_pairs(lists: DataFrame, compared: DataFrame, roots: DataFrame, sets: Da
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gap = 1 - percent / 100 + 1e-9
         for batch in batches:
-            found: Counter[tuple[int, int, int, int]] = Counter()
+            found: set[tuple[int, int, int]] = set()
             for rows_ in (x for low in range(0, batch.num_rows, 256) for x in batch.slice(low, 256).column(1).to_pylist()):
                 rows_.sort(key=lambda r: (r["size"], r["place"], r["set"]))
                 col = {n: np.array([r[n] for r in rows_]) for n in ("set", "size", "place", "pivot", "root")}
@@ -615,18 +616,18 @@ def open_pairs(lists: DataFrame, compared: DataFrame, roots: DataFrame, sets: Da
                         keep &= ~((col["pivot"][j] == col["pivot"][i]) & (np.abs(distance[j] - distance[i]) > gap))
                     keep &= ~(homed[j] & homed[i] & (family[j] == family[i]))
                     near = np.flatnonzero(keep)
+                    behind = np.minimum(col["size"][i] - col["place"][i], col["size"][j][near] - col["place"][j][near])
+                    near = near[behind >= least_overlap(col["size"][i], col["size"][j][near], percent)]
                     near = near[enough_marks(col["size"][i], marks[i], col["size"][j][near], marks[j][near], percent)]
                     for x in near.tolist():
                         a, b = (i, i + 1 + x) if col["set"][i] < col["set"][i + 1 + x] else (i + 1 + x, i)
-                        found[int(col["set"][a]), int(col["set"][b]), int(col["size"][a]), int(col["size"][b])] += 1
+                        found.add((int(col["set"][a]), int(col["set"][b]), int(col["size"][b])))
             left = sorted(found)
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [*[pa.array([k[n] for k in left], kind) for n, kind in enumerate(kinds)], pa.array([found[k] for k in left], pa.int32())],
-                names=["pivot", "other", "pivot_size", "other_size", "hits"])
+            kinds = (pa.int64(), pa.int64(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array([k[n] for k in left], kind) for n, kind in enumerate(kinds)],
+                                             names=["pivot", "other", "other_size"])
 
-    made = rows.mapInArrow(tidy(pairs), "pivot long, other long, pivot_size int, other_size int, hits int")
-    return strong(made, percent)
+    return rows.mapInArrow(tidy(pairs), "pivot long, other long, other_size int").distinct()
 
 
 def strong(pairs: DataFrame, percent: int, share: float = 1.0) -> DataFrame:
