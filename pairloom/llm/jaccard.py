@@ -160,8 +160,13 @@ def enough_marks(size_a: int, marks_a: np.ndarray, size_b: np.ndarray, marks_b:
     only_a = np.bitwise_count(marks_a[None, :] & ~marks_b).sum(axis=1)
     only_b = np.bitwise_count(marks_b & ~marks_a[None, :]).sum(axis=1)
     most = np.minimum(prefix_length(np.int64(size_a), percent) - only_a, prefix_length(size_b, percent) - only_b)
+    return most >= needed_hits(size_a, size_b, percent)
+
+
+def needed_hits(size_a: int, size_b: np.ndarray, percent: int) -> np.ndarray:
+    """``least_hits`` of arrays."""
     rest = np.maximum((size_a * percent + 99) // 100, (size_b * percent + 99) // 100) - 1
-    return most >= least_overlap(np.int64(size_a), size_b, percent) - rest
+    return least_overlap(np.int64(size_a), size_b, percent) - rest
 
 
 def least_overlap(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -317,8 +322,8 @@ def few(narrow: DataFrame, most: int = 500_000) -> DataFrame:
     return F.broadcast(narrow) if narrow.count() <= most else narrow
 
 
-#: 64-bit words of the bitmap of a prefix.
-MARKS = 8
+#: 64-bit words of the bitmap of a prefix; the share of the needed lists, 1 in so many, that give an open pair.
+MARKS, FIRST_LISTS = 8, 4
 
 
 def prefix_marks(shingles: np.ndarray, counts: np.ndarray, percent: int, level: np.ndarray) -> np.ndarray:
@@ -583,8 +588,9 @@ def open_pairs(lists: DataFrame, compared: DataFrame, roots: DataFrame, sets: Da
     excluded by what is known of their pivot.
 
     The bitmaps of the prefixes tell that two sets cannot share enough lists, so a list that many unlike sets
-    are in gives few pairs. Of the lists that two sets share only those give the pair which may be the first of them, in the order of both:
-    what they have in common then lies behind their places.
+    are in gives few pairs. Of the lists that two sets share only those give the pair which may be among the first k of them, in the order
+    of both, since what they have in common beyond these lies behind their places; a link shows in k such lists. k is a quarter of
+    the common prefix shingles that a link needs: with fewer lists pairs are given less often, with more they are told apart better.
     """
     members = lists.select("list", F.explode("members").alias("m")).select("list", "m.set", "m.size", "m.place", "m.pivot")
     members = members.join(roots.select(F.col("id").alias("set"), "root"), "set", "left").withColumn("root", F.coalesce("root", "set"))
@@ -598,7 +604,7 @@ def open_pairs(lists: DataFrame, compared: DataFrame, roots: DataFrame, sets: Da
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gap = 1 - percent / 100 + 1e-9
         for batch in batches:
-            found: set[tuple[int, int, int]] = set()
+            found: Counter[tuple[int, int, int, int]] = Counter()
             for rows_ in (x for low in range(0, batch.num_rows, 256) for x in batch.slice(low, 256).column(1).to_pylist()):
                 rows_.sort(key=lambda r: (r["size"], r["place"], r["set"]))
                 col = {n: np.array([r[n] for r in rows_]) for n in ("set", "size", "place", "pivot", "root")}
@@ -616,18 +622,24 @@ def open_pairs(lists: DataFrame, compared: DataFrame, roots: DataFrame, sets: Da
                         keep &= ~((col["pivot"][j] == col["pivot"][i]) & (np.abs(distance[j] - distance[i]) > gap))
                     keep &= ~(homed[j] & homed[i] & (family[j] == family[i]))
                     near = np.flatnonzero(keep)
-                    behind = np.minimum(col["size"][i] - col["place"][i], col["size"][j][near] - col["place"][j][near])
-                    near = near[behind >= least_overlap(col["size"][i], col["size"][j][near], percent)]
+                    other = col["size"][j][near]
+                    behind = np.minimum(col["size"][i] - col["place"][i], other - col["place"][j][near])
+                    first = np.maximum(needed_hits(col["size"][i], other, percent) // FIRST_LISTS, 1)
+                    near = near[behind >= least_overlap(col["size"][i], other, percent) - first + 1]
                     near = near[enough_marks(col["size"][i], marks[i], col["size"][j][near], marks[j][near], percent)]
                     for x in near.tolist():
                         a, b = (i, i + 1 + x) if col["set"][i] < col["set"][i + 1 + x] else (i + 1 + x, i)
-                        found.add((int(col["set"][a]), int(col["set"][b]), int(col["size"][b])))
+                        found[int(col["set"][a]), int(col["set"][b]), int(col["size"][a]), int(col["size"][b])] += 1
             left = sorted(found)
-            kinds = (pa.int64(), pa.int64(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array([k[n] for k in left], kind) for n, kind in enumerate(kinds)],
-                                             names=["pivot", "other", "other_size"])
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array([k[n] for k in left], kind) for n, kind in enumerate(kinds)], pa.array([found[k] for k in left], pa.int32())],
+                names=["pivot", "other", "pivot_size", "other_size", "hits"])
 
-    return rows.mapInArrow(tidy(pairs), "pivot long, other long, other_size int").distinct()
+    made = rows.mapInArrow(tidy(pairs), "pivot long, other long, pivot_size int, other_size int, hits int")
+    total = made.groupBy("pivot", "other", "pivot_size", "other_size").agg(F.sum("hits").alias("hits"))
+    first = F.greatest(F.floor(least_hits("pivot_size", "other_size", percent) / FIRST_LISTS), F.lit(1))
+    return total.filter(F.col("hits") >= first).select("pivot", "other", "other_size")
 
 
 def strong(pairs: DataFrame, percent: int, share: float = 1.0) -> DataFrame:
