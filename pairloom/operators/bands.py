@@ -15,11 +15,10 @@ def band_join(rows: DataFrame, value: str, bands: DataFrame, low: str = "low", h
     matter of the lengths' spread, not of the data's size). Rows and pieces meet by equality, which
     hashes, sorts, broadcasts or splits hot pieces as any join does. Null values match nothing; empty bands neither.
     """
-    ends = rows.agg(F.min(value).cast("double").alias("least"), F.max(value).cast("double").alias("most"))
+    least = rows.agg(F.min(value).cast("double").alias("least")).scalar()
+    beyond = rows.agg((F.max(value) + F.abs(F.max(value)) + 1).cast("double").alias("beyond")).scalar()
     # An open end reaches as far as the values do.
-    closed = bands.crossJoin(F.broadcast(ends)).withColumns({   # one row
-        LOW: F.coalesce(F.col(low).cast("double"), F.col("least")),
-        HIGH: F.coalesce(F.col(high).cast("double"), F.col("most") + F.abs(F.col("most")) + 1)}).drop("least", "most")
+    closed = bands.withColumns({LOW: F.coalesce(F.col(low).cast("double"), least), HIGH: F.coalesce(F.col(high).cast("double"), beyond)})
     closed = closed.filter(F.col(LOW) < F.col(HIGH)).withColumn("_level", F.ceil(F.log2(F.col(HIGH) - F.col(LOW))).cast("int"))
     levels = [r["_level"] for r in closed.select("_level").distinct().collect()]   # at most the exponents of a double
     if not levels:

@@ -160,7 +160,8 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-HOOK = ("python_scoring", "failing_scorer")
+# Functions of the caller, and the checksum that folds rows in their order.
+HOOK = ("python_scoring", "failing_scorer", "custom_check", "sequence_checksum")
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
