@@ -1,6 +1,7 @@
 """Operators on whole texts, held against plain Python or the tokenizer libraries."""
 
 import hashlib
+import random
 import re
 import zlib
 
@@ -152,8 +153,10 @@ def test_contamination_in_blocks(spark, tricky):
              (None, "a b"), (9, "end"), (30, base[10].replace(" ", "--"))]
     table = spark.createDataFrame(items, "item_id long, text string")
     want = [r[:4] for r in contamination_by_hand(texts, items)]
-    for size in (1 << 20, 600):
-        found = decontaminate.find_contamination(tricky, table, block_bytes=size)
+    with pytest.raises(ValueError):
+        decontaminate.find_contamination(tricky, table, most_bytes=600)
+    for size in (None, 600):
+        found = decontaminate.find_contamination(tricky, table, block_bytes=size, most_bytes=size or 1 << 20)
         rows = found.select("doc_id", "n_words", F.size("hits").cast("long"), F.size("item_ids").cast("long"))
         assert collected(rows) == want
     for r in found.filter("doc_id = 8").collect():
@@ -162,6 +165,57 @@ def test_contamination_in_blocks(spark, tricky):
     assert empty.filter("size(hits) > 0").count() == 0 and empty.count() == len(texts)
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_automaton_finds_all_occurrences(seed):
+    """Few different words, so that windows overlap, end in one another and fail to each other."""
+    rng = random.Random(seed)
+    line = lambda n: " ".join(rng.choice("abc" if seed % 2 else "abcdefgh") for _ in range(n))
+    items = [(f"i{rng.randrange(20)}", line(rng.choice([1, 2, 3, 4, 9, 30]))) for _ in range(25)] + [("i3", ""), (None, line(12))]
+    automaton = decontaminate.Automaton(items, 5)
+    windows = {}
+    for item, text in items:
+        w = text.split()
+        for at in range(max(len(w) - 5, 0) + 1 if w else 0):
+            windows.setdefault(tuple(w[at:at + 5]), set()).update({item} - {None})
+    text = line(700).split()
+    numbers = np.array([automaton.numbers.get(w.encode(), 0) for w in text], np.int32)
+    made, held = [], set()
+    for low, high, state in automaton.occurrences(numbers):
+        made += zip(low.tolist(), high.tolist())
+        held |= {(a, automaton.items[i]) for a, i in zip(*(x.tolist() for x in automaton.holders(low, state)))}
+    want = [(a, a + n) for n in range(1, 6) for a in range(len(text) - n + 1) if tuple(text[a:a + n]) in windows]
+    assert sorted(made) == sorted(want) and len(want) > 50
+    assert held == {(a, i) for a, b in want for i in windows[tuple(text[a:b])]}
+
+
+def test_many_items_in_one_automaton(spark):
+    """3 MB of items: one automaton of bounded size, one scan of the documents."""
+    rng = random.Random(4)
+    vocabulary = [f"w{rng.randrange(10 ** 6)}" for _ in range(30_000)]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(40))) for i in range(11_000)]
+    assert sum(len(t) for _, t in items) > 3e6
+    automaton = decontaminate.Automaton([(str(i), t) for i, t in items], 10)
+    assert automaton.edges.nbytes + automaton.fail.nbytes + automaton.last.nbytes <= 16 * 10 * 40 * len(items)
+    docs = [(n, " ".join(rng.choice(vocabulary) for _ in range(200))) for n in range(60)]
+    docs += [(100 + n, f"{t} , {items[n * 50][1].upper()} . {t}") for n, t in docs]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    found = decontaminate.find_contamination(table, spark.createDataFrame(items, "item_id long, text string"))
+    assert found._jdf.queryExecution().toString().count("MapInArrow") == 4          # once in each of its four plans
+    rows = found.select("doc_id", "n_words", F.size("hits").cast("long"), F.size("item_ids").cast("long"))
+    assert collected(rows) == [r[:4] for r in contamination_by_hand(docs, items)]
+
+
+def test_long_texts_are_scanned_whole(spark):
+    """Texts above a slice and above an Arrow batch."""
+    line = "one two three four five six seven eight nine ten eleven"
+    docs = [(1, ("x " * 1_500_000) + line), (2, line + (" yy" * 6_000_000) + " " + line), (3, "z"), (4, None)]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    found = decontaminate.find_contamination(table, spark.createDataFrame([("a", line)], "item_id string, text string"))
+    rows = {r.doc_id: r for r in found.collect()}
+    assert [(rows[n].n_words, len(rows[n].hits)) for n in (1, 2, 3, 4)] == [(1_500_011, 11), (6_000_022, 22), (1, 0), (0, 0)]
+    assert all(docs[n - 1][1][h.start:h.end] in line.split() for n in (1, 2) for h in rows[n].hits)
+
+
 def test_empty_tables(spark, tricky, tmp_path):
     none = tricky.limit(0)
     assert packing.pack(none, WORD_BPE).count() == 0 and tokencount.count_tokens(none, PIECES).count() == 0
