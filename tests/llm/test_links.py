@@ -157,11 +157,26 @@ def test_vectors(spark, monkeypatch, block, fan):
     monkeypatch.setattr("pairloom.llm.egojoin.BLOCK", block)
     monkeypatch.setattr("pairloom.llm.egojoin.PART", min(block, 4))
     monkeypatch.setattr("pairloom.llm.egojoin.FAN", fan)
+    monkeypatch.setattr("pairloom.llm.egojoin.SHIPPED", fan)
+    monkeypatch.setattr("pairloom.llm.egojoin.CHUNK", 10 * block)
     table = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], "vec_id long, embedding array<double>, n long, root string").repartition(4)
     want = vectors_by_hand([(i, [x * 1e200 for x in v] if v and v[0] == 1e-200 else v) for i, v in rows], 0.95)
     assert collected(egojoin.near_duplicates(table, 0.95)) == want
 
 
+def test_boxes_bound_distances():
+    """Norms on the axes that do not lead part vectors which the leading axes cannot, and never two that link."""
+    rng = np.random.default_rng(2)
+    axes = np.linalg.qr(rng.standard_normal((40, 40)))[0]
+    for scale in (1e-9, 0.3, 1, 20):
+        weights = np.where(np.arange(40) < egojoin.AXES, 1, scale)
+        a, b = (egojoin._unit((rng.standard_normal((5, 40)) * weights + rng.standard_normal(40) * weights * 3) @ axes.T) for _ in range(2))
+        (low_a, high_a), (low_b, high_b) = egojoin._box(a, axes), egojoin._box(b, axes)
+        gap = np.maximum(np.maximum(low_a - high_b, low_b - high_a), 0)
+        assert len(gap) == egojoin.AXES + 1
+        assert (gap * gap).sum() <= ((a[:, None] - b[None]) ** 2).sum(axis=2).min() * (1 + 1e-9) + 1e-12
+
+
 def test_op9_on_the_table(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()]
     assert collected(queries.op9_embedding_near_dedup(spark, SMALL)) == vectors_by_hand(rows, 0.95)
