@@ -2,7 +2,7 @@
 
 A word is read as characters after a run of blanks, closed by one blank; the model of a language gives each
 character its probability after the characters before it. N-gram counts are taken in Spark from a
-bounded sample of each language, their discounted shares are stored in arrays sorted by hash, and a text
+bounded sample of each language, the discounted shares of each language are stored in arrays of its own, sorted by hash, and a text
 gets the language of the lowest cross-entropy per character. Held-back texts of the sample calibrate the
 score and the rejection.
 """
@@ -31,15 +31,17 @@ _SALT = [np.uint64(0x9FB21C651E98DF25 * (n + 1) % (1 << 64)) for n in range(ORDE
 _caches: dict[str, PieceCache] = cleared({})
 
 
+#: Sorted hashes and a value for each.
+Sorted = tuple[np.ndarray, np.ndarray]
+
+
 @dataclass
 class Model:
-    """Sorted hashes of n-grams and contexts for each order, with a column for each language."""
+    """For each language and each order, shares of n-grams and left-over mass of contexts: 12 bytes for each that the language has."""
 
     languages: list[str]
-    grams: list[np.ndarray] = made(default_factory=list)
-    shares: list[np.ndarray] = made(default_factory=list)
-    contexts: list[np.ndarray] = made(default_factory=list)
-    left_over: list[np.ndarray] = made(default_factory=list)
+    shares: list[list[Sorted]] = made(default_factory=list)
+    left_over: list[list[Sorted]] = made(default_factory=list)
     limits: np.ndarray | None = None
     sharpness: float = 1.0
 
@@ -122,33 +124,45 @@ def kneser_ney(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
     return shares, left
 
 
-def _arrays(rows: pa.Table, key: str, value: str, n: int, languages: list[str], default: float) -> tuple[np.ndarray, np.ndarray]:
-    mine = rows.filter(pc.equal(rows.column("n"), n))
-    hashes, which = np.unique(mine.column(key).to_numpy().view(np.uint64), return_inverse=True)
-    out = np.full((len(hashes), len(languages)), default, np.float32)
-    place = {x: i for i, x in enumerate(languages)}
-    out[which, np.array([place[x] for x in mine.column("lang").to_pylist()], np.int64)] = mine.column(value).to_numpy()
-    return hashes, out
+def sorted_arrays(rows: pa.Table, key: str, value: str, languages: list[str]) -> list[list[Sorted]]:
+    """For each language and each order its hashes, sorted, and their values."""
+    own = pc.index_in(rows.column("lang"), pa.array(languages, pa.string())).to_numpy().astype(np.int64)
+    group = own * ORDER + rows.column("n").to_numpy() - 1
+    hashes, values = rows.column(key).to_numpy().view(np.uint64), rows.column(value).to_numpy().astype(np.float32)
+    order = np.lexsort((hashes, group))
+    cuts = np.searchsorted(group[order], np.arange(len(languages) * ORDER + 1))
+    parts = [order[low:high] for low, high in zip(cuts, cuts[1:])]
+    tables = [(hashes[part], values[part]) for part in parts]
+    return [tables[at:at + ORDER] for at in range(0, len(tables), ORDER)]
 
 
-def _look_up(keys: np.ndarray, table: np.ndarray, wanted: np.ndarray, default: float) -> np.ndarray:
-    out = np.full((len(wanted), table.shape[1]), default, np.float64)
+def _look_up(table: Sorted, wanted: np.ndarray, default: float) -> np.ndarray:
+    keys, values = table
+    out = np.full(len(wanted), default)
     if len(keys):
         at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
         found = keys[at] == wanted
-        out[found] = table[at[found]]
+        out[found] = values[at[found]]
     return out
 
 
 def word_scores(model: Model, pieces: list[bytes]) -> np.ndarray:
-    """For each word: log probability in each language, characters, and whether it has a letter."""
+    """For each word: log probability in each language, characters, and whether it has a letter.
+
+    A character's probability depends on the longest n-gram that ends with it, so each of these is looked up once.
+    """
     points, at, info = characters(pieces)
-    p = np.full((len(at), len(model.languages)), 1.0 / ALPHABET)
-    for n in range(1, ORDER + 1):
-        rest = _look_up(model.contexts[n - 1], model.left_over[n - 1], gram_hashes(points, at, n - 1, 1), 1.0)
-        p = _look_up(model.grams[n - 1], model.shares[n - 1], gram_hashes(points, at, n - 1, 0), 0.0) + rest * p
-    logs = np.log(p)
-    return np.concatenate([np.stack([sums(c, info[0]) for c in logs.T], axis=1), info.T], axis=1).astype(np.float32)
+    _, first, which = np.unique(gram_hashes(points, at, ORDER - 1, 0), return_index=True, return_inverse=True)
+    sites = at[first]
+    wanted = [(gram_hashes(points, sites, n, 0), gram_hashes(points, sites, n, 1)) for n in range(ORDER)]
+    out = np.empty((len(pieces), len(model.languages) + 2), np.float32)
+    for lang, (shares, left_over) in enumerate(zip(model.shares, model.left_over)):
+        p = np.full(len(sites), 1.0 / ALPHABET)
+        for n, (gram, context) in enumerate(wanted):
+            p = _look_up(shares[n], gram, 0.0) + _look_up(left_over[n], context, 1.0) * p
+        out[:, lang] = sums(np.log(p)[which], info[0])
+    out[:, -2:] = info.T
+    return out
 
 
 def entropies(model: Model, name: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -200,14 +214,7 @@ def fit(docs: DataFrame, text: Column, lang: Column, docs_per_language: int = 20
         shares, left = (x.toArrow() for x in kneser_ney(stage(grams, "grams")))
     if not shares.num_rows:
         return Model([])
-    model = Model(languages)
-    for n in range(1, ORDER + 1):
-        for rows_, key, value, default, keys, tables in (
-                (shares, "gram", "share", 0.0, model.grams, model.shares),
-                (left, "context", "left", 1.0, model.contexts, model.left_over)):
-            hashes, table = _arrays(rows_, key, value, n, languages, default)
-            keys.append(hashes)
-            tables.append(table)
+    model = Model(languages, sorted_arrays(shares, "gram", "share", languages), sorted_arrays(left, "context", "left", languages))
     shared, name = spark.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -142,13 +142,9 @@ def test_word_scores_by_hand(spark):
         langid._counted, "lang string, n int, gram long, context long, tail long, middle long, times long")
     grams = grams.groupBy("lang", "n", "gram", "context", "tail", "middle").agg(F.sum("times").alias("times"))
     shares, left = (x.toArrow() for x in langid.kneser_ney(grams))
-    model = langid.Model(["x", "y"])
-    for n in range(1, langid.ORDER + 1):
-        for rows, key, value, default, keys, tables in ((shares, "gram", "share", 0.0, model.grams, model.shares),
-                                                        (left, "context", "left", 1.0, model.contexts, model.left_over)):
-            hashes, table = langid._arrays(rows, key, value, n, model.languages, default)
-            keys.append(hashes)
-            tables.append(table)
+    languages = ["x", "y"]
+    model = langid.Model(languages, langid.sorted_arrays(shares, "gram", "share", languages), langid.sorted_arrays(left, "context", "left", languages))
+    assert all((keys[1:] > keys[:-1]).all() for tables in model.shares + model.left_over for keys, _ in tables)
     tests = ["the", "cats", "ÄH", "zzz", "t"]
     scores = langid.word_scores(model, [w.encode() for w in tests])
     assert scores[:, 0] == pytest.approx(kneser_ney_by_hand(text.split(), tests), rel=1e-4)
