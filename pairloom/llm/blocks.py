@@ -10,6 +10,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from pairloom.llm.ship import cleared
+
 U64 = np.uint64
 SLICE_BYTES = 2 << 20
 HASHED_BYTES = 1 << 18
@@ -23,7 +25,9 @@ ASCII_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 PRIME = (1 << 61) - 1
 _P, _M31, _M30 = U64(PRIME), U64((1 << 31) - 1), U64((1 << 30) - 1)
 _BASE = 0x1E3779B97F4A7C15 % PRIME
-_powers: dict[str, np.ndarray] = {}
+_powers: dict[str, np.ndarray] = cleared({})
+#: Powers that are made at least.
+LEAST_POWERS = 1 << 18
 
 
 def _reduced(x: np.ndarray) -> np.ndarray:
@@ -41,12 +45,12 @@ def times(a: np.ndarray, b: np.ndarray | np.uint64) -> np.ndarray:
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """B**i and B**-i modulo the prime for i < n."""
     if len(_powers.get("up", ())) < n:
-        size = max(n, SLICE_BYTES // 2 + 1)
+        size = max(1 << (n - 1).bit_length(), LEAST_POWERS)
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, PRIME))):
             steps = np.ones(1, np.uint64)
             while len(steps) < size:
                 steps = np.concatenate([steps, times(steps, U64(pow(base, len(steps), PRIME)))])
-            _powers[name] = steps[:size]
+            _powers[name] = steps
     return _powers["up"][:n], _powers["down"][:n]
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pairloom.llm.blocks import U64, byte_hashes, column_bytes, mix, prefix_hash, slices, span_hash, sums, words
 from pairloom.llm.components import components
 from pairloom.llm.packed import pack, unpack
-from pairloom.llm.ship import prepare, tidy
+from pairloom.llm.ship import prepare, tidy, tidy_group
 from pairloom.session import hand_over, scratch, stage
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -127,7 +127,7 @@ def frequency_classes(read: DataFrame) -> np.ndarray:
     while tasks is not None:
         tasks //= SUMMED
         parts = parts.withColumn("task", F.expr(f"task div {SUMMED}").cast("int")).groupBy("chunk", "task").applyInArrow(
-            total, "chunk int, task int, times binary")
+            tidy_group(total), "chunk int, task int, times binary")
         if not tasks:
             break
     cells = np.zeros(1 << SKETCH_BITS, np.float64)
@@ -278,7 +278,7 @@ def index_lists(rows: DataFrame, k: int, percent: int, buckets: int, classes: np
 
     wire = "bucket int, " + ", ".join(f"{n} binary" for n in names[1:])
     made = "pivot long, other long, pivot_size int, other_size int, hits int, list long, members array<struct<set:long,size:int,place:int,pivot:long>>"
-    return rows.mapInArrow(tidy(entries), wire).groupBy("bucket").applyInArrow(lists, made)
+    return rows.mapInArrow(tidy(entries), wire).groupBy("bucket").applyInArrow(tidy_group(lists), made)
 
 
 def _live(size: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:

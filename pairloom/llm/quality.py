@@ -21,8 +21,8 @@ from pairloom.llm.ship import prepare, tidy
 SINGLES, PAIRS, TRIPLES, BINS = 256, 768, 1024, 16
 STATISTICS = 5
 FEATURES = SINGLES + PAIRS + TRIPLES + STATISTICS * BINS
-ROWS = 1024
-SLICE = 2 << 20
+#: Texts, and bytes of text, that are counted at a time: a byte takes some 60 bytes while it is.
+ROWS, SLICE = 1024, 1 << 19
 
 
 @dataclass

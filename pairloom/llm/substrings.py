@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pairloom.llm.blocks import byte_hashes, column_bytes, mix, slices, window_hashes, words
 from pairloom.llm.packed import pack, unpack
-from pairloom.llm.ship import prepare, tidy
+from pairloom.llm.ship import prepare, tidy, tidy_group
 
 #: Bytes of text whose windows meet in one range of hashes, about; nine bytes a word travel, some fifty are held while a range is sorted.
 RANGE_BYTES = 8 << 20
@@ -156,8 +156,8 @@ def repeated_windows(docs: DataFrame, id_: Column, key: Column, text: Column, wi
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, found_schema)], schema=found_schema)
 
     message = "bucket int, hashes binary, doc binary, place binary, ids binary, keys binary"
-    sent = rows.mapInArrow(tidy(hashed), message).groupBy("bucket").applyInArrow(counted, message)
-    return sent.groupBy("bucket").applyInArrow(gathered, "id long, key int, places binary")
+    sent = rows.mapInArrow(tidy(hashed), message).groupBy("bucket").applyInArrow(tidy_group(counted), message)
+    return sent.groupBy("bucket").applyInArrow(tidy_group(gathered), "id long, key int, places binary")
 
 
 def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_col: str = "text",
