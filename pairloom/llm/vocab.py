@@ -21,6 +21,9 @@ _caches: dict[tuple, PieceCache] = cleared({})
 #: Blanks at which a byte-level tokenizer is cut, and first bytes of the other blanks of Unicode.
 PLAIN_BLANK = np.zeros(256, bool)
 PLAIN_BLANK[[0x20, 0x09, 0x0A, 0x0D]] = True
+_PLAIN = frozenset(np.flatnonzero(PLAIN_BLANK).tolist())
+#: Pieces that a worker keeps of a byte-level tokenizer, some 60 bytes each: each text's blanks make more of them than there are words.
+BYTE_PIECES = 2_000_000
 ODD_LEAD = np.zeros(256, bool)
 ODD_LEAD[[0x0B, 0x0C, 0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3, 0x3C]] = True
 
@@ -100,7 +103,7 @@ def byte_cache(path: str) -> PieceCache:
             found, rest = _Found(len(pieces)), []
             kinds: dict[bytes, list[int]] = {b" ": [], b"\n": []}
             for i, p in enumerate(pieces):
-                lone = p[:1] in kinds and len(p) > 1 and not PLAIN_BLANK[p[1]] and b"<" not in p
+                lone = p[:1] in kinds and len(p) > 1 and p[1] not in _PLAIN and b"<" not in p
                 (kinds[p[:1]] if lone else rest).append(i)
             for blank, all_of in kinds.items():
                 for low in range(0, len(all_of), 4096):
@@ -114,7 +117,7 @@ def byte_cache(path: str) -> PieceCache:
             found.each(tokenizer, rest, pieces)
             return found.result()
 
-        _caches["byte", path] = PieceCache(encode)
+        _caches["byte", path] = PieceCache(encode, BYTE_PIECES)
     return _caches["byte", path]
 
 
