@@ -35,9 +35,8 @@ def large_json_documents(spark, sf):
     """Documents as JSON lists that many tasks cut into their elements."""
     path = new_folder(spark, "json")
     item = F.to_json(F.struct("prompt", "completion", "topic"))
-    files = I.raw_docs(spark, sf).withColumn("item", item).repartition(8, "seq").groupBy(F.spark_partition_id().alias("file"))
-    lists = files.agg(F.concat(F.lit('{"source": ["}", {"data": [0]}], "data": ['), F.array_join(F.collect_list("item"), ", "), F.lit("]}")).alias("value"))
-    lists.select("value").repartition(8).write.text(path)
+    lists = I.json_lists(I.raw_docs(spark, sf).select(item.alias("item")), '{"source": ["}", {"data": [0]}], "data": [')
+    lists.write.text(path)
     return _by_category(readers.read_json(spark, path, whole_bytes=1000).select("seq", "row"))
 
 
