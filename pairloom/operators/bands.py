@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 LOW, HIGH = "_low", "_high"
 
@@ -31,3 +31,14 @@ def band_join(rows: DataFrame, value: str, bands: DataFrame, low: str = "low", h
     inside = (F.col(value) >= F.coalesce(F.col(low), F.col(value))) & (F.col(high).isNull() | (F.col(value) < F.col(high)))
     joined = asked.join(pieces, ["_level", "_piece"]).filter(inside)
     return joined.select(*rows.columns, *bands.columns)
+
+
+def band_totals(rows: DataFrame, value: str, bands: DataFrame, totals: list[Column], low: str = "low", high: str = "high") -> DataFrame:
+    """Rows with totals over the bands that hold their value, without the pairs of rows and bands; rows in no band are left out.
+
+    Rows of one value are in the same bands: each distinct value is joined once, and the rows get its totals. So the work grows with the bands
+    and the rows, times the distinct values only.
+    """
+    values = rows.filter(F.col(value).isNotNull()).select(value).distinct()
+    found = band_join(values, value, bands, low, high).groupBy(value).agg(*totals)
+    return rows.join(found, value)

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from pairloom.operators import bands
 from tests import oracle
 from workload import data_queries, extended_queries, job_queries, judging_queries  # noqa: F401
 from workload.registry import ORACLES, QUERIES
@@ -33,3 +34,22 @@ def agrees(spark, name, folder):
 def test_every_file_holds_one_json_document(spark, settings):
     settings(SPREAD)
     assert agrees(spark, "large_json_documents", SMALL) == ""
+
+
+def test_bands_are_joined_once_for_each_value(spark, monkeypatch):
+    seen, join = [], bands.band_join
+
+    def watched(rows, *rest, **more):
+        seen.append(rows.count())
+        return join(rows, *rest, **more)
+
+    monkeypatch.setattr(bands, "band_join", watched)
+    assert agrees(spark, "score_bands", SMALL) == ""
+    assert seen and max(seen) <= 101   # the scores follow from the document's number modulo 101
+
+
+def test_totals_of_bands(spark):
+    rows = spark.createDataFrame([(1, 2.0), (2, 2.0), (3, 9.0), (4, None)], "id int, x double")
+    ranges = spark.createDataFrame([(1, 0.0, 3.0), (2, 2.0, None), (3, 2.0, 2.0), (4, None, 2.0)], "b int, low double, high double")
+    found = bands.band_totals(rows, "x", ranges, [F.count(F.lit(1)).alias("n"), F.sum("b").alias("s")])
+    assert sorted(map(tuple, found.select("id", "n", "s").collect())) == [(1, 2, 3), (2, 2, 3), (3, 1, 2)]

@@ -142,8 +142,9 @@ def score_bands(spark, sf):
         F.min("value").alias("low"), F.max("value").alias("high"))
     ranges = clicks.withColumn("high", F.when(F.col("user_id") % 7 != 0, F.col("high")))
     scores = I.judge_a(spark, sf).select("pair_id", (F.col("scores.overall") * 10).alias("points"))
-    return bands.band_join(scores, "points", ranges).groupBy("pair_id").agg(
-        F.count(F.lit(1)).alias("n"), F.min("user_id").alias("least"), F.sum("user_id").alias("total"))
+    found = bands.band_totals(scores, "points", ranges, [
+        F.count(F.lit(1)).alias("n"), F.min("user_id").alias("least"), F.sum("user_id").alias("total")])
+    return found.groupBy("pair_id").agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.sum("total").alias("total"))
 
 
 @query("C8 H3", f"""WITH {DIRTY}, {pairs_of('dirty')}, {issues_of('pairs')}, x AS (
