@@ -93,9 +93,10 @@ def streamed_pairs(spark, sf):
     folder, path, checkpoint = (new_folder(spark, n) for n in ("pair-files", "pair-table", "pair-checkpoint"))
     rows = I.raw_dirty(spark, sf)
     both = rows.unionByName(rows.filter("seq % 3 = 0")).select(F.to_json(F.struct("prompt", "completion", "topic")).alias("value"))
-    both.repartition(6).write.text(folder)
+    both.write.text(folder)   # a file from each task, so that no task holds a fixed share of all rows
+    third = -(-both.rdd.getNumPartitions() // 3)
     pairs = lambda raw: ingest.drop_empty(ingest.normalize_rows(raw, order="arrived"))
-    state.follow_pairs(pairs(append.appended_lines(spark, folder, per_trigger=2)), path, checkpoint).awaitTermination()
+    state.follow_pairs(pairs(append.appended_lines(spark, folder, per_trigger=third)), path, checkpoint).awaitTermination()
     return spark.read.parquet(path).select("id", "instruction", F.length("output").cast("long").alias("chars"))
 
 
