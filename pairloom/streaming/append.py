@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pairloom.functions import variants as V
+from pairloom.functions.rows import with_values
 from pairloom.functions.text import strip
 
 
@@ -27,7 +28,8 @@ def appended_lines(spark: SparkSession, folder: str, per_trigger: int | None = N
         reader = reader.option("maxFilesPerTrigger", per_trigger)
     lines = reader.text(folder).select(
         F.col("_metadata.file_modification_time").alias("arrived"), strip("value").alias("line"))
-    return lines.filter("line != ''").select("arrived", F.expr(V.strict_json("line")).alias("row")).filter("row IS NOT NULL")
+    listed = with_values(lines.filter("line != ''"), {"_list": V.in_list("line")})   # each line is parsed once
+    return with_values(listed, {"row": V.sole_value("_list")}).select("arrived", "row").filter("row IS NOT NULL")
 
 
 def append_to(rows: DataFrame, operator: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> StreamingQuery:

@@ -10,7 +10,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pairloom.functions.text import canonical_id, iso_timestamp
+from pairloom.functions.rows import with_values
+from pairloom.functions.text import canonical_id, iso_timestamp_sql
 from pairloom.operators.ordering import last_wins
 from pairloom.streaming.append import appended_lines
 
@@ -18,10 +19,10 @@ from pairloom.streaming.append import appended_lines
 def label_lines(spark: SparkSession, folder: str, per_trigger: int | None = None) -> DataFrame:
     """Labels of the files appended to a folder; lines without pair, status or time are left out, as malformed ones are."""
     names = ("pair_id", "status", "tag", "note", "labeler", "labeled_at")
-    texts = [F.try_variant_get("row", f"$.{n}", "string").alias(n) for n in names]
-    rows = appended_lines(spark, folder, per_trigger).select("arrived", *texts)
-    read = rows.withColumns({"pair_id": canonical_id("pair_id"), "labeled_at": iso_timestamp("labeled_at"),
-                             "labeler": F.coalesce("labeler", F.lit("user"))})
+    rows = with_values(appended_lines(spark, folder, per_trigger), {f"_{n}": f"try_variant_get(row, '$.{n}', 'string')" for n in names})
+    read = with_values(rows, {"labeled_at": iso_timestamp_sql("_labeled_at")}).select(
+        "arrived", canonical_id("_pair_id").alias("pair_id"), *[F.col(f"_{n}").alias(n) for n in ("status", "tag", "note")],
+        F.coalesce("_labeler", F.lit("user")).alias("labeler"), "labeled_at")
     return read.filter("pair_id IS NOT NULL AND status IS NOT NULL AND labeled_at IS NOT NULL")
 
 
