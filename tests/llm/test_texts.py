@@ -12,7 +12,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from pairloom.llm import blocks, decontaminate, orctokens, packing, piececache, queries, substrings, tokencount
+from pairloom.llm import blocks, decontaminate, orctokens, packing, piececache, queries, substrings, tokencount, vocab
 from tests.llm.tables import SMALL, collected, tricky_texts, words
 
 WORD_BPE, BYTE_BPE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
@@ -252,3 +252,20 @@ def test_packing_digest(spark):
     text = spark.read.parquet(f"{SMALL}/documents.parquet").filter("doc_id = 3").first().text
     ids = encoded(WORD_BPE, [text], 1)[0]
     assert rows[0].ids_crc32 == zlib.crc32(np.array(ids[:rows[0].length], "<u4")) and rows[0].doc_tokens == len(ids)
+
+
+def test_a_worker_keeps_its_stock_of_words():
+    vocab._caches.clear()
+    cache, asked = vocab.word_cache(WORD_BPE), []
+
+    def encode(pieces):
+        asked.append(len(pieces))
+        return np.arange(len(pieces), dtype=np.uint32), np.arange(len(pieces)), np.ones(len(pieces), np.int64)
+
+    cache.encode = encode
+    size = np.full(200_000, 7, np.int64)
+    for low in (1_000_000, 1_200_000, 1_400_000, 1_000_000):   # the first words come again behind 400,000 others
+        data = np.frombuffer("".join(map(str, range(low, low + 200_000))).encode(), np.uint8)
+        cache.find(data, np.cumsum(size) - size, np.cumsum(size))
+    vocab._caches.clear()
+    assert asked == [200_000] * 3
