@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from pairloom.operators import cycles, export, generate, judge
-from pairloom.session import configure
+from pairloom.session import configure, stage
 from pairloom.sources.store import DatasetStore
 
-Generator = Callable[[DataFrame], DataFrame]   # adds or returns (seq, response)
+# Adds the column response to the requests, or returns (seq, response); a seed without an answer is a failed generation.
+Generator = Callable[[DataFrame], DataFrame]
 
 
 def cycle_seeds(store: DatasetStore, base: DataFrame, cycle_id: int, loop_run: int = 1,
@@ -33,14 +34,30 @@ def run_cycle(store: DatasetStore, base: DataFrame, cycle_id: int, generator: Ge
     at = {"loop_run": loop_run, "cycle_id": cycle_id}
     seeds = store.put(cycle_seeds(store, base, cycle_id, loop_run, failure_limit), "cycle_seeds", **at).drop(*at)
     answers = generator(generate.generation_requests(seeds, template))
-    pairs = store.put(generate.generated_pairs(seeds, answers, cycle_id), "cycle_pairs", **at).drop("loop_run")
+    pairs = _put_pairs(store, seeds, answers, at).drop("loop_run")
     judged = judge.judge(pairs, scorer, rubric, limits, model=model, judged_at=now)
     judged = store.put(judged, "cycle_judgments", **at).drop("loop_run")
-    store.put(export.training_set(pairs, judged).drop("cycle_id"), "training", **at)
+    store.put(export.training_set(pairs, judged, stored=True).drop("cycle_id"), "training", **at)
     metrics = cycles.cycle_metrics(pairs, judged)
     return store.put(metrics, "cycle_metrics", **at)
 
 
+def _put_pairs(store: DatasetStore, seeds: DataFrame, answers: DataFrame, at: dict[str, int]) -> DataFrame:
+    """Store a pair for each answer, and a failed one for each seed without.
+
+    Answers that still have their seed become pairs where they are: only places are compared to find seeds without an answer.
+    """
+    cycle_id = at["cycle_id"]
+    if "seed" not in answers.columns:
+        return store.put(generate.generated_pairs(seeds, answers, cycle_id), "cycle_pairs", **at)
+    pairs = store.put(generate.parse_generated(answers.select("seq", "seed", "response"), cycle_id), "cycle_pairs", **at)
+    lost = stage(seeds.select("seq").join(pairs.select("seq"), "seq", "left_anti"), "lost")
+    if lost.isEmpty():
+        return pairs
+    failed = seeds.join(lost, "seq", "left_semi").withColumn("response", F.lit(None).cast("string"))
+    return store.put(generate.parse_generated(failed, cycle_id), "cycle_pairs", mode="append", **at)
+
+
 def run_loop(store: DatasetStore, base: DataFrame, generator: Generator, scorer: judge.Scorer, max_cycles: int = 10,
              stop_below: float = cycles.STOP_BELOW, resume: bool = False, **options) -> DataFrame:
     """Cycles until max_cycles, or until one passes less than the stop limit: the metrics of all.
