@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.rows import small_batches
 from pairloom.operators import bands, checks, export, judge
-from pairloom.plans import loop
+from pairloom.plans import curate, loop
 from pairloom.session import new_folder, stage
 from pairloom.sources import blocks
 from pairloom.sources.store import DatasetStore
@@ -167,3 +167,31 @@ def test_incremental_judging_sends_nothing_to_the_driver(spark, pairs_of):
     assert run.stats.first().asDict() == {"hits": 15, "misses": 25, "writes": 25}
     assert len(plans) == 3 and not any("Broadcast" in p for p in plans)
     assert "Broadcast" not in I.raw_turns(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_derived_table_is_derived_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    raw = spark.range(60).selectExpr("id AS seq", "concat('instruction ', id % 50) AS prompt", "'text' AS completion")
+    raw = raw.mapInArrow(watched, raw.schema)
+    curate.run_job(spark, {"dataset": "d", "steps": [{"ingest": {"input": raw}}]}, f"{tmp_path}/job")
+    assert spark.read.parquet(f"{tmp_path}/job/pairs/dataset=d").count() == 50 and seen.value == 60
+
+
+def test_a_full_cache_moves_no_texts(spark, pairs_of):
+    plans = []
+
+    def watched(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df)
+
+    pairs = stage(pairs_of([(str(n), f"instruction {n}", "output") for n in range(20)]))
+    held = stage(judge.cache_rows(judge.judge(pairs, judge.rule_scorer), judge.BUILTIN, "rule", "m"))
+    run = judge.judge_incremental(pairs, held, judge.rule_scorer, backend="rule", model="m", stage=watched, written=1)
+    assert run.stats.first().asDict() == {"hits": 20, "misses": 0, "writes": 0} and run.judgments.count() == 20
+    assert len(plans) == 1 and "Exchange" not in plans[0]
